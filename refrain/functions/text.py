@@ -1,11 +1,12 @@
 """Column expressions over names, keys and tokens."""
 
-from __future__ import annotations
-
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
 # Results depend on these exact patterns and marks.
 NON_NAME_CHARS = "[^a-zA-Z0-9]+"
+NAME_CHAR = "[a-zA-Z0-9]"
 FIRST_LISTED = r"(\[)(\w+)(.+)"
 IN_PARENTHESES = r"\(([^)]+)"
 DIGIT_KEY = "others"
@@ -14,18 +15,26 @@ AUDIO_EXTENSIONS = ("wav", "mp3")
 ALPHABET = "0123456789_abcdefghijklmnopqrstuvwxyz"
 
 
-def clean_name(name: Column) -> Column:
-    """Name without its parenthesised span and without anything but ASCII letters and digits, lower-cased.
+def _outside_span(name: Column) -> Column:
+    """Name without the span from its first ``(`` to its last ``)``, across lines.
 
-    The span reaches from the first ``(`` to the last ``)``, across lines. It is cut with two linear
-    substring searches, so a long text full of brackets costs no regex back-tracking.
+    Two linear substring searches, so a long text full of brackets costs no regex back-tracking.
     """
     before = F.substring_index(name, "(", 1)
     after = F.substring_index(name, ")", -1)
     last_close = F.length(name) - F.length(after)
     has_span = name.contains("(") & name.contains(")") & (last_close > F.instr(name, "("))
-    outside = F.when(has_span, F.concat(before, after)).otherwise(name)
-    return F.lower(F.regexp_replace(outside, NON_NAME_CHARS, ""))
+    return F.when(has_span, F.concat(before, after)).otherwise(name)
+
+
+def clean_name(name: Column) -> Column:
+    """Name without its parenthesised span and without anything but ASCII letters and digits, lower-cased."""
+    return F.lower(F.regexp_replace(_outside_span(name), NON_NAME_CHARS, ""))
+
+
+def has_clean_name(name: Column) -> Column:
+    """True where ``clean_name`` leaves something; stops at the first letter or digit, so it is cheap to filter on."""
+    return _outside_span(name).rlike(NAME_CHAR)
 
 
 def name_key(name: Column) -> Column:
@@ -53,11 +62,33 @@ def tokens(text: Column, mode: str = "char") -> Column:
 def char_counts(text: Column) -> Column:
     """How often each character of ``ALPHABET`` occurs, as an array in the order of ``ALPHABET``.
 
-    Equals counting the ``char`` tokens, but never builds the token array and has a fixed width.
+    Equals counting the ``char`` tokens, but never builds the token array and has a fixed width. Arrow hands
+    over whole batches, whose bytes are counted with a few array operations; UTF-8 bytes of
+    other characters never equal an ASCII one.
     """
-    lowered = F.lower(text)
-    width = F.octet_length(lowered)
-    return F.array(*[width - F.octet_length(F.replace(lowered, F.lit(c), F.lit(""))) for c in ALPHABET])
+    slots = len(ALPHABET)
+    slot_of = [ALPHABET.find(chr(byte)) % (slots + 1) for byte in range(256)]
+
+    @F.arrow_udf("array<int>")
+    def count(texts: pa.Array) -> pa.Array:
+        texts = texts.fill_null("").cast(pa.large_string())
+        rows = len(texts)
+        ends = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + rows + 1]
+        content = texts.buffers()[2]
+        content = np.frombuffer(content, dtype=np.uint8) if content else np.zeros(0, dtype=np.uint8)
+        table = np.array(slot_of)
+        counts = np.zeros((rows, slots + 1), dtype=np.int32)
+        start = 0
+        while start < rows:
+            stop = max(start + 1, int(np.searchsorted(ends, ends[start] + (1 << 20), side="right")) - 1)
+            place = np.repeat(np.arange(stop - start) * (slots + 1), np.diff(ends[start : stop + 1]))
+            place += table[content[ends[start] : ends[stop]]]
+            counts[start:stop] = np.bincount(place, minlength=(stop - start) * (slots + 1)).reshape(-1, slots + 1)
+            start = stop
+        flat = np.ascontiguousarray(counts[:, :slots]).ravel()
+        return pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * slots), pa.array(flat))
+
+    return count(F.lower(text))
 
 
 def label_for(record_id: Column, title: Column) -> Column:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
 
 from refrain.functions.vectors import squared_l2, squared_l2_to
 from refrain.operators.relational import first_k_per_key, smallest
@@ -150,9 +152,6 @@ def _scan(visits: DataFrame, items: DataFrame, k: int, quantum: float, tile_item
 
 def _tile_scorer(k: int, quantum: float):
     def score(left, right):
-        import numpy as np
-        import pyarrow as pa
-
         def matrix(table):
             column = table.column("v").combine_chunks()
             return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
@@ -252,9 +251,6 @@ def _pruned_scan(queries: DataFrame, items: DataFrame, n_pivots: int, spans, sca
 
 def _bin_assigner(shared):
     def assign(batches):
-        import numpy as np
-        import pyarrow as pa
-
         pivots, spans = shared.value
         matrices = {g: np.array(rows) for g, rows in pivots.items()}
         widths = {g: [] for g in matrices}
@@ -303,9 +299,6 @@ def _bin_chooser(shared_bins, k: int, first: bool):
     """Choose bins per query: the most promising ones first, afterwards all others in reach of ``beat``."""
 
     def choose(batches):
-        import numpy as np
-        import pyarrow as pa
-
         pivots, spans, summary = shared_bins.value
         known = {}
         for g, rows in summary.items():

@@ -6,13 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from refrain.functions.text import clean_name, name_key, tagged_id
+from refrain.functions.text import clean_name, has_clean_name, name_key, tagged_id
 
 
 def remove_noise(df: DataFrame, column: str) -> DataFrame:
     """Clean a name column and keep its input as ``original_<column>``; rows left without a name go."""
     kept = [F.col(c).alias(f"original_{column}" if c == column else c) for c in df.columns]
-    return df.select(*kept, clean_name(F.col(column)).alias(column)).where(F.col(column) != "")
+    named = df.where(has_clean_name(F.col(column)))
+    return named.select(*kept, clean_name(F.col(column)).alias(column))
 
 
 def add_name_key(df: DataFrame, source: str, id_column: str = "track_id", name: str = "song_title") -> DataFrame:

@@ -24,17 +24,25 @@ def _idf(block_rows: Column, rows_with_term: Column) -> Column:
 def char_idf(counts: DataFrame, block: str, fields: Sequence[str]) -> DataFrame:
     """Per block its number of rows and, per field, arrays of document frequency and IDF over ``ALPHABET``.
 
-    A single aggregate with one fixed-width counter per character: a task sends one row per block.
+    Every row has all slots, so each (block, slot) counts the rows of the block. A task sends one row per
+    block and slot, however many rows it holds.
     """
-    hits = [
-        F.count_if(F.col(field)[i] > 0).alias(f"{field}_{i}") for field in fields for i in range(SLOTS)
-    ]
-    per_block = counts.groupBy(block).agg(F.count(F.lit(1)).alias("block_rows"), *hits)
+    cells = F.arrays_zip(*[F.col(f) for f in fields])
+    per_slot = (
+        counts.select(block, F.posexplode(cells).alias("slot", "cell"))
+        .groupBy(block, "slot")
+        .agg(
+            F.count(F.lit(1)).alias("block_rows"),
+            *[F.count_if(F.col("cell")[f] > 0).alias(f"{f}_df") for f in fields],
+        )
+    )
+    in_order = F.sort_array(F.collect_list(F.struct("slot", *[f"{f}_df" for f in fields])))
+    per_block = per_slot.groupBy(block, "block_rows").agg(in_order.alias("slots"))
     columns = [F.col(block), F.col("block_rows")]
     for field in fields:
-        found = [F.col(f"{field}_{i}") for i in range(SLOTS)]
-        columns.append(F.array(*found).alias(f"{field}_df"))
-        columns.append(F.array(*[_idf(F.col("block_rows"), n) for n in found]).alias(f"{field}_idf"))
+        found = F.col("slots")[f"{field}_df"]
+        columns.append(found.alias(f"{field}_df"))
+        columns.append(F.transform(found, lambda n: _idf(F.col("block_rows"), n)).alias(f"{field}_idf"))
     return per_block.select(columns)
 
 

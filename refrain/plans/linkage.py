@@ -36,15 +36,11 @@ def field_score(left: Column, right: Column) -> Column:
     return F.when(_is_empty(left) | _is_empty(right), F.lit(NO_WEIGHT)).otherwise(dot(left, right))
 
 
-def weigh(left: DataFrame, right: DataFrame, block: str, fields: Sequence[str], id_column: str) -> DataFrame:
-    """Unit TF-IDF vectors of both sides, fitted per block on all rows of both.
-
-    Result: ``(side, id, block, fields...)`` with an array per field; texts do not survive the scan.
-    """
+def count_sides(left: DataFrame, right: DataFrame, id_column: str, block: str, fields: Sequence[str]) -> DataFrame:
+    """Character counts of both sides, written once: texts do not survive the scan."""
     columns = [id_column, block, *fields]
     both = union_sides({"left": left.select(columns), "right": right.select(columns)})
-    counts = settle(with_char_counts(both, fields), "counts")
-    return unit_weights(counts, char_idf(counts, block, fields), block, fields)
+    return settle(with_char_counts(both, fields), "counts")
 
 
 def _scores(pairs: DataFrame, title: str, artist: str) -> DataFrame:
@@ -70,7 +66,8 @@ def score_pairs(
 ) -> DataFrame:
     """Scores of given id pairs whose members share a block: title, artist and their sum."""
     fields = [title, artist]
-    weighted = settle(weigh(left, right, block, fields, id_column), "weights")
+    counts = count_sides(left, right, id_column, block, fields)
+    weighted = unit_weights(counts, char_idf(counts, block, fields), block, fields)
 
     def side(name: str, mark: str, pair_id: str) -> DataFrame:
         return weighted.where(F.col("side") == name).select(
@@ -100,12 +97,11 @@ def link(
     joined unit vectors, so the search is an exact nearest-neighbour search and forms no pairs.
     """
     fields = [title, artist]
-    weighted = settle(weigh(left, right, block, fields, id_column), "weights")
-    alike = (
-        weighted.groupBy("side", block, *fields)
-        .agg(F.min(id_column).alias("first_id"))
-    )
-    alike = settle(alike, "alike")
+    counts = count_sides(left, right, id_column, block, fields)
+    names = [f"{f}_counts" for f in fields]
+    alike = counts.groupBy("side", block, *fields).agg(F.min(id_column).alias("first_id"))
+    kept = alike.withColumns({n: F.col(f) for n, f in zip(names, fields)})
+    alike = settle(unit_weights(kept, char_idf(counts, block, fields), block, fields), "alike")
 
     def points(side: str, empty: tuple[float, float], id_name: str) -> DataFrame:
         vector = F.concat(*[_placed(F.col(f), empty) for f in fields])
@@ -125,24 +121,23 @@ def link(
         **search,
     ).select("l_first", "r_first")
 
-    def vectors(side: str, id_name: str, mark: str) -> DataFrame:
-        kept = [F.col(f).alias(mark + f) for f in fields]
-        return alike.where(F.col("side") == side).select(F.col("first_id").alias(id_name), F.col(block).alias(f"{mark}block"), *kept)
+    def vectors(side: str, id_name: str, mark: str, *more: str) -> DataFrame:
+        units = [F.col(f).alias(mark + f) for f in fields]
+        return alike.where(F.col("side") == side).select(F.col("first_id").alias(id_name), *units, *more)
 
     scored = _scores(
-        found.join(vectors("left", "l_first", "l_"), "l_first").join(vectors("right", "r_first", "r_"), "r_first"),
+        found.join(vectors("left", "l_first", "l_", block, *names), "l_first").join(
+            vectors("right", "r_first", "r_"), "r_first"
+        ),
         title,
         artist,
     )
-    members = weighted.where(F.col("side") == "left").select(
-        F.col(id_column).alias(left_id), F.col(block).alias("l_block"), *[F.col(f).alias(f"l_{f}") for f in fields]
+    digest = F.xxhash64(*names).alias("digest")
+    members = counts.where(F.col("side") == "left").select(
+        F.col(id_column).alias(left_id), block, *[F.col(f).alias(n) for n, f in zip(names, fields)]
     )
-    linked = members.join(scored, ["l_block", *[f"l_{f}" for f in fields]])
+    best = scored.select(block, digest, *names, "r_first", "title_simi", "artist_simi", "total_simi")
+    linked = members.select("*", digest).join(best, [block, "digest", *names])
     return linked.select(
-        left_id,
-        F.col("r_first").alias(right_id),
-        "title_simi",
-        "artist_simi",
-        "total_simi",
-        F.col("l_block").alias(block),
+        left_id, F.col("r_first").alias(right_id), "title_simi", "artist_simi", "total_simi", block
     )
