@@ -175,8 +175,8 @@ def in_value_list(t):
     WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, list_reverse(CAST(embedding AS DOUBLE[])) AS r
                FROM embeddings)
     SELECT vec_id, round(list_dot_product(e, r), 6) AS dot, round(sqrt(list_dot_product(e, e)), 6) AS norm,
-           round(list_sum(list_transform(list_zip(e, r), p -> (p[1] - p[2]) * (p[1] - p[2]))), 6) AS distance,
-           round(list_sum(list_transform(list_zip(e, r), p -> abs(p[1] - p[2]))), 6) AS moved
+           round(list_sum(list_transform(list_zip(e, r), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), 6) AS distance,
+           round(list_sum(list_transform(list_zip(e, r), lambda p: abs(p[1] - p[2]))), 6) AS moved
     FROM v
     """
 )
@@ -209,7 +209,7 @@ def first_elements(t):
     )
     SELECT vec_id, round(CASE WHEN list_dot_product(x, x) * list_dot_product(y, y) = 0 THEN -1.0
         ELSE list_dot_product(x, y) / (sqrt(list_dot_product(x, x)) * sqrt(list_dot_product(y, y))) END, 6) AS cosine,
-        -1.0 AS cosine_to_nothing
+        CAST(-1 AS DOUBLE) AS cosine_to_nothing
     FROM paired
     """
 )

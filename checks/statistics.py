@@ -6,6 +6,11 @@ from checks.registry import query
 from refrain.operators import statistics
 
 
+def _digits(statistic: str, digits: int) -> int:
+    """A mean of prices can lie on a rounding edge, so it is compared with more places."""
+    return 8 if statistic == "mean" else digits
+
+
 def _sql_seven(keys: str, value: str, table: str, digits: int = 6) -> str:
     skew = (
         f"(avg({value} * {value} * {value}) - 3 * avg({value}) * avg({value} * {value})"
@@ -21,12 +26,12 @@ def _sql_seven(keys: str, value: str, table: str, digits: int = 6) -> str:
         "skew": skew,
         "std": f"stddev_pop({value})",
     }
-    chosen = ", ".join(f"round({sql}, {digits}) AS {name}" for name, sql in parts.items())
+    chosen = ", ".join(f"round({sql}, {_digits(name, digits)}) AS {name}" for name, sql in parts.items())
     return f"SELECT {keys}, {chosen} FROM {table} GROUP BY {keys}"
 
 
 def _rounded(df, keys, digits=6):
-    return df.select(*keys, *[F.round(s, digits).alias(s) for s in statistics.STATISTICS])
+    return df.select(*keys, *[F.round(s, _digits(s, digits)).alias(s) for s in statistics.STATISTICS])
 
 
 @query(_sql_seven("event_type", "value", "events"))

@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 CORRUPT = "corrupt_record"
 
 # The fields of the records and the flat columns made of them.
-VIDEO_SCHEMA = T.StructType.fromDDL(
-    """
-    itemInfos struct<id: string, video: struct<urls: array<string>>, covers: array<string>>,
-    musicInfos struct<musicId: string, authorName: string, musicName: string, playUrl: array<string>>
-    """
-).add(CORRUPT, T.StringType())
+VIDEO_SCHEMA = (
+    "itemInfos struct<id: string, video: struct<urls: array<string>>, covers: array<string>>, "
+    "musicInfos struct<musicId: string, authorName: string, musicName: string, playUrl: array<string>>"
+)
 
 FLAT_COLUMNS = {
     "video_id": "itemInfos.id",
@@ -29,7 +27,7 @@ FIRST_OF_ARRAY = {"video_url", "video_covers", "music_url"}
 def read_videos(spark: SparkSession, path: str) -> DataFrame:
     """Video records; a malformed line keeps its text in ``corrupt_record``."""
     return (
-        spark.read.schema(VIDEO_SCHEMA)
+        spark.read.schema(f"{VIDEO_SCHEMA}, {CORRUPT} string")
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .json(path)
