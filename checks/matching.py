@@ -236,7 +236,7 @@ def nearest_per_group(t):
 def nearest_of_every_vector(t):
     queries = t.embeddings.withColumnRenamed("vec_id", "query_id")
     found = neighbours.nearest(queries, t.embeddings, "label", "query_id", "vec_id", "embedding", k=5)
-    return found.withColumn("distance", F.round("distance", 6))
+    return found.select("query_id", "vec_id", F.round("distance", 6).alias("distance"))
 
 
 @query(

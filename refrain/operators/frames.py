@@ -6,6 +6,8 @@ import math
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from refrain.sources.scratch import settle
+
 # Frame length and hop of the sign-change rate.
 FRAME, HOP = 2048, 512
 
@@ -34,7 +36,8 @@ def sign_change_rate(
         F.floor(F.col("pos") / chunk) == F.col("chunk")
     )
     changed = F.coalesce((F.col("negative") != F.col("previous")).cast("long"), F.lit(0))
-    steps = changes.groupBy(entity, F.floor(F.col("pos") / step).alias("step")).agg(
+    # A step lies within a chunk, so this grouping keeps the partitioning of the window.
+    steps = changes.groupBy(entity, "chunk", F.floor(F.col("pos") / step).alias("step")).agg(
         F.sum(changed).alias("changes"), F.count(F.lit(1)).alias("samples")
     )
     in_frame, between = frame // step, hop // step
@@ -89,8 +92,11 @@ def band_energy(
 
 
 def band_weights(weights: DataFrame, bands: int, bin: str, band: str, weight: str) -> DataFrame:
-    """Weight table in long form, one row per (bin, band), packed to one row per bin; gaps weigh 0."""
+    """Weight table in long form, one row per (bin, band), packed to one row per bin; gaps weigh 0.
+
+    It is written, so that joins know its size and broadcast it only while it is small.
+    """
     by_band = F.map_from_entries(F.collect_list(F.struct(band, weight)))
     packed = weights.groupBy(bin).agg(by_band.alias("by_band"))
     cells = [F.coalesce(F.element_at(F.col("by_band"), F.lit(b)), F.lit(0.0)) for b in range(bands)]
-    return packed.select(bin, F.array(*cells).alias("weights"))
+    return settle(packed.select(bin, F.array(*cells).alias("weights")), "weights")

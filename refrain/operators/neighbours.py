@@ -35,8 +35,11 @@ def nearest_to_point(
 def nearest_to_one_per_group(
     vectors: DataFrame, queries: DataFrame, group: str, id_column: str, vector: str, query_vector: str, k: int = 5
 ) -> DataFrame:
-    """The ``k`` vectors of each group nearest to the one query vector of that group."""
-    scored = vectors.join(queries, group).select(
+    """The ``k`` vectors of each group nearest to the one query vector of that group.
+
+    The queries are written first: with their size known, few of them are broadcast and the vectors stay put.
+    """
+    scored = vectors.join(settle(queries, "queries"), group).select(
         group, id_column, squared_l2(F.col(vector), F.col(query_vector)).alias("distance")
     )
     return first_k_per_key(scored, [group], [F.col("distance").asc_nulls_last(), F.col(id_column)], k)
@@ -57,9 +60,9 @@ def nearest(
     max_pivots: int = MAX_PIVOTS,
     clean: bool = False,
 ) -> DataFrame:
-    """Exactly the ``k`` nearest items of each query's group: ``(query_id, item_id, distance)``.
+    """Exactly the ``k`` nearest items of each query's group: ``(query_id, item_id, distance, parts)``.
 
-    Distances equal after rounding to ``quantum`` go to the smallest item id; items with NaN come last.
+    ``parts`` holds the squared distance within each span of the vector, ``distance`` their sum. Distances equal after rounding to ``quantum`` go to the smallest item id; items with NaN come last.
     Queries whose group has no item give no row.
 
     No pair becomes a row. Queries and items meet in tiles of bounded size, in which one matrix product
@@ -80,15 +83,15 @@ def nearest(
         undefined = _undefined_pairs(queries, items, k)
         queries, items = queries.where(~_has_nan()), items.where(~_has_nan())
 
-    scan = dict(k=k, quantum=quantum, tile_items=tile_items, tile_queries=tile_queries)
+    scan = dict(k=k, spans=spans, quantum=quantum, tile_items=tile_items, tile_queries=tile_queries)
     pivots = min(max_pivots, items.count() // tile_items)
     if pivots < MIN_PIVOTS:
         whole = F.lit(-1).alias("bin")
         found = _scan(queries.select("*", whole), items.select("*", whole), **scan)
     else:
-        found = _pruned_scan(queries, items, pivots, spans, scan)
+        found = _pruned_scan(queries, items, pivots, scan)
     best = _best(found if undefined is None else found.unionByName(undefined), k)
-    return best.select(F.col("query").alias(query_id), F.col("item").alias(item_id), "distance")
+    return best.select(F.col("query").alias(query_id), F.col("item").alias(item_id), "distance", "parts")
 
 
 def _doubles(vector: str):
@@ -101,7 +104,8 @@ def _has_nan():
 
 def _without_surplus_copies(items: DataFrame, k: int) -> DataFrame:
     """Of identical vectors only the ``k`` smallest ids can be among the ``k`` nearest."""
-    return first_k_per_key(items, ["g", "v"], [F.col("item")], k, rank="copy").drop("copy")
+    marked = items.withColumn("digest", F.xxhash64("v"))
+    return first_k_per_key(marked, ["g", "digest", "v"], [F.col("item")], k, rank="copy").drop("copy", "digest")
 
 
 def _undefined_pairs(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
@@ -110,17 +114,20 @@ def _undefined_pairs(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
     anything = first_k_per_key(items, ["g"], [F.col("item")], k, rank="n").select("g", "item")
     pairs = queries.where(~_has_nan()).join(broken, "g").unionByName(queries.where(_has_nan()).join(anything, "g"))
     last = F.lit(2**63 - 1).alias("rank")
-    return pairs.select("query", "item", F.lit(float("nan")).alias("distance"), last)
+    nan = F.lit(float("nan"))
+    return pairs.select("query", "item", nan.alias("distance"), F.array(nan).alias("parts"), last)
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
     if k == 1:
-        first = F.min(F.struct("rank", "item", "distance")).alias("best")
-        return found.groupBy("query").agg(first).select("query", "best.item", "best.distance")
+        first = F.min(F.struct("rank", "item", "distance", "parts")).alias("best")
+        return found.groupBy("query").agg(first).select("query", "best.item", "best.distance", "best.parts")
     return first_k_per_key(found, ["query"], [F.col("rank"), F.col("item")], k, rank="place")
 
 
-def _scan(visits: DataFrame, items: DataFrame, k: int, quantum: float, tile_items: int, tile_queries: int) -> DataFrame:
+def _scan(
+    visits: DataFrame, items: DataFrame, k: int, spans, quantum: float, tile_items: int, tile_queries: int
+) -> DataFrame:
     """Score ``visits (g, bin, query, v)`` against ``items (g, bin, item, v)``; the ``k`` best per query and tile.
 
     Both sides of a bin are cut by hash into as many parts as their counts call for, so a bin or a group
@@ -128,7 +135,8 @@ def _scan(visits: DataFrame, items: DataFrame, k: int, quantum: float, tile_item
     """
     asked = visits.groupBy("g", "bin").agg(F.ceil(F.count(F.lit(1)) / tile_queries).alias("query_parts"))
     held = items.groupBy("g", "bin").agg(F.ceil(F.count(F.lit(1)) / tile_items).alias("item_parts"))
-    layout = asked.join(held, ["g", "bin"])
+    # Written first, so that its size is known and a small layout is broadcast instead of shuffling vectors for it.
+    layout = settle(asked.join(held, ["g", "bin"]), "layout")
     key = ["g", "bin", "query_part", "item_part"]
 
     def part(of: str, parts: str):
@@ -144,26 +152,28 @@ def _scan(visits: DataFrame, items: DataFrame, k: int, quantum: float, tile_item
         "g", "bin", every("query_parts").alias("query_part"), part("item", "item_parts").alias("item_part"), "item", "v"
     )
     id_types = [f"{c} {df.schema[c].dataType.simpleString()}" for c, df in (("query", visits), ("item", items))]
-    schema = ", ".join([*id_types, "distance double", "rank long"])
+    schema = ", ".join([*id_types, "distance double", "parts array<double>", "rank long"])
     return (
-        left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_tile_scorer(k, quantum), schema)
+        left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_tile_scorer(k, spans, quantum), schema)
     )
 
 
-def _tile_scorer(k: int, quantum: float):
+def _tile_scorer(k: int, spans, quantum: float):
     def score(left, right):
         def matrix(table):
             column = table.column("v").combine_chunks()
             return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
         types = [("query", left.schema.field("query").type), ("item", right.schema.field("item").type)]
-        schema = pa.schema([*types, ("distance", pa.float64()), ("rank", pa.int64())])
+        results = [("distance", pa.float64()), ("parts", pa.list_(pa.float64())), ("rank", pa.int64())]
+        schema = pa.schema([*types, *results])
         if left.num_rows == 0 or right.num_rows == 0:
             return schema.empty_table()
         right = right.sort_by("item")
         q, c = matrix(left), matrix(right)
         c_square = np.einsum("ij,ij->i", c, c)
-        rows, columns, distances, ranks = [], [], [], []
+        cuts = spans or [(0, c.shape[1])]
+        rows, columns, within, ranks = [], [], [], []
         step = max(1, (1 << 21) // len(c))
         for start in range(0, len(q), step):
             block = q[start : start + step]
@@ -173,25 +183,29 @@ def _tile_scorer(k: int, quantum: float):
             room = 1e-12 * (q_square[:, None] + c_square.max()) + 2.0 * quantum
             kth = np.partition(rough, min(k, len(c)) - 1, axis=1)[:, min(k, len(c)) - 1]
             i, j = np.nonzero(rough <= kth[:, None] + room)
-            exact = np.empty(len(i))
-            for part in range(0, len(i), 1 << 16):
-                s = slice(part, part + (1 << 16))
+            parts = np.empty((len(i), len(cuts)))
+            for some in range(0, len(i), 1 << 16):
+                s = slice(some, some + (1 << 16))
                 gap = block[i[s]] - c[j[s]]
-                exact[s] = np.einsum("ij,ij->i", gap, gap)
-            rank = np.rint(exact / quantum)
+                for n, (a, b) in enumerate(cuts):
+                    parts[s, n] = np.einsum("ij,ij->i", gap[:, a:b], gap[:, a:b])
+            rank = np.rint(parts.sum(axis=1) / quantum)
             order = np.lexsort((j, rank, i))
-            i, j, exact, rank = i[order], j[order], exact[order], rank[order]
+            i, j, parts, rank = i[order], j[order], parts[order], rank[order]
             place = np.arange(len(i)) - np.searchsorted(i, i, side="left")
             kept = place < k
             rows.append(i[kept] + start)
             columns.append(j[kept])
-            distances.append(exact[kept])
+            within.append(parts[kept])
             ranks.append(np.minimum(rank[kept], 2.0**62).astype(np.int64))
+        parts = np.concatenate(within)
+        offsets = pa.array(np.arange(0, parts.size + 1, len(cuts), dtype=np.int32))
         return pa.table(
             [
                 left.column("query").take(pa.array(np.concatenate(rows))),
                 right.column("item").take(pa.array(np.concatenate(columns))),
-                pa.array(np.concatenate(distances)),
+                pa.array(parts.sum(axis=1)),
+                pa.ListArray.from_arrays(offsets, pa.array(parts.ravel())),
                 pa.array(np.concatenate(ranks)),
             ],
             schema=schema,
@@ -200,7 +214,7 @@ def _tile_scorer(k: int, quantum: float):
     return score
 
 
-def _pruned_scan(queries: DataFrame, items: DataFrame, n_pivots: int, spans, scan: dict) -> DataFrame:
+def _pruned_scan(queries: DataFrame, items: DataFrame, n_pivots: int, scan: dict) -> DataFrame:
     spark = items.sparkSession
     # A uniform sample by hash: the same after a retry, and at most max_pivots rows on the driver.
     sample = items.orderBy(F.xxhash64("item"), "item").limit(n_pivots).select("g", "v").collect()
@@ -208,7 +222,7 @@ def _pruned_scan(queries: DataFrame, items: DataFrame, n_pivots: int, spans, sca
     pivots: dict = {}
     for row in sample:
         pivots.setdefault(row["g"], []).append(row["v"])
-    spans = [tuple(s) for s in (spans or [(0, dim)])]
+    spans = scan["spans"] or [(0, dim)]
     shared = spark.sparkContext.broadcast((pivots, spans))
 
     g_type = items.schema["g"].dataType.simpleString()

@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from refrain.sources.scratch import settle
+
 # The order of the packed vector depends on these names and sizes.
 STATISTICS = ("kurtosis", "max", "mean", "median", "min", "skew", "std")
 AUDIO_FEATURES = {
@@ -16,42 +18,22 @@ AUDIO_FEATURES = {
     "zcr": 1,
 }
 
-# Accuracy of the sketch that brackets the median; the median itself is exact.
-BRACKET = 10_000
-
-
-def _with_median(df: DataFrame, summary: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Add the exact median to ``summary``, which holds ``n`` and a bracket ``[low, high]`` around it.
-
-    Only the few values inside the bracket are put in order; all values below it collapse into one
-    counter per key and task. So no task ever sorts or holds a whole key.
-    """
-    inside = df.join(summary.select(*keys, "low", "high"), list(keys)).where(F.col(value) <= F.col("high"))
-    slot = F.when(F.col(value) < F.col("low"), F.lit(None).cast("double")).otherwise(F.col(value))
-    counted = inside.groupBy(*keys, slot.alias("slot")).agg(F.count(F.lit(1)).alias("rows"))
-    ordered = Window.partitionBy(*keys).orderBy(F.col("slot").asc_nulls_first())
-    reached = counted.withColumn("reached", F.sum("rows").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
-
-    ranked = reached.join(summary.select(*keys, "n"), list(keys))
-    lower, upper = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
-    middle = ranked.groupBy(*keys).agg(
-        F.min_by("slot", F.when(F.col("reached") >= lower, F.col("reached"))).alias("lower_middle"),
-        F.min_by("slot", F.when(F.col("reached") >= upper, F.col("reached"))).alias("upper_middle"),
-    )
-    median = (F.col("lower_middle") + F.col("upper_middle")) / 2.0
-    checked = F.when(median.isNotNull(), median).otherwise(
-        F.raise_error(F.lit("the bracket missed the median")).cast("double")
-    )
-    return summary.join(middle.select(*keys, checked.alias("median")), list(keys), "left").drop("low", "high", "n")
+# Accuracy of the quantile sketch. Its rank error is at most rows / ACCURACY, so up to half as many rows
+# it gives exact order statistics, and beyond that a bracket around the median.
+ACCURACY = 10_000
+SMALL = ACCURACY // 2
 
 
 def seven_statistics(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Population moments, exact median and range of ``value`` per ``keys``; NULL values do not count.
 
-    Skew and kurtosis are NULL where the values do not vary.
+    Skew and kurtosis are NULL where the values do not vary. One pass settles all keys with few rows. Keys
+    with many take a second one, which orders only the values next to the median: no task ever holds or
+    sorts all values of a key.
     """
     df = df.select(*keys, F.col(value).cast("double").alias(value)).where(F.col(value).isNotNull())
-    margin = 2.0 / BRACKET
+    margin = 2.0 / ACCURACY
+    shares = [0.5 - margin, 0.5, 0.5 + 1.0 / ACCURACY, 0.5 + margin]
     summary = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
         F.kurtosis(value).alias("kurtosis"),
@@ -60,10 +42,41 @@ def seven_statistics(df: DataFrame, keys: Sequence[str], value: str) -> DataFram
         F.min(value).alias("min"),
         F.skewness(value).alias("skew"),
         F.stddev_pop(value).alias("std"),
-        F.percentile_approx(value, [0.5 - margin, 0.5 + margin], BRACKET).alias("bracket"),
+        F.percentile_approx(value, shares, ACCURACY).alias("near_middle"),
+    )
+    summary = settle(summary, "summary")
+    near = F.col("near_middle")
+    small = summary.where(F.col("n") <= SMALL).withColumn("median", (near[1] + near[2]) / 2.0)
+    result = small.select(*keys, *STATISTICS)
+    large = summary.where(F.col("n") > SMALL)
+    if large.isEmpty():
+        return result
+    large = large.withColumns({"low": near[0], "high": near[3]})
+    return result.unionByName(_with_median(df, large, keys, value).select(*keys, *STATISTICS))
+
+
+def _with_median(df: DataFrame, summary: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Add the exact median to ``summary``, which holds ``n`` and a bracket ``[low, high]`` around it.
+
+    All values below the bracket collapse into one counter per key and task, all above it are left out.
+    """
+    inside = df.join(summary.select(*keys, "low", "high"), list(keys)).where(F.col(value) <= F.col("high"))
+    slot = F.when(F.col(value) >= F.col("low"), F.col(value))
+    counted = inside.groupBy(*keys, slot.alias("slot")).agg(F.count(F.lit(1)).alias("rows"))
+    upwards = Window.partitionBy(*keys).orderBy(F.col("slot").asc_nulls_first())
+    running = F.sum("rows").over(upwards.rowsBetween(Window.unboundedPreceding, 0))
+    ranked = counted.withColumn("reached", running).join(summary.select(*keys, "n"), list(keys))
+
+    lower, upper = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
+    reached = F.col("reached")
+    middle = ranked.groupBy(*keys).agg(
+        F.min_by("slot", F.when(reached >= lower, reached)).alias("lower_middle"),
+        F.min_by("slot", F.when(reached >= upper, reached)).alias("upper_middle"),
     )
-    summary = summary.withColumns({"low": F.col("bracket")[0], "high": F.col("bracket")[1]}).drop("bracket")
-    return _with_median(df, summary, keys, value).select(*keys, *STATISTICS)
+    median = (F.col("lower_middle") + F.col("upper_middle")) / 2.0
+    missed = F.raise_error(F.lit("the bracket missed the median")).cast("double")
+    exact = middle.select(*keys, F.coalesce(median, missed).alias("median"))
+    return summary.join(exact, list(keys))
 
 
 def vector_size(features: Mapping[str, int], statistics: Sequence[str] = STATISTICS) -> int:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from refrain.functions.text import ALPHABET, char_counts, tokens
+from refrain.sources.scratch import settle
 
 SLOTS = len(ALPHABET)
 
@@ -91,20 +92,26 @@ def term_idf(df: DataFrame, block: str, id_column: str, fields: Sequence[str], m
             "block_rows",
             F.get(F.col("part_idf"), F.col("slot")).alias("idf"),
         )
-    sizes = df.groupBy(block).agg(F.count(F.lit(1)).alias("block_rows"))
-    found = (
-        term_counts(df, [block, id_column], fields, mode)
-        .groupBy(block, "field", "term")
-        .agg(F.count(F.lit(1)).alias("df"))
-    )
+    return _word_idf(term_counts(df, [block, id_column], fields, mode), _block_sizes(df, block), block)
+
+
+def _block_sizes(df: DataFrame, block: str) -> DataFrame:
+    return settle(df.groupBy(block).agg(F.count(F.lit(1)).alias("block_rows")), "sizes")
+
+
+def _word_idf(counts: DataFrame, sizes: DataFrame, block: str) -> DataFrame:
+    found = counts.groupBy(block, "field", "term").agg(F.count(F.lit(1)).alias("df"))
     return found.join(sizes, block).withColumn("idf", _idf(F.col("block_rows"), F.col("df")))
 
 
 def term_weights(df: DataFrame, block: str, id_column: str, fields: Sequence[str], mode: str = "char") -> DataFrame:
-    """TF-IDF in long form: rows ``(block, id, field, term, weight)``."""
+    """TF-IDF in long form: rows ``(block, id, field, term, weight)``.
+
+    Counts are written once, as they are needed twice: for the IDF and for the weights.
+    """
     if mode == "char":
-        counts = with_char_counts(df.select(block, id_column, *fields), fields)
-        weighted = with_char_weights(counts, char_idf(counts, block, fields), block, fields)
+        counts = settle(with_char_counts(df.select(block, id_column, *fields), fields), "counts")
+        weighted = with_char_weights(counts, settle(char_idf(counts, block, fields), "idf"), block, fields)
         one_field = weighted.select(block, id_column, _per_field(fields, "").alias("f"))
         return (
             one_field.select(block, id_column, "f.field", F.posexplode("f.part").alias("slot", "cell"))
@@ -117,8 +124,8 @@ def term_weights(df: DataFrame, block: str, id_column: str, fields: Sequence[str
                 F.col("cell.weight").alias("weight"),
             )
         )
-    counts = term_counts(df, [block, id_column], fields, mode)
-    idf = term_idf(df, block, id_column, fields, mode).select(block, "field", "term", "idf")
+    counts = settle(term_counts(df, [block, id_column], fields, mode), "counts")
+    idf = _word_idf(counts, _block_sizes(df, block), block).select(block, "field", "term", "idf")
     joined = counts.join(idf, [block, "field", "term"])
     return joined.select(block, id_column, "field", "term", (F.col("tf") * F.col("idf")).alias("weight"))
 

@@ -31,6 +31,11 @@ def _placed(unit: Column, empty: tuple[float, float]) -> Column:
     return F.concat(unit, F.when(_is_empty(unit), here).otherwise(elsewhere))
 
 
+def _from_distance(squared: Column) -> Column:
+    """Cosine from the squared distance of unit vectors; weights are never negative, so above 2 a field was empty."""
+    return F.when(squared > 3.0, F.lit(NO_WEIGHT)).otherwise(1.0 - squared / 2.0)
+
+
 def field_score(left: Column, right: Column) -> Column:
     """Cosine of two unit vectors, ``NO_WEIGHT`` where either has no weight."""
     return F.when(_is_empty(left) | _is_empty(right), F.lit(NO_WEIGHT)).otherwise(dot(left, right))
@@ -43,6 +48,11 @@ def count_sides(left: DataFrame, right: DataFrame, id_column: str, block: str, f
     return settle(with_char_counts(both, fields), "counts")
 
 
+def settled_idf(counts: DataFrame, block: str, fields: Sequence[str]) -> DataFrame:
+    """IDF per block, written first: with its size known a small one is broadcast, and no record moves for it."""
+    return settle(char_idf(counts, block, fields), "idf")
+
+
 def _scores(pairs: DataFrame, title: str, artist: str) -> DataFrame:
     scored = pairs.withColumns(
         {
@@ -67,7 +77,7 @@ def score_pairs(
     """Scores of given id pairs whose members share a block: title, artist and their sum."""
     fields = [title, artist]
     counts = count_sides(left, right, id_column, block, fields)
-    weighted = unit_weights(counts, char_idf(counts, block, fields), block, fields)
+    weighted = unit_weights(counts, settled_idf(counts, block, fields), block, fields)
 
     def side(name: str, mark: str, pair_id: str) -> DataFrame:
         return weighted.where(F.col("side") == name).select(
@@ -101,7 +111,7 @@ def link(
     names = [f"{f}_counts" for f in fields]
     alike = counts.groupBy("side", block, *fields).agg(F.min(id_column).alias("first_id"))
     kept = alike.withColumns({n: F.col(f) for n, f in zip(names, fields)})
-    alike = settle(unit_weights(kept, char_idf(counts, block, fields), block, fields), "alike")
+    alike = settle(unit_weights(kept, settled_idf(counts, block, fields), block, fields), "alike")
 
     def points(side: str, empty: tuple[float, float], id_name: str) -> DataFrame:
         vector = F.concat(*[_placed(F.col(f), empty) for f in fields])
@@ -119,25 +129,20 @@ def link(
         quantum=2e-9,
         clean=True,
         **search,
-    ).select("l_first", "r_first")
-
-    def vectors(side: str, id_name: str, mark: str, *more: str) -> DataFrame:
-        units = [F.col(f).alias(mark + f) for f in fields]
-        return alike.where(F.col("side") == side).select(F.col("first_id").alias(id_name), *units, *more)
-
-    scored = _scores(
-        found.join(vectors("left", "l_first", "l_", block, *names), "l_first").join(
-            vectors("right", "r_first", "r_"), "r_first"
-        ),
-        title,
-        artist,
-    )
-    digest = F.xxhash64(*names).alias("digest")
-    members = counts.where(F.col("side") == "left").select(
-        F.col(id_column).alias(left_id), block, *[F.col(f).alias(n) for n, f in zip(names, fields)]
     )
-    best = scored.select(block, digest, *names, "r_first", "title_simi", "artist_simi", "total_simi")
-    linked = members.select("*", digest).join(best, [block, "digest", *names])
-    return linked.select(
-        left_id, F.col("r_first").alias(right_id), "title_simi", "artist_simi", "total_simi", block
+
+    # Which distinct left record each left one is; a third of them may be the same, so only ids go on from here.
+    digest = F.xxhash64(*fields).alias("digest")
+    firsts = alike.where(F.col("side") == "left").select(
+        block, F.xxhash64(*names).alias("digest"), *[F.col(n).alias(f) for n, f in zip(names, fields)], F.col("first_id").alias("l_first")
     )
+    members = counts.where(F.col("side") == "left").select(F.col(id_column).alias(left_id), block, digest, *fields)
+    known = members.join(firsts, [block, "digest", *fields]).select(left_id, block, "l_first")
+
+    scored = found.select(
+        "l_first",
+        F.col("r_first").alias(right_id),
+        _from_distance(F.col("parts")[0]).alias("title_simi"),
+        _from_distance(F.col("parts")[1]).alias("artist_simi"),
+    ).withColumn("total_simi", F.col("title_simi") + F.col("artist_simi"))
+    return known.join(scored, "l_first").select(left_id, right_id, "title_simi", "artist_simi", "total_simi", block)

@@ -23,15 +23,14 @@ def append_table(df: DataFrame, path: str, rows_per_file: int = 5_000_000) -> No
     df.write.mode("append").option("maxRecordsPerFile", rows_per_file).parquet(path)
 
 
-def append_partitioned(df: DataFrame, path: str, column: str, rows_per_file: int = 5_000_000, spread: int = 8) -> None:
+def append_partitioned(df: DataFrame, path: str, column: str, rows_per_file: int = 5_000_000) -> None:
     """Append partitioned by ``column``.
 
-    Rows are first spread over ``spread`` shares of each value, so that a value holding much of the
-    table is written by several tasks, while a rare value does not leave one small file per input task.
+    The rebalance brings a rare value into one file and splits a value that holds much of the table over
+    as many tasks as its measured size calls for.
     """
-    share = F.pmod(F.xxhash64(*[c for c in df.columns if c != column]), F.lit(spread))
     (
-        df.repartition(F.col(column), share)
+        df.hint("rebalance", column)
         .write.mode("append")
         .option("maxRecordsPerFile", rows_per_file)
         .partitionBy(column)
