@@ -9,16 +9,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
+_own_roots: dict[str, str] = {}
+
+
+def scratch_root(setting: str | None, master: str, application: str) -> str:
+    """The session's shared folder; a temporary one only for a local session that names none."""
+    if setting:
+        return setting.rstrip("/")
+    if not master.startswith("local"):
+        raise ValueError(f"set {SETTING} to a folder that all executors share")
+    if application not in _own_roots:
+        _own_roots[application] = tempfile.mkdtemp(prefix="refrain-")
+    return _own_roots[application]
+
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below the session's shared folder; a temporary folder only for a local session without one."""
-    root = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {SETTING} to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="refrain-")
-        spark.conf.set(SETTING, root)
-    return f"{root.rstrip('/')}/refrain/{label}-{uuid.uuid4().hex}"
+    """A new path below the shared folder."""
+    context = spark.sparkContext
+    root = scratch_root(spark.conf.get(SETTING, None), context.master, context.applicationId)
+    return f"{root}/refrain/{label}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:
