@@ -84,12 +84,14 @@ def nearest(
         queries, items = queries.where(~_has_nan()), items.where(~_has_nan())
 
     scan = dict(k=k, spans=spans, quantum=quantum, tile_items=tile_items, tile_queries=tile_queries)
-    pivots = min(max_pivots, items.count() // tile_items)
-    if pivots < MIN_PIVOTS:
+    rows = items.count()
+    wanted = min(max_pivots, rows // tile_items)
+    pivots = _pivots(items, wanted, rows) if wanted >= MIN_PIVOTS else {}
+    if pivots:
+        found = _pruned_scan(queries, items, pivots, scan)
+    else:
         whole = F.lit(-1).alias("bin")
         found = _scan(queries.select("*", whole), items.select("*", whole), **scan)
-    else:
-        found = _pruned_scan(queries, items, pivots, scan)
     best = _best(found if undefined is None else found.unionByName(undefined), k)
     return best.select(F.col("query").alias(query_id), F.col("item").alias(item_id), "distance", "parts")
 
@@ -214,14 +216,22 @@ def _tile_scorer(k: int, spans, quantum: float):
     return score
 
 
-def _pruned_scan(queries: DataFrame, items: DataFrame, n_pivots: int, scan: dict) -> DataFrame:
-    spark = items.sparkSession
-    # A uniform sample by hash: the same after a retry, and at most max_pivots rows on the driver.
-    sample = items.orderBy(F.xxhash64("item"), "item").limit(n_pivots).select("g", "v").collect()
-    dim = len(sample[0]["v"])
+def _pivots(items: DataFrame, wanted: int, rows: int) -> dict:
+    """Vectors of ``wanted`` items by group: a uniform sample by hash, hence the same after a retry.
+
+    The threshold keeps what the tasks send to about four times ``wanted``, however many tasks there are.
+    """
+    place = F.pmod(F.xxhash64(F.lit("pivot"), "item"), F.lit(1 << 40))
+    near = items.where(place < int((1 << 40) * min(1.0, 4.0 * wanted / rows)))
     pivots: dict = {}
-    for row in sample:
+    for row in near.orderBy(place, "item").limit(wanted).select("g", "v").collect():
         pivots.setdefault(row["g"], []).append(row["v"])
+    return pivots
+
+
+def _pruned_scan(queries: DataFrame, items: DataFrame, pivots: dict, scan: dict) -> DataFrame:
+    spark = items.sparkSession
+    dim = len(next(iter(pivots.values()))[0])
     spans = scan["spans"] or [(0, dim)]
     shared = spark.sparkContext.broadcast((pivots, spans))
 

@@ -22,6 +22,7 @@ AUDIO_FEATURES = {
 # it gives exact order statistics, and beyond that a bracket around the median.
 ACCURACY = 10_000
 SMALL = ACCURACY // 2
+BUCKETS = 1000
 
 
 def seven_statistics(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -58,25 +59,51 @@ def seven_statistics(df: DataFrame, keys: Sequence[str], value: str) -> DataFram
 def _with_median(df: DataFrame, summary: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Add the exact median to ``summary``, which holds ``n`` and a bracket ``[low, high]`` around it.
 
-    All values below the bracket collapse into one counter per key and task, all above it are left out.
+    All values below the bracket collapse into one counter per key and task, all above it are left out. What
+    is inside is counted in ``BUCKETS`` even intervals, and only the interval with the median is put in order.
     """
-    inside = df.join(summary.select(*keys, "low", "high"), list(keys)).where(F.col(value) <= F.col("high"))
+    keys = list(keys)
+    inside = df.join(summary.select(*keys, "low", "high"), keys).where(F.col(value) <= F.col("high"))
     slot = F.when(F.col(value) >= F.col("low"), F.col(value))
-    counted = inside.groupBy(*keys, slot.alias("slot")).agg(F.count(F.lit(1)).alias("rows"))
-    upwards = Window.partitionBy(*keys).orderBy(F.col("slot").asc_nulls_first())
-    running = F.sum("rows").over(upwards.rowsBetween(Window.unboundedPreceding, 0))
-    ranked = counted.withColumn("reached", running).join(summary.select(*keys, "n"), list(keys))
+    share = (F.col("slot") - F.col("low")) / F.nullif(F.col("high") - F.col("low"), F.lit(0.0))
+    bucket = F.when(F.col("slot").isNull(), -1).otherwise(
+        F.least(F.floor(F.coalesce(share, F.lit(0.0)) * BUCKETS), F.lit(BUCKETS - 1)).cast("int")
+    )
+    counted = settle(
+        inside.groupBy(*keys, slot.alias("slot"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .join(summary.select(*keys, "low", "high"), keys)
+        .select(*keys, bucket.alias("bucket"), "slot", "rows"),
+        "bracket",
+    )
+
+    def running(*parts: str, order: str):
+        upwards = Window.partitionBy(*keys, *parts).orderBy(order)
+        return F.sum("rows").over(upwards.rowsBetween(Window.unboundedPreceding, 0))
 
     lower, upper = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
+    before = F.col("until") - F.col("rows")
+    chosen = (
+        counted.groupBy(*keys, "bucket")
+        .agg(F.sum("rows").alias("rows"))
+        .withColumn("until", running(order="bucket"))
+        .join(summary.select(*keys, "n"), keys)
+        .where((F.col("bucket") >= 0) & (before < upper) & (F.col("until") >= lower))
+        .select(*keys, "bucket", before.alias("before"), "n")
+    )
+    ordered = counted.join(settle(chosen, "chosen"), [*keys, "bucket"]).withColumn(
+        "reached", F.col("before") + running("bucket", order="slot")
+    )
     reached = F.col("reached")
-    middle = ranked.groupBy(*keys).agg(
+    middle = ordered.groupBy(*keys).agg(
         F.min_by("slot", F.when(reached >= lower, reached)).alias("lower_middle"),
         F.min_by("slot", F.when(reached >= upper, reached)).alias("upper_middle"),
     )
     median = (F.col("lower_middle") + F.col("upper_middle")) / 2.0
     missed = F.raise_error(F.lit("the bracket missed the median")).cast("double")
     exact = middle.select(*keys, F.coalesce(median, missed).alias("median"))
-    return summary.join(exact, list(keys))
+    found = summary.join(exact, keys, "left")
+    return found.withColumn("median", F.coalesce("median", missed))
 
 
 def vector_size(features: Mapping[str, int], statistics: Sequence[str] = STATISTICS) -> int:

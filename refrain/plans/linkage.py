@@ -109,7 +109,9 @@ def link(
     fields = [title, artist]
     counts = count_sides(left, right, id_column, block, fields)
     names = [f"{f}_counts" for f in fields]
-    alike = counts.groupBy("side", block, *fields).agg(F.min(id_column).alias("first_id"))
+    # The digest leads the grouping, so that sorting and joining compare a number before they compare arrays.
+    counts = counts.withColumn("digest", F.xxhash64(*fields))
+    alike = counts.groupBy("digest", "side", block, *fields).agg(F.min(id_column).alias("first_id"))
     kept = alike.withColumns({n: F.col(f) for n, f in zip(names, fields)})
     alike = settle(unit_weights(kept, settled_idf(counts, block, fields), block, fields), "alike")
 
@@ -131,13 +133,12 @@ def link(
         **search,
     )
 
-    # Which distinct left record each left one is; a third of them may be the same, so only ids go on from here.
-    digest = F.xxhash64(*fields).alias("digest")
+    # Which distinct left record each left one is; many may be the same, so only ids go on from here.
     firsts = alike.where(F.col("side") == "left").select(
-        block, F.xxhash64(*names).alias("digest"), *[F.col(n).alias(f) for n, f in zip(names, fields)], F.col("first_id").alias("l_first")
+        "digest", block, *[F.col(n).alias(f) for n, f in zip(names, fields)], F.col("first_id").alias("l_first")
     )
-    members = counts.where(F.col("side") == "left").select(F.col(id_column).alias(left_id), block, digest, *fields)
-    known = members.join(firsts, [block, "digest", *fields]).select(left_id, block, "l_first")
+    members = counts.where(F.col("side") == "left").select("digest", block, *fields, F.col(id_column).alias(left_id))
+    known = members.join(firsts, ["digest", block, *fields]).select(left_id, block, "l_first")
 
     scored = found.select(
         "l_first",
