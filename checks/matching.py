@@ -64,13 +64,13 @@ _SCORES_SQL = """
 _BEST_SQL = f"""
     {_LINK_SQL},
     scored AS (
-        SELECT l.id AS music_track_id, r.id AS tiktok_track_id, l.b AS name_key_1, {_SCORES_SQL}
+        SELECT l.id AS music_track_id, r.id AS video_track_id, l.b AS name_key_1, {_SCORES_SQL}
         FROM normed l JOIN normed r ON l.b = r.b WHERE l.side = 'left' AND r.side = 'right'),
     ranked AS (
         SELECT *, row_number() OVER (PARTITION BY music_track_id
-            ORDER BY round(title_simi + artist_simi, 9) DESC, tiktok_track_id) AS rn FROM scored),
+            ORDER BY round(title_simi + artist_simi, 9) DESC, video_track_id) AS rn FROM scored),
     best AS (
-        SELECT music_track_id, tiktok_track_id, name_key_1, round(title_simi, 6) AS title_simi,
+        SELECT music_track_id, video_track_id, name_key_1, round(title_simi, 6) AS title_simi,
                round(artist_simi, 6) AS artist_simi, round(title_simi + artist_simi, 6) AS total_simi
         FROM ranked WHERE rn = 1)
 """
@@ -167,9 +167,9 @@ def tfidf_weights(t):
         SELECT l.id AS lid, e.first_id AS rid FROM normed l JOIN ends e ON l.b = e.b WHERE l.side = 'left'
         UNION SELECT l.id, e.last_id FROM normed l JOIN ends e ON l.b = e.b WHERE l.side = 'left'),
     scored AS (
-        SELECT l.id AS music_track_id, r.id AS tiktok_track_id, l.b AS name_key_1, {_SCORES_SQL}
+        SELECT l.id AS music_track_id, r.id AS video_track_id, l.b AS name_key_1, {_SCORES_SQL}
         FROM pairs JOIN normed l ON l.id = lid JOIN normed r ON r.id = rid)
-    SELECT music_track_id, tiktok_track_id, name_key_1, round(title_simi, 6) AS title_simi,
+    SELECT music_track_id, video_track_id, name_key_1, round(title_simi, 6) AS title_simi,
            round(artist_simi, 6) AS artist_simi, round(title_simi + artist_simi, 6) AS total_simi FROM scored
     """
 )
@@ -179,7 +179,7 @@ def pair_scores(t):
     pairs = (
         left.select(F.col("track_id").alias("music_track_id"), "name_key_1")
         .join(ends, "name_key_1")
-        .select("music_track_id", F.explode(F.array_distinct(F.array("first_id", "last_id"))).alias("tiktok_track_id"))
+        .select("music_track_id", F.explode(F.array_distinct(F.array("first_id", "last_id"))).alias("video_track_id"))
     )
     return _rounded_scores(linkage.score_pairs(pairs, left, right))
 
@@ -248,10 +248,10 @@ def nearest_of_every_vector(t):
             SELECT vec_id, list_sum(list_transform(list_zip(CAST(embedding AS DOUBLE[]), CAST(p AS DOUBLE[])),
                 lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS distance
             FROM embeddings, point WHERE label = 3 ORDER BY distance, vec_id LIMIT 5))
-    SELECT music_track_id, b.tiktok_track_id, b.name_key_1, b.title_simi, b.total_simi,
+    SELECT music_track_id, b.video_track_id, b.name_key_1, b.title_simi, b.total_simi,
            'v' || c.conv_id || '/' || c.turn AS video_url, c.role AS artist_name
     FROM hits JOIN best b USING (music_track_id)
-    JOIN conversations c ON b.tiktok_track_id = 't' || c.conv_id || '_' || c.turn
+    JOIN conversations c ON b.video_track_id = 't' || c.conv_id || '_' || c.turn
     """
 )
 def videos_for_vector(t):
@@ -271,7 +271,7 @@ def videos_for_vector(t):
     )
     found = lookup.videos_of_songs(songs, pairs, clips)
     return found.select(
-        "music_track_id", "tiktok_track_id", "name_key_1", "title_simi", "total_simi", "video_url", "artist_name"
+        "music_track_id", "video_track_id", "name_key_1", "title_simi", "total_simi", "video_url", "artist_name"
     )
 
 

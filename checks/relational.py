@@ -101,21 +101,21 @@ def vectors_by_genre(t):
         SELECT o_custkey, arg_max(o_orderkey, (round(o_totalprice, 9), -o_orderkey)) AS o_orderkey
         FROM orders GROUP BY o_custkey
     )
-    SELECT b.o_custkey AS music_track_id, b.o_orderkey AS tiktok_track_id, l.l_linenumber, p.p_partkey, p.p_name
+    SELECT b.o_custkey AS music_track_id, b.o_orderkey AS video_track_id, l.l_linenumber, p.p_partkey, p.p_name
     FROM best b JOIN lineitem l ON b.o_orderkey = l.l_orderkey JOIN part p ON l.l_partkey = p.p_partkey
     """
 )
 def chained_lookup(t):
     pairs = t.orders.select(
-        F.col("o_custkey").alias("music_track_id"), F.col("o_orderkey").alias("tiktok_track_id"), "o_totalprice"
+        F.col("o_custkey").alias("music_track_id"), F.col("o_orderkey").alias("video_track_id"), "o_totalprice"
     )
-    best = relational.best_match(pairs, "music_track_id", "tiktok_track_id", "o_totalprice")
+    best = relational.best_match(pairs, "music_track_id", "video_track_id", "o_totalprice")
     lines = t.lineitem.select(F.col("l_orderkey").alias("track_id"), "l_linenumber", "l_partkey", F.lit("o").alias("block"))
     songs = t.customer.select(F.col("c_custkey").alias("track_id"), F.lit("o").alias("block"))
     matched = lookup.videos_of_songs(songs, best.withColumn("block", F.lit("o")), lines, block="block")
     parts = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_partkey", "p_name")
     return matched.join(parts, "l_partkey").select(
-        "music_track_id", "tiktok_track_id", "l_linenumber", "p_partkey", "p_name"
+        "music_track_id", "video_track_id", "l_linenumber", "p_partkey", "p_name"
     )
 
 

@@ -14,9 +14,11 @@ from refrain.sources.scratch import settle
 
 TILE_ITEMS = 4096
 TILE_QUERIES = 8192
+TILES_PER_SIDE = 64
+TILE_GROWTH = 16
 MAX_PIVOTS = 1024
-MIN_PIVOTS = 8
-RINGS = 16
+MAX_RINGS = 16
+PRUNE_FROM = 10**11
 HOME_ITEMS = 64
 SLACK = 1e-6
 
@@ -58,6 +60,7 @@ def nearest(
     tile_items: int = TILE_ITEMS,
     tile_queries: int = TILE_QUERIES,
     max_pivots: int = MAX_PIVOTS,
+    prune_from: int = PRUNE_FROM,
     clean: bool = False,
 ) -> DataFrame:
     """Exactly the ``k`` nearest items of each query's group: ``(query_id, item_id, distance, parts)``.
@@ -66,8 +69,8 @@ def nearest(
     Queries whose group has no item give no row.
 
     No pair becomes a row. Queries and items meet in tiles of bounded size, in which one matrix product
-    scores all pairs and only the ``k`` best per query leave. With many items, tiles that cannot hold a
-    neighbour are skipped: items are put into bins by their nearest pivot and their distance
+    scores all pairs and only the ``k`` best per query leave. From ``prune_from`` pairs on, tiles that cannot
+    hold a neighbour are skipped: items are put into bins by their nearest pivot and their distance
     to it, and the triangle inequality bounds the distance of a query to a whole bin, in each span of
     the vector separately. A first scan of the most promising bins gives each query a real distance to
     beat; the second scan visits every bin whose bound does not rule it out. Skipping therefore changes
@@ -85,10 +88,12 @@ def nearest(
 
     scan = dict(k=k, spans=spans, quantum=quantum, tile_items=tile_items, tile_queries=tile_queries)
     rows = items.count()
-    wanted = min(max_pivots, rows // tile_items)
-    pivots = _pivots(items, wanted, rows) if wanted >= MIN_PIVOTS else {}
+    wanted = min(max_pivots, rows // (4 * tile_items))
+    pivots = _pivots(items, wanted, rows) if wanted and _pairs(queries, items) >= prune_from else {}
     if pivots:
-        found = _pruned_scan(queries, items, pivots, scan)
+        # Rings cut the cell of a pivot into bins of about a quarter of a tile.
+        rings = (rows / (wanted * tile_items / 4)) ** (1 / len(spans or [0]))
+        found = _pruned_scan(queries, items, pivots, max(1, min(MAX_RINGS, round(rings))), scan)
     else:
         whole = F.lit(-1).alias("bin")
         found = _scan(queries.select("*", whole), items.select("*", whole), **scan)
@@ -133,19 +138,25 @@ def _scan(
     """Score ``visits (g, bin, query, v)`` against ``items (g, bin, item, v)``; the ``k`` best per query and tile.
 
     Both sides of a bin are cut by hash into as many parts as their counts call for, so a bin or a group
-    that holds much of the data becomes many tiles of bounded size.
+    that holds much of the data becomes many tiles of bounded size. A row is sent once per part of the other
+    side, so large bins get larger tiles, up to ``TILE_GROWTH`` times the usual size.
     """
-    asked = visits.groupBy("g", "bin").agg(F.ceil(F.count(F.lit(1)) / tile_queries).alias("query_parts"))
-    held = items.groupBy("g", "bin").agg(F.ceil(F.count(F.lit(1)) / tile_items).alias("item_parts"))
+
+    def parts(size: int):
+        rows = F.count(F.lit(1))
+        return F.ceil(rows / F.least(F.greatest(rows / TILES_PER_SIDE, F.lit(size)), F.lit(size * TILE_GROWTH)))
+
+    asked = visits.groupBy("g", "bin").agg(parts(tile_queries).alias("query_parts"))
+    held = items.groupBy("g", "bin").agg(parts(tile_items).alias("item_parts"))
     # Written first, so that its size is known and a small layout is broadcast instead of shuffling vectors for it.
     layout = settle(asked.join(held, ["g", "bin"]), "layout")
     key = ["g", "bin", "query_part", "item_part"]
 
-    def part(of: str, parts: str):
-        return F.pmod(F.xxhash64(of), F.col(parts))
+    def part(of: str, count: str):
+        return F.pmod(F.xxhash64(of), F.col(count))
 
-    def every(parts: str):
-        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(parts) - 1))
+    def every(count: str):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
 
     left = visits.join(layout, ["g", "bin"]).select(
         "g", "bin", part("query", "query_parts").alias("query_part"), every("item_parts").alias("item_part"), "query", "v"
@@ -173,18 +184,22 @@ def _tile_scorer(k: int, spans, quantum: float):
             return schema.empty_table()
         right = right.sort_by("item")
         q, c = matrix(left), matrix(right)
-        c_square = np.einsum("ij,ij->i", c, c)
         cuts = spans or [(0, c.shape[1])]
+        # One product gives |c|^2 - 2 q.c, which ranks the items of a query as their distance does.
+        c_square = np.einsum("ij,ij->i", c, c)
+        q_square = np.einsum("ij,ij->i", q, q)
+        against = np.hstack([c, c_square[:, None]]).T.copy()
+        asked = np.hstack([-2.0 * q, np.ones((len(q), 1))])
+        # That form loses digits: shortlist with room for it, then subtract directly.
+        room = 1e-12 * (q_square + c_square.max()) + 2.0 * quantum
+        last = min(k, len(c)) - 1
         rows, columns, within, ranks = [], [], [], []
-        step = max(1, (1 << 21) // len(c))
+        step = max(8, (1 << 18) // len(c))  # a block of scores stays in the cache
         for start in range(0, len(q), step):
             block = q[start : start + step]
-            q_square = np.einsum("ij,ij->i", block, block)
-            rough = q_square[:, None] + c_square[None, :] - 2.0 * (block @ c.T)
-            # The expanded form loses digits: shortlist with room for that, then subtract directly.
-            room = 1e-12 * (q_square[:, None] + c_square.max()) + 2.0 * quantum
-            kth = np.partition(rough, min(k, len(c)) - 1, axis=1)[:, min(k, len(c)) - 1]
-            i, j = np.nonzero(rough <= kth[:, None] + room)
+            rough = asked[start : start + step] @ against
+            kth = rough.min(axis=1) if last == 0 else np.partition(rough, last, axis=1)[:, last]
+            i, j = np.nonzero(rough <= (kth + room[start : start + step])[:, None])
             parts = np.empty((len(i), len(cuts)))
             for some in range(0, len(i), 1 << 16):
                 s = slice(some, some + (1 << 16))
@@ -216,6 +231,13 @@ def _tile_scorer(k: int, spans, quantum: float):
     return score
 
 
+def _pairs(queries: DataFrame, items: DataFrame) -> int:
+    """How many pairs share a group."""
+    asked = queries.groupBy("g").agg(F.count(F.lit(1)).alias("queries"))
+    held = items.groupBy("g").agg(F.count(F.lit(1)).alias("items"))
+    return int(asked.join(held, "g").agg(F.sum(F.col("queries") * F.col("items").cast("double"))).first()[0] or 0)
+
+
 def _pivots(items: DataFrame, wanted: int, rows: int) -> dict:
     """Vectors of ``wanted`` items by group: a uniform sample by hash, hence the same after a retry.
 
@@ -229,11 +251,11 @@ def _pivots(items: DataFrame, wanted: int, rows: int) -> dict:
     return pivots
 
 
-def _pruned_scan(queries: DataFrame, items: DataFrame, pivots: dict, scan: dict) -> DataFrame:
+def _pruned_scan(queries: DataFrame, items: DataFrame, pivots: dict, rings: int, scan: dict) -> DataFrame:
     spark = items.sparkSession
     dim = len(next(iter(pivots.values()))[0])
     spans = scan["spans"] or [(0, dim)]
-    shared = spark.sparkContext.broadcast((pivots, spans))
+    shared = spark.sparkContext.broadcast((pivots, spans, rings))
 
     g_type = items.schema["g"].dataType.simpleString()
     item_type = items.schema["item"].dataType.simpleString()
@@ -244,7 +266,7 @@ def _pruned_scan(queries: DataFrame, items: DataFrame, pivots: dict, scan: dict)
         ),
         "binned",
     )
-    # At most max_pivots * RINGS ** 2 rows, whatever the number of items; groups without a pivot stay out.
+    # At most max_pivots * MAX_RINGS ** spans rows, however many items; groups without a pivot stay out.
     ranges = [
         f(F.col("away")[s]).alias(f"{name}_{s}") for s in range(len(spans)) for name, f in (("low", F.min), ("high", F.max))
     ]
@@ -253,7 +275,7 @@ def _pruned_scan(queries: DataFrame, items: DataFrame, pivots: dict, scan: dict)
     for row in bins:
         bounds = [(row[f"low_{s}"], row[f"high_{s}"]) for s in range(len(spans))]
         summary.setdefault(row["g"], []).append((row["bin"], row["n"], bounds))
-    shared_bins = spark.sparkContext.broadcast((pivots, spans, summary))
+    shared_bins = spark.sparkContext.broadcast((pivots, spans, rings, summary))
 
     binned = binned.select("g", "bin", "item", "v")
     reach = f"g {g_type}, query {query_type}, v array<double>, bins array<int>"
@@ -275,14 +297,17 @@ def _pruned_scan(queries: DataFrame, items: DataFrame, pivots: dict, scan: dict)
 
 def _bin_assigner(shared):
     def assign(batches):
-        pivots, spans = shared.value
+        pivots, spans, rings = shared.value
         matrices = {g: np.array(rows) for g, rows in pivots.items()}
-        widths = {g: [] for g in matrices}
+        widths = {}
         for g, p in matrices.items():
-            for a, b in spans:
-                centre = p[:, a:b].mean(axis=0)
-                spread = np.sqrt(((p[:, a:b] - centre) ** 2).sum(axis=1)).max()
-                widths[g].append(max(float(spread), 1e-9) * 2.0 / RINGS)
+            # Items lie about as far from their pivot as pivots from the next one: spread the rings over that.
+            square = (p * p).sum(axis=1)
+            apart = square[:, None] + square[None, :] - 2.0 * (p @ p.T)
+            np.fill_diagonal(apart, np.inf)
+            gap = p - p[apart.argmin(axis=1)]
+            reach = [np.sqrt((gap[:, a:b] ** 2).sum(axis=1)).mean() for a, b in spans]
+            widths[g] = [max(2.0 * r / rings, 1e-9) for r in reach]
         for batch in batches:
             groups = np.array(batch.column("g").to_pylist(), dtype=object)
             vectors = batch.column("v")
@@ -300,8 +325,8 @@ def _bin_assigner(shared):
                 for s, (a, b) in enumerate(spans):
                     gap = x[:, a:b] - p[cell][:, a:b]
                     away[at, s] = np.sqrt((gap * gap).sum(axis=1))
-                    ring = np.minimum(away[at, s] / widths[g][s], RINGS - 1).astype(np.int64)
-                    label = label * RINGS + ring
+                    ring = np.minimum(away[at, s] / widths[g][s], rings - 1).astype(np.int64)
+                    label = label * rings + ring
                 bins[at] = label
             yield pa.RecordBatch.from_arrays(
                 [
@@ -323,24 +348,33 @@ def _bin_chooser(shared_bins, k: int, first: bool):
     """Choose bins per query: the most promising ones first, afterwards all others in reach of ``beat``."""
 
     def choose(batches):
-        pivots, spans, summary = shared_bins.value
+        pivots, spans, rings, summary = shared_bins.value
         known = {}
         for g, rows in summary.items():
             ids = np.array([r[0] for r in rows], dtype=np.int64)
             sizes = np.array([r[1] for r in rows])
             bounds = np.array([r[2] for r in rows])
-            known[g] = (np.array(pivots[g]), ids, ids // RINGS ** len(spans), sizes, bounds)
+            known[g] = (np.array(pivots[g]), ids, ids // rings ** len(spans), sizes, bounds)
+
+        def squares(x, p):
+            square = (x * x).sum(axis=1)[:, None] + (p * p).sum(axis=1)[None, :] - 2.0 * (x @ p.T)
+            return np.maximum(square, 0.0)
 
         def lower_bounds(x, p, cell, bounds):
-            total = np.zeros((len(x), len(cell)))
+            """Squared distance that no item of a bin falls below, for every row of ``x`` and every bin."""
+            room = SLACK * max(1.0, np.sqrt((x * x).sum(axis=1).max() + (p * p).sum(axis=1).max()))
+            ringed = np.zeros((len(x), len(cell)))
             for s, (a, b) in enumerate(spans):
-                xs, ps = x[:, a:b], p[:, a:b]
-                square = (xs * xs).sum(axis=1)[:, None] + (ps * ps).sum(axis=1)[None, :] - 2.0 * (xs @ ps.T)
-                scale = np.sqrt((xs * xs).sum(axis=1).max() + (ps * ps).sum(axis=1).max())
-                away = np.sqrt(np.maximum(square, 0.0))[:, cell]
-                gap = np.maximum(0.0, np.maximum(away - bounds[:, s, 1], bounds[:, s, 0] - away) - SLACK * max(1.0, scale))
-                total += gap * gap
-            return total
+                away = np.sqrt(squares(x[:, a:b], p[:, a:b]))[:, cell]
+                gap = np.maximum(away - bounds[:, s, 1], bounds[:, s, 0] - away) - room
+                ringed += np.maximum(0.0, gap) ** 2
+            # An item is nearer to its own pivot than to the pivot nearest to the query, so it lies beyond the
+            # plane half-way between the two.
+            joint = squares(x, p)
+            own = joint.argmin(axis=1)
+            apart = np.sqrt(squares(p, p))[own]
+            beyond = (joint - joint.min(axis=1)[:, None]) / (2.0 * np.maximum(apart, room))
+            return np.maximum(ringed, np.maximum(0.0, beyond - room)[:, cell] ** 2)
 
         for batch in batches:
             groups = np.array(batch.column("g").to_pylist(), dtype=object)

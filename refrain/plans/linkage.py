@@ -68,7 +68,7 @@ def score_pairs(
     left: DataFrame,
     right: DataFrame,
     left_id: str = "music_track_id",
-    right_id: str = "tiktok_track_id",
+    right_id: str = "video_track_id",
     id_column: str = "track_id",
     block: str = BLOCK,
     title: str = TITLE,
@@ -93,7 +93,7 @@ def link(
     left: DataFrame,
     right: DataFrame,
     left_id: str = "music_track_id",
-    right_id: str = "tiktok_track_id",
+    right_id: str = "video_track_id",
     id_column: str = "track_id",
     block: str = BLOCK,
     title: str = TITLE,
@@ -107,17 +107,17 @@ def link(
     joined unit vectors, so the search is an exact nearest-neighbour search and forms no pairs.
     """
     fields = [title, artist]
-    counts = count_sides(left, right, id_column, block, fields)
-    names = [f"{f}_counts" for f in fields]
     # The digest leads the grouping, so that sorting and joining compare a number before they compare arrays.
-    counts = counts.withColumn("digest", F.xxhash64(*fields))
-    alike = counts.groupBy("digest", "side", block, *fields).agg(F.min(id_column).alias("first_id"))
-    kept = alike.withColumns({n: F.col(f) for n, f in zip(names, fields)})
-    alike = settle(unit_weights(kept, settled_idf(counts, block, fields), block, fields), "alike")
+    counts = count_sides(left, right, id_column, block, fields).withColumn("digest", F.xxhash64(*fields))
+    idf = settled_idf(counts, block, fields)
+    alike = settle(
+        counts.groupBy("digest", "side", block, *fields).agg(F.min(id_column).alias("first_id")), "alike"
+    )
 
     def points(side: str, empty: tuple[float, float], id_name: str) -> DataFrame:
+        units = unit_weights(alike.where(F.col("side") == side), idf, block, fields)
         vector = F.concat(*[_placed(F.col(f), empty) for f in fields])
-        return alike.where(F.col("side") == side).select(block, F.col("first_id").alias(id_name), vector.alias("v"))
+        return units.select(block, F.col("first_id").alias(id_name), vector.alias("v"))
 
     width = SLOTS + 2
     found = nearest(
@@ -134,11 +134,9 @@ def link(
     )
 
     # Which distinct left record each left one is; many may be the same, so only ids go on from here.
-    firsts = alike.where(F.col("side") == "left").select(
-        "digest", block, *[F.col(n).alias(f) for n, f in zip(names, fields)], F.col("first_id").alias("l_first")
-    )
+    first = alike.where(F.col("side") == "left").select("digest", block, *fields, F.col("first_id").alias("l_first"))
     members = counts.where(F.col("side") == "left").select("digest", block, *fields, F.col(id_column).alias(left_id))
-    known = members.join(firsts, ["digest", block, *fields]).select(left_id, block, "l_first")
+    known = members.join(first, ["digest", block, *fields]).select(left_id, block, "l_first")
 
     scored = found.select(
         "l_first",

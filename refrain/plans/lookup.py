@@ -24,8 +24,8 @@ def similar_songs(
 def videos_of_songs(songs: DataFrame, pairs: DataFrame, videos: DataFrame, block: str = "name_key_1") -> DataFrame:
     """All videos of the best match of each song; the block joins too, so partitions of both tables are pruned."""
     matched = songs.select(F.col("track_id").alias("music_track_id"), block).join(pairs, ["music_track_id", block])
-    tracks = videos.withColumnRenamed("track_id", "tiktok_track_id")
-    return matched.join(tracks, ["tiktok_track_id", block])
+    tracks = videos.withColumnRenamed("track_id", "video_track_id")
+    return matched.join(tracks, ["video_track_id", block])
 
 
 def covers_by_url(videos: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

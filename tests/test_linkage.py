@@ -51,7 +51,7 @@ def names(rng, rows, mark, letters="abcdeq"):
     return out
 
 
-@pytest.mark.parametrize("search", [{}, {"tile_items": 8, "tile_queries": 16}])
+@pytest.mark.parametrize("search", [{}, {"prune_from": 0, "tile_items": 8, "tile_queries": 16}])
 def test_link_equals_brute_force(spark, search):
     rng = random.Random(11)
     left, right = names(rng, 90, "m"), names(rng, 120, "t")
@@ -61,7 +61,7 @@ def test_link_equals_brute_force(spark, search):
     assert len(rows) == len(expected) == len({x.music_track_id for x in rows})
     for row in rows:
         title, artist, match = expected[row.music_track_id]
-        assert row.tiktok_track_id == match
+        assert row.video_track_id == match
         assert row.title_simi == pytest.approx(title, abs=1e-9)
         assert row.artist_simi == pytest.approx(artist, abs=1e-9)
         assert row.total_simi == pytest.approx(title + artist, abs=1e-9)
@@ -71,7 +71,7 @@ def test_a_field_without_weight_scores_minus_one(spark):
     left = [("m1", "abc", "xyz", "a"), ("m2", "abd", "xyz", "a")]
     right = [("t1", "abc", "xyz", "a"), ("t2", "abe", "xyz", "a")]
     rows = linkage.link(spark.createDataFrame(left, SCHEMA), spark.createDataFrame(right, SCHEMA)).collect()
-    found = {r.music_track_id: (r.tiktok_track_id, r.title_simi, r.artist_simi) for r in rows}
+    found = {r.music_track_id: (r.video_track_id, r.title_simi, r.artist_simi) for r in rows}
     assert found["m1"][0] == "t1" and found["m1"][1] == pytest.approx(1.0)
     assert all(f[2] == -1.0 for f in found.values())
 
@@ -79,9 +79,9 @@ def test_a_field_without_weight_scores_minus_one(spark):
 def test_pairs_across_blocks_are_not_scored(spark):
     rows = [("1", "abc", "x", "a"), ("2", "bcd", "y", "b"), ("3", "abd", "y", "a")]
     df = spark.createDataFrame(rows, SCHEMA)
-    pairs = spark.createDataFrame([("1", "2"), ("1", "3")], "music_track_id string, tiktok_track_id string")
+    pairs = spark.createDataFrame([("1", "2"), ("1", "3")], "music_track_id string, video_track_id string")
     scored = linkage.score_pairs(pairs, df, df).collect()
-    assert [(r.music_track_id, r.tiktok_track_id) for r in scored] == [("1", "3")]
+    assert [(r.music_track_id, r.video_track_id) for r in scored] == [("1", "3")]
 
 
 def test_result_does_not_depend_on_partitions(spark):

@@ -49,7 +49,7 @@ def test_equals_brute_force(spark, k, pruned):
     rng = np.random.default_rng(k)
     items = cloud(rng, 900, ["a", "b", "c"], 6)
     queries = cloud(rng, 120, ["a", "b", "c", "without items"], 6, start=10_000)
-    options = dict(tile_items=16, tile_queries=32, spans=[(0, 2), (2, 6)]) if pruned else {}
+    options = dict(prune_from=0, tile_items=16, tile_queries=32, spans=[(0, 2), (2, 6)]) if pruned else {}
     assert searched(spark, queries, items, k, **options) == brute_force(queries, items, k)
 
 
@@ -60,7 +60,7 @@ def test_far_from_the_origin(spark):
     queries = [(g, i, [x + shift for x in v]) for g, i, v in cloud(rng, 40, ["a"], 4, start=5000)]
     expected = brute_force(queries, items, 3, 1e-6)
     assert searched(spark, queries, items, 3, quantum=1e-6) == expected
-    assert searched(spark, queries, items, 3, quantum=1e-6, tile_items=16) == expected
+    assert searched(spark, queries, items, 3, quantum=1e-6, prune_from=0, tile_items=16) == expected
 
 
 def test_copies_go_to_the_smallest_ids(spark):

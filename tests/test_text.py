@@ -73,5 +73,5 @@ def test_extensions(spark, name, allowed):
 
 
 def test_ids_from_object_keys(spark):
-    keys = ["b/fma/000/000123.mp3", "b/x.mp3", "b/c/d/e.mp3"]
+    keys = ["b/audio/000/000123.mp3", "b/x.mp3", "b/c/d/e.mp3"]
     assert values(spark, keys, lambda c: text.id_from_segment(c, 3, ".mp3")) == [123, None, None]
