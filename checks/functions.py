@@ -114,6 +114,26 @@ def packed_columns(t):
     )
 
 
+@query(
+    """
+    SELECT vec_id AS track_id, 64 AS width, round(CAST(embedding[1] AS DOUBLE), 6) AS feature_0,
+           round(CAST(embedding[64] AS DOUBLE), 6) AS feature_63,
+           round(list_sum(CAST(embedding AS DOUBLE[])), 6) AS total
+    FROM embeddings
+    """
+)
+def wide_vectors(t):
+    wide = t.embeddings.select(F.col("vec_id").alias("track_id"), *vectors.unpack(F.col("embedding"), 64))
+    packed = wide.select("track_id", "feature_0", "feature_63", vectors.pack(vectors.feature_names(64)).alias("v"))
+    return packed.select(
+        "track_id",
+        F.size("v").alias("width"),
+        F.round("feature_0", 6).alias("feature_0"),
+        F.round("feature_63", 6).alias("feature_63"),
+        F.round(F.aggregate("v", F.lit(0.0), lambda total, x: total + x), 6).alias("total"),
+    )
+
+
 @query(
     r"""
     WITH labelled AS (SELECT p_partkey, '(' || p_partkey || ')' || p_name AS label FROM part)

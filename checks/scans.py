@@ -128,7 +128,7 @@ def grouped_csv_column_group(t):
     """
     SELECT CAST(page_id AS VARCHAR) AS video_id, CASE WHEN page_id % 3 > 0 THEN url END AS video_url,
            CASE WHEN page_id % 4 > 0 THEN 'c' || page_id END AS video_covers, 'k' || (page_id % 7) AS music_id,
-           'by ' || page_id AS music_artist, substring(html, 1, 100000000) AS music_song,
+           'by ' || page_id AS music_artist, html AS music_song,
            CASE WHEN page_id % 5 > 0 THEN url END AS music_url
     FROM pages
     """

@@ -15,6 +15,16 @@ def pack(columns: Sequence[str]) -> Column:
     return F.array(*[F.col(c).cast("double") for c in columns])
 
 
+def feature_names(size: int) -> list[str]:
+    """Names of the columns of a wide vector."""
+    return [f"feature_{i}" for i in range(size)]
+
+
+def unpack(vector: Column, size: int) -> list[Column]:
+    """A vector as wide columns, NULL past its end."""
+    return [F.get(vector, F.lit(i)).cast("double").alias(name) for i, name in enumerate(feature_names(size))]
+
+
 def _doubles(vector: Column) -> Column:
     return vector.cast("array<double>")
 

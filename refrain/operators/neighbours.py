@@ -65,14 +65,15 @@ def nearest(
 ) -> DataFrame:
     """Exactly the ``k`` nearest items of each query's group: ``(query_id, item_id, distance, parts)``.
 
-    ``parts`` holds the squared distance within each span of the vector, ``distance`` their sum. Distances equal after rounding to ``quantum`` go to the smallest item id; items with NaN come last.
-    Queries whose group has no item give no row.
+    ``parts`` holds the squared distance within each span of the vector, ``distance`` their sum. Distances
+    equal after rounding to ``quantum`` go to the smallest item id; items with NaN come last. Queries whose
+    group has no item give no row.
 
     No pair becomes a row. Queries and items meet in tiles of bounded size, in which one matrix product
     scores all pairs and only the ``k`` best per query leave. From ``prune_from`` pairs on, tiles that cannot
     hold a neighbour are skipped: items are put into bins by their nearest pivot and their distance
-    to it, and the triangle inequality bounds the distance of a query to a whole bin, in each span of
-    the vector separately. A first scan of the most promising bins gives each query a real distance to
+    to it, and the triangle inequality, in each span of the vector, and the plane between two pivots
+    bound the distance of a query to a whole bin. A first scan of the most promising bins gives each query a real distance to
     beat; the second scan visits every bin whose bound does not rule it out. Skipping therefore changes
     the work and never the result.
 
@@ -120,7 +121,7 @@ def _undefined_pairs(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
     broken = first_k_per_key(items.where(_has_nan()), ["g"], [F.col("item")], k, rank="n").select("g", "item")
     anything = first_k_per_key(items, ["g"], [F.col("item")], k, rank="n").select("g", "item")
     pairs = queries.where(~_has_nan()).join(broken, "g").unionByName(queries.where(_has_nan()).join(anything, "g"))
-    last = F.lit(2**63 - 1).alias("rank")
+    last = F.lit(float("inf")).alias("rank")
     nan = F.lit(float("nan"))
     return pairs.select("query", "item", nan.alias("distance"), F.array(nan).alias("parts"), last)
 
@@ -165,7 +166,7 @@ def _scan(
         "g", "bin", every("query_parts").alias("query_part"), part("item", "item_parts").alias("item_part"), "item", "v"
     )
     id_types = [f"{c} {df.schema[c].dataType.simpleString()}" for c, df in (("query", visits), ("item", items))]
-    schema = ", ".join([*id_types, "distance double", "parts array<double>", "rank long"])
+    schema = ", ".join([*id_types, "distance double", "parts array<double>", "rank double"])
     return (
         left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_tile_scorer(k, spans, quantum), schema)
     )
@@ -178,7 +179,7 @@ def _tile_scorer(k: int, spans, quantum: float):
             return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
         types = [("query", left.schema.field("query").type), ("item", right.schema.field("item").type)]
-        results = [("distance", pa.float64()), ("parts", pa.list_(pa.float64())), ("rank", pa.int64())]
+        results = [("distance", pa.float64()), ("parts", pa.list_(pa.float64())), ("rank", pa.float64())]
         schema = pa.schema([*types, *results])
         if left.num_rows == 0 or right.num_rows == 0:
             return schema.empty_table()
@@ -214,7 +215,7 @@ def _tile_scorer(k: int, spans, quantum: float):
             rows.append(i[kept] + start)
             columns.append(j[kept])
             within.append(parts[kept])
-            ranks.append(np.minimum(rank[kept], 2.0**62).astype(np.int64))
+            ranks.append(rank[kept])
         parts = np.concatenate(within)
         offsets = pa.array(np.arange(0, parts.size + 1, len(cuts), dtype=np.int32))
         return pa.table(
@@ -271,15 +272,16 @@ def _pruned_scan(queries: DataFrame, items: DataFrame, pivots: dict, rings: int,
         f(F.col("away")[s]).alias(f"{name}_{s}") for s in range(len(spans)) for name, f in (("low", F.min), ("high", F.max))
     ]
     bins = binned.where(F.col("bin") >= 0).groupBy("g", "bin").agg(F.count(F.lit(1)).alias("n"), *ranges).collect()
-    summary: dict = {}
+    by_group: dict = {}
     for row in bins:
         bounds = [(row[f"low_{s}"], row[f"high_{s}"]) for s in range(len(spans))]
-        summary.setdefault(row["g"], []).append((row["bin"], row["n"], bounds))
+        by_group.setdefault(row["g"], []).append((row["bin"], row["n"], bounds))
+    summary = {g: tuple(np.array(column) for column in zip(*rows)) for g, rows in by_group.items()}
     shared_bins = spark.sparkContext.broadcast((pivots, spans, rings, summary))
 
     binned = binned.select("g", "bin", "item", "v")
     reach = f"g {g_type}, query {query_type}, v array<double>, bins array<int>"
-    home = settle(queries.mapInArrow(_bin_chooser(shared_bins, scan["k"], first=True), reach), "home")
+    home = settle(queries.mapInArrow(_bin_chooser(shared_bins, scan["k"], scan["quantum"], first=True), reach), "home")
     one_bin = F.explode("bins").alias("bin")
     near = settle(_scan(home.select("g", "query", "v", one_bin), binned, **scan), "near")
 
@@ -290,7 +292,7 @@ def _pruned_scan(queries: DataFrame, items: DataFrame, pivots: dict, rings: int,
         kept = _best(near, scan["k"]).groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("far"))
         beat = kept.select("query", F.when(F.col("n") >= scan["k"], F.col("far")).alias("beat"))
     rest = home.join(beat, "query", "left").select("g", "query", "v", "bins", "beat")
-    visits = settle(rest.mapInArrow(_bin_chooser(shared_bins, scan["k"], first=False), reach), "visits")
+    visits = settle(rest.mapInArrow(_bin_chooser(shared_bins, scan["k"], scan["quantum"], first=False), reach), "visits")
     far = _scan(visits.select("g", "query", "v", one_bin), binned, **scan)
     return near.unionByName(far)
 
@@ -344,17 +346,15 @@ def _bin_assigner(shared):
     return assign
 
 
-def _bin_chooser(shared_bins, k: int, first: bool):
+def _bin_chooser(shared_bins, k: int, quantum: float, first: bool):
     """Choose bins per query: the most promising ones first, afterwards all others in reach of ``beat``."""
 
     def choose(batches):
         pivots, spans, rings, summary = shared_bins.value
-        known = {}
-        for g, rows in summary.items():
-            ids = np.array([r[0] for r in rows], dtype=np.int64)
-            sizes = np.array([r[1] for r in rows])
-            bounds = np.array([r[2] for r in rows])
-            known[g] = (np.array(pivots[g]), ids, ids // rings ** len(spans), sizes, bounds)
+        known = {
+            g: (np.array(pivots[g]), ids, ids // rings ** len(spans), sizes, bounds)
+            for g, (ids, sizes, bounds) in summary.items()
+        }
 
         def squares(x, p):
             square = (x * x).sum(axis=1)[:, None] + (p * p).sum(axis=1)[None, :] - 2.0 * (x @ p.T)
@@ -400,7 +400,7 @@ def _bin_chooser(shared_bins, k: int, first: bool):
                             enough = np.searchsorted(np.cumsum(sizes[order]), max(k, HOME_ITEMS)) + 1
                             chosen[row] = ids[order[:enough]].tolist()
                         else:
-                            reach = ids[low[n] <= beat[row] * (1.0 + SLACK) + SLACK]
+                            reach = ids[low[n] <= beat[row] * (1.0 + SLACK) + SLACK + 2.0 * quantum]
                             chosen[row] = np.setdiff1d(reach, visited[row]).tolist()
             yield pa.RecordBatch.from_arrays(
                 [batch.column("g"), batch.column("query"), vectors, pa.array(chosen, pa.list_(pa.int32()))],

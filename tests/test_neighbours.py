@@ -63,6 +63,14 @@ def test_far_from_the_origin(spark):
     assert searched(spark, queries, items, 3, quantum=1e-6, prune_from=0, tile_items=16) == expected
 
 
+def test_wide_distances_keep_their_order(spark):
+    items = [("a", i, [1e7 * ((i * 37) % 101), 0.0]) for i in range(101)]
+    queries = [("a", 1, [0.0, 0.0])]
+    expected = brute_force(queries, items, 4)
+    assert searched(spark, queries, items, 4) == expected
+    assert searched(spark, queries, items, 4, prune_from=0, tile_items=8) == expected
+
+
 def test_copies_go_to_the_smallest_ids(spark):
     items = [("a", i, [1.0, 1.0]) for i in range(300, 0, -1)] + [("a", 1000, [5.0, 5.0])]
     assert searched(spark, [("a", 1, [1.0, 1.0])], items, 4) == {1: [1, 2, 3, 4]}
