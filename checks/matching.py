@@ -7,6 +7,7 @@ from checks.scans import grouped_parts
 from refrain.functions.text import ALPHABET
 from refrain.operators import neighbours, relational, weights
 from refrain.plans import linkage, lookup, metadata
+from refrain.sources.scratch import settle
 
 FIELDS = ["song_title", "artist_name"]
 SLOTS = len(ALPHABET)
@@ -23,6 +24,11 @@ def music(t):
     return _names(t.documents, "music", F.col("doc_id"), "source")
 
 
+def stored_names(t):
+    """Both name tables written once, as the jobs after the cleaning read them."""
+    return settle(music(t), "music_names"), settle(video(t), "video_names")
+
+
 def video(t):
     return _names(t.conversations, "video", F.concat_ws("_", "conv_id", "turn"), "role")
 
@@ -174,7 +180,7 @@ def tfidf_weights(t):
     """
 )
 def pair_scores(t):
-    left, right = music(t), video(t)
+    left, right = stored_names(t)
     ends = right.groupBy("name_key_1").agg(F.min("track_id").alias("first_id"), F.max("track_id").alias("last_id"))
     pairs = (
         left.select(F.col("track_id").alias("music_track_id"), "name_key_1")
@@ -259,7 +265,7 @@ def videos_for_vector(t):
         F.col("vec_id").alias("track_id"), F.col("label").alias("genre"), F.col("embedding").alias("features")
     )
     point = t.embeddings.where(F.col("label") == 3).agg(F.min_by("embedding", "vec_id")).first()[0]
-    left, right = music(t), video(t)
+    left, right = stored_names(t)
     pairs = _rounded_scores(linkage.link(left, right))
     songs = lookup.similar_songs(vectors, left, 3, point)
     spoken = F.split(F.substring("track_id", 2, 100), "_")
