@@ -43,14 +43,17 @@ def cloud(rng, rows, groups, dim, start=0, scale=1.0, hot=0.4):
     return out
 
 
+TILED = dict(tile_items=16, tile_queries=32, spans=[(0, 2), (2, 6)])
+WAYS = {"one tile": {}, "tiles": TILED, "pruned": {**TILED, "prune_from": 0}, "pruned, one span": dict(prune_from=0, tile_items=8)}
+
+
 @pytest.mark.parametrize("k", [1, 5])
-@pytest.mark.parametrize("pruned", [False, True])
-def test_equals_brute_force(spark, k, pruned):
+@pytest.mark.parametrize("way", WAYS)
+def test_equals_brute_force(spark, k, way):
     rng = np.random.default_rng(k)
     items = cloud(rng, 900, ["a", "b", "c"], 6)
     queries = cloud(rng, 120, ["a", "b", "c", "without items"], 6, start=10_000)
-    options = dict(prune_from=0, tile_items=16, tile_queries=32, spans=[(0, 2), (2, 6)]) if pruned else {}
-    assert searched(spark, queries, items, k, **options) == brute_force(queries, items, k)
+    assert searched(spark, queries, items, k, **WAYS[way]) == brute_force(queries, items, k)
 
 
 def test_far_from_the_origin(spark):

@@ -59,6 +59,20 @@ def test_appends_double_and_partitions_are_pruned(spark, tmp_path):
     assert len(list((tmp_path / "flat").glob("*.parquet"))) == 8
 
 
+def test_a_value_holding_most_rows_is_written_by_several_tasks(spark, tmp_path):
+    rows = spark.range(400_000, numPartitions=8).select(
+        F.xxhash64("id").alias("x"), F.when(F.col("id") % 100 == 0, F.col("id") % 3).otherwise(9).cast("string").alias("k")
+    )
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(setting, "256KB")
+    try:
+        tables.append_partitioned(rows, str(tmp_path / "t"), "k")
+    finally:
+        spark.conf.unset(setting)
+    assert len(list((tmp_path / "t" / "k=9").glob("*.parquet"))) > 4
+    assert tables.read_table(spark, str(tmp_path / "t")).count() == 400_000
+
+
 def test_object_listing_reads_no_content(spark, tmp_path):
     for name in ("a/b/c/000123.mp3", "a/b/c/x.mp3", "a/b/c/7.txt"):
         path = tmp_path / name
