@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from refrain.llm import decontaminate
+from refrain.llm import decontaminate, quality, urls
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -67,3 +67,84 @@ def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "hit_items").cast("binary"), 256).alias("items_sha256"),
         decontaminate.is_contaminated().alias("contaminated"),
     )
+
+
+#: The rules of the task, as given.
+URL_RULES = [
+    urls.Rule("allow", "com", "/"),
+    urls.Rule("block", "example.com", "/en/"),
+    urls.Rule("allow", "www.example.com", "/en/"),
+    urls.Rule("block", "net", "/es/"),
+    urls.Rule("block", "net", "/fr/"),
+]
+
+
+@query(
+    rf"""
+    WITH parts AS (
+        SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+    split AS (
+        SELECT page_id, translate(regexp_extract(rest, '(?s)^([^/?#]*)([^?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
+               regexp_extract(rest, '(?s)^([^/?#]*)([^?#]*)', 2) AS path FROM parts),
+    rules(verdict, site, start) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'),
+        ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+    fitting AS (
+        SELECT page_id, site || start AS rule, verdict, row_number() OVER (PARTITION BY page_id
+               ORDER BY length(site || start) DESC, verdict DESC, site || start) AS place
+        FROM split JOIN rules ON (host = site OR ends_with(host, '.' || site)) AND starts_with(path, start))
+    SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN ends_with(host || path, '.exe') OR ends_with(host || path, '.zip')
+           OR ends_with(host || path, '/wp-login') OR regexp_matches(host || path, '(?s)/wp-login[^/]*$')
+           OR contains(host || path, '/admin/') THEN 'block' ELSE 'allow' END) AS verdict
+    FROM split LEFT JOIN (SELECT * FROM fitting WHERE place = 1) USING (page_id)
+    """
+)
+def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge(table(spark, folder, "pages"), URL_RULES)
+
+
+@query(
+    rf"""
+    WITH docs AS (
+        SELECT doc_id, source, coalesce(text, '') AS text,
+               regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+    lines AS (
+        SELECT doc_id, source, text, i, line, regexp_extract_all(translate(line, '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS w
+        FROM (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line,
+                     generate_subscripts(string_split(text, chr(10)), 1) AS i FROM docs)),
+    full_lines AS (SELECT doc_id, source, text, i, line, len(w) AS n, array_to_string(w, ' ') AS norm FROM lines WHERE len(w) > 0),
+    placed AS (
+        SELECT source, text, norm, lag(norm, 1, '') OVER o AS before, lead(norm, 1, '') OVER o AS after,
+               row_number() OVER (PARTITION BY doc_id, norm ORDER BY i) AS place
+        FROM full_lines WHERE doc_id IN (SELECT min(doc_id) FROM docs GROUP BY source, text)
+        WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+    counted AS (
+        SELECT source, norm, count(*) AS n, count(DISTINCT (before, after)) AS settings FROM placed WHERE place = 1 GROUP BY ALL),
+    hosts AS (SELECT source, count(DISTINCT text) AS n_documents FROM docs GROUP BY source),
+    frequent AS (
+        SELECT source, norm FROM counted JOIN hosts USING (source)
+        WHERE n > 20 AND settings >= 0.5 * n AND n > 0.002 * n_documents),
+    removed AS (SELECT doc_id, sum(n) AS n FROM full_lines JOIN frequent USING (source, norm) GROUP BY doc_id),
+    repeated_lines AS (
+        SELECT doc_id, sum(n - 1) AS n FROM (SELECT doc_id, line, count(*) AS n FROM full_lines GROUP BY ALL) GROUP BY doc_id),
+    windows AS (
+        SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, words[i], words[i + 1], words[i + 2]) AS n
+        FROM docs, unnest(range(1, len(words) - 1)) AS t(i)),
+    repeated_words AS (
+        SELECT doc_id, count(DISTINCT j) AS n FROM windows, unnest(range(i, i + 3)) AS t(j) WHERE n > 1 GROUP BY doc_id),
+    base AS (
+        SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+               CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+               CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+               CAST(coalesce(l.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words,
+               CAST(coalesce(g.n, 0) AS BIGINT) AS frequent_words
+        FROM docs LEFT JOIN repeated_lines l USING (doc_id) LEFT JOIN repeated_words r USING (doc_id)
+        LEFT JOIN removed g USING (doc_id)),
+    failed AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base)
+    SELECT *, NOT base_failed AND n_words - frequent_words >= 0.3 * n_words AS kept FROM failed
+    """
+)
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality.judge(table(spark, folder, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "frequent_words", "base_failed", "kept"
+    )
