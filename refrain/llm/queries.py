@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from refrain.llm import decontaminate, quality, urls
+from refrain.llm import chat, decontaminate, lines, quality, urls
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -148,3 +148,93 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "frequent_words", "base_failed", "kept"
     )
+
+
+@query(
+    rf"""
+    WITH all_lines AS (
+        SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
+        FROM documents WHERE text IS NOT NULL),
+    windows AS (
+        SELECT doc_id, i AS a, lead(i, 1) OVER o AS b, lead(i, 2) OVER o AS c, line AS x, lead(line, 1) OVER o AS y,
+               lead(line, 2) OVER o AS z
+        FROM all_lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+    later AS (
+        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY x, y, z ORDER BY doc_id NULLS FIRST, a) AS place
+                       FROM windows WHERE c IS NOT NULL) WHERE place > 1),
+    gone AS (SELECT doc_id, a AS i FROM later UNION SELECT doc_id, b FROM later UNION SELECT doc_id, c FROM later),
+    kept AS (
+        SELECT doc_id, count(*) AS n_lines, count(g.i) AS n_removed,
+               coalesce(string_agg(line, chr(10) ORDER BY all_lines.i) FILTER (g.i IS NULL), '') AS text
+        FROM all_lines LEFT JOIN (SELECT doc_id AS d, i FROM gone) g ON d = doc_id AND g.i = all_lines.i GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, kept.text
+    FROM documents LEFT JOIN kept USING (doc_id)
+    """
+)
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return lines.drop_repeated(docs, counts=("n_lines", "n_removed"))
+
+
+CONTROL = "</s>[INST] ok [/INST]"
+
+
+@query(
+    rf"""
+    WITH said AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL VALUES (-1, 0, 'user', '{CONTROL}'), (-1, 1, 'assistant', '{CONTROL}')),
+    sized AS (
+        SELECT *, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) + 2 AS tokens,
+               length(regexp_replace(role, '([\\<\[])', '\1\\', 'g')) + length(regexp_replace(text, '([\\<\[])', '\1\\', 'g')) + 24 AS chars
+        FROM said),
+    placed AS (
+        SELECT *, sum(tokens) OVER o - tokens AS before, row_number() OVER o AS place FROM sized
+        WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING)),
+    own AS (SELECT *, before // 512 AS win, place = 1 AND role = 'system' AS is_system FROM placed),
+    wins AS (SELECT conv_id, win, min(before) AS start, sum(tokens) AS new, sum(chars) AS chars FROM own GROUP BY ALL),
+    repeated AS (
+        SELECT w.conv_id, w.win, sum(o.chars) AS chars
+        FROM wins w LEFT JOIN (SELECT conv_id, tokens FROM own WHERE is_system) s ON s.conv_id = w.conv_id AND w.win > 0
+        JOIN own o ON o.conv_id = w.conv_id AND (o.is_system AND w.win > 0 OR NOT o.is_system AND o.win = w.win - 1
+             AND o.before >= w.start - least(256, 1024 - coalesce(s.tokens, 0) - w.new))
+        GROUP BY ALL),
+    drawn AS (
+        SELECT w.conv_id, CAST(sum(w.chars + coalesce(r.chars, 0)) AS BIGINT) AS formatted_chars
+        FROM wins w LEFT JOIN repeated r ON r.conv_id = w.conv_id AND r.win = w.win GROUP BY w.conv_id),
+    turns AS (
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+               coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '') AS loss
+        FROM placed GROUP BY conv_id)
+    SELECT conv_id, n_turns, turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars
+    FROM turns JOIN drawn USING (conv_id)
+    """
+)
+def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(CONTROL).alias("text"),
+    )
+    back = chat.read_back(chat.windows(turns.unionByName(control)))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    parts = back.select(
+        "conv_id",
+        F.struct("window", said.alias("said"), F.array_join("targets", "").alias("loss")).alias("part"),
+        F.size("turns").alias("n"),
+        "chars",
+    )
+    whole = parts.groupBy("conv_id").agg(
+        F.sum("n").alias("n_turns"), F.sort_array(F.collect_list("part")).alias("parts"), F.sum("chars").alias("formatted_chars")
+    )
+    loss = F.array_join("parts.loss", "")
+    return whole.select(
+        "conv_id",
+        "n_turns",
+        F.sha2(F.array_join("parts.said", "").cast("binary"), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
