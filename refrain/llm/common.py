@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 CACHED_WORDS = 300_000
 #: Long texts are cut into pieces of about so many bytes, always between two words.
 PIECE_BYTES = 4 << 20
+#: Table that lowers A-Z and leaves all other bytes.
+LOWER_CASE = bytes(x + 32 if 65 <= x <= 90 else x for x in range(256))
 
 
 def as_bytes(column: pa.Array) -> list[bytes | None]:
@@ -31,7 +33,7 @@ def map_rows(df: DataFrame, schema: str, rows: Callable[[dict[str, pa.Array]], d
             out = rows({name: batch.column(i) for i, name in enumerate(batch.schema.names)})
             if out is not None:
                 yield pa.RecordBatch.from_arrays(
-                    [x if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in zip(map(out.get, wanted.names), wanted)],
+                    [x.cast(f.type) if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in zip(map(out.get, wanted.names), wanted)],
                     schema=wanted,
                 )
 

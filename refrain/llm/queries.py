@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from refrain.llm import chat, decontaminate, lines, quality, urls
+from refrain.llm import chat, decontaminate, lines, near, pieces, quality, urls
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -238,3 +238,54 @@ def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
         "formatted_chars",
     )
+
+
+@query(
+    rf"""
+    WITH docs AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS w
+        FROM documents),
+    sets AS (
+        SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS s
+        FROM docs, unnest(range(1, greatest(len(w), 2))) AS t(i) WHERE len(w) > 0),
+    sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+    ranked AS (
+        SELECT doc_id, s, n, row_number() OVER (PARTITION BY doc_id ORDER BY df, s) AS place
+        FROM sets JOIN sizes USING (doc_id) JOIN (SELECT s, count(*) AS df FROM sets GROUP BY s) USING (s)),
+    prefixes AS (SELECT doc_id, s, n FROM ranked WHERE place <= n - ceil(0.8 * n) + 1),
+    candidates AS (
+        SELECT DISTINCT x.doc_id AS a, y.doc_id AS b, x.n AS n_a, y.n AS n_b FROM prefixes x JOIN prefixes y USING (s)
+        WHERE x.doc_id < y.doc_id AND 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)),
+    common AS (
+        SELECT a, b, n_a, n_b, count(*) AS c FROM candidates JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b AND x.s = y.s
+        GROUP BY ALL),
+    links AS (SELECT a, b FROM common WHERE 100 * c >= 80 * (n_a + n_b - c)),
+    walk AS (
+        WITH RECURSIVE reach(doc_id, c) AS (
+            SELECT doc_id, doc_id FROM documents
+            UNION SELECT e.y, c FROM reach JOIN (SELECT a AS x, b AS y FROM links UNION ALL SELECT b, a FROM links) e
+                  ON e.x = reach.doc_id)
+        SELECT doc_id, min(c) AS component_id FROM reach GROUP BY doc_id)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM documents LEFT JOIN sizes USING (doc_id) JOIN walk USING (doc_id)
+    """
+)
+def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = near.near_duplicates(table(spark, folder, "documents"), width=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+#: A public model with byte fallback.
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query()
+def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    back = pieces.decode(pieces.encode(docs, MODEL).select("doc_id", "tokens"), MODEL)
+    return back.select(
+        "doc_id",
+        F.coalesce(F.size("tokens"), F.lit(0)).cast("long").alias("n_tokens"),
+        "tokens",
+        F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"),
+    )
