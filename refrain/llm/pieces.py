@@ -45,7 +45,7 @@ class Transducer:
             raise ValueError("the model has no byte fallback")
         if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.ids):
             raise ValueError("a piece goes beyond the end of a word")
-        self.longest = max(map(len, self.ids))
+        self.suffixes = {p[i:] for p in self.ids for i in range(len(p))}
         self.fallback = max(self.weights.values()) + PENALTY
         self.output = [self._bytes(p, t) for p, _, t in pieces]
         self.segments: dict[str, bytes] = {}
@@ -60,28 +60,36 @@ class Transducer:
     def __getstate__(self):
         return self.__dict__ | {"segments": {}, "pairs": {}}
 
-    def merged(self, text: str) -> list[str]:
-        """``text`` after merging neighbours, the pair of the best score first, the leftmost of equals."""
-        parts, weights = list(text), self.weights
-        while len(parts) > 1:
-            best = min(
-                ((weights[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in weights), default=None
-            )
-            if best is None:
-                break
-            i = best[1]
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        return parts
-
     def neighbours(self, a: str, b: str) -> bool:
-        """May ``b`` follow ``a``? Merging both texts together must leave the two."""
+        """May ``b`` follow ``a``? Merging the text of both, the pair of the best score first and the leftmost of
+        equals, must never join a part of one with a part of the other."""
         known = self.pairs.get((a, b))
         if known is None:
             if len(self.pairs) >= CACHED_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[a, b] = self.merged(a + b) == [a, b]
+            known = self.pairs[a, b] = self._stay_apart(a, b)
         return known
 
+    def _stay_apart(self, a: str, b: str) -> bool:
+        weights, never = self.weights, float("inf")
+        parts, border = [*a, *b], len(a) - 1  # the pair at the border is the last part of a with the first of b
+        costs = [weights.get(x + y, never) for x, y in zip(parts, parts[1:])]
+        while costs:
+            best = min(costs)
+            if best == never:
+                break
+            i = costs.index(best)
+            if i == border:
+                return False
+            border -= i < border
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del costs[i]
+            if i:
+                costs[i - 1] = weights.get(parts[i - 1] + parts[i], never)
+            if i < len(costs):
+                costs[i] = weights.get(parts[i] + parts[i + 1], never)
+        return len(parts) == 2
+
     def path(self, segment: str) -> list[str]:
         """Pieces and unknown characters on the shortest path; of equal ones that with fewer, then longer last pieces."""
         size, bpe = len(segment), self.kind == BPE
@@ -89,26 +97,23 @@ class Transducer:
         last = [""] * (size + 1)
         weights = self.weights
         for end in range(1, size + 1):
-            found = None
-            for start in range(max(0, end - self.longest), end):
-                before = best[start]
-                if before is None:
+            found, starts, start = None, [], end - 1
+            while start >= 0 and segment[start:end] in self.suffixes:
+                if best[start] is not None and segment[start:end] in weights:
+                    starts.append(start)
+                start -= 1
+            for start in reversed(starts):
+                piece, before = segment[start:end], best[start]
+                if bpe and last[start] in weights and not self.neighbours(last[start], piece):
                     continue
-                piece = segment[start:end]
-                weight = weights.get(piece)
-                if weight is None:
-                    if end - start > 1 or found is not None and found[0] < self.fallback:
-                        continue
-                    weight = self.fallback
-                elif bpe:
-                    if last[start] in weights and not self.neighbours(last[start], piece):
-                        continue
-                    weight = 0.0
-                whole = (before[0] + weight, before[1] + 1, start)
+                whole = (before[0] + (0.0 if bpe else weights[piece]), before[1] + 1, start)
                 if found is None or whole < found:
                     found = whole
                 if bpe:  # the result for what has been read so far ends in one way only
                     break
+            if best[end - 1] is not None and segment[end - 1] not in weights:
+                whole = (best[end - 1][0] + self.fallback, best[end - 1][1] + 1, end - 1)
+                found = whole if found is None else min(found, whole)
             best[end] = found
             if found is not None:
                 last[end] = segment[found[2] : end]
