@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from refrain.llm import chat, decontaminate, lines, near, pieces, quality, urls
+from refrain.llm import chat, decontaminate, language, lines, near, pieces, pii, quality, urls
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -289,3 +289,27 @@ def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
         "tokens",
         F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"),
     )
+
+
+@query()
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    key = F.struct(F.xxhash64("doc_id").alias("draw"), F.col("doc_id").alias("doc_id"))
+    models = language.train(docs.filter(part != 2), "text", "lang", key)
+    found = language.predict(docs.select("doc_id", F.coalesce(part == 2, F.lit(False)).alias("held_out"), "text"), models)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query()
+def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.train(docs, F.xxhash64("doc_id"))).drop("text")
+    kinds = F.filter("base", lambda x, i: i % 3 == 0)
+    counts = [F.size(F.filter(kinds, lambda x, k=k: x == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.spans_text("base").cast("binary"), 256).alias("base_sha256"),
+        pii.spans_text("base", "added").alias("spans"),
+    )
