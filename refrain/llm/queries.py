@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from refrain.llm import chat, decontaminate, language, lines, near, pieces, pii, quality, urls
+from refrain.llm import chat, decontaminate, language, lines, near, pieces, pii, quality, substrings, urls
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -313,3 +313,29 @@ def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(pii.spans_text("base").cast("binary"), 256).alias("base_sha256"),
         pii.spans_text("base", "added").alias("spans"),
     )
+
+
+@query(
+    """
+    WITH docs AS (SELECT doc_id, hex(coalesce(text, '')) AS h, length(hex(coalesce(text, ''))) // 2 AS n_bytes FROM documents),
+    places AS (
+        SELECT doc_id, p, sha256(substr(h, 2 * p + 1, 400)) AS part FROM docs, unnest(range(0, n_bytes - 199)) AS t(p)),
+    starts AS (SELECT doc_id, p FROM (SELECT *, count(*) OVER (PARTITION BY part) AS n FROM places) WHERE n > 1),
+    marked AS (
+        SELECT doc_id, p, CASE WHEN p <= lag(p) OVER o + 200 THEN 0 ELSE 1 END AS new FROM starts
+        WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
+    spans AS (
+        SELECT doc_id, min(p) AS a, max(p) + 200 AS b
+        FROM (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS span FROM marked) GROUP BY doc_id, span),
+    pieces AS (
+        SELECT doc_id, a, substr(h, 2 * before + 1, 2 * (a - before)) AS piece
+        FROM (SELECT doc_id, a, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before
+              FROM (FROM spans UNION ALL SELECT doc_id, n_bytes, n_bytes FROM docs)) JOIN docs USING (doc_id)),
+    kept AS (SELECT doc_id, sha256(unhex(string_agg(piece, '' ORDER BY a))) AS kept_sha256 FROM pieces GROUP BY doc_id),
+    removed AS (SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed FROM spans GROUP BY doc_id)
+    SELECT doc_id, n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, kept_sha256
+    FROM docs LEFT JOIN removed USING (doc_id) JOIN kept USING (doc_id)
+    """
+)
+def op5_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.remove_repeated(table(spark, folder, "documents"))
