@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: Words whose hash a Python worker remembers.
 CACHED_WORDS = 300_000
@@ -23,29 +25,31 @@ def as_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(kind).to_pylist()
 
 
-def map_rows(df: DataFrame, schema: str, rows: Callable[[dict[str, pa.Array]], dict[str, object]]) -> DataFrame:
-    """``df`` through ``rows``, which turns the columns of a batch into columns of ``schema`` (``None``: no rows)."""
-    spark = df.sparkSession
-    wanted = to_arrow(spark, schema)
+def map_rows(
+    df: DataFrame, schema: str | StructType, rows: Callable[[dict[str, pa.Array]], dict[str, object]]
+) -> DataFrame:
+    """``df`` through ``rows``, which turns the columns of a batch into columns of ``schema``."""
+    wanted = to_arrow(schema)
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             out = rows({name: batch.column(i) for i, name in enumerate(batch.schema.names)})
-            if out is not None:
-                yield pa.RecordBatch.from_arrays(
-                    [x.cast(f.type) if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in zip(map(out.get, wanted.names), wanted)],
-                    schema=wanted,
-                )
+            columns = [
+                x.cast(f.type) if isinstance(x, pa.Array) else pa.array(x, f.type)
+                for f, x in ((f, out[f.name]) for f in wanted)
+            ]
+            yield pa.RecordBatch.from_arrays(columns, schema=wanted)
 
     return df.mapInArrow(batches, schema)
 
 
-def to_arrow(spark, schema: str) -> pa.Schema:
-    """Arrow's form of a DDL schema."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
+def to_arrow(schema: str | StructType) -> pa.Schema:
+    return to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
-    return to_arrow_schema(StructType.fromDDL(schema))
+
+def with_columns(df: DataFrame, ddl: str) -> StructType:
+    """The schema of ``df`` plus the columns in ``ddl``."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(ddl).fields])
 
 
 def pieces(data: bytes) -> Iterator[bytes]:

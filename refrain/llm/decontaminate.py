@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import re
 
 import numpy as np
@@ -202,8 +201,7 @@ def _one_block(docs: DataFrame, automaton: Automaton, text: str) -> DataFrame:
             all_items.append(sorted(found.union(old_items)))
         return batch | {"n_words": sizes, "hit_runs": all_runs, "hit_items": all_items}
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return map_rows(docs, schema, rows)
+    return map_rows(docs, docs.schema, rows)
 
 
 def is_contaminated(share: int = 20):
@@ -225,18 +223,17 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", share:
     A span goes from the first to the last byte of a run of hit words. Documents without a hit stay as they are.
     Nulls, empty texts and clashing names as in ``find_items``.
     """
-    columns = docs.columns
-    found = find_items(docs, items, text=text, **options).filter(~is_contaminated(share))
+    held = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
+    found = find_items(held, items, **options).filter(~is_contaminated(share)).select("row", "text", "hit_runs")
 
     def rows(batch: dict[str, pa.Array]) -> dict[str, object]:
         cut = []
-        for data, spans in zip(as_bytes(batch[text]), batch["hit_runs"].to_pylist()):
+        for data, spans in zip(as_bytes(batch["text"]), batch["hit_runs"].to_pylist()):
             cut.append(without(data, spans) if spans else data)
-        kind = batch[text].type
-        return {c: batch[c] for c in columns} | {text: pa.array(cut, pa.binary()).cast(pa.string()).cast(kind)}
+        return batch | {"text": pa.array(cut, pa.binary()).cast(pa.string())}
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return map_rows(found, schema, rows)
+    cleaned = map_rows(found, found.schema, rows)
+    return cleaned.select(*(F.col("text" if c == text else f"row.`{c}`").alias(c) for c in docs.columns))
 
 
 def without(data: bytes, spans: list[int]) -> bytes:
@@ -247,8 +244,3 @@ def without(data: bytes, spans: list[int]) -> bytes:
         kept.append(data[at : places[a][0]])
         at = places[b - 1][1]
     return b"".join([*kept, data[at:]])
-
-
-def items_digest(items: list[str]) -> str:
-    """SHA-256 of the ids, comma-joined."""
-    return hashlib.sha256(",".join(items).encode()).hexdigest()

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from refrain.llm.common import LOWER_CASE, as_bytes, map_rows
+from refrain.llm.common import LOWER_CASE, as_bytes, map_rows, with_columns
 
 #: Bytes of the longest context.
 ORDER = 4
@@ -237,5 +237,4 @@ def predict(docs: DataFrame, models: Models, text: str = "text", names: tuple[st
                 langs[i] = own.languages[j]
         return batch | {names[0]: langs, names[1]: scores}
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema)
-    return map_rows(chosen, f"{schema}, `{names[0]}` string, `{names[1]}` double", rows)
+    return map_rows(chosen, with_columns(chosen, f"`{names[0]}` string, `{names[1]}` double"), rows)

@@ -74,17 +74,16 @@ def drop_repeated(docs: DataFrame, text: str = "text", id: str = "doc_id", count
     named like ``counts`` are replaced.
     """
     columns = [c for c in docs.columns if c not in (counts or ())]
-    gone = covered_lines(docs, text, id).toDF("_gone_1", "_gone_2", "_gone")
-    key_1, key_2 = content_key(F.col(id), F.col(text))
-    keyed = docs.select(*columns, key_1.alias("_key_1"), key_2.alias("_key_2"))
-    met = keyed.join(gone, (F.col("_key_1") == F.col("_gone_1")) & (F.col("_key_2") == F.col("_gone_2")), "left")
-    split = met.withColumn("_lines", F.split(text, "\n"))
-    numbers = F.sequence(F.lit(0), F.size("_lines") - 1)
-    kept = F.array_join(F.transform(F.array_except(numbers, "_gone"), lambda i: F.get("_lines", i)), "\n")
-    result = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(kept)
-    chosen = [result.alias(c) if c == text else F.col(c) for c in columns]
+    gone = covered_lines(docs, text, id).toDF("of_1", "of_2", "gone")
+    rows = docs.select(F.struct(*columns).alias("row"), F.col(text).alias("text"), *content_key(F.col(id), F.col(text)))
+    met = rows.join(gone, (F.col("key_1") == F.col("of_1")) & (F.col("key_2") == F.col("of_2")), "left")
+    split = met.withColumn("lines", F.split("text", "\n"))
+    numbers = F.sequence(F.lit(0), F.size("lines") - 1)
+    kept = F.array_join(F.transform(F.array_except(numbers, "gone"), lambda i: F.get("lines", i)), "\n")
+    result = F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept)
+    chosen = [result.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in columns]
     if counts:
-        n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.size("_lines"))
-        n_gone = F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone"))
+        n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size("lines"))
+        n_gone = F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone"))
         chosen += [n_lines.cast("long").alias(counts[0]), n_gone.cast("long").alias(counts[1])]
     return split.select(*chosen)

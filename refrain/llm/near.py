@@ -7,7 +7,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from refrain.llm.common import LOWER_CASE, as_bytes, content_key, map_rows, mixed, shingle_hashes, word_hashes
+from refrain.llm.common import LOWER_CASE, as_bytes, content_key, map_rows, mixed, shingle_hashes, with_columns, word_hashes
 from refrain.llm.graph import components
 from refrain.sources.scratch import settle
 
@@ -60,8 +60,7 @@ def sign(docs: DataFrame, text: str, id: str, width: int) -> DataFrame:
             bands.append(band_hashes(found) if len(found) else None)
         return batch | {"n_shingles": sizes, "node": nodes, "bands": bands}
 
-    kind = chosen.schema["id"].dataType.simpleString()
-    return map_rows(chosen, f"id {kind}, key_1 long, key_2 long, n_shingles long, node binary, bands array<long>", rows)
+    return map_rows(chosen, with_columns(chosen.drop("text"), "n_shingles long, node binary, bands array<long>"), rows)
 
 
 def shared_buckets(signed: DataFrame) -> DataFrame:
@@ -187,8 +186,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", wid
 def drop_near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", **options) -> DataFrame:
     """``docs`` with one document of each component; see ``near_duplicates``. Rows equal in id and text are one document."""
     found = near_duplicates(docs, text, id, **options).filter("stays")
-    stay = found.select(F.col("key_1").alias("_stay_1"), F.col("key_2").alias("_stay_2"))
-    key_1, key_2 = content_key(F.col(id), F.col(text))
-    keyed = docs.withColumns({"_key_1": key_1, "_key_2": key_2})
-    met = keyed.join(stay, (F.col("_key_1") == F.col("_stay_1")) & (F.col("_key_2") == F.col("_stay_2")), "left_semi")
-    return met.dropDuplicates(["_key_1", "_key_2"]).select(*[f"`{c}`" for c in docs.columns])
+    stay = found.select(F.col("key_1").alias("of_1"), F.col("key_2").alias("of_2"))
+    rows = docs.select(F.struct("*").alias("row"), *content_key(F.col(id), F.col(text)))
+    met = rows.join(stay, (F.col("key_1") == F.col("of_1")) & (F.col("key_2") == F.col("of_2")), "left_semi")
+    return met.dropDuplicates(["key_1", "key_2"]).select("row.*")

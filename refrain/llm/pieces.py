@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from refrain.llm.common import as_bytes, map_rows
+from refrain.llm.common import as_bytes, map_rows, with_columns
 
 #: The sign that stands for a space, kinds of pieces and of models in the file format.
 SPACE = "▁"
@@ -186,8 +186,7 @@ def encode(docs: DataFrame, model: str, text: str = "text", tokens: str = "token
         none = pa.array([x is None for x in encoded], pa.bool_())
         return batch | {tokens: pa.ListArray.from_arrays(pa.array(ends), ids, mask=none)}
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema)
-    return map_rows(chosen, f"{schema}, `{tokens}` array<int>", rows)
+    return map_rows(chosen, with_columns(chosen, f"`{tokens}` array<int>"), rows)
 
 
 def decode(docs: DataFrame, model: str, tokens: str = "tokens", text: str = "text") -> DataFrame:
@@ -205,5 +204,4 @@ def decode(docs: DataFrame, model: str, tokens: str = "tokens", text: str = "tex
             out.append(None if ids is None else sent.value.decode([i for i in ids if i is not None]).decode("utf-8", "replace"))
         return batch | {text: out}
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema)
-    return map_rows(chosen, f"{schema}, `{text}` string", rows)
+    return map_rows(chosen, with_columns(chosen, f"`{text}` string"), rows)

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from refrain.llm.common import map_rows
+from refrain.llm.common import map_rows, with_columns
 
 KINDS = ("email", "ip", "card", "phone")
 #: Texts that the weights are learned from, and characters of the longest that is taken.
@@ -259,8 +259,7 @@ def find(docs: DataFrame, field: Field, text: str = "text") -> DataFrame:
             added.append([x for span in sent.value.added(value or "", found) for x in span])
         return batch | {"base": base, "added": added}
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema)
-    return map_rows(chosen, f"{schema}, base array<long>, added array<long>", rows)
+    return map_rows(chosen, with_columns(chosen, "base array<long>, added array<long>"), rows)
 
 
 def spans_text(*columns: str) -> Column:

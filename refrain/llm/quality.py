@@ -7,7 +7,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from refrain.llm.common import as_bytes, content_key, map_rows, shingle_hashes, word_hashes
+from refrain.llm.common import as_bytes, content_key, map_rows, shingle_hashes, with_columns, word_hashes
 from refrain.sources.scratch import settle
 
 #: A line is above the limits if it is in more documents of its host than this,
@@ -95,8 +95,7 @@ def measure(docs: DataFrame, text: str, host: str, identity: list[Column]) -> Da
         found = [measures(data) for data in as_bytes(batch["text"])]
         return {c: batch[c] for c in kept} | {n: [f[i] for f in found] for i, n in enumerate(names)}
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema if f.name != "text")
-    return map_rows(chosen, f"{schema}, {_MEASURES}", rows)
+    return map_rows(chosen, with_columns(chosen.drop("text"), _MEASURES), rows)
 
 
 def frequent_lines(
@@ -171,23 +170,21 @@ def apply_rules(docs: DataFrame, text: str = "text", host: str = "source", id: s
 
     Rows without such lines stay as they are. Nulls, empty tables and repeated rows as in ``judge``.
     """
-    columns = docs.columns
     judged = judge(docs, text, host, id, **options).filter("kept").select("key_1", "key_2", "frequent")
-    verdicts = judged.dropDuplicates(["key_1", "key_2"]).toDF("_verdict_1", "_verdict_2", "_frequent")
-    key_1, key_2 = content_key(F.col(id), F.col(host), F.col(text))
-    keyed = docs.withColumns({"_key_1": key_1, "_key_2": key_2})
-    met = keyed.join(verdicts, (F.col("_key_1") == F.col("_verdict_1")) & (F.col("_key_2") == F.col("_verdict_2")))
-    met = met.select(*[f"`{c}`" for c in columns], "_frequent")
+    verdicts = judged.dropDuplicates(["key_1", "key_2"]).toDF("of_1", "of_2", "frequent")
+    key = content_key(F.col(id), F.col(host), F.col(text))
+    rows_of = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"), *key)
+    met = rows_of.join(verdicts, (F.col("key_1") == F.col("of_1")) & (F.col("key_2") == F.col("of_2")))
+    met = met.select("row", "text", "frequent")
 
     def rows(batch: dict[str, pa.Array]) -> dict[str, object]:
         out = []
-        for data, frequent in zip(as_bytes(batch[text]), batch["_frequent"].to_pylist()):
+        for data, frequent in zip(as_bytes(batch["text"]), batch["frequent"].to_pylist()):
             if frequent:
                 gone = set(frequent)
                 data = b"\n".join(x for x in data.split(b"\n") if not x.strip() or line_hash(x) not in gone)
             out.append(data)
-        kind = batch[text].type
-        return {c: batch[c] for c in columns} | {text: pa.array(out, pa.binary()).cast(pa.string()).cast(kind)}
+        return batch | {"text": pa.array(out, pa.binary()).cast(pa.string())}
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return map_rows(met, schema, rows)
+    cleaned = map_rows(met.select("row", "text", "frequent"), met.schema, rows)
+    return cleaned.select(*(F.col("text" if c == text else f"row.`{c}`").alias(c) for c in docs.columns))

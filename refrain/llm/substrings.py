@@ -24,7 +24,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from refrain.llm.common import as_bytes, content_key, map_rows, mixed, to_arrow
+from refrain.llm.common import as_bytes, content_key, map_rows, mixed, to_arrow, with_columns
 from refrain.sources.scratch import settle
 
 #: Bytes of a string and of a q-gram, positions of a node of the second level.
@@ -118,7 +118,7 @@ def combined(g: np.ndarray, o: np.ndarray, key: np.ndarray, at: np.ndarray) -> l
 
 def rows_from(df: DataFrame, produce: Callable[[dict[str, pa.Array]], Iterator[tuple]]) -> DataFrame:
     """Rows (``_ROWS``) that ``produce`` makes from each batch: g, o, key, at; combined within a task, in bounded parts."""
-    schema = to_arrow(df.sparkSession, _ROWS)
+    schema = to_arrow(_ROWS)
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -329,8 +329,7 @@ def pack(docs: DataFrame) -> DataFrame:
         press = zstandard.ZstdCompressor(level=6).compress
         return batch | {"packed": [press(x) for x in as_bytes(batch["text"])]}
 
-    kind = docs.schema["id"].dataType.simpleString()
-    return map_rows(docs, f"id {kind}, key long, check long, packed binary", rows)
+    return map_rows(docs, with_columns(docs.drop("text"), "packed binary"), rows)
 
 
 def judge(docs: DataFrame, keep_text: bool, final: bool) -> DataFrame:
@@ -356,11 +355,6 @@ def judge(docs: DataFrame, keep_text: bool, final: bool) -> DataFrame:
                 out[name].append(value)
         return batch | out
 
-    kind = docs.schema["id"].dataType.simpleString()
-    kept = "kept binary, " if keep_text else ""
-    return map_rows(
-        docs,
-        f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, {kept}"
-        "key long, check long, packed binary, gone array<long>, open array<long>",
-        rows,
-    )
+    kept = ", kept binary" if keep_text else ""
+    own = docs.select("id", "key", "check", "packed", "gone", "open")
+    return map_rows(docs, with_columns(own, f"n_bytes long, n_removed long, n_spans long, kept_sha256 string{kept}"), rows)

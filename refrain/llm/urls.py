@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from refrain.llm.common import as_bytes, map_rows
+from refrain.llm.common import as_bytes, map_rows, with_columns
 
 #: Urls whose state vectors are held at a time.
 CHUNK = 4096
@@ -144,5 +144,4 @@ def judge(
         own = (first == len(ranked)) & found[:, 2 * len(ranked) :].any(axis=1)
         return batch | {"rule": names[first].tolist(), "verdict": verdicts[first + own].tolist()}
 
-    kind = chosen.schema[id].dataType.simpleString()
-    return map_rows(chosen, f"`{id}` {kind}, host string, path string, rule string, verdict string", rows)
+    return map_rows(chosen, with_columns(chosen, "rule string, verdict string"), rows)
