@@ -28,10 +28,10 @@ def windows(docs: DataFrame, text: str, id: str) -> DataFrame:
         F.col("full.place").alias("place"),
         F.transform("full", lambda x: F.xxhash64(F.lit(1), x["line"])).alias("one"),
         F.transform("full", lambda x: F.xxhash64(F.lit(2), x["line"])).alias("two"),
-    ).filter(F.size("place") >= WINDOW)
+    )
 
     def shifted(name: str, by: int) -> Column:
-        return F.slice(name, F.lit(1 + by), F.size("place") - (WINDOW - 1))
+        return F.slice(name, F.lit(1 + by), F.greatest(F.size("place") - (WINDOW - 1), F.lit(0)))
 
     zipped = F.arrays_zip(
         *(shifted(name, by).alias(f"{name}_{by}") for name in ("place", "one", "two") for by in range(WINDOW))
