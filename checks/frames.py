@@ -55,12 +55,11 @@ def _weights(spark):
     """
     WITH samples AS (
         SELECT vec_id, i AS pos, embedding[i + 1] < 0 AS negative FROM embeddings, range(64) r(i)
-    ), changes AS (
-        SELECT vec_id, pos, coalesce(CAST(negative <> lag(negative) OVER (PARTITION BY vec_id ORDER BY pos) AS INT), 0)
-               AS changed FROM samples
+    ), framed AS (
+        SELECT vec_id, f, coalesce(CAST(negative <> lag(negative) OVER (PARTITION BY vec_id, f ORDER BY pos) AS INT), 0)
+               AS changed FROM samples, range(15) r(f) WHERE pos BETWEEN f * 4 AND f * 4 + 7
     )
-    SELECT vec_id, f AS frame, round(avg(changed), 6) AS rate
-    FROM changes, range(15) r(f) WHERE pos BETWEEN f * 4 AND f * 4 + 7 GROUP BY vec_id, f
+    SELECT vec_id, f AS frame, round(avg(changed), 6) AS rate FROM framed GROUP BY vec_id, f
     """
 )
 def sign_change_rates(t):
@@ -69,6 +68,23 @@ def sign_change_rates(t):
     return rates.select("vec_id", "frame", F.round("rate", 6).alias("rate"))
 
 
+@query(
+    """
+    WITH samples AS (
+        SELECT vec_id, i AS pos, embedding[greatest(1, least(64, i - 3))] < 0 AS negative FROM embeddings, range(72) r(i)
+    ), framed AS (
+        SELECT vec_id, f, coalesce(CAST(negative <> lag(negative) OVER (PARTITION BY vec_id, f ORDER BY pos) AS INT), 0)
+               AS changed FROM samples, range(17) r(f) WHERE pos BETWEEN f * 4 AND f * 4 + 7
+    )
+    SELECT vec_id, f AS frame, round(avg(changed), 6) AS rate FROM framed GROUP BY vec_id, f
+    """
+)
+def centered_sign_change_rates(t):
+    samples = t.embeddings.select("vec_id", F.posexplode("embedding").alias("pos", "value"))
+    rates = frames.sign_change_rate(samples, "vec_id", "pos", "value", frame=8, hop=4, chunk=16, centered=True)
+    return rates.select("vec_id", "frame", F.round("rate", 6).alias("rate"))
+
+
 @query(
     f"""
     WITH {_SPECTRA_SQL}
@@ -87,7 +103,7 @@ _ROLLOFF_SQL = """
                ROWS UNBOUNDED PRECEDING) AS running, sum(magnitude) OVER (PARTITION BY entity, frame) AS total
         FROM spectra),
     rolloffs AS (SELECT entity, frame, min(freq) AS rolloff FROM reached
-                 WHERE round(running, 9) >= round(0.85 * total, 9) GROUP BY entity, frame)
+                 WHERE running >= (0.85 - 1e-9) * total GROUP BY entity, frame)
 """
 
 
@@ -96,6 +112,13 @@ def spectral_rolloffs(t):
     return frames.spectral_rolloff(_spectra(t), "entity", "frame", "freq", "magnitude", fraction=0.85)
 
 
+@query(f"WITH {_SPECTRA_SQL}, {_ROLLOFF_SQL} SELECT entity, frame, rolloff FROM rolloffs")
+def quiet_spectral_rolloffs(t):
+    """A spectrum times 1e-11 has the roll-off that it had."""
+    quiet = _spectra(t).withColumn("magnitude", F.col("magnitude") * 1e-11)
+    return frames.spectral_rolloff(quiet, "entity", "frame", "freq", "magnitude", fraction=0.85)
+
+
 @query(
     f"""
     WITH {_SPECTRA_SQL}, {_WEIGHTS_SQL}

@@ -150,6 +150,14 @@ def label_keys(t):
     )
 
 
+@query("SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE lower(left(p_name, 1)) END AS letter FROM part")
+def letters_of_broken_labels(t):
+    label = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("("), "p_name")).otherwise(
+        text.label_for(F.col("p_partkey"), F.col("p_name"))
+    )
+    return t.part.select("p_partkey", text.letter_from_label(label).alias("letter"))
+
+
 @query(
     r"""
     SELECT page_id, url FROM pages WHERE lower(regexp_extract(url, '\.([^.]*)$', 1)) IN ('html', 'htm', 'com/')

@@ -165,6 +165,28 @@ def best_per_key(t):
     return relational.best_match(orders, "o_custkey", "o_orderkey", "o_totalprice")
 
 
+@query(
+    """
+    SELECT c_nationkey, c_custkey, o_orderkey, o_totalprice FROM (
+        SELECT c_nationkey, c_custkey, o_orderkey, o_totalprice, row_number() OVER (PARTITION BY c_custkey
+               ORDER BY round(CASE WHEN o_orderkey % 7 <> 0 AND o_orderkey % 5 <> 0 THEN o_totalprice END, 9) DESC NULLS LAST,
+               o_orderkey NULLS FIRST) AS rn
+        FROM (SELECT c_nationkey, c_custkey, o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN CASE WHEN o_orderkey % 5 = 0
+              THEN 0 ELSE o_totalprice END END AS o_totalprice
+              FROM customer LEFT JOIN orders ON o_custkey = c_custkey)) WHERE rn = 1
+    """
+)
+def best_with_missing_scores(t):
+    """Scores that are NULL (no order, or key divisible by 7) or NaN (by 5, shown as 0) lose against all others."""
+    key = F.col("o_orderkey")
+    score = F.when(key % 7 != 0, F.when(key % 5 == 0, F.lit(float("nan"))).otherwise(F.col("o_totalprice")))
+    scored = t.customer.join(t.orders, F.col("o_custkey") == F.col("c_custkey"), "left").select(
+        "c_nationkey", "c_custkey", "o_orderkey", score.alias("o_totalprice")
+    )
+    best = relational.best_match(scored, "c_custkey", "o_orderkey", "o_totalprice")
+    return best.select("c_nationkey", "c_custkey", "o_orderkey", F.nanvl("o_totalprice", F.lit(0.0)).alias("o_totalprice"))
+
+
 @query(
     """
     SELECT l_suppkey, l_orderkey, l_linenumber, l_extendedprice, rank FROM (

@@ -150,7 +150,23 @@ def nested_json_scan(t):
             F.when(page % 5 == 0, none).otherwise(F.array("url")).alias("playUrl"),
         ).alias("musicInfos"),
     ).write.json(path)
-    return videos.flatten_videos(videos.read_videos(t.spark, path))
+    return videos.flatten_videos(videos.read_videos(t.spark, path)).drop(videos.CORRUPT)
+
+
+@query(
+    """
+    SELECT CASE WHEN page_id % 3 > 0 THEN CAST(page_id AS VARCHAR) END AS video_id,
+           CASE WHEN page_id % 3 = 0 THEN '{"itemInfos": {"id": "' || page_id || '"' END AS corrupt_record
+    FROM pages
+    """
+)
+def nested_json_broken_lines(t):
+    path = scratch_path(t.spark, "broken_videos")
+    page = F.col("page_id").cast("string")
+    start = F.concat(F.lit('{"itemInfos": {"id": "'), page, F.lit('"'))
+    line = F.when(F.col("page_id") % 3 == 0, start).otherwise(F.concat(start, F.lit("}}")))
+    t.pages.select(line.alias("value")).write.text(path)
+    return videos.flatten_videos(videos.read_videos(t.spark, path)).select("video_id", videos.CORRUPT)
 
 
 @query(

@@ -102,8 +102,8 @@ def id_from_label(label: Column) -> Column:
 
 
 def letter_from_label(label: Column) -> Column:
-    """First character behind the first ``)``, lower-cased."""
-    return F.lower(F.substring(F.split(label, r"\)", 3)[1], 1, 1))
+    """First character behind the first ``)``, lower-cased; NULL where there is none."""
+    return F.lower(F.substring(F.get(F.split(label, r"\)", 3), F.lit(1)), 1, 1))
 
 
 def has_extension(file_name: Column, allowed: tuple[str, ...] = AUDIO_EXTENSIONS) -> Column:

@@ -43,8 +43,8 @@ def _carry(df: DataFrame, keys: Sequence[str]) -> Column:
 def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of each key under ``order``, whose last column must make it unique.
 
-    An aggregate, so every task reduces its rows to one per key before the shuffle: a key that holds
-    much of the table costs no more than any other.
+    An aggregate, so every task reduces its rows to one per key before the shuffle, however many rows a key has.
+    Spark sorts the rows of a task by key for it, as the rows it keeps are no fixed-width values.
     """
     first = F.min_by(_carry(df, keys), F.struct(*order)).alias("row")
     return df.groupBy(*keys).agg(first).select(*keys, "row.*")
@@ -68,8 +68,13 @@ def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
 
 
 def best_match(pairs: DataFrame, left_id: str, right_id: str, score: str, digits: int = 9) -> DataFrame:
-    """The best right member of each left one; scores equal to ``digits`` places go to the smallest right id."""
-    return one_per_key(pairs, [left_id], [-F.round(F.col(score), digits), F.col(right_id)])
+    """The best right member of each left one; scores equal to ``digits`` places go to the smallest right id.
+
+    A NULL or NaN score comes after all others, so it is chosen only where a left member has no better one.
+    """
+    value = F.col(score).cast("double")
+    missing = value.isNull() | F.isnan(value)
+    return one_per_key(pairs, [left_id], [missing, -F.round(value, digits), F.col(right_id)])
 
 
 def smallest(df: DataFrame, value: str, id_column: str, k: int) -> DataFrame:

@@ -35,8 +35,11 @@ def read_videos(spark: SparkSession, path: str) -> DataFrame:
 
 
 def flatten_videos(videos: DataFrame) -> DataFrame:
-    """The seven flat columns; of an array the first element, NULL where there is none."""
-    cells = []
+    """The seven flat columns; of an array the first element, NULL where there is none.
+
+    A malformed line stays a row of NULLs with its text in ``corrupt_record``, if ``videos`` has that column.
+    """
+    cells = [F.col(CORRUPT)] if CORRUPT in videos.columns else []
     for name, source in FLAT_COLUMNS.items():
         value = F.col(source)
         cells.append((F.get(value, F.lit(0)) if name in FIRST_OF_ARRAY else value).alias(name))
