@@ -45,6 +45,28 @@ def statistics_by_user_and_type(t):
     return _rounded(statistics.seven_statistics(t.events, keys, "value"), keys, 5)
 
 
+@query(
+    f"""
+    WITH real AS ({_sql_seven('user_id', 'value', "(SELECT * FROM events WHERE user_id % 3 = 0)", 5)}),
+    {{all}} AS (SELECT DISTINCT user_id FROM events)
+    SELECT a.user_id, a.user_id % 3 > 0 AS undefined, {', '.join(f'{s}' for s in statistics.STATISTICS)}
+    FROM {{all}} a LEFT JOIN real r USING (user_id)
+    """.replace("{all}", "every")
+)
+def statistics_of_failed_entities(t):
+    """Users with NULLs only (key 1 modulo 3) and with a NaN (2 modulo 3) keep their row; NaN is shown as NULL."""
+    user = F.col("user_id")
+    broken = F.when(user % 3 == 1, F.lit(None).cast("double")).when(
+        (user % 3 == 2) & (F.col("event_type") == "view"), F.lit(float("nan"))
+    )
+    values = t.events.select("user_id", F.when(user % 3 == 0, F.col("value")).otherwise(broken).alias("value"))
+    # A user of the third kind without a view gets one, so that each has a NaN.
+    views = t.events.where(user % 3 == 2).select("user_id", F.lit(float("nan")).alias("value")).distinct()
+    found = _rounded(statistics.seven_statistics(values.unionByName(views), ["user_id"], "value"), ["user_id"], 5)
+    seven = [F.when(~F.isnan(s), F.col(s)).alias(s) for s in statistics.STATISTICS]
+    return found.select("user_id", F.isnan("mean").alias("undefined"), *seven)
+
+
 @query(
     f"""
     WITH stats AS ({_sql_seven('user_id, event_type', 'value', 'events', 5)}),

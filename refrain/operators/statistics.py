@@ -18,42 +18,41 @@ AUDIO_FEATURES = {
     "zcr": 1,
 }
 
-# Accuracy of the quantile sketch. Its rank error is at most rows / ACCURACY, so up to half as many rows
-# it gives exact order statistics, and beyond that a bracket around the median.
+# Accuracy of the quantile sketch: its rank error is at most rows / ACCURACY, which brackets the median.
 ACCURACY = 10_000
-SMALL = ACCURACY // 2
 BUCKETS = 1000
 
 
 def seven_statistics(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Population moments, exact median and range of ``value`` per ``keys``; NULL values do not count.
 
-    Skew and kurtosis are NULL where the values do not vary. One pass settles all keys with few rows. Keys
-    with many take a second one, which orders only the values next to the median: no task ever holds or
-    sorts all values of a key.
+    A key with a NaN among its values, or with no value but NULLs, has NaN for all seven. Skew and kurtosis are NULL
+    where the values do not vary. A first pass gives the moments and brackets the median; a second one orders only
+    the values inside the bracket, so no task ever holds or sorts all values of a key.
+
+    The input is written once, and the summary and the bracket run and are written when this is called.
     """
-    df = df.select(*keys, F.col(value).cast("double").alias(value)).where(F.col(value).isNotNull())
+    nan = F.lit(float("nan"))
+    df = settle(df.select(*keys, F.col(value).cast("double").alias(value)), "values")
+    real = F.when(~F.isnan(value), F.col(value))
     margin = 2.0 / ACCURACY
-    shares = [0.5 - margin, 0.5, 0.5 + 1.0 / ACCURACY, 0.5 + margin]
     summary = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.kurtosis(value).alias("kurtosis"),
-        F.max(value).alias("max"),
-        F.avg(value).alias("mean"),
-        F.min(value).alias("min"),
-        F.skewness(value).alias("skew"),
-        F.stddev_pop(value).alias("std"),
-        F.percentile_approx(value, shares, ACCURACY).alias("near_middle"),
+        F.count(real).alias("n"),
+        F.max(F.isnan(value)).alias("broken"),
+        F.kurtosis(real).alias("kurtosis"),
+        F.max(real).alias("max"),
+        F.avg(real).alias("mean"),
+        F.min(real).alias("min"),
+        F.skewness(real).alias("skew"),
+        F.stddev_pop(real).alias("std"),
+        F.percentile_approx(real, [0.5 - margin, 0.5 + margin], ACCURACY).alias("near_middle"),
     )
-    summary = settle(summary, "summary")
     near = F.col("near_middle")
-    small = summary.where(F.col("n") <= SMALL).withColumn("median", (near[1] + near[2]) / 2.0)
-    result = small.select(*keys, *STATISTICS)
-    large = summary.where(F.col("n") > SMALL)
-    if large.isEmpty():
-        return result
-    large = large.withColumns({"low": near[0], "high": near[3]})
-    return result.unionByName(_with_median(df, large, keys, value).select(*keys, *STATISTICS))
+    summary = settle(summary.withColumns({"low": F.get(near, F.lit(0)), "high": F.get(near, F.lit(1))}), "summary")
+    undefined = (F.col("n") == 0) | F.coalesce("broken", F.lit(False))
+    none = summary.where(undefined).select(*keys, *[nan.alias(name) for name in STATISTICS])
+    found = _with_median(df.where(~F.isnan(value)), summary.where(~undefined), keys, value)
+    return none.unionByName(found.select(*keys, *STATISTICS))
 
 
 def _with_median(df: DataFrame, summary: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

@@ -20,7 +20,22 @@ def test_golden_values(spark):
     assert a["skew"] == pytest.approx(0.768417, abs=1e-6)
     assert a["kurtosis"] == pytest.approx(-1.0)
     assert (found["b"]["std"], found["b"]["skew"], found["b"]["kurtosis"]) == (0.0, None, None)
-    assert found["c"]["median"] == 7.0 and "d" not in found
+    assert found["c"]["median"] == 7.0
+    assert all(math.isnan(found["d"][s]) for s in statistics.STATISTICS)
+
+
+def test_one_nan_makes_all_seven_nan(spark):
+    rows = [("a", x) for x in (0.0, 1.0, 2.0, 3.0, float("nan"), None)] + [("b", 1.0), ("b", None)]
+    found = summarised(spark, rows)
+    assert all(math.isnan(found["a"][s]) for s in statistics.STATISTICS)
+    assert (found["b"]["median"], found["b"]["min"]) == (1.0, 1.0)
+
+
+def test_values_that_crowd_round_the_median(spark):
+    rng = np.random.default_rng(5)
+    crowd = np.concatenate([rng.normal(size=4000) * 1e-9, [-1e12] * 3000, [1e12] * 3001])
+    found = summarised(spark, [("a", float(x)) for x in crowd])
+    assert found["a"]["median"] == pytest.approx(np.median(crowd), rel=1e-12)
 
 
 @pytest.mark.parametrize("seed", range(3))
@@ -31,8 +46,8 @@ def test_medians_of_small_and_large_groups(spark, seed):
         "heavy": rng.standard_cauchy(12_000),
         "ties": rng.integers(0, 3, size=15_000).astype(float),
         "halves": np.repeat([0.0, 1.0], 6_000),
-        "just small": rng.random(statistics.SMALL),
-        "just large": rng.random(statistics.SMALL + 1),
+        "even": rng.random(5000),
+        "odd": rng.random(5001),
         **{f"tiny {n}": rng.random(n) for n in range(1, 12)},
     }
     rows = [(g, float(x)) for g, xs in shapes.items() for x in xs]
