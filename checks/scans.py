@@ -110,7 +110,31 @@ def grouped_parts(t, **options):
     """
 )
 def grouped_csv_scan(t):
-    return grouped_parts(t)
+    return grouped_parts(t).drop(grouped_csv.CORRUPT)
+
+
+@query(
+    """
+    SELECT CAST(doc_id AS VARCHAR) AS track_id, NULLIF(NULLIF(text, 'nan'), '') AS track__text, source AS artist__source
+    FROM documents UNION ALL SELECT NULL, 'no id', 'nobody'
+    """
+)
+def grouped_csv_with_line_feeds(t):
+    """Texts with line feeds and quotes, written in two files whose columns are in another order."""
+    path = scratch_path(t.spark, "texts")
+    quoted = F.concat(F.lit('"'), F.replace(F.ltrim("text"), F.lit('"'), F.lit('""')), F.lit('"'))
+    docs = t.documents.select("doc_id", quoted.alias("text"), "source")
+    for name, header, cells in (
+        ("a", ",track,artist\n,text,source\ntrack_id,,\n", ("text", "source")),
+        ("b", ",artist,track\n,source,text\ntrack_id,,\n", ("source", "text")),
+    ):
+        own = docs.where((F.col("doc_id") % 2 == 0) == (name == "a"))
+        lines = own.select(F.concat_ws(",", F.col("doc_id").cast("string"), *cells).alias("value"))
+        extra = ["nobody,no id"] if name == "b" else []
+        first = t.spark.createDataFrame([(header + "".join(f",{x}\n" for x in extra)).rstrip("\n")], "string")
+        first.select("value").coalesce(1).unionByName(lines).coalesce(1).write.text(f"{path}/{name}")
+    read = grouped_csv.read_grouped_csv(t.spark, f"{path}/*")
+    return read.where(F.col(grouped_csv.CORRUPT).isNull()).drop(grouped_csv.CORRUPT)
 
 
 @query(
@@ -121,7 +145,7 @@ def grouped_csv_scan(t):
     """
 )
 def grouped_csv_column_group(t):
-    return grouped_csv.select_group(grouped_parts(t, keep_nan_strings=True), "album")
+    return grouped_csv.select_group(grouped_parts(t, keep_nan_strings=True, multi_line=False), "album")
 
 
 @query(

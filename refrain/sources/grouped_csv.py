@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import csv
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 SEPARATOR = "__"
+CORRUPT = "corrupt_record"
 
 
 def grouped_columns(group_line: str, name_line: str, id_name: str) -> list[str]:
@@ -18,35 +21,82 @@ def grouped_columns(group_line: str, name_line: str, id_name: str) -> list[str]:
     return [id_name] + [f"{g}{SEPARATOR}{n}" for g, n in pairs[1:]]
 
 
+def header_lines(spark: SparkSession, path: str) -> dict[tuple[str, str], list[str]]:
+    """The files of each pair of header lines; two lines of a file go to the driver."""
+
+    def first_two(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file, n = None, 0
+        for batch in batches:
+            kept = []
+            files = batch.column("file").dictionary_encode()
+            names = files.dictionary.to_pylist()
+            codes = files.indices.to_numpy(zero_copy_only=False)
+            starts = [0, *((codes[1:] != codes[:-1]).nonzero()[0] + 1).tolist()] if len(codes) else []
+            for start, end in zip(starts, [*starts[1:], len(codes)]):
+                name = names[codes[start]]
+                file, n = (file, n) if name == file else (name, 0)
+                kept += range(start, min(end, start + max(0, 2 - n)))
+                n += end - start
+            yield batch.take(pa.array(kept, pa.int64()))
+
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value"
+    )
+    first = lines.where("start = 0").select("file", "value").mapInArrow(first_two, "file string, value string").collect()
+    of_file: dict[str, list[str]] = {}
+    for row in first:
+        of_file.setdefault(row.file, []).append(row.value)
+    found: dict[tuple[str, str], list[str]] = {}
+    for file, lines_of in sorted(of_file.items()):
+        if len(lines_of) < 2:
+            raise ValueError(f"{file} has no two header lines")
+        found.setdefault(tuple(lines_of), []).append(file)
+    return found
+
+
 def read_grouped_csv(
-    spark: SparkSession, path: str, id_name: str = "track_id", keep_nan_strings: bool = False, multi_line: bool = False
+    spark: SparkSession, path: str, id_name: str = "track_id", keep_nan_strings: bool = False, multi_line: bool = True
 ) -> DataFrame:
-    """Two-level-header CSV as flat string columns.
+    """Two-level-header CSV as flat string columns, and ``corrupt_record``.
+
+    Every file has its own two header lines; files with other columns, or the same in another order, meet by name, and
+    a column that a file lacks is NULL there. The header lines and the row that only names the index are dropped by
+    content. A cell that is empty or ``nan`` becomes NULL, or the string ``nan`` with ``keep_nan_strings``. A row with
+    too few or too many cells keeps what could be read and its text in ``corrupt_record``.
 
-    The header is taken from the first two lines. Header lines and the row that only names the index
-    are dropped by content, so they may recur in every file of the folder. A cell that is empty or
-    ``nan`` becomes NULL, or the string ``nan`` with ``keep_nan_strings``.
+    Quoted cells may hold line feeds, for which a task reads a file as a whole; ``multi_line=False`` lets Spark split
+    large files whose cells are known to have none. Headers are read when this is called.
     """
-    group_line, name_line = (r.value for r in spark.read.text(path).head(2))
-    columns = grouped_columns(group_line, name_line, id_name)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    raw = spark.read.csv(
-        path,
-        schema=schema,
-        header=False,
-        quote='"',
-        escape='"',
-        ignoreLeadingWhiteSpace=True,
-        multiLine=multi_line,
-        mode="PERMISSIVE",
-    )
-    key = F.col(f"`{id_name}`")
-    rows = raw.where(key.isNotNull() & ~key.isin("", id_name))
-    if keep_nan_strings:
-        cells = [F.coalesce(F.col(f"`{c}`"), F.lit("nan")).alias(c) for c in columns]
-    else:
-        cells = [F.nullif(F.col(f"`{c}`"), F.lit("nan")).alias(c) for c in columns]
-    return rows.select(cells)
+    result = None
+    for (group_line, name_line), files in header_lines(spark, path).items():
+        columns = grouped_columns(group_line, name_line, id_name)
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, CORRUPT]])
+        raw = spark.read.csv(
+            files,
+            schema=schema,
+            header=False,
+            quote='"',
+            escape='"',
+            ignoreLeadingWhiteSpace=True,
+            multiLine=multi_line,
+            mode="PERMISSIVE",
+            columnNameOfCorruptRecord=CORRUPT,
+        )
+        key = F.col(f"`{id_name}`")
+        rows = raw.where(~F.coalesce(key == id_name, F.lit(False)))
+        for line in (group_line, name_line):
+            cells = [c.strip() for c in next(csv.reader([line]))]
+            same = [F.col(f"`{c}`").eqNullSafe(F.lit(x or None)) for c, x in zip(columns, cells)]
+            rows = rows.where(~F.forall(F.array(*same), lambda x: x))
+        if keep_nan_strings:
+            cells = [F.coalesce(F.col(f"`{c}`"), F.lit("nan")).alias(c) for c in columns]
+        else:
+            cells = [F.nullif(F.col(f"`{c}`"), F.lit("nan")).alias(c) for c in columns]
+        part = rows.select(*cells, CORRUPT)
+        result = part if result is None else result.unionByName(part, allowMissingColumns=True)
+    if result is None:
+        raise ValueError(f"no file in {path}")
+    return result
 
 
 def select_group(df: DataFrame, group: str, id_name: str = "track_id") -> DataFrame:

@@ -39,8 +39,8 @@ def flatten_videos(videos: DataFrame) -> DataFrame:
 
     A malformed line stays a row of NULLs with its text in ``corrupt_record``, if ``videos`` has that column.
     """
-    cells = [F.col(CORRUPT)] if CORRUPT in videos.columns else []
+    cells = []
     for name, source in FLAT_COLUMNS.items():
         value = F.col(source)
         cells.append((F.get(value, F.lit(0)) if name in FIRST_OF_ARRAY else value).alias(name))
-    return videos.select(cells)
+    return videos.select(*cells, *[c for c in videos.columns if c == CORRUPT])

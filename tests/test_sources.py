@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,14 +15,26 @@ def test_grouped_csv(spark, tmp_path):
     (tmp_path / "1.csv").write_text(text + '2,Álbum,"Doe, J","Say ""hi""","[21, 76]"\n3,nan,,x,[]\n')
     (tmp_path / "2.csv").write_text(text + "5,a,b,c,d\n")
     df = grouped_csv.read_grouped_csv(spark, str(tmp_path))
-    assert df.columns == ["track_id", "album__title", "artist__name", "track__title", "track__genres"]
-    rows = {r.track_id: tuple(r)[1:] for r in df.collect()}
+    names = ["track_id", "album__title", "artist__name", "track__title", "track__genres"]
+    assert df.columns == [*names, grouped_csv.CORRUPT]
+    rows = {r.track_id: tuple(r)[1:-1] for r in df.collect()}
     assert rows == {"2": ("Álbum", "Doe, J", 'Say "hi"', "[21, 76]"), "3": (None, None, "x", "[]"), "5": ("a", "b", "c", "d")}
     kept = grouped_csv.read_grouped_csv(spark, str(tmp_path), keep_nan_strings=True)
     assert kept.where("track_id = '3'").first()["artist__name"] == "nan"
     assert grouped_csv.select_group(df, "track").columns == ["track_id", "title", "genres"]
 
 
+def test_grouped_csv_of_files_with_other_headers(spark, tmp_path):
+    (tmp_path / "1.csv").write_text(',track,artist\n,title,name\ntrack_id,,\n1,"a\n77,b",c\n2,d\n3,e,f,g\n,no id,h\n')
+    (tmp_path / "2.csv").write_text(",artist,track\n,name,title\ntrack_id,,\n4,x,y\n")
+    rows = {r.track_id: r for r in grouped_csv.read_grouped_csv(spark, str(tmp_path)).collect()}
+    assert rows.keys() == {"1", "2", "3", "4", None}
+    assert (rows["1"].track__title, rows["1"].artist__name) == ("a\n77,b", "c")
+    assert (rows["4"].track__title, rows["4"].artist__name) == ("y", "x")
+    assert rows[None].track__title == "no id"
+    assert [k for k, r in rows.items() if r.corrupt_record] == ["2", "3"]
+
+
 def test_grouped_csv_refuses_spaces_in_names(spark, tmp_path):
     (tmp_path / "1.csv").write_text(",track\n,two words\ntrack_id,\n1,x\n")
     df = grouped_csv.read_grouped_csv(spark, str(tmp_path))
@@ -38,7 +52,8 @@ def test_videos(spark, tmp_path):
     ]
     (tmp_path / "v.json").write_text("\n".join(lines))
     read = videos.read_videos(spark, str(tmp_path))
-    flat = {r.video_id: tuple(r)[1:] for r in videos.flatten_videos(read).collect()}
+    flat = {r.video_id: tuple(r)[1:-1] for r in videos.flatten_videos(read).collect()}
+    assert [r.corrupt_record for r in videos.flatten_videos(read).collect() if r.corrupt_record] == ["{broken"]
     assert flat["1"] == ("u", "c", "9", "A", "S", None)
     assert flat["2"] == (None,) * 6
     assert [r[0] for r in read.select(videos.CORRUPT, "itemInfos").collect() if r[0]] == ["{broken"]
@@ -104,3 +119,15 @@ def test_scratch_without_a_setting():
     assert scratch.scratch_root(None, "local[2]", "a") == scratch.scratch_root(None, "local[2]", "a")
     with pytest.raises(ValueError, match="share"):
         scratch.scratch_root(None, "spark://host", "a")
+    with pytest.raises(ValueError, match="share"):
+        scratch.scratch_root("file:///tmp/x", "spark://host", "a")
+    assert scratch.scratch_root("file:///tmp/x", "local-cluster[2,1,512]", "a") == "file:///tmp/x"
+
+
+def test_released_tables_are_deleted(spark):
+    kept = scratch.settle(spark.range(5), "kept")
+    with scratch.released(spark):
+        gone = scratch.settle(spark.range(7), "gone")
+        files = [f.removeprefix("file://") for f in gone.inputFiles()]
+        assert gone.count() == 7 and all(map(os.path.exists, files))
+    assert kept.count() == 5 and not any(map(os.path.exists, files))
