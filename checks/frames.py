@@ -1,10 +1,13 @@
 """Frame aggregates: an embedding serves as a short series or as the spectrum of one frame."""
 
+import math
+
 from pyspark.sql import functions as F
 
 from checks.registry import query
 from checks.statistics import _rounded
 from refrain.operators import frames, statistics
+from refrain.plans import features
 from refrain.plans.features import spectrum_statistics
 
 BANDS = 12
@@ -162,3 +165,67 @@ def spectrum_feature_vectors(t):
     keys = ["entity", "feature", "channel"]
     vectors = statistics.feature_vector(_rounded(stats, keys, 4), "entity", features=sizes)
     return vectors.select("entity", F.posexplode("features").alias("position", "value"))
+
+
+MEL = 24
+
+# Weights of the mel-like bands, and the cosines that project their levels on 20 coefficients.
+_MEL_SQL = f"""
+    mel AS (SELECT i AS bin, b AS band, 1.0 / (1 + abs(i - 2.5 * b)) AS weight
+            FROM range(64) r(i), range({MEL}) s(b) WHERE abs(i - 2.5 * b) < 4),
+    levels AS (
+        SELECT entity, frame, band, 10 * log10(greatest(sum(weight * magnitude * magnitude), 1e-10)) AS level
+        FROM spectra JOIN mel USING (bin) GROUP BY entity, frame, band),
+    coefficients AS (
+        SELECT entity, frame, k, sum(level * cos(pi() / {MEL} * (band + 0.5) * k)) AS v
+        FROM levels, range(20) r(k) GROUP BY entity, frame, k)
+"""
+
+
+def _mel(spark):
+    place = F.col("bin") - 2.5 * F.col("band")
+    cells = spark.range(64 * MEL).select(
+        F.floor(F.col("id") / MEL).cast("int").alias("bin"), (F.col("id") % MEL).cast("int").alias("band")
+    )
+    near = cells.where(F.abs(place) < 4).select("bin", "band", (1.0 / (1 + F.abs(place))).alias("weight"))
+    return frames.band_weights(near, MEL, "bin", "band", "weight")
+
+
+@query(
+    f"""
+    WITH {_SPECTRA_SQL}, {_WEIGHTS_SQL}, {_ROLLOFF_SQL}, {_MEL_SQL},
+    signs AS (
+        SELECT label AS entity, vec_id, f, coalesce(CAST(negative <> lag(negative) OVER (PARTITION BY vec_id, f ORDER BY pos)
+               AS INT), 0) AS changed
+        FROM (SELECT label, vec_id, i AS pos, embedding[greatest(1, least(64, i - 3))] < 0 AS negative
+              FROM embeddings, range(72) r(i)), range(17) r(f) WHERE pos BETWEEN f * 4 AND f * 4 + 7),
+    long AS (
+        SELECT entity, 'chroma_stft' AS feature, band + 1 AS channel, sum(weight * magnitude * magnitude) AS v
+        FROM spectra JOIN weights USING (bin) GROUP BY entity, frame, band
+        UNION ALL SELECT entity, 'mfcc', k + 1, v FROM coefficients
+        UNION ALL SELECT entity, 'spectral_centroid', 1, sum(freq * magnitude) / nullif(sum(magnitude), 0)
+        FROM spectra GROUP BY entity, frame
+        UNION ALL SELECT entity, 'spectral_rolloff', 1, rolloff FROM rolloffs
+        UNION ALL SELECT entity, 'zcr', 1, avg(changed) FROM signs GROUP BY entity, vec_id, f
+    ), stats AS (
+        SELECT entity, feature, channel, round(kurtosis_pop(v), 4) AS kurtosis, round(max(v), 4) AS max,
+               round(avg(v), 4) AS mean, round(median(v), 4) AS median, round(min(v), 4) AS min,
+               round({_SKEW}, 4) AS skew, round(stddev_pop(v), 4) AS std
+        FROM long GROUP BY entity, feature, channel
+    ), numbers AS (
+        UNPIVOT stats ON kurtosis, max, mean, median, min, skew, std INTO NAME statistic VALUE value
+    )
+    SELECT entity, row_number() OVER (PARTITION BY entity ORDER BY feature, statistic, channel) - 1 AS position, value
+    FROM numbers
+    """
+)
+def audio_feature_vectors(t):
+    """245 numbers per entity: five features of 35 channels, seven statistics of each over all frames."""
+    series = t.embeddings.select("label", "vec_id", F.posexplode("embedding").alias("pos", "value"))
+    rates = features.sign_rates(series.withColumnRenamed("vec_id", "entity"), frame=8, hop=4, chunk=16, centered=True)
+    labels = t.embeddings.select(F.col("vec_id").alias("entity"), F.col("label").alias("of"))
+    rates = rates.join(labels, "entity").select(F.col("of").alias("entity"), "rate")
+    cosines = [[math.cos(math.pi / MEL * (m + 0.5) * k) for m in range(MEL)] for k in range(20)]
+    stats = features.audio_statistics(_spectra(t), rates, _weights(t.spark), _mel(t.spark), MEL, cosines, fraction=0.85)
+    rounded = stats.select("entity", "feature", "channel", *[F.round(s, 4).alias(s) for s in statistics.STATISTICS])
+    return features.audio_vectors(rounded).select("entity", F.posexplode("features").alias("position", "value"))
