@@ -7,7 +7,8 @@ from checks.scans import grouped_parts
 from refrain.functions.text import ALPHABET
 from refrain.operators import neighbours, relational, weights
 from refrain.plans import linkage, lookup, metadata
-from refrain.sources.scratch import settle
+from refrain.sources import tables
+from refrain.sources.scratch import scratch_path, settle
 
 FIELDS = ["song_title", "artist_name"]
 SLOTS = len(ALPHABET)
@@ -195,6 +196,11 @@ def best_match_linkage(t):
     return _rounded_scores(linkage.link(music(t), video(t)))
 
 
+@query(f"WITH {_BEST_SQL} SELECT * FROM best")
+def best_match_linkage_pruned(t):
+    return _rounded_scores(linkage.link(music(t), video(t), prune=True, tile_items=32, tile_queries=64))
+
+
 @query(
     """
     WITH point AS (SELECT arg_min(embedding, vec_id) AS p FROM embeddings WHERE label = 3),
@@ -245,6 +251,28 @@ def nearest_of_every_vector(t):
     return found.select("query_id", "vec_id", F.round("distance", 6).alias("distance"))
 
 
+@query(
+    """
+    WITH d AS (
+        SELECT q.vec_id AS query_id, v.vec_id AS vec_id, list_sum(list_transform(
+            list_zip(CAST(v.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])),
+            lambda z: (z[1] - z[2]) * 1e-6 * (z[1] - z[2]) * 1e-6)) AS distance
+        FROM embeddings q JOIN embeddings v ON q.label = v.label)
+    SELECT query_id, vec_id, round(distance, 18) AS distance FROM (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(distance, 22), vec_id) AS rank FROM d)
+    WHERE rank <= 3
+    """
+)
+def nearest_small_vectors_pruned(t):
+    """Vectors times 1e-6, in tiles small enough for bins to be skipped at any size of the tables."""
+    small = t.embeddings.select("label", "vec_id", F.transform("embedding", lambda x: x.cast("double") * 1e-6).alias("v"))
+    queries = small.withColumnRenamed("vec_id", "query_id")
+    found = neighbours.nearest(
+        queries, small, "label", "query_id", "vec_id", "v", k=3, prune=True, tile_items=16, tile_queries=64
+    )
+    return found.select("query_id", "vec_id", F.round("distance", 18).alias("distance"))
+
+
 @query(
     f"""
     WITH {_BEST_SQL},
@@ -254,8 +282,9 @@ def nearest_of_every_vector(t):
             SELECT vec_id, list_sum(list_transform(list_zip(CAST(embedding AS DOUBLE[]), CAST(p AS DOUBLE[])),
                 lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS distance
             FROM embeddings, point WHERE label = 3 ORDER BY distance, vec_id LIMIT 5))
-    SELECT music_track_id, b.video_track_id, b.name_key_1, b.title_simi, b.total_simi,
-           'v' || c.conv_id || '/' || c.turn AS video_url, c.role AS artist_name
+    SELECT music_track_id, b.video_track_id, b.name_key_1, b.title_simi, b.artist_simi, b.total_simi,
+           'v' || c.conv_id || '/' || c.turn AS video_url, 'cover ' || (c.turn + 1) AS covers,
+           lower(regexp_replace(c.role, '[^a-zA-Z0-9]', '', 'g')) AS artist_name
     FROM hits JOIN best b USING (music_track_id)
     JOIN conversations c ON b.video_track_id = 't' || c.conv_id || '_' || c.turn
     """
@@ -266,19 +295,22 @@ def videos_for_vector(t):
     )
     point = t.embeddings.where(F.col("label") == 3).agg(F.min_by("embedding", "vec_id")).first()[0]
     left, right = stored_names(t)
-    pairs = _rounded_scores(linkage.link(left, right))
-    songs = lookup.similar_songs(vectors, left, 3, point)
-    spoken = F.split(F.substring("track_id", 2, 100), "_")
-    clips = right.select(
-        "track_id",
-        "name_key_1",
-        "artist_name",
-        F.concat(F.lit("v"), spoken[0], F.lit("/"), spoken[1]).alias("video_url"),
-    )
-    found = lookup.videos_of_songs(songs, pairs, clips)
-    return found.select(
-        "music_track_id", "video_track_id", "name_key_1", "title_simi", "total_simi", "video_url", "artist_name"
+    songs = settle(lookup.similar_songs(vectors, left, 3, point), "songs")
+    pairs = _rounded_scores(linkage.link(left, right, only=songs))
+    spoken = F.split(F.substring_index("track_id", "t", -1), "_")
+    url = F.concat(F.lit("v"), spoken[0], F.lit("/"), spoken[1])
+    covers = F.transform(F.array(F.lit(0), F.lit(1)), lambda n: F.concat(F.lit("cover "), n + spoken[1].cast("int")))
+    clips = right.select("track_id", "name_key_1", "artist_name", url.alias("video_url"), F.explode(covers).alias("covers"))
+    stored = {}
+    for name, table in (("pairs", pairs), ("videos", clips)):
+        stored[name] = scratch_path(t.spark, name)
+        tables.append_partitioned(table, stored[name], "name_key_1")
+    found = lookup.videos_of_songs(
+        songs, tables.read_table(t.spark, stored["pairs"]), tables.read_table(t.spark, stored["videos"])
     )
+    keys = ["music_track_id", "video_track_id", "name_key_1", "title_simi", "artist_simi", "total_simi"]
+    last = lookup.covers_by_url(found.select(*keys, "video_url", "artist_name", "covers"), keys, ["covers"])
+    return last.select(*keys, "video_url", "covers", "artist_name")
 
 
 @query(

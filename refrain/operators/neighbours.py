@@ -18,7 +18,6 @@ TILES_PER_SIDE = 64
 TILE_GROWTH = 16
 MAX_PIVOTS = 1024
 MAX_RINGS = 16
-PRUNE_FROM = 10**11
 HOME_ITEMS = 64
 SLACK = 1e-6
 
@@ -37,11 +36,14 @@ def nearest_to_point(
 def nearest_to_one_per_group(
     vectors: DataFrame, queries: DataFrame, group: str, id_column: str, vector: str, query_vector: str, k: int = 5
 ) -> DataFrame:
-    """The ``k`` vectors of each group nearest to the one query vector of that group.
+    """The ``k`` vectors of each group nearest to the one query vector of that group; a second one is refused.
 
     The queries are written first: with their size known, few of them are broadcast and the vectors stay put.
     """
-    scored = vectors.join(settle(queries, "queries"), group).select(
+    queries = settle(queries, "queries")
+    if not queries.groupBy(group).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        raise ValueError("a group has several queries; use nearest")
+    scored = vectors.join(queries, group).select(
         group, id_column, squared_l2(F.col(vector), F.col(query_vector)).alias("distance")
     )
     return first_k_per_key(scored, [group], [F.col("distance").asc_nulls_last(), F.col(id_column)], k)
@@ -56,28 +58,30 @@ def nearest(
     vector: str,
     k: int = 1,
     spans: Sequence[tuple[int, int]] | None = None,
-    quantum: float = 1e-9,
+    quantum: float | None = None,
     tile_items: int = TILE_ITEMS,
     tile_queries: int = TILE_QUERIES,
     max_pivots: int = MAX_PIVOTS,
-    prune_from: int = PRUNE_FROM,
+    prune: bool = False,
     clean: bool = False,
 ) -> DataFrame:
-    """Exactly the ``k`` nearest items of each query's group: ``(query_id, item_id, distance, parts)``.
+    """Exactly the ``k`` nearest items of each query's group: ``(group, query_id, item_id, distance, parts)``.
 
-    ``parts`` holds the squared distance within each span of the vector, ``distance`` their sum. Distances
-    equal after rounding to ``quantum`` go to the smallest item id; items with NaN come last. Queries whose
-    group has no item give no row.
+    ``parts`` holds the squared distance within each span of the vector, ``distance`` their sum. Equal distances go
+    to the smallest item id, with ``quantum`` also those that are equal after rounding to it; items with NaN come
+    last. A query is known by its group and id, so an id may recur in other groups. Queries whose group has no item
+    give no row.
 
     No pair becomes a row. Queries and items meet in tiles of bounded size, in which one matrix product
-    scores all pairs and only the ``k`` best per query leave. From ``prune_from`` pairs on, tiles that cannot
+    scores all pairs and only the ``k`` best per query leave. With ``prune`` tiles that cannot
     hold a neighbour are skipped: items are put into bins by their nearest pivot and their distance
     to it, and the triangle inequality, in each span of the vector, and the plane between two pivots
     bound the distance of a query to a whole bin. A first scan of the most promising bins gives each query a real distance to
     beat; the second scan visits every bin whose bound does not rule it out. Skipping therefore changes
     the work and never the result.
 
-    ``clean`` states that no two items of a group have the same vector and that no vector has NaN.
+    ``clean`` states that no two items of a group have the same vector and that no vector has NaN. The layout of the
+    tiles, and with ``prune`` the first scan, run and are written when this is called.
     """
     queries = queries.select(F.col(group).alias("g"), F.col(query_id).alias("query"), _doubles(vector))
     items = items.select(F.col(group).alias("g"), F.col(item_id).alias("item"), _doubles(vector))
@@ -88,9 +92,11 @@ def nearest(
         queries, items = queries.where(~_has_nan()), items.where(~_has_nan())
 
     scan = dict(k=k, spans=spans, quantum=quantum, tile_items=tile_items, tile_queries=tile_queries)
-    rows = items.count()
-    wanted = min(max_pivots, rows // (4 * tile_items))
-    pivots = _pivots(items, wanted, rows) if wanted and _pairs(queries, items) >= prune_from else {}
+    pivots: dict = {}
+    if prune:
+        rows = items.count()
+        wanted = min(max_pivots, rows // (4 * tile_items))
+        pivots = _pivots(items, wanted, rows) if wanted else {}
     if pivots:
         # Rings cut the cell of a pivot into bins of about a quarter of a tile.
         rings = (rows / (wanted * tile_items / 4)) ** (1 / len(spans or [0]))
@@ -99,7 +105,9 @@ def nearest(
         whole = F.lit(-1).alias("bin")
         found = _scan(queries.select("*", whole), items.select("*", whole), **scan)
     best = _best(found if undefined is None else found.unionByName(undefined), k)
-    return best.select(F.col("query").alias(query_id), F.col("item").alias(item_id), "distance", "parts")
+    return best.select(
+        F.col("g").alias(group), F.col("query").alias(query_id), F.col("item").alias(item_id), "distance", "parts"
+    )
 
 
 def _doubles(vector: str):
@@ -123,18 +131,18 @@ def _undefined_pairs(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
     pairs = queries.where(~_has_nan()).join(broken, "g").unionByName(queries.where(_has_nan()).join(anything, "g"))
     last = F.lit(float("inf")).alias("rank")
     nan = F.lit(float("nan"))
-    return pairs.select("query", "item", nan.alias("distance"), F.array(nan).alias("parts"), last)
+    return pairs.select("g", "query", "item", nan.alias("distance"), F.array(nan).alias("parts"), last)
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
     if k == 1:
         first = F.min(F.struct("rank", "item", "distance", "parts")).alias("best")
-        return found.groupBy("query").agg(first).select("query", "best.item", "best.distance", "best.parts")
-    return first_k_per_key(found, ["query"], [F.col("rank"), F.col("item")], k, rank="place")
+        return found.groupBy("g", "query").agg(first).select("g", "query", "best.item", "best.distance", "best.parts")
+    return first_k_per_key(found, ["g", "query"], [F.col("rank"), F.col("item")], k, rank="place")
 
 
 def _scan(
-    visits: DataFrame, items: DataFrame, k: int, spans, quantum: float, tile_items: int, tile_queries: int
+    visits: DataFrame, items: DataFrame, k: int, spans, quantum: float | None, tile_items: int, tile_queries: int
 ) -> DataFrame:
     """Score ``visits (g, bin, query, v)`` against ``items (g, bin, item, v)``; the ``k`` best per query and tile.
 
@@ -165,20 +173,21 @@ def _scan(
     right = items.join(layout, ["g", "bin"]).select(
         "g", "bin", every("query_parts").alias("query_part"), part("item", "item_parts").alias("item_part"), "item", "v"
     )
-    id_types = [f"{c} {df.schema[c].dataType.simpleString()}" for c, df in (("query", visits), ("item", items))]
+    typed = (("g", visits), ("query", visits), ("item", items))
+    id_types = [f"{c} {df.schema[c].dataType.simpleString()}" for c, df in typed]
     schema = ", ".join([*id_types, "distance double", "parts array<double>", "rank double"])
     return (
         left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_tile_scorer(k, spans, quantum), schema)
     )
 
 
-def _tile_scorer(k: int, spans, quantum: float):
+def _tile_scorer(k: int, spans, quantum: float | None):
     def score(left, right):
         def matrix(table):
             column = table.column("v").combine_chunks()
             return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
-        types = [("query", left.schema.field("query").type), ("item", right.schema.field("item").type)]
+        types = [(c, left.schema.field(c).type) for c in ("g", "query")] + [("item", right.schema.field("item").type)]
         results = [("distance", pa.float64()), ("parts", pa.list_(pa.float64())), ("rank", pa.float64())]
         schema = pa.schema([*types, *results])
         if left.num_rows == 0 or right.num_rows == 0:
@@ -192,7 +201,7 @@ def _tile_scorer(k: int, spans, quantum: float):
         against = np.hstack([c, c_square[:, None]]).T.copy()
         asked = np.hstack([-2.0 * q, np.ones((len(q), 1))])
         # That form loses digits: shortlist with room for it, then subtract directly.
-        room = 1e-12 * (q_square + c_square.max()) + 2.0 * quantum
+        room = 1e-12 * (q_square + c_square.max()) + 2.0 * (quantum or 0.0)
         last = min(k, len(c)) - 1
         rows, columns, within, ranks = [], [], [], []
         step = max(8, (1 << 18) // len(c))  # a block of scores stays in the cache
@@ -207,7 +216,9 @@ def _tile_scorer(k: int, spans, quantum: float):
                 gap = block[i[s]] - c[j[s]]
                 for n, (a, b) in enumerate(cuts):
                     parts[s, n] = np.einsum("ij,ij->i", gap[:, a:b], gap[:, a:b])
-            rank = np.rint(parts.sum(axis=1) / quantum)
+            rank = parts.sum(axis=1)
+            if quantum:
+                rank = np.rint(rank / quantum)
             order = np.lexsort((j, rank, i))
             i, j, parts, rank = i[order], j[order], parts[order], rank[order]
             place = np.arange(len(i)) - np.searchsorted(i, i, side="left")
@@ -220,6 +231,7 @@ def _tile_scorer(k: int, spans, quantum: float):
         offsets = pa.array(np.arange(0, parts.size + 1, len(cuts), dtype=np.int32))
         return pa.table(
             [
+                left.column("g").take(pa.array(np.concatenate(rows))),
                 left.column("query").take(pa.array(np.concatenate(rows))),
                 right.column("item").take(pa.array(np.concatenate(columns))),
                 pa.array(parts.sum(axis=1)),
@@ -232,13 +244,6 @@ def _tile_scorer(k: int, spans, quantum: float):
     return score
 
 
-def _pairs(queries: DataFrame, items: DataFrame) -> int:
-    """How many pairs share a group."""
-    asked = queries.groupBy("g").agg(F.count(F.lit(1)).alias("queries"))
-    held = items.groupBy("g").agg(F.count(F.lit(1)).alias("items"))
-    return int(asked.join(held, "g").agg(F.sum(F.col("queries") * F.col("items").cast("double"))).first()[0] or 0)
-
-
 def _pivots(items: DataFrame, wanted: int, rows: int) -> dict:
     """Vectors of ``wanted`` items by group: a uniform sample by hash, hence the same after a retry.
 
@@ -287,11 +292,11 @@ def _pruned_scan(queries: DataFrame, items: DataFrame, pivots: dict, rings: int,
 
     # The k-th distance found at home is one to beat; with fewer than k found nothing is ruled out.
     if scan["k"] == 1:
-        beat = near.groupBy("query").agg(F.min("distance").alias("beat"))
+        beat = near.groupBy("g", "query").agg(F.min("distance").alias("beat"))
     else:
-        kept = _best(near, scan["k"]).groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("far"))
-        beat = kept.select("query", F.when(F.col("n") >= scan["k"], F.col("far")).alias("beat"))
-    rest = home.join(beat, "query", "left").select("g", "query", "v", "bins", "beat")
+        kept = _best(near, scan["k"]).groupBy("g", "query").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("far"))
+        beat = kept.select("g", "query", F.when(F.col("n") >= scan["k"], F.col("far")).alias("beat"))
+    rest = home.join(beat, ["g", "query"], "left").select("g", "query", "v", "bins", "beat")
     visits = settle(rest.mapInArrow(_bin_chooser(shared_bins, scan["k"], scan["quantum"], first=False), reach), "visits")
     far = _scan(visits.select("g", "query", "v", one_bin), binned, **scan)
     return near.unionByName(far)
@@ -309,7 +314,7 @@ def _bin_assigner(shared):
             np.fill_diagonal(apart, np.inf)
             gap = p - p[apart.argmin(axis=1)]
             reach = [np.sqrt((gap[:, a:b] ** 2).sum(axis=1)).mean() for a, b in spans]
-            widths[g] = [max(2.0 * r / rings, 1e-9) for r in reach]
+            widths[g] = [2.0 * r / rings or 1.0 for r in reach]
         for batch in batches:
             groups = np.array(batch.column("g").to_pylist(), dtype=object)
             vectors = batch.column("v")
@@ -346,7 +351,7 @@ def _bin_assigner(shared):
     return assign
 
 
-def _bin_chooser(shared_bins, k: int, quantum: float, first: bool):
+def _bin_chooser(shared_bins, k: int, quantum: float | None, first: bool):
     """Choose bins per query: the most promising ones first, afterwards all others in reach of ``beat``."""
 
     def choose(batches):
@@ -362,7 +367,7 @@ def _bin_chooser(shared_bins, k: int, quantum: float, first: bool):
 
         def lower_bounds(x, p, cell, bounds):
             """Squared distance that no item of a bin falls below, for every row of ``x`` and every bin."""
-            room = SLACK * max(1.0, np.sqrt((x * x).sum(axis=1).max() + (p * p).sum(axis=1).max()))
+            room = SLACK * np.sqrt((x * x).sum(axis=1).max() + (p * p).sum(axis=1).max())
             ringed = np.zeros((len(x), len(cell)))
             for s, (a, b) in enumerate(spans):
                 away = np.sqrt(squares(x[:, a:b], p[:, a:b]))[:, cell]
@@ -373,7 +378,7 @@ def _bin_chooser(shared_bins, k: int, quantum: float, first: bool):
             joint = squares(x, p)
             own = joint.argmin(axis=1)
             apart = np.sqrt(squares(p, p))[own]
-            beyond = (joint - joint.min(axis=1)[:, None]) / (2.0 * np.maximum(apart, room))
+            beyond = (joint - joint.min(axis=1)[:, None]) / (2.0 * np.maximum(apart, max(room, np.finfo(float).tiny)))
             return np.maximum(ringed, np.maximum(0.0, beyond - room)[:, cell] ** 2)
 
         for batch in batches:
@@ -400,7 +405,7 @@ def _bin_chooser(shared_bins, k: int, quantum: float, first: bool):
                             enough = np.searchsorted(np.cumsum(sizes[order]), max(k, HOME_ITEMS)) + 1
                             chosen[row] = ids[order[:enough]].tolist()
                         else:
-                            reach = ids[low[n] <= beat[row] * (1.0 + SLACK) + SLACK + 2.0 * quantum]
+                            reach = ids[low[n] <= beat[row] * (1.0 + SLACK) + 2.0 * (quantum or 0.0)]
                             chosen[row] = np.setdiff1d(reach, visited[row]).tolist()
             yield pa.RecordBatch.from_arrays(
                 [batch.column("g"), batch.column("query"), vectors, pa.array(chosen, pa.list_(pa.int32()))],

@@ -98,18 +98,26 @@ def link(
     block: str = BLOCK,
     title: str = TITLE,
     artist: str = ARTIST,
+    only: DataFrame | None = None,
     **search,
 ) -> DataFrame:
     """The best right record of every left one that has any in its block.
 
     The best total score counts, equal ones (to 9 places) go to the smallest right id. Records with the
     same vectors are searched once. The sum of two cosines is two minus half the squared distance of the
-    joined unit vectors, so the search is an exact nearest-neighbour search and forms no pairs.
+    joined unit vectors, so the search is an exact nearest-neighbour search and forms no pairs. ``search`` goes to
+    ``nearest``.
+
+    ``only``, a table with the column ``id_column``, restricts the left records that are searched; weights come from all
+    records all the same. Counts, weights and the search run, and are written, when this is called.
     """
     fields = [title, artist]
     # The digest leads the grouping, so that sorting and joining compare a number before they compare arrays.
     counts = count_sides(left, right, id_column, block, fields).withColumn("digest", F.xxhash64(*fields))
     idf = settled_idf(counts, block, fields)
+    if only is not None:
+        wanted = counts.where(F.col("side") == "left").join(only.select(id_column).distinct(), id_column, "left_semi")
+        counts = settle(counts.where(F.col("side") == "right").unionByName(wanted), "wanted")
     alike = settle(
         counts.groupBy("digest", "side", block, *fields).agg(F.min(id_column).alias("first_id")), "alike"
     )

@@ -33,7 +33,7 @@ def test_spectrum_of_one_frame(spark):
     long = spark.createDataFrame([(1, 0, 1.0), (2, 0, 0.5), (2, 1, 2.0)], "bin int, band int, w double")
     weights = frames.band_weights(long, 2, "bin", "band", "w")
     energy = {(r.f, r.band): r.energy for r in frames.band_energy(df, weights, 2, "e", "f", "bin", "m").collect()}
-    assert energy == {(0, 0): pytest.approx(1.0 + 0.5 * 9.0), (0, 1): pytest.approx(18.0)}
+    assert energy == {(0, 0): pytest.approx(1.0 + 0.5 * 9.0), (0, 1): pytest.approx(18.0), (1, 0): 0.0, (1, 1): 0.0}
 
 
 def test_projection_of_levels_keeps_signs_and_frames(spark):

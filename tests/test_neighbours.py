@@ -2,22 +2,23 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from refrain.operators import neighbours
 
 SCHEMA = "g string, id long, v array<double>"
 
 
-def brute_force(queries, items, k, quantum=1e-9):
+def brute_force(queries, items, k, quantum=None):
     expected = {}
     for g, q, x in queries:
         ranked = []
         for h, c, y in items:
             if g == h:
                 d = sum((a - b) ** 2 for a, b in zip(x, y))
-                ranked.append((math.inf if math.isnan(d) else round(d / quantum), c))
+                ranked.append((math.inf if math.isnan(d) else round(d / quantum) if quantum else d, c))
         if ranked:
-            expected[q] = [c for _, c in sorted(ranked)[:k]]
+            expected[g, q] = [c for _, c in sorted(ranked)[:k]]
     return expected
 
 
@@ -26,8 +27,15 @@ def searched(spark, queries, items, k, **options):
     c = spark.createDataFrame(items, SCHEMA).withColumnRenamed("id", "c")
     found = {}
     rows = neighbours.nearest(q, c, "g", "q", "c", "v", k=k, **options).collect()
-    for r in sorted(rows, key=lambda r: (math.isnan(r.distance), round(r.distance, 9) if r.distance == r.distance else 0, r.c)):
-        found.setdefault(r.q, []).append(r.c)
+    quantum = options.get("quantum") or 0
+
+    def place(r):
+        if math.isnan(r.distance):
+            return math.inf, r.c
+        return round(r.distance / quantum) if quantum else r.distance, r.c
+
+    for r in sorted(rows, key=place):
+        found.setdefault((r.g, r.q), []).append(r.c)
     return found
 
 
@@ -44,7 +52,7 @@ def cloud(rng, rows, groups, dim, start=0, scale=1.0, hot=0.4):
 
 
 TILED = dict(tile_items=16, tile_queries=32, spans=[(0, 2), (2, 6)])
-WAYS = {"one tile": {}, "tiles": TILED, "pruned": {**TILED, "prune_from": 0}, "pruned, one span": dict(prune_from=0, tile_items=8)}
+WAYS = {"one tile": {}, "tiles": TILED, "pruned": {**TILED, "prune": True}, "pruned, one span": dict(prune=True, tile_items=8)}
 
 
 @pytest.mark.parametrize("k", [1, 5])
@@ -63,7 +71,7 @@ def test_far_from_the_origin(spark):
     queries = [(g, i, [x + shift for x in v]) for g, i, v in cloud(rng, 40, ["a"], 4, start=5000)]
     expected = brute_force(queries, items, 3, 1e-6)
     assert searched(spark, queries, items, 3, quantum=1e-6) == expected
-    assert searched(spark, queries, items, 3, quantum=1e-6, prune_from=0, tile_items=16) == expected
+    assert searched(spark, queries, items, 3, quantum=1e-6, prune=True, tile_items=16) == expected
 
 
 def test_wide_distances_keep_their_order(spark):
@@ -71,19 +79,35 @@ def test_wide_distances_keep_their_order(spark):
     queries = [("a", 1, [0.0, 0.0])]
     expected = brute_force(queries, items, 4)
     assert searched(spark, queries, items, 4) == expected
-    assert searched(spark, queries, items, 4, prune_from=0, tile_items=8) == expected
+    assert searched(spark, queries, items, 4, prune=True, tile_items=8) == expected
 
 
 def test_copies_go_to_the_smallest_ids(spark):
     items = [("a", i, [1.0, 1.0]) for i in range(300, 0, -1)] + [("a", 1000, [5.0, 5.0])]
-    assert searched(spark, [("a", 1, [1.0, 1.0])], items, 4) == {1: [1, 2, 3, 4]}
+    assert searched(spark, [("a", 1, [1.0, 1.0])], items, 4) == {("a", 1): [1, 2, 3, 4]}
+
+
+@pytest.mark.parametrize("prune", [False, True])
+def test_small_vectors_and_ids_in_two_groups(spark, prune):
+    rng = np.random.default_rng(9)
+    items = [("a", 1, [1e-5]), ("a", 2, [0.0]), *[(g, i, [float(x)]) for i, (g, x) in enumerate(zip("ab" * 100, rng.normal(size=200) * 1e-7), 3)]]
+    queries = [("a", 1, [0.0]), ("b", 1, [2e-8]), ("a", 5, [1e-5])]
+    expected = brute_force(queries, items, 2)
+    assert expected["a", 1][0] == 2 and len(expected) == 3
+    assert searched(spark, queries, items, 2, prune=prune, tile_items=8) == expected
+
+
+def test_a_second_query_of_a_group_is_refused(spark):
+    df = spark.createDataFrame([("a", 1, [1.0]), ("a", 2, [2.0])], SCHEMA)
+    with pytest.raises(ValueError, match="several"):
+        neighbours.nearest_to_one_per_group(df, df.select("g", F.col("v").alias("q")), "g", "id", "v", "q")
 
 
 def test_nan_comes_last(spark):
     nan = math.nan
     items = [("a", 1, [nan, 0.0]), ("a", 2, [9.0, 0.0]), ("a", 3, [nan, nan]), ("b", 4, [nan, 1.0])]
     queries = [("a", 1, [0.0, 0.0]), ("a", 2, [nan, 0.0]), ("b", 3, [0.0, 0.0])]
-    assert searched(spark, queries, items, 2) == {1: [2, 1], 2: [1, 2], 3: [4]}
+    assert searched(spark, queries, items, 2) == {("a", 1): [2, 1], ("a", 2): [1, 2], ("b", 3): [4]}
 
 
 def test_parts_add_up(spark):
