@@ -22,9 +22,15 @@ def similar_songs(
 
 
 def videos_of_songs(songs: DataFrame, pairs: DataFrame, videos: DataFrame, block: str = "name_key_1") -> DataFrame:
-    """All videos of the best match of each song; the block joins too, so partitions of both tables are pruned."""
-    matched = songs.select(F.col("track_id").alias("music_track_id"), block).join(pairs, ["music_track_id", block])
-    tracks = videos.withColumnRenamed("track_id", "video_track_id")
+    """All videos of the best match of each song.
+
+    ``songs`` are the few hits of a search, so their blocks are collected, and only those partitions of tables that
+    are stored by ``block`` are read.
+    """
+    blocks = [r[0] for r in songs.select(block).distinct().collect()]
+    own = F.col(block).isin(blocks)
+    matched = songs.select(F.col("track_id").alias("music_track_id"), block).join(pairs.where(own), ["music_track_id", block])
+    tracks = videos.where(own).withColumnRenamed("track_id", "video_track_id")
     return matched.join(tracks, ["video_track_id", block])
 
 

@@ -3,8 +3,9 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from refrain.plans import linkage
+from refrain.plans import linkage, lookup
 
 SCHEMA = "track_id string, song_title string, artist_name string, name_key_1 string"
 
@@ -90,3 +91,25 @@ def test_result_does_not_depend_on_partitions(spark):
     one = {tuple(x) for x in linkage.link(l.coalesce(1), r.coalesce(1)).collect()}
     many = {tuple(x) for x in linkage.link(l.repartition(7), r.repartition(5)).collect()}
     assert {(x[0], x[1]) for x in one} == {(x[0], x[1]) for x in many}
+
+
+def test_lookup_reads_the_partitions_of_its_songs(spark, tmp_path):
+    rows = [(f"m{i}", f"t{i}", "abcd"[i % 4]) for i in range(40)]
+    pairs = spark.createDataFrame(rows, "music_track_id string, video_track_id string, name_key_1 string")
+    clips = pairs.select(F.col("video_track_id").alias("track_id"), "name_key_1", F.lit("u").alias("video_url"))
+    for name, df in (("pairs", pairs), ("clips", clips)):
+        df.write.partitionBy("name_key_1").parquet(str(tmp_path / name))
+    songs = spark.createDataFrame([("m1", "b"), ("m5", "b"), ("m2", "c")], "track_id string, name_key_1 string")
+    found = lookup.videos_of_songs(songs, spark.read.parquet(str(tmp_path / "pairs")), spark.read.parquet(str(tmp_path / "clips")))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    filters = [line for line in plan.splitlines() if "PartitionFilters: [name_key_1" in line and " IN (b,c)" in line]
+    assert len(filters) >= 2
+    assert sorted(r.video_track_id for r in found.collect()) == ["t1", "t2", "t5"]
+
+
+def test_link_of_some_records_equals_the_rest(spark):
+    left = spark.createDataFrame([(f"m{i}", f"name {i % 7} x{i}", "artist", "n") for i in range(30)], "track_id string, song_title string, artist_name string, name_key_1 string")
+    right = spark.createDataFrame([(f"t{i}", f"name {i % 5} y{i}", "artist", "n") for i in range(30)], left.schema)
+    every = {r.music_track_id: r for r in linkage.link(left, right).collect()}
+    some = linkage.link(left, right, only=left.limit(4).select("track_id")).collect()
+    assert len(some) == 4 and all(every[r.music_track_id].video_track_id == r.video_track_id for r in some)
