@@ -109,3 +109,8 @@ def content_key(*columns: Column) -> list[Column]:
     """128 bits that only rows with equal values in ``columns`` share, as ``key_1`` and ``key_2``; nulls count as values."""
     parts = [x for c in columns for x in (c.isNull(), c)]
     return [F.xxhash64(F.lit(1), *parts).alias("key_1"), F.xxhash64(F.lit(2), *parts).alias("key_2")]
+
+
+def drawn(key: Column) -> Column:
+    """A number from 0 to 1 that depends on ``key`` alone, for samples that a repeated task draws again."""
+    return F.pmod(F.xxhash64(F.lit("draw"), key), F.lit(1 << 40)) / float(1 << 40)

@@ -8,12 +8,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from refrain.llm.common import LOWER_CASE, as_bytes, map_rows, with_columns
+from refrain.llm.common import LOWER_CASE, as_bytes, drawn, map_rows, with_columns
 
 #: Bytes of the longest context.
 ORDER = 4
 #: Training texts of a language, and characters of the longest that is taken: together the bound of what is learned from.
-TEXTS, CHARACTERS = 250, 20_000
+TEXTS, CHARACTERS = 400, 20_000
 #: More languages than this are taken for a mistake.
 LANGUAGES = 500
 #: Bytes that are scored at a time.
@@ -194,21 +194,21 @@ class Models:
 def train(labelled: DataFrame, text: str, lang: str, key: Column, texts: int = TEXTS, characters: int = CHARACTERS) -> Models:
     """Models of every language in ``labelled``, from ``texts`` texts each of at most ``characters`` characters.
 
-    Texts are drawn by the order of ``key``. The driver gets no more than that bound.
+    Texts are drawn by ``key``; one that is null draws none. The driver gets no more than twice that bound.
     """
-    from pyspark.sql import Window as W
-
-    usable = labelled.filter(F.col(lang).isNotNull() & (F.length(text) <= characters))
-    if usable.select(lang).distinct().limit(LANGUAGES + 1).count() > LANGUAGES:
+    usable = labelled.filter(F.col(lang).isNotNull() & (F.length(text) <= characters) & key.isNotNull())
+    usable = usable.select(F.col(lang).alias("lang"), drawn(key).alias("draw"), F.col(text).alias("text"))
+    sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(LANGUAGES + 1).collect()
+    if len(sizes) > LANGUAGES:
         raise ValueError(f"{lang} has more than {LANGUAGES} values")
-    chosen = usable.select(F.col(lang).alias("lang"), key.alias("key"))
-    place = F.row_number().over(W.partitionBy("lang").orderBy("key"))
-    keys = chosen.withColumn("place", place).filter(F.col("place") <= texts).select("lang", "key")
-    spread = usable.select(F.col(lang).alias("lang"), key.alias("key"), F.col(text).alias("text"))
-    found = spread.join(F.broadcast(keys.distinct()), ["lang", "key"], "left_semi").dropDuplicates(["lang", "key"]).collect()
     samples: dict[str, list[bytes]] = {}
-    for row in sorted(found, key=lambda r: (r.lang, r.key)):
-        samples.setdefault(row.lang, []).append(row.text.encode())
+    if sizes:
+        shares = labelled.sparkSession.createDataFrame([(r.lang, 2 * texts / r.n) for r in sizes], "lang string, share double")
+        some = usable.join(F.broadcast(shares), "lang").filter("draw <= share").select("lang", "draw", "text")
+        for row in sorted(some.collect(), key=lambda r: (r.lang, r.draw, r.text)):
+            own = samples.setdefault(row.lang, [])
+            if len(own) < texts:
+                own.append(row.text.encode())
     return Models(samples)
 
 

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from refrain.llm.common import map_rows, with_columns
+from refrain.llm.common import drawn, map_rows, with_columns
 
 KINDS = ("email", "ip", "card", "phone")
 #: Texts that the weights are learned from, and characters of the longest that is taken.
@@ -235,10 +235,12 @@ class Field:
 
 
 def train(docs: DataFrame, key: Column, text: str = "text", texts: int = TEXTS, characters: int = CHARACTERS) -> Field:
-    """A field from the ``texts`` first texts by ``key`` of those with a digit or at sign and at most ``characters``."""
+    """A field from ``texts`` texts, drawn by ``key`` from those with a digit or at sign and at most ``characters``."""
     usable = docs.filter(F.col(text).rlike("[0-9@]") & (F.length(text) <= characters))
-    drawn = usable.select(key.alias("key"), F.col(text).alias("text")).orderBy("key", "text").limit(texts).collect()
-    return Field([row.text for row in drawn])
+    usable = usable.select(drawn(key).alias("draw"), F.col(text).alias("text"))
+    share = 2 * texts / max(1, usable.count())  # so few come to the driver, however many tasks there are
+    found = usable.filter(F.col("draw") <= share).orderBy("draw", "text").limit(texts).collect()
+    return Field([row.text for row in found])
 
 
 def find(docs: DataFrame, field: Field, text: str = "text") -> DataFrame:
