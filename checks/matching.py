@@ -143,7 +143,8 @@ def block_idf(t):
     """
 )
 def word_weights(t):
-    long = weights.term_weights(t.documents.select("lang", "doc_id", "text"), "lang", "doc_id", ["text"], mode="word")
+    docs = t.documents.select("lang", "doc_id", "text")
+    long = weights.term_weights(docs, "lang", "doc_id", ["text"], mode="word", frequent_from=50)
     return long.withColumn("weight", F.round("weight", 6))
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from refrain.functions.text import ALPHABET, char_counts, tokens
 from refrain.sources.scratch import settle
 
+# Words whose IDF may be sent to all tasks.
+MOST_FREQUENT = 200_000
 SLOTS = len(ALPHABET)
 
 
@@ -104,10 +106,14 @@ def _word_idf(counts: DataFrame, sizes: DataFrame, block: str) -> DataFrame:
     return found.join(sizes, block).withColumn("idf", _idf(F.col("block_rows"), F.col("df")))
 
 
-def term_weights(df: DataFrame, block: str, id_column: str, fields: Sequence[str], mode: str = "char") -> DataFrame:
+def term_weights(
+    df: DataFrame, block: str, id_column: str, fields: Sequence[str], mode: str = "char", frequent_from: int = 10_000
+) -> DataFrame:
     """TF-IDF in long form: rows ``(block, id, field, term, weight)``.
 
-    Counts are written once, as they are needed twice: for the IDF and for the weights.
+    Counts are written once, as they are needed twice: for the IDF and for the weights; that runs when this is called.
+    The IDF of words that a block has in ``frequent_from`` rows or more is sent to all tasks, so that the rows of a
+    stop word are never shuffled by it; only rows of rarer words are.
     """
     if mode == "char":
         counts = settle(with_char_counts(df.select(block, id_column, *fields), fields), "counts")
@@ -125,9 +131,16 @@ def term_weights(df: DataFrame, block: str, id_column: str, fields: Sequence[str
             )
         )
     counts = settle(term_counts(df, [block, id_column], fields, mode), "counts")
-    idf = _word_idf(counts, _block_sizes(df, block), block).select(block, "field", "term", "idf")
-    joined = counts.join(idf, [block, "field", "term"])
-    return joined.select(block, id_column, "field", "term", (F.col("tf") * F.col("idf")).alias("weight"))
+    found = _word_idf(counts, _block_sizes(df, block), block).select(block, "field", "term", "df", "idf")
+    idf = settle(found, "word-idf")
+    frequent = idf.where(F.col("df") >= frequent_from).drop("df")
+    if frequent.count() > MOST_FREQUENT:
+        raise ValueError(f"more than {MOST_FREQUENT} words are in {frequent_from} rows; raise frequent_from")
+    keys = [block, "field", "term"]
+    met = counts.join(F.broadcast(frequent), keys, "left")
+    rare = met.where(F.col("idf").isNull()).drop("idf").join(idf.where(F.col("df") < frequent_from).drop("df"), keys)
+    columns = [block, id_column, "field", "term", (F.col("tf") * F.col("idf")).alias("weight")]
+    return met.where(F.col("idf").isNotNull()).select(*columns).unionByName(rare.select(*columns))
 
 
 def with_char_weights(counts: DataFrame, idf: DataFrame, block: str, fields: Sequence[str]) -> DataFrame:

@@ -65,3 +65,23 @@ def test_unit_weights_have_length_one_or_zero(docs):
     for row in weights.unit_weights(counts, idf, "block", ["title", "artist"]).collect():
         assert len(row.title) == len(ALPHABET)
         assert sum(w * w for w in row.title) == pytest.approx(1.0 if row.id in (1, 2, 3) else 0.0)
+
+
+def test_a_word_in_every_row_is_not_shuffled(spark):
+    rows = [(i, "x", f"the word{i % 40} {'of' if i % 2 else 'rare' + str(i)}") for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, block string, title string")
+
+    def found(**options):
+        return weights.term_weights(df, "block", "id", ["title"], mode="word", **options)
+
+    split, shuffled = found(frequent_from=100), found(frequent_from=10_000)
+    assert {tuple(r) for r in split.collect()} == {tuple(r) for r in shuffled.collect()}
+    assert split.where("term = 'the'").count() == 200
+    optimised = split._jdf.queryExecution().optimizedPlan().toString()
+    assert "rightHint=(strategy=broadcast)" in optimised
+    with pytest.raises(ValueError, match="frequent_from"):
+        weights.MOST_FREQUENT, kept = 0, weights.MOST_FREQUENT
+        try:
+            found(frequent_from=1)
+        finally:
+            weights.MOST_FREQUENT = kept
