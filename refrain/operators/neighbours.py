@@ -385,9 +385,15 @@ def _bin_chooser(shared_bins, k: int, quantum: float | None, first: bool):
             groups = np.array(batch.column("g").to_pylist(), dtype=object)
             vectors = batch.column("v")
             v = vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
-            chosen = [[-1] if first else [] for _ in range(len(v))]
-            if not first:
-                visited = batch.column("bins").to_pylist()
+            owners, choices = [], []  # of each choice the row and the bin
+            if first:
+                outside = np.array([g not in known for g in groups.tolist()], bool)
+                owners.append(np.flatnonzero(outside))
+                choices.append(np.full(int(outside.sum()), -1))
+            else:
+                seen = batch.column("bins")
+                seen_bins = seen.flatten().to_numpy(zero_copy_only=False)
+                seen_rows = np.repeat(np.arange(len(v)), seen.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
                 beat = batch.column("beat").to_numpy(zero_copy_only=False).astype(float)
                 beat = np.where(np.isnan(beat), np.inf, beat)
             for g in set(groups.tolist()):
@@ -395,21 +401,32 @@ def _bin_chooser(shared_bins, k: int, quantum: float | None, first: bool):
                     continue
                 p, ids, cell, sizes, bounds = known[g]
                 at = np.flatnonzero(groups == g)
+                sorted_ids = np.argsort(ids)
                 step = max(1, (1 << 21) // len(ids))
                 for start in range(0, len(at), step):
                     rows = at[start : start + step]
                     low = lower_bounds(v[rows], p, cell, bounds)
-                    for n, row in enumerate(rows):
-                        if first:
-                            order = np.argsort(low[n], kind="stable")
-                            enough = np.searchsorted(np.cumsum(sizes[order]), max(k, HOME_ITEMS)) + 1
-                            chosen[row] = ids[order[:enough]].tolist()
-                        else:
-                            reach = ids[low[n] <= beat[row] * (1.0 + SLACK) + 2.0 * (quantum or 0.0)]
-                            chosen[row] = np.setdiff1d(reach, visited[row]).tolist()
+                    if first:
+                        order = np.argsort(low, axis=1, kind="stable")
+                        before = np.cumsum(sizes[order], axis=1) - sizes[order]
+                        n, place = np.nonzero(before < max(k, HOME_ITEMS))
+                        owners.append(rows[n])
+                        choices.append(ids[order[n, place]])
+                    else:
+                        reach = low <= (beat[rows] * (1.0 + SLACK) + 2.0 * (quantum or 0.0))[:, None]
+                        mine = np.flatnonzero((seen_rows >= rows[0]) & (seen_rows <= rows[-1]) & np.isin(seen_rows, rows))
+                        column = sorted_ids[np.searchsorted(ids, seen_bins[mine], sorter=sorted_ids)]
+                        reach[np.searchsorted(rows, seen_rows[mine]), column] = False
+                        n, place = np.nonzero(reach)
+                        owners.append(rows[n])
+                        choices.append(ids[place])
+            owner = np.concatenate([*owners, np.zeros(0, np.int64)]).astype(np.int64)
+            order = np.argsort(owner, kind="stable")
+            chosen = np.concatenate([*choices, np.zeros(0, np.int64)]).astype(np.int32)[order]
+            offsets = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(v))))).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(chosen))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("g"), batch.column("query"), vectors, pa.array(chosen, pa.list_(pa.int32()))],
-                names=["g", "query", "v", "bins"],
+                [batch.column("g"), batch.column("query"), vectors, lists], names=["g", "query", "v", "bins"]
             )
 
     return choose
