@@ -14,6 +14,7 @@ into segments that are solved one by one, and the paths of common segments are r
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ SPACE = "▁"
 NORMAL, CONTROL, BYTE = 1, 3, 6
 UNIGRAM, BPE = 1, 2
 #: Segments and neighbours that a worker remembers, and the length from which a segment isn't remembered.
-CACHED_SEGMENTS, CACHED_PAIRS, LONG = 300_000, 400_000, 48
+CACHED_SEGMENTS, CACHED_PAIRS, LONG = 200_000, 300_000, 48
 #: What byte fallback weighs more than the heaviest piece.
 PENALTY = 10.0
 
@@ -45,10 +46,13 @@ class Transducer:
             raise ValueError("the model has no byte fallback")
         if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.ids):
             raise ValueError("a piece goes beyond the end of a word")
+        self.prefixes = {p[:i]: p[:i] in self.ids for p in self.ids for i in range(1, len(p) + 1)}
         self.suffixes = {p[i:] for p in self.ids for i in range(len(p))}
+        self.inside = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         self.fallback = max(self.weights.values()) + PENALTY
         self.output = [self._bytes(p, t) for p, _, t in pieces]
         self.segments: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
 
     @staticmethod
@@ -58,7 +62,7 @@ class Transducer:
         return piece.replace(SPACE, " ").encode() if kind == NORMAL else b""
 
     def __getstate__(self):
-        return self.__dict__ | {"segments": {}, "pairs": {}}
+        return self.__dict__ | {"segments": {}, "earlier": {}, "pairs": {}}
 
     def neighbours(self, a: str, b: str) -> bool:
         """May ``b`` follow ``a``? Merging the text of both, the pair of the best score first and the leftmost of
@@ -91,56 +95,101 @@ class Transducer:
         return len(parts) == 2
 
     def path(self, segment: str) -> list[str]:
-        """Pieces and unknown characters on the shortest path; of equal ones that with fewer, then longer last pieces."""
-        size, bpe = len(segment), self.kind == BPE
-        best: list[tuple[float, int, int] | None] = [(0.0, 0, 0)] + [None] * size
-        last = [""] * (size + 1)
-        weights = self.weights
+        """Pieces and unknown characters on the shortest path."""
+        return self._finite_path(segment) if self.kind == BPE else self._lightest_path(segment)
+
+    def _lightest_path(self, segment: str) -> list[str]:
+        """By end, from the best ways to all earlier ends; of equal ones that with fewer, then longer last pieces."""
+        size, weights = len(segment), self.weights
+        best: list[tuple[float, int, int]] = [(0.0, 0, 0)]
         for end in range(1, size + 1):
-            found, starts, start = None, [], end - 1
+            ways, start = [], end - 1
+            if segment[start] not in weights:
+                ways.append((best[start][0] + self.fallback, best[start][1] + 1, start))
             while start >= 0 and segment[start:end] in self.suffixes:
-                if best[start] is not None and segment[start:end] in weights:
-                    starts.append(start)
+                weight = weights.get(segment[start:end])
+                if weight is not None:
+                    ways.append((best[start][0] + weight, best[start][1] + 1, start))
                 start -= 1
-            for start in reversed(starts):
-                piece, before = segment[start:end], best[start]
-                if bpe and last[start] in weights and not self.neighbours(last[start], piece):
-                    continue
-                whole = (before[0] + (0.0 if bpe else weights[piece]), before[1] + 1, start)
-                if found is None or whole < found:
-                    found = whole
-                if bpe:  # the result for what has been read so far ends in one way only
-                    break
-            if best[end - 1] is not None and segment[end - 1] not in weights:
-                whole = (best[end - 1][0] + self.fallback, best[end - 1][1] + 1, end - 1)
-                found = whole if found is None else min(found, whole)
-            best[end] = found
-            if found is not None:
-                last[end] = segment[found[2] : end]
+            best.append(min(ways))
         out, at = [], size
         while at:
             out.append(segment[best[at][2] : at])
             at = best[at][2]
         return out[::-1]
 
+    def _finite_path(self, segment: str) -> list[str]:
+        """All weights are zero or infinite, so the first path that comes through is the shortest.
+
+        Longer pieces are tried first. What has been read up to a place ends in one way only, so a place that leads
+        nowhere is never entered again.
+        """
+        size, prefixes, pairs = len(segment), self.prefixes, self.pairs
+        out: list[str] = []
+        choices: list[list[str]] = []
+        at, before, dead = 0, "", set()
+        while at < size:
+            if len(choices) == len(out):  # a new place: the pieces that begin here
+                found, end = [], at + 1
+                known = prefixes.get(segment[at:end])
+                while known is not None:
+                    if known:
+                        found.append(segment[at:end])
+                    if end == size:
+                        break
+                    end += 1
+                    known = prefixes.get(segment[at:end])
+                choices.append(found or [segment[at]])
+            tried = choices[-1]
+            while tried:
+                piece = tried.pop()
+                if dead and at + len(piece) in dead:
+                    continue
+                if before in prefixes and piece in prefixes:
+                    apart = pairs.get((before, piece))
+                    if not (self.neighbours(before, piece) if apart is None else apart):
+                        continue
+                out.append(piece)
+                at += len(piece)
+                before = piece
+                break
+            else:
+                if not out:
+                    raise ValueError(f"no path for {segment!r}")
+                dead.add(at)
+                choices.pop()
+                at -= len(out.pop())
+                before = out[-1] if out else ""
+        return out
+
     def __getitem__(self, segment: str) -> bytes:
-        """Ids of the pieces of ``segment`` as 32-bit integers."""
+        """Ids of the pieces of ``segment`` as 32-bit integers; remembered by the two latest generations."""
         known = self.segments.get(segment)
         if known is None:
-            ids: list[int] = []
-            for piece in self.path(segment):
-                own = self.ids.get(piece)
-                if own is None:
-                    ids.extend(self.byte_ids[b] for b in piece.encode())
-                else:
-                    ids.append(own)
-            known = np.array(ids, np.int32).tobytes()
+            known = self.earlier.get(segment)
+            if known is None:
+                known = self._solved(segment)
             if len(segment) < LONG:
                 if len(self.segments) >= CACHED_SEGMENTS:
-                    self.segments.clear()
+                    self.earlier, self.segments = self.segments, {}
                 self.segments[segment] = known
         return known
 
+    def _solved(self, segment: str) -> bytes:
+        """Cut where no piece can lie across, unless all are letters; then by the shortest path."""
+        if not segment[1:].isalpha():
+            cuts = [i for i in range(1, len(segment)) if segment[i - 1 : i + 1] not in self.inside]
+            if cuts:
+                return b"".join(self[segment[a:b]] for a, b in zip([0, *cuts], [*cuts, len(segment)]))
+        ids: list[int] = []
+        for piece in self.path(segment):
+            own = self.ids.get(piece)
+            if own is None:
+                ids.extend(self.byte_ids[b] for b in piece.encode())
+            else:
+                ids.append(own)
+        return array("i", ids).tobytes()
+
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
@@ -179,12 +228,13 @@ def encode(docs: DataFrame, model: str, text: str = "text", tokens: str = "token
     chosen = docs.drop(tokens)
 
     def rows(batch: dict[str, pa.Array]) -> dict[str, object]:
-        encoded = [None if x is None else sent.value.encode(x) for x in batch[text].to_pylist()]
-        sizes = np.array([len(x or b"") // 4 for x in encoded], np.int64)
-        ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
-        ids = pa.array(np.frombuffer(b"".join(x or b"" for x in encoded), np.int32))
-        none = pa.array([x is None for x in encoded], pa.bool_())
-        return batch | {tokens: pa.ListArray.from_arrays(pa.array(ends), ids, mask=none)}
+        encoded, ends = bytearray(), [0]
+        for value in batch[text]:
+            if value.is_valid:
+                encoded += sent.value.encode(value.as_py())
+            ends.append(len(encoded) // 4)
+        ids = pa.array(np.frombuffer(encoded, np.int32))
+        return batch | {tokens: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids, mask=batch[text].is_null())}
 
     return map_rows(chosen, with_columns(chosen, f"`{tokens}` array<int>"), rows)
 
@@ -200,8 +250,9 @@ def decode(docs: DataFrame, model: str, tokens: str = "tokens", text: str = "tex
 
     def rows(batch: dict[str, pa.Array]) -> dict[str, object]:
         out = []
-        for ids in batch[tokens].to_pylist():
-            out.append(None if ids is None else sent.value.decode([i for i in ids if i is not None]).decode("utf-8", "replace"))
+        for value in batch[tokens]:
+            ids = value.values.drop_null().to_numpy().tolist() if value.is_valid else None
+            out.append(None if ids is None else sent.value.decode(ids).decode("utf-8", "replace"))
         return batch | {text: out}
 
     return map_rows(chosen, with_columns(chosen, f"`{text}` string"), rows)
