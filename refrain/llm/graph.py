@@ -22,7 +22,9 @@ def components(links: DataFrame) -> DataFrame:
         at = labels.toDF("a", "label_a")
         to = labels.toDF("b", "label_b")
         across = both.join(at, "a").join(to, "b").filter("label_b < label_a")
-        offers = across.select(F.explode(F.array("a", "label_a")).alias("node"), F.col("label_b").alias("offer"))
+        offers = across.select(
+            F.explode(F.array_distinct(F.array("a", "label_a"))).alias("node"), F.col("label_b").alias("offer")
+        )
         best = offers.groupBy("node").agg(F.min("offer").alias("offer"))
         taken = labels.join(best, "node", "left").select("node", F.least("label", "offer").alias("label"), F.col("offer").isNotNull().alias("new"))
         taken = settle(taken, "labels")
@@ -30,3 +32,13 @@ def components(links: DataFrame) -> DataFrame:
             return labels
         above = taken.select(F.col("node").alias("label"), F.col("label").alias("above"))
         labels = settle(taken.join(above, "label").select("node", F.col("above").alias("label")), "labels")
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (of ``components``) after more ``links``; only what these join is worked on."""
+    own = labels.select("node", "label")
+    at = links.select("a", "b").join(own.toDF("a", "label_a"), "a", "left").join(own.toDF("b", "label_b"), "b", "left")
+    between = at.select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b"))
+    joined = components(between)
+    moved = own.join(joined.toDF("label", "to"), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+    return settle(moved.union(joined.join(own.select("node"), "node", "left_anti").select("node", "label")), "labels")

@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from refrain.llm.common import LOWER_CASE, as_bytes, content_key, map_rows, mixed, shingle_hashes, with_columns, word_hashes
-from refrain.llm.graph import components
+from refrain.llm.graph import components, merged
 from refrain.sources.scratch import settle
 
 #: Words of a shingle, and the similarity from which documents are linked, in per cent.
@@ -64,10 +64,11 @@ def sign(docs: DataFrame, text: str, id: str, width: int) -> DataFrame:
 
 
 def shared_buckets(signed: DataFrame) -> DataFrame:
-    """``bucket``, ``node`` of every bucket that different sets share; equal sets are one node."""
-    distinct = settle(signed.filter("node IS NOT NULL").select("node", "bands").dropDuplicates(["node"]), "distinct-sets")
-    spread = distinct.select("node", F.explode("bands").alias("bucket"))
-    shared = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
+    """``bucket``, ``node``, ``n`` of every bucket that different sets share; equal sets are one node."""
+    sized = signed.filter("node IS NOT NULL").select("node", F.col("n_shingles").alias("n"), "bands")
+    distinct = settle(sized.dropDuplicates(["node"]), "distinct-sets")
+    spread = distinct.select("node", "n", F.explode("bands").alias("bucket"))
+    shared = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("bucket")
     return settle(spread.join(settle(shared, "shared-buckets"), "bucket"), "members")
 
 
@@ -85,66 +86,118 @@ def sets_of(docs: DataFrame, signed: DataFrame, members: DataFrame, text: str, i
     return settle(map_rows(met, "node binary, shingles binary", rows), "sets")
 
 
+def with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    return pairs.join(sets.toDF("node", "set"), "node").join(sets.toDF("head", "head_set"), "head")
+
+
+def common(one: np.ndarray, two: np.ndarray) -> int:
+    """Number of shared members of two sorted sets."""
+    both = np.concatenate((one, two))
+    both.sort(kind="stable")
+    return int((both[1:] == both[:-1]).sum())
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``a``, ``b`` and ``linked`` of the given pairs, from their whole sets."""
-    met = pairs.join(sets.toDF("b", "set_b"), "b").join(sets.toDF("a", "set_a"), "a").select("a", "b", "set_a", "set_b")
+    """``head``, ``node`` and ``linked`` of the given pairs, from their whole sets."""
 
     def rows(batch: dict[str, pa.Array]) -> dict[str, object]:
         linked = []
-        for x, y in zip(batch["set_a"].to_pylist(), batch["set_b"].to_pylist()):
-            one, two = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            if 100 * min(len(one), len(two)) < percent * max(len(one), len(two)):
-                linked.append(False)
-                continue
-            both = np.concatenate((one, two))
-            both.sort(kind="stable")
-            common = int((both[1:] == both[:-1]).sum())
-            linked.append(100 * common >= percent * (len(both) - common))
-        return {"a": batch["a"], "b": batch["b"], "linked": linked}
-
-    return map_rows(met, "a binary, b binary, linked boolean", rows)
-
-
-def head_pairs(open_members: DataFrame, round_: int) -> DataFrame:
-    """Every member of a bucket with one head of it: the smallest node, or in later rounds one drawn by hash."""
-    order = F.col("node") if not round_ else F.struct(F.xxhash64(F.lit(round_), "bucket", "node").alias("draw"), F.col("node").alias("node"))
-    heads = open_members.groupBy("bucket").agg(F.min(order).alias("head"))
-    heads = settle(heads.select("bucket", F.col("head" if not round_ else "head.node").alias("head")), "heads")
-    met = open_members.join(heads, "bucket").filter("node <> head")
-    return met.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
-
-
-def across(open_members: DataFrame) -> DataFrame:
-    """All pairs of a bucket whose components differ."""
-    other = open_members.toDF("bucket", "other", "other_label")
-    met = open_members.join(other, "bucket").filter("label < other_label")
-    return met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-
-
-def links(docs: DataFrame, signed: DataFrame, text: str, id: str, width: int, percent: int, rounds: int = 3) -> DataFrame:
-    """``node``, ``label`` of the components of all nodes that have links.
-
-    A bucket is not turned into all its pairs. First each member meets one head of the bucket; where that leaves a
-    bucket with several components, its members meet other heads, drawn anew for each bucket and round. Only then do
-    the members that are still in different components of a bucket meet each other, so no candidate is left out.
+        for x, y in zip(batch["head_set"], batch["set"]):
+            one, two = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+            likely = 100 * min(len(one), len(two)) >= percent * max(len(one), len(two))
+            shared = common(one, two) if likely else 0
+            linked.append(likely and 100 * shared >= percent * (len(one) + len(two) - shared))
+        return {"head": batch["head"], "node": batch["node"], "linked": linked}
+
+    met = with_sets(pairs.select("head", "node"), sets).select("head", "node", "head_set", "set")
+    return map_rows(met, "head binary, node binary, linked boolean", rows)
+
+
+def head_pairs(members: DataFrame, round_: int) -> DataFrame:
+    """Every member of a bucket with one head of it, drawn by hash anew for each bucket and round, if labels differ."""
+    order = F.struct(F.xxhash64(F.lit(round_), "bucket", "node").alias("draw"), "node", "label")
+    heads = members.groupBy("bucket").agg(F.min(order).alias("head"))
+    heads = settle(heads.select("bucket", F.col("head.node").alias("head"), F.col("head.label").alias("head_label")), "heads")
+    met = members.select("bucket", "node", "label").join(heads, "bucket").filter("label <> head_label")
+    return met.select(F.least("head", "node").alias("head"), F.greatest("head", "node").alias("node")).distinct()
+
+
+def open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of buckets with several components, with their ``label``."""
+    own = members.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    own = settle(own.select("bucket", "node", "n", "label"), "labelled")
+    several = own.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
+    return settle(own.join(settle(several.select("bucket"), "open"), "bucket"), "open-members")
+
+
+def across(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of ``nodes`` (``node``, ``n``, ``label``) of different labels that may be similar enough; none is left out.
+
+    A prefix filter. Shingles that sets of only one label have can't be shared across labels; a set in which fewer
+    than ``percent`` of the shingles are left has no partner. The others are put in order, the rarest first. Two
+    partners then share one of their first shingles, as many as a set can be without; and from the first shared one
+    on, both must have as many shingles left as similar sets of their sizes share. Near-copies whose edits are their
+    own fail these tests without ever meeting, however many there are.
+    """
+    held = nodes.join(sets, "node")
+
+    def rows(batch: dict[str, pa.Array]) -> dict[str, object]:
+        tokens = [np.frombuffer(x.as_buffer(), np.int64) for x in batch["shingles"]]
+        return {c: batch[c] for c in ("node", "n", "label")} | {"tokens": tokens}
+
+    found = map_rows(held, "node binary, n long, label binary, tokens array<long>", rows)
+    spread = settle(found.select("node", "n", "label", F.explode("tokens").alias("token")), "shingles")
+    shared = spread.groupBy("token").agg(
+        F.count(F.lit(1)).alias("sets"), F.min("label").alias("low"), F.max("label").alias("high")
+    )
+    shared = settle(shared.filter("low <> high").select("token", "sets"), "shared-shingles")
+    own = spread.join(shared, "token").groupBy("node", "n", "label").agg(
+        F.sort_array(F.collect_list(F.struct("sets", "token"))).alias("tokens")
+    )
+    must = F.ceil(F.col("n") * percent / 100)
+    spare = F.size("tokens") - must
+    first = F.slice("tokens", F.lit(1), F.greatest(spare + 1, F.lit(0)).cast("int"))
+    left = own.withColumn("size", F.size("tokens")).filter(spare >= 0)
+    left = left.select("node", "n", "label", "size", F.posexplode(first).alias("place", "first"))
+    left = settle(
+        left.select("node", "n", "label", F.col("first.token").alias("token"), (F.col("size") - F.col("place")).alias("rest")),
+        "first-shingles",
+    )
+    other = left.select(*[F.col(c).alias(f"other_{c}" if c != "token" else c) for c in left.columns])
+    needed = (F.col("n") + F.col("other_n")) * percent / (100 + percent)
+    met = left.join(other, "token").filter(
+        (F.col("node") < F.col("other_node"))
+        & (F.col("label") != F.col("other_label"))
+        & (100 * F.least("n", "other_n") >= percent * F.greatest("n", "other_n"))
+        & (F.least("rest", "other_rest") >= needed)
+    )
+    return met.select(F.col("node").alias("head"), F.col("other_node").alias("node")).distinct()
+
+
+def links(members: DataFrame, sets: DataFrame, percent: int, rounds: int = 2) -> DataFrame | None:
+    """``node``, ``label`` of the components of all nodes that have links; None if there are none.
+
+    A bucket is never turned into all its pairs. In each round its members meet one head of it, unless they are in its
+    component already. That joins most of what belongs together; then the members of buckets that still hold several
+    components meet across these as the prefix filter of ``across`` lets them, so that no pair of a bucket that is similar
+    enough is left out.
     """
-    members = shared_buckets(signed)
-    sets = sets_of(docs, signed, members, text, id, width)
     tried = labels = None
+    waiting = members.withColumn("label", F.col("node"))
     for round_ in range(rounds + 1):
-        if labels is None:
-            pairs = head_pairs(members, round_)
+        if round_ < rounds:
+            pairs = head_pairs(waiting, round_)
         else:
-            own = members.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
-            own = settle(own, "labelled")
-            several = own.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
-            open_members = settle(own.join(settle(several.select("bucket"), "open"), "bucket"), "open-members")
-            pairs = head_pairs(open_members.drop("label"), round_) if round_ < rounds else across(open_members)
-            pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
+            pairs = across(waiting.select("node", "n", "label").distinct(), sets, percent)
+        if tried is not None:
+            pairs = pairs.join(tried.select("head", "node"), ["head", "node"], "left_anti")
         new = settle(confirmed(settle(pairs, "pairs"), sets, percent), "confirmed")
         tried = new if tried is None else tried.union(new)
-        if labels is None or not new.filter("linked").isEmpty():
-            labels = components(tried.filter("linked"))
+        linked = new.filter("linked").toDF("a", "b", "linked")
+        if not linked.isEmpty():
+            labels = components(linked) if labels is None else merged(labels, linked)
+            if round_ < rounds:
+                waiting = open_members(waiting, labels)
     return labels
 
 
@@ -161,10 +214,14 @@ def near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", wid
     columns are ignored; ``key_1`` and ``key_2`` are those of ``content_key(id, text)``.
     """
     signed = settle(sign(docs, text, id, width), "signed")
-    labels = links(docs, signed, text, id, width, percent)
+    members = shared_buckets(signed)
+    labels = links(members, sets_of(docs, signed, members, text, id, width), percent)
     first = F.struct(F.col("id").isNull().alias("none"), "id", "key_1", "key_2")
     classes = signed.filter("node IS NOT NULL").groupBy("node").agg(F.min(first).alias("first"))
-    classes = classes.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "first")
+    if labels is None:
+        classes = classes.withColumn("label", F.col("node"))
+    else:
+        classes = classes.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "first")
     classes = settle(classes, "classes")
     firsts = settle(classes.groupBy("label").agg(F.min("first").alias("first")), "firsts")
     of_node = classes.select("node", "label").join(firsts, "label").select("node", "first")

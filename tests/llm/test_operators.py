@@ -200,13 +200,28 @@ def test_near_duplicates_of_odd_rows(spark):
     assert sorted((r.doc_id or 0, r.text or "") for r in left.collect()) == sorted([(5, text), (5, rows[3][1]), (0, "")])
 
 
-def test_every_pair_of_a_bucket_is_tried(spark):
-    """Members that no head is similar to still meet each other."""
-    members = frame(spark, [(1, bytes([n])) for n in range(6)] + [(2, b"\1"), (2, b"\2")], "bucket long, node binary")
-    labels = spark.createDataFrame([(b"\0", b"\0"), (b"\1", b"\0")], "node binary, label binary")
-    joined = members.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
-    pairs = {(r.a[0], r.b[0]) for r in near.across(joined).collect()}
-    assert pairs == {(a, b) for a in range(6) for b in range(a + 1, 6)} - {(0, 1)}
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_buckets_lose_no_link(spark, rounds):
+    """All sets in one bucket, many just above or below the limit; with no round the prefix filter finds all links."""
+    chooser = np.random.default_rng(12)
+    base = chooser.integers(0, 2**62, 60).astype(np.uint64)
+    other = np.concatenate((base[:40], chooser.integers(0, 2**62, 25).astype(np.uint64)))
+    found = []
+    for i in range(70):
+        of = (base, other)[i % 2]
+        kept = of[chooser.random(len(of)) > 0.06 * (i % 5)]
+        found.append(np.unique(np.concatenate((kept, chooser.integers(0, 2**62, i % 9).astype(np.uint64)))))
+    found.append(np.unique(base[:7]))
+    nodes = [bytes([i]) for i in range(len(found))]
+    members = frame(spark, [(1, n, len(s)) for n, s in zip(nodes, found)], "bucket long, node binary, n long")
+    sets = frame(spark, list(zip(nodes, (bytearray(s.tobytes()) for s in found))), "node binary, shingles binary")
+    labels = {r.node[0]: r.label[0] for r in near.links(members, sets, 80, rounds).collect()}
+    near_by = [[j for j, t in enumerate(found) if 100 * near.common(s, t) >= 80 * (len(s) + len(t) - near.common(s, t))] for s in found]
+    for i in range(len(found)):
+        reached, front = {i}, [i]
+        while front:
+            front = [j for x in front for j in near_by[x] if j not in reached and not reached.add(j)]
+        assert labels.get(i, i) == min(reached)
 
 
 def test_band_hashes_use_both_ends():
@@ -225,6 +240,10 @@ def test_components(spark):
     labels = {r.node: r.label for r in found}
     assert {labels[i] for i in range(100, 161)} == {100} and {labels[600 + i] for i in range(50)} == {500}
     assert labels[3] == 1 and labels[11] == 10 and 7 not in labels
+    more = graph.merged(graph.components(frame(spark, links, "a long, b long")), frame(spark, [(160, 3), (7, 8), (8, 640), (1, 2)], "a long, b long"))
+    labels = {r.node: r.label for r in more.collect()}
+    assert {labels[i] for i in (1, 2, 3, *range(100, 161))} == {1} and {labels[i] for i in (7, 8, 500, 601)} == {7}
+    assert labels[11] == 10 and more.count() == len(labels)
 
 
 # repeated strings
