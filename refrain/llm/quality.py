@@ -7,6 +7,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from refrain.llm import near
 from refrain.llm.common import as_bytes, content_key, map_rows, shingle_hashes, with_columns, word_hashes
 from refrain.sources.scratch import settle
 
@@ -14,8 +15,9 @@ from refrain.sources.scratch import settle
 LEAST_DOCUMENTS = 20
 #: and in more than this share of them,
 LEAST_SHARE = 0.002
-#: and at least this share of them have it between other lines. Copies of one document bring their lines in one
-#: setting; near-duplicate removal deals with those, and none of them would be left if their lines went.
+#: and at least this share of them have it between other lines, or those that are left when each group of
+#: near-duplicates counts once are still above both limits. Lines that are common only because one document has copies
+#: stay: near-duplicate removal deals with those, and none of them would be left if their lines went.
 LEAST_SETTINGS = 0.5
 #: A document is depleted if less than this share of its words is left without such lines.
 LEAST_LEFT = 0.3
@@ -100,26 +102,52 @@ def measure(docs: DataFrame, text: str, host: str, identity: list[Column]) -> Da
 
 def frequent_lines(
     measured: DataFrame,
+    texts: DataFrame,
     least_documents: int = LEAST_DOCUMENTS,
     least_share: float = LEAST_SHARE,
     least_settings: float = LEAST_SETTINGS,
 ) -> DataFrame:
-    """``host``, ``line`` of the lines above the limits. Documents with the same text count once."""
+    """``host``, ``line`` of the lines above the limits. Documents with the same text count once.
+
+    ``texts`` has ``key_1``, ``key_2`` and ``text`` of every row; only those with lines in few settings are read.
+    """
+    body = F.struct("key_1", "key_2")
     distinct = measured.groupBy("host", "text_1", "text_2").agg(
-        F.first(F.arrays_zip("lines", "settings")).alias("pairs")
+        F.first(F.arrays_zip("lines", "settings")).alias("pairs"), F.min(body).alias("body")
     )
-    distinct = settle(distinct.select("host", "pairs"), "distinct-lines")
+    distinct = settle(distinct.select("host", "body", "pairs"), "distinct-lines")
     hosts = distinct.groupBy("host").agg(F.count(F.lit(1)).alias("documents"))
+    spread = distinct.select("host", "body", F.explode("pairs").alias("pair"))
+    spread = spread.select("host", "body", F.col("pair.lines").alias("line"), F.col("pair.settings").alias("setting"))
     counted = (
-        distinct.select("host", F.explode("pairs").alias("pair"))
-        .groupBy("host", F.col("pair.lines").alias("line"), F.col("pair.settings").alias("setting"))
+        spread.groupBy("host", "line", "setting")
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("host", "line")
         .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("settings"))
-        .filter((F.col("n") > least_documents) & (F.col("settings") >= least_settings * F.col("n")))
+        .filter(F.col("n") > least_documents)
+    )
+    above = counted.join(hosts, counted["host"].eqNullSafe(hosts["host"])).select(
+        counted["host"], "line", "documents", "n", (F.col("settings") >= least_settings * F.col("n")).alias("varied")
     )
-    above = counted.join(hosts, counted["host"].eqNullSafe(hosts["host"])).select(counted["host"], "line", "n", "documents")
-    return settle(above.filter(F.col("n") > least_share * F.col("documents")).select("host", "line"), "frequent-lines")
+    above = settle(above.filter(F.col("n") > least_share * F.col("documents")), "often-lines")
+    varied = above.filter("varied").select("host", "line")
+    alike = above.filter("NOT varied").select("host", "line", "documents")
+    if alike.isEmpty():
+        return varied
+    met = spread.join(alike, spread["host"].eqNullSafe(alike["host"]) & (spread["line"] == alike["line"]))
+    held = settle(met.select(alike["host"], alike["line"], "documents", "body"), "held-lines")
+    in_groups = held.join(near_groups(texts, held.select("body").distinct()), "body")
+    n_groups = in_groups.groupBy("host", "line", "documents").agg(F.count_distinct("group").alias("n"))
+    many = n_groups.filter((F.col("n") > least_documents) & (F.col("n") > least_share * F.col("documents")))
+    return settle(varied.union(many.select("host", "line")), "frequent-lines")
+
+
+def near_groups(texts: DataFrame, bodies: DataFrame) -> DataFrame:
+    """``body`` (a struct of ``key_1``, ``key_2``) and ``group``, which near-duplicates have in common."""
+    own = (F.col("key_1") == F.col("body.key_1")) & (F.col("key_2") == F.col("body.key_2"))
+    chosen = texts.join(bodies, own).select("body", "text")
+    found = near.near_duplicates(settle(chosen, "texts-in-few-settings"), "text", "body")
+    return found.select("body", F.col("component_id").alias("group")).distinct()
 
 
 def frequent_words(measured: DataFrame, frequent: DataFrame) -> DataFrame:
@@ -158,7 +186,8 @@ def judge(
     """
     identity = [F.col(id).alias("id"), *content_key(F.col(id), F.col(host), F.col(text))]
     measured = settle(measure(docs, text, host, identity), "measured-texts")
-    found = frequent_words(measured, frequent_lines(measured, **limits))
+    texts = docs.select(*identity[1:], F.col(text).alias("text"))
+    found = frequent_words(measured, frequent_lines(measured, texts, **limits))
     rows = measured.drop("lines", "settings", "line_words", "host", "text_1", "text_2").join(found, ["key_1", "key_2"], "left")
     rows = rows.withColumn("frequent_words", F.coalesce("frequent_words", F.lit(0).cast("long")))
     left = F.col("n_words") - F.col("frequent_words") >= F.lit(least_left) * F.col("n_words")

@@ -98,6 +98,24 @@ def test_quality(spark):
     assert {r.row for r in cleaned.collect()} == {"own"}
 
 
+def test_quality_takes_blocks_of_lines(spark):
+    """Inner lines of a block always stand between the same lines; so do those of near-copies, which stay."""
+    footer = ["All rights reserved by the site", "Terms of use and privacy", "Contact the webmaster here"]
+    menu = [f"menu entry number {i} of the site" for i in range(12)]
+    rows = [(i, "\n".join([story(3000 + i, 5), *footer]), "en", "hot") for i in range(200)]
+    rows += [(300 + i, "\n".join([*menu, prose(7000 + i, 26)]), "en", "hot") for i in range(30)]
+    copied = story(9, 20).split("\n")
+    rows += [(400 + i, "\n".join(x + f" own{i}" * (k == i % 20) for k, x in enumerate(copied)), "en", "hot") for i in range(60)]
+    judged = {r.doc_id: r for r in quality.judge(frame(spark, rows)).collect()}
+    assert {judged[i].frequent_words for i in range(200)} == {15}
+    assert {judged[300 + i].frequent_words for i in range(30)} == {84}
+    assert {judged[400 + i].frequent_words for i in range(60)} == {0}
+    assert {i for i, r in judged.items() if r.kept} == set(range(200)) | set(range(400, 460))
+    cleaned = {r.doc_id: r.text for r in quality.apply_rules(frame(spark, rows)).collect()}
+    assert all(cleaned[i] == story(3000 + i, 5) for i in range(200))
+    assert all(cleaned[r[0]] == r[1] for r in rows if r[0] >= 400)
+
+
 def test_quality_counts():
     data = "é* a\n \né* a\nb|c".encode()
     n_words, chars, symbols, repeated, again, hashes, _, counts = quality.measures(data)
