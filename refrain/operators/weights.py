@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from refrain.functions.text import ALPHABET, char_counts, tokens
 from refrain.sources.scratch import settle
 
-# Words whose IDF may be sent to all tasks.
+# Words whose IDF may be sent to all tasks, and levels of the logarithm of their df by which the commonest are chosen.
 MOST_FREQUENT = 200_000
+LEVELS = 64
 SLOTS = len(ALPHABET)
 
 
@@ -113,7 +114,8 @@ def term_weights(
 
     Counts are written once, as they are needed twice: for the IDF and for the weights; that runs when this is called.
     The IDF of words that a block has in ``frequent_from`` rows or more is sent to all tasks, so that the rows of a
-    stop word are never shuffled by it; only rows of rarer words are.
+    stop word are never shuffled by it; only rows of rarer words are. If there are more than ``MOST_FREQUENT`` such
+    words, only the commonest are sent, and the others are shuffled with the rarer ones.
     """
     if mode == "char":
         counts = settle(with_char_counts(df.select(block, id_column, *fields), fields), "counts")
@@ -133,16 +135,30 @@ def term_weights(
     counts = settle(term_counts(df, [block, id_column], fields, mode), "counts")
     found = _word_idf(counts, _block_sizes(df, block), block).select(block, "field", "term", "df", "idf")
     idf = settle(found, "word-idf")
-    frequent = idf.where(F.col("df") >= frequent_from).drop("df")
-    if frequent.count() > MOST_FREQUENT:
-        raise ValueError(f"more than {MOST_FREQUENT} words are in {frequent_from} rows; raise frequent_from")
+    sent = _is_sent(idf, frequent_from)
     keys = [block, "field", "term"]
-    met = counts.join(F.broadcast(frequent), keys, "left")
-    rare = met.where(F.col("idf").isNull()).drop("idf").join(idf.where(F.col("df") < frequent_from).drop("df"), keys)
+    met = counts.join(F.broadcast(idf.where(sent).drop("df")), keys, "left")
+    rare = met.where(F.col("idf").isNull()).drop("idf").join(idf.where(~sent).drop("df"), keys)
     columns = [block, id_column, "field", "term", (F.col("tf") * F.col("idf")).alias("weight")]
     return met.where(F.col("idf").isNotNull()).select(*columns).unionByName(rare.select(*columns))
 
 
+def _is_sent(idf: DataFrame, frequent_from: int) -> Column:
+    """Whether a row of ``idf`` is sent to all tasks: at most ``MOST_FREQUENT`` rows are, whole levels from the highest df on."""
+    if MOST_FREQUENT < 1:
+        raise ValueError(f"MOST_FREQUENT is {MOST_FREQUENT}, so that frequent_from has no use")
+    often = F.col("df") >= frequent_from
+    level = F.floor(F.log(F.col("df").cast("double")) * LEVELS)
+    sizes = idf.where(often).groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("words")).collect()
+    room, lowest = MOST_FREQUENT, None
+    for row in sorted(sizes, key=lambda r: -r["level"]):
+        room -= row["words"]
+        if room < 0:
+            break
+        lowest = row["level"]
+    return F.lit(False) if lowest is None else often & (level >= lowest)
+
+
 def with_char_weights(counts: DataFrame, idf: DataFrame, block: str, fields: Sequence[str]) -> DataFrame:
     """Replace count arrays by arrays of ``(tf, weight)`` under the IDF of the row's block."""
     others = [c for c in counts.columns if c not in fields]

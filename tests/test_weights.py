@@ -85,3 +85,24 @@ def test_a_word_in_every_row_is_not_shuffled(spark):
             found(frequent_from=1)
         finally:
             weights.MOST_FREQUENT = kept
+
+
+@pytest.mark.parametrize("most, sent", [(1, {"the"}), (30, {"the", "of"}), (42, {"the", "of"} | {f"word{i}" for i in range(40)})])
+def test_more_frequent_words_than_may_be_sent(spark, monkeypatch, most, sent):
+    rows = [(i, "x", f"the word{i % 40} {'of' if i % 2 else 'rare' + str(i)}") for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, block string, title string")
+
+    def found(**options):
+        return {tuple(r) for r in weights.term_weights(df, "block", "id", ["title"], mode="word", **options).collect()}
+
+    shuffled = found()
+    monkeypatch.setattr(weights, "MOST_FREQUENT", most)
+    assert found(frequent_from=5) == found(frequent_from=1) == shuffled and len(shuffled) == 600
+    idf = weights.term_idf(df, "block", "id", ["title"], "word")
+    assert {r.term for r in idf.where(weights._is_sent(idf, 5)).collect()} == sent
+
+
+def test_no_word_fits(spark, monkeypatch):
+    df = spark.createDataFrame([(i, "x", "one two") for i in range(9)], "id int, block string, title string")
+    monkeypatch.setattr(weights, "MOST_FREQUENT", 1)
+    assert weights.term_weights(df, "block", "id", ["title"], mode="word", frequent_from=2).count() == 18
