@@ -1,4 +1,5 @@
-"""The corpus pipeline: quality rules, line dedup, near-dedup, benchmark decontamination, encoding.
+"""The corpus pipeline: quality rules, line dedup, near-dedup, benchmark decontamination, encoding
+and decoding.
 
 Every stage takes the documents that the one before has kept, and all but the last return the columns of documents;
 ``n_chars`` follows the text.
@@ -40,8 +41,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with the ids of their pieces."""
-    return pieces.encode(docs, MODEL)
+    """The documents with the ids of their pieces; ``text`` is what these decode to, with spaces for escape signs."""
+    return pieces.decode(pieces.encode(docs, MODEL), MODEL).select(*docs.columns, "tokens")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -5,6 +5,7 @@ import hashlib
 import numpy as np
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from refrain.llm import queries
@@ -86,6 +87,16 @@ def test_pipeline_equals_plain_python(spark, oracle):
     assert {r.doc_id: (r.text, r.n_chars, r.tokens) for r in found.collect()} == wanted
 
 
+def test_last_stage_decodes(spark):
+    model = sentencepiece.SentencePieceProcessor(model_file=queries.MODEL)
+    texts = {1: "Ein  Text\n", 2: "a▁b é😀", 3: "", 4: None}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").withColumns({c: F.lit("x") for c in ("lang", "source")})
+    found = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER)
+    assert found.columns == [*docs.columns, "tokens"]
+    wanted = {i: (None, None) if t is None else (model.encode(t), t.replace("▁", " ")) for i, t in texts.items()}
+    assert {r.doc_id: (r.tokens, r.text) for r in found.collect()} == wanted
+
+
 def test_stages_return_documents(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
