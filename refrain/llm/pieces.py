@@ -24,7 +24,7 @@ from refrain.llm.common import as_bytes, map_rows, with_columns
 
 #: The sign that stands for a space, kinds of pieces and of models in the file format.
 SPACE = "▁"
-NORMAL, CONTROL, BYTE = 1, 3, 6
+NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 UNIGRAM, BPE = 1, 2
 #: Segments and neighbours that a worker remembers, and the length from which a segment isn't remembered.
 CACHED_SEGMENTS, CACHED_PAIRS, LONG = 200_000, 300_000, 48
@@ -215,6 +215,8 @@ def load(path: str) -> Transducer:
         raise ValueError("only models that normalise nothing but spaces can be compiled")
     if model.trainer_spec.model_type not in (UNIGRAM, BPE):
         raise ValueError("only unigram and BPE models can be compiled")
+    if other := [p.piece for p in model.pieces if p.type not in (NORMAL, UNKNOWN, CONTROL, BYTE)]:
+        raise ValueError(f"user-defined and unused pieces can't be compiled, as {other[0]!r}")
     return Transducer([(p.piece, p.score, p.type) for p in model.pieces], model.trainer_spec.model_type)
 
 

@@ -485,6 +485,19 @@ def test_pieces_against_the_library():
         assert own.decode(ids).decode() == text.replace("▁", " ").removeprefix("" if text[:1] != "▁" else "")
 
 
+@pytest.mark.parametrize("kind", [4, 5])
+def test_other_kinds_of_pieces_are_refused(tmp_path, kind):
+    from sentencepiece import sentencepiece_model_pb2
+
+    model = sentencepiece_model_pb2.ModelProto()
+    with open(MODEL, "rb") as file:
+        model.ParseFromString(file.read())
+    model.pieces[-1].type = kind
+    (tmp_path / "own.model").write_bytes(model.SerializeToString())
+    with pytest.raises(ValueError, match="can't be compiled"):
+        pieces.load(str(tmp_path / "own.model"))
+
+
 def test_unigram_path_is_the_shortest():
     chooser = random.Random(9)
     letters = [(c, -3.0 - i, 1) for i, c in enumerate("abc▁")]
