@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from refrain.llm import chat, decontaminate, language, lines, near, pieces, pii, quality, substrings, urls
+from refrain.llm import chat, codes, decontaminate, language, lines, near, negatives, pieces, pii, quality, substrings, urls
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -340,3 +340,83 @@ def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 )
 def op5_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.remove_repeated(table(spark, folder, "documents"))
+
+
+#: Integer components of the usable rows of ``embeddings``.
+_INTEGERS_SQL = """
+    kept AS (
+        SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+        FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+"""
+
+
+@query(
+    f"""
+    WITH {_INTEGERS_SQL},
+    labelled AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, v FROM kept WHERE label IS NOT NULL),
+    scored AS (
+        SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS alike,
+               list_sum(list_transform(list_zip(a.v, r.v), lambda p: p[1] * p[2])) AS score
+        FROM labelled a JOIN labelled r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+    positives AS (
+        SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE alike
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+    SELECT anchor_id, positive_id,
+           CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INT) AS rank,
+           id AS negative_id, CAST(positive_score AS BIGINT) AS positive_score, CAST(score AS BIGINT) AS negative_score
+    FROM positives JOIN scored USING (anchor_id)
+    WHERE NOT alike AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+    QUALIFY rank <= 5
+    """
+)
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, folder, "embeddings").withColumn("label", noisy)
+    return negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+def _lloyd_sql(rounds: int = 2) -> str:
+    """Codebooks ``c0`` to those of the last round, with assignments ``a0`` and so on by each of them."""
+    steps = []
+    for r in range(rounds + 1):
+        if r:
+            steps.append(f"""
+    means AS (
+        SELECT p, e, i, CAST(floor(sum(x[i]) / count(*)) AS BIGINT) AS m
+        FROM a{r - 1} JOIN parts USING (vec_id, p), range(1, 1 + len(x)) t(i) GROUP BY p, e, i),
+    c{r} AS (
+        SELECT o.p, o.e, coalesce(n.c, o.c) AS c
+        FROM c{r - 1} o LEFT JOIN (SELECT p, e, list(m ORDER BY i) AS c FROM means GROUP BY p, e) n ON n.p = o.p AND n.e = o.e)
+            """.replace("means", f"means{r}"))
+        steps.append(f"""
+    a{r} AS (
+        SELECT vec_id, p, arg_min(e, (d, e)) AS e, min(d) AS d
+        FROM (SELECT vec_id, p, e, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+              FROM parts JOIN c{r} USING (p)) GROUP BY vec_id, p)
+        """)
+    return ",".join(steps)
+
+
+@query(
+    f"""
+    WITH {_INTEGERS_SQL},
+    parts AS (
+        SELECT vec_id, p, v[p * (len(v) // 16) + 1 : (p + 1) * (len(v) // 16)] AS x FROM kept, range(16) t(p)),
+    c0 AS (
+        SELECT p, e, x AS c FROM parts
+        JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept QUALIFY e < 64) USING (vec_id)),
+    {_lloyd_sql()},
+    coded AS (
+        SELECT vec_id, string_agg(lower(printf('%02x', e)), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+        FROM a2 GROUP BY vec_id),
+    labels AS (
+        SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM coded JOIN kept USING (vec_id) GROUP BY label),
+    book AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c2)
+    SELECT vec_id, code, error, label_error, codebooks_sha256
+    FROM coded JOIN kept USING (vec_id) JOIN labels ON labels.label IS NOT DISTINCT FROM kept.label, book
+    """
+)
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return codes.vector_codes(table(spark, folder, "embeddings"))
