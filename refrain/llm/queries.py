@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from refrain.llm import chat, codes, decontaminate, language, lines, near, negatives, pieces, pii, quality, substrings, urls
+from refrain.llm import chat, classes, codes, decontaminate, language, lines, near, negatives, pieces, pii, quality, substrings, urls
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -420,3 +420,13 @@ def _lloyd_sql(rounds: int = 2) -> str:
 )
 def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return codes.vector_codes(table(spark, folder, "embeddings"))
+
+
+@query()
+def op11_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    scored = classes.score(docs, part != 1)
+    return scored.withColumn("held_out", F.coalesce(part == 1, F.lit(False))).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
