@@ -7,18 +7,18 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from refrain.llm import near
 from refrain.llm.common import as_bytes, content_key, map_rows, shingle_hashes, with_columns, word_hashes
 from refrain.sources.scratch import settle
 
-#: A line is above the limits if it is in more documents of its host than this,
+#: A line is above the limits if it is in more distinct documents of its host than this,
 LEAST_DOCUMENTS = 20
-#: and in more than this share of them,
+#: and in more than this share of its host's documents.
 LEAST_SHARE = 0.002
-#: and at least this share of them have it between other lines, or those that are left when each group of
-#: near-duplicates counts once are still above both limits. Lines that are common only because one document has copies
-#: stay: near-duplicate removal deals with those, and none of them would be left if their lines went.
-LEAST_SETTINGS = 0.5
+#: A document of which at least this share of the words stands in lines that so many texts share is a copy with changes,
+#: or nothing but blocks. Such documents are distinct only if they begin with different shared lines; all others are
+#: distinct if their texts differ. So lines that are common because one document has copies stay (near-duplicate removal
+#: deals with those), whereas footers, menus and licences on different pages go.
+COPY_SHARE = 0.8
 #: A document is depleted if less than this share of its words is left without such lines.
 LEAST_LEFT = 0.3
 
@@ -30,7 +30,7 @@ _IS_SYMBOL = np.array([b in SYMBOLS for b in range(256)])
 
 _MEASURES = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "lines array<long>, settings array<long>, line_words array<long>"
+    "lines array<long>, line_words array<long>"
 )
 
 
@@ -68,16 +68,12 @@ def measures(data: bytes) -> tuple:
             hashes.append(line_hash(line))
             repeated += line in seen
             seen[line] = None
-    settings: dict[int, int] = {}
     counts: dict[int, int] = {}
-    for i, (line, value) in enumerate(zip(order, hashes)):
-        if value not in settings:
-            around = (hashes[i - 1] if i else 0, hashes[i + 1] if i + 1 < len(hashes) else 0)
-            settings[value] = xxhash.xxh3_64_intdigest(repr(around)) - (1 << 63)
+    for line, value in zip(order, hashes):
         counts[value] = counts.get(value, 0) + len(line.split())
     return (
         len(words), int(bytes_of[_IN_WORDS].sum()), int(bytes_of[_IS_SYMBOL].sum()), repeated, repeated_words(words),
-        list(settings), list(settings.values()), list(counts.values()),
+        list(counts), list(counts.values()),
     )
 
 
@@ -102,52 +98,40 @@ def measure(docs: DataFrame, text: str, host: str, identity: list[Column]) -> Da
 
 def frequent_lines(
     measured: DataFrame,
-    texts: DataFrame,
     least_documents: int = LEAST_DOCUMENTS,
     least_share: float = LEAST_SHARE,
-    least_settings: float = LEAST_SETTINGS,
+    copy_share: float = COPY_SHARE,
 ) -> DataFrame:
-    """``host``, ``line`` of the lines above the limits. Documents with the same text count once.
+    """``host``, ``line`` of the lines above the limits.
 
-    ``texts`` has ``key_1``, ``key_2`` and ``text`` of every row; only those with lines in few settings are read.
+    Texts are counted first, those that are the same once. Only lines above the limits by that count go on: their documents
+    get a signature, and the distinct signatures are counted. Both counts are sums of sums, so neither a host nor a line
+    meets in one task with more than a row for each task and signature.
     """
-    body = F.struct("key_1", "key_2")
     distinct = measured.groupBy("host", "text_1", "text_2").agg(
-        F.first(F.arrays_zip("lines", "settings")).alias("pairs"), F.min(body).alias("body")
+        F.first("n_words").alias("n_words"), F.first(F.arrays_zip("lines", "line_words")).alias("own")
     )
-    distinct = settle(distinct.select("host", "body", "pairs"), "distinct-lines")
-    hosts = distinct.groupBy("host").agg(F.count(F.lit(1)).alias("documents"))
-    spread = distinct.select("host", "body", F.explode("pairs").alias("pair"))
-    spread = spread.select("host", "body", F.col("pair.lines").alias("line"), F.col("pair.settings").alias("setting"))
-    counted = (
-        spread.groupBy("host", "line", "setting")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("host", "line")
-        .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("settings"))
-        .filter(F.col("n") > least_documents)
+    distinct = settle(distinct, "distinct-lines")
+    hosts = settle(distinct.groupBy("host").agg(F.count(F.lit(1)).alias("documents")), "hosts")
+    spread = distinct.select("host", "text_1", "text_2", "n_words", F.posexplode("own").alias("place", "own"))
+    spread = spread.select("host", "text_1", "text_2", "n_words", "place", F.col("own.lines").alias("line"), F.col("own.line_words").alias("words"))
+
+    def above(counted: DataFrame) -> DataFrame:
+        many = counted.filter(F.col("n") > least_documents)
+        met = many.join(hosts.withColumnRenamed("host", "of"), F.col("host").eqNullSafe(F.col("of")))
+        return met.filter(F.col("n") > least_share * F.col("documents")).select("host", "line")
+
+    often = settle(above(spread.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"))), "often-lines").toDF("of", "often")
+    shared = spread.join(often, F.col("host").eqNullSafe(F.col("of")) & (F.col("line") == F.col("often")))
+    texts = shared.groupBy("host", "text_1", "text_2", "n_words").agg(
+        F.sum("words").alias("shared"), F.sort_array(F.collect_list(F.struct("place", "line"))).alias("lines")
     )
-    above = counted.join(hosts, counted["host"].eqNullSafe(hosts["host"])).select(
-        counted["host"], "line", "documents", "n", (F.col("settings") >= least_settings * F.col("n")).alias("varied")
-    )
-    above = settle(above.filter(F.col("n") > least_share * F.col("documents")), "often-lines")
-    varied = above.filter("varied").select("host", "line")
-    alike = above.filter("NOT varied").select("host", "line", "documents")
-    if alike.isEmpty():
-        return varied
-    met = spread.join(alike, spread["host"].eqNullSafe(alike["host"]) & (spread["line"] == alike["line"]))
-    held = settle(met.select(alike["host"], alike["line"], "documents", "body"), "held-lines")
-    in_groups = held.join(near_groups(texts, held.select("body").distinct()), "body")
-    n_groups = in_groups.groupBy("host", "line", "documents").agg(F.count_distinct("group").alias("n"))
-    many = n_groups.filter((F.col("n") > least_documents) & (F.col("n") > least_share * F.col("documents")))
-    return settle(varied.union(many.select("host", "line")), "frequent-lines")
-
-
-def near_groups(texts: DataFrame, bodies: DataFrame) -> DataFrame:
-    """``body`` (a struct of ``key_1``, ``key_2``) and ``group``, which near-duplicates have in common."""
-    own = (F.col("key_1") == F.col("body.key_1")) & (F.col("key_2") == F.col("body.key_2"))
-    chosen = texts.join(bodies, own).select("body", "text")
-    found = near.near_duplicates(settle(chosen, "texts-in-few-settings"), "text", "body")
-    return found.select("body", F.col("component_id").alias("group")).distinct()
+    is_copy = F.col("shared") >= F.lit(copy_share) * F.col("n_words")
+    first = F.col("lines")[0]["line"]
+    signature = F.when(is_copy, F.struct(first.alias("a"), F.lit(None).cast("long").alias("b"))).otherwise(F.struct(F.col("text_1").alias("a"), F.col("text_2").alias("b")))
+    signed = texts.select("host", signature.alias("signature"), F.explode("lines.line").alias("line"))
+    kinds = signed.groupBy("host", "line", "signature").agg(F.lit(1).alias("one"))
+    return settle(above(kinds.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"))), "frequent-lines")
 
 
 def frequent_words(measured: DataFrame, frequent: DataFrame) -> DataFrame:
@@ -177,7 +161,8 @@ def judge(
 ) -> DataFrame:
     """One row per row of ``docs``: id, the counts, ``frequent_words``, ``frequent`` lines, ``base_failed``, ``kept``.
 
-    Lines are hashed without regard to case and white space and counted once per distinct text of a host. Lines
+    Lines are hashed without regard to case and white space and counted once per distinct document of a host (see
+    ``COPY_SHARE`` for what is distinct). Lines
     above the limits don't count for a document; one with less than ``least_left`` of its words left is depleted.
 
     A null text has no words and fails. A null host is a host. Empty tables give no rows; rows that are the same get
@@ -186,9 +171,8 @@ def judge(
     """
     identity = [F.col(id).alias("id"), *content_key(F.col(id), F.col(host), F.col(text))]
     measured = settle(measure(docs, text, host, identity), "measured-texts")
-    texts = docs.select(*identity[1:], F.col(text).alias("text"))
-    found = frequent_words(measured, frequent_lines(measured, texts, **limits))
-    rows = measured.drop("lines", "settings", "line_words", "host", "text_1", "text_2").join(found, ["key_1", "key_2"], "left")
+    found = frequent_words(measured, frequent_lines(measured, **limits))
+    rows = measured.drop("lines", "line_words", "host", "text_1", "text_2").join(found, ["key_1", "key_2"], "left")
     rows = rows.withColumn("frequent_words", F.coalesce("frequent_words", F.lit(0).cast("long")))
     left = F.col("n_words") - F.col("frequent_words") >= F.lit(least_left) * F.col("n_words")
     return rows.withColumns({"base_failed": base_failed(), "kept": ~base_failed() & left}).withColumnRenamed("id", id)

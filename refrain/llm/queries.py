@@ -112,17 +112,22 @@ def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
         FROM (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line,
                      generate_subscripts(string_split(text, chr(10)), 1) AS i FROM docs)),
     full_lines AS (SELECT doc_id, source, text, i, line, len(w) AS n, array_to_string(w, ' ') AS norm FROM lines WHERE len(w) > 0),
-    placed AS (
-        SELECT source, text, norm, lag(norm, 1, '') OVER o AS before, lead(norm, 1, '') OVER o AS after,
-               row_number() OVER (PARTITION BY doc_id, norm ORDER BY i) AS place
-        FROM full_lines WHERE doc_id IN (SELECT min(doc_id) FROM docs GROUP BY source, text)
-        WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
-    counted AS (
-        SELECT source, norm, count(*) AS n, count(DISTINCT (before, after)) AS settings FROM placed WHERE place = 1 GROUP BY ALL),
+    distinct_lines AS (
+        SELECT source, text, norm, min(i) AS i, sum(n) AS n FROM full_lines
+        WHERE doc_id IN (SELECT min(doc_id) FROM docs GROUP BY source, text) GROUP BY ALL),
     hosts AS (SELECT source, count(DISTINCT text) AS n_documents FROM docs GROUP BY source),
+    often AS (
+        SELECT source, norm FROM (SELECT source, norm, count(*) AS c FROM distinct_lines GROUP BY ALL) JOIN hosts USING (source)
+        WHERE c > 20 AND c > 0.002 * n_documents),
+    signed AS (
+        SELECT source, text, CASE WHEN sum(n) >= 0.8 * len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))
+               THEN 'begins with ' || arg_min(norm, i) ELSE 'is ' || text END AS signature
+        FROM distinct_lines JOIN often USING (source, norm) GROUP BY source, text),
     frequent AS (
-        SELECT source, norm FROM counted JOIN hosts USING (source)
-        WHERE n > 20 AND settings >= 0.5 * n AND n > 0.002 * n_documents),
+        SELECT source, norm
+        FROM (SELECT source, norm, count(DISTINCT signature) AS c FROM distinct_lines JOIN often USING (source, norm)
+              JOIN signed USING (source, text) GROUP BY ALL) JOIN hosts USING (source)
+        WHERE c > 20 AND c > 0.002 * n_documents),
     removed AS (SELECT doc_id, sum(n) AS n FROM full_lines JOIN frequent USING (source, norm) GROUP BY doc_id),
     repeated_lines AS (
         SELECT doc_id, sum(n - 1) AS n FROM (SELECT doc_id, line, count(*) AS n FROM full_lines GROUP BY ALL) GROUP BY doc_id),

@@ -101,22 +101,32 @@ def repeated_words(found):
     return len({j for at in seen.values() if len(at) > 1 for i in at for j in (i, i + 1, i + 2)})
 
 
-def quality(rows, least=20, share=0.002, settings=0.5, left=0.3):
+def quality(rows, least=20, share=0.002, copy=0.8, left=0.3):
     """(kept, text after the rules) of (id, host, text) rows."""
 
     def norm(line):
         return " ".join(words(lowered(line)))
 
-    docs, found = collections.Counter(), collections.defaultdict(list)
+    docs, texts = collections.Counter(), {}
     for host, text in {(h, t) for _, h, t in rows}:
         docs[host] += 1
-        full = [norm(x) for x in (text or "").split("\n") if words(x)]
-        for i, line in enumerate(full):
-            if line not in full[:i]:
-                found[host, line].append((full[i - 1] if i else "", full[i + 1] if i + 1 < len(full) else ""))
-    frequent = {
-        (h, x) for (h, x), at in found.items() if len(at) > least and len(set(at)) >= settings * len(at) and len(at) > share * docs[h]
-    }
+        texts[host, text] = [norm(x) for x in (text or "").split("\n") if words(x)]
+
+    def above(signature):
+        found = collections.defaultdict(set)
+        for (host, text), lines in texts.items():
+            for line in lines:
+                found[host, line].add(signature(host, text, lines))
+        return {(h, x) for (h, x), at in found.items() if len(at) > least and len(at) > share * docs[h]}
+
+    often = above(lambda host, text, lines: text)
+
+    def signature(host, text, lines):
+        shared = [x for x in lines if (host, x) in often]
+        is_copy = sum(len(words(x)) for x in shared) >= copy * len(words(text))
+        return ("begins with", shared[0]) if shared and is_copy else ("is", text)
+
+    frequent = above(signature) & often
     out = []
     for _, host, text in rows:
         own = words(text)

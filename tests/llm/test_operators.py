@@ -116,9 +116,25 @@ def test_quality_takes_blocks_of_lines(spark):
     assert all(cleaned[r[0]] == r[1] for r in rows if r[0] >= 400)
 
 
+def test_quality_counts_a_large_group_of_near_copies_once(spark):
+    """Two edits of its own in each copy, anywhere, make no line of a group a frequent one; a hot host's footer is one."""
+    chooser = random.Random(11)
+    copied = story(12, 30).split("\n")
+    rows = []
+    for i in range(600):
+        own = chooser.sample(range(30), 2)
+        rows.append((i, "\n".join(f"{x} own{i}" if k in own else x for k, x in enumerate(copied)), "en", "hot"))
+    footer = "One footer of a hot host\nand its second line\nand its third line"
+    rows += [(1000 + i, story(5000 + i, 6) + "\n" + footer, "en", "hot") for i in range(900)]
+    judged = {r.doc_id: r for r in quality.judge(frame(spark, rows)).collect()}
+    assert {judged[i].frequent_words for i in range(600)} == {0}
+    assert {judged[1000 + i].frequent_words for i in range(900)} == {14}
+    assert all(r.kept for r in judged.values())
+
+
 def test_quality_counts():
     data = "é* a\n \né* a\nb|c".encode()
-    n_words, chars, symbols, repeated, again, hashes, _, counts = quality.measures(data)
+    n_words, chars, symbols, repeated, again, hashes, counts = quality.measures(data)
     assert (n_words, chars, symbols, repeated, again) == (5, 9, 3, 1, 0)
     assert len(hashes) == 2 and counts == [4, 1]
     chooser = random.Random(3)
