@@ -199,7 +199,7 @@ def best_match_linkage(t):
 
 @query(f"WITH {_BEST_SQL} SELECT * FROM best")
 def best_match_linkage_pruned(t):
-    return _rounded_scores(linkage.link(music(t), video(t), prune=True, tile_items=32, tile_queries=64))
+    return _rounded_scores(linkage.link(music(t), video(t), root=2.0, cell_items=8, tile_queries=64))
 
 
 @query(
@@ -265,11 +265,11 @@ def nearest_of_every_vector(t):
     """
 )
 def nearest_small_vectors_pruned(t):
-    """Vectors times 1e-6, in tiles small enough for bins to be skipped at any size of the tables."""
+    """Vectors times 1e-6, in cells small enough for some to be skipped at any size of the tables."""
     small = t.embeddings.select("label", "vec_id", F.transform("embedding", lambda x: x.cast("double") * 1e-6).alias("v"))
     queries = small.withColumnRenamed("vec_id", "query_id")
     found = neighbours.nearest(
-        queries, small, "label", "query_id", "vec_id", "v", k=3, prune=True, tile_items=16, tile_queries=64
+        queries, small, "label", "query_id", "vec_id", "v", k=3, prune=True, root=2.0, cell_items=8, tile_queries=64
     )
     return found.select("query_id", "vec_id", F.round("distance", 18).alias("distance"))
 

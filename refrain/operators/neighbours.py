@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from refrain.functions.vectors import squared_l2, squared_l2_to
+from refrain.operators import cells
 from refrain.operators.relational import first_k_per_key, smallest
 from refrain.sources.scratch import settle
 
@@ -16,10 +17,6 @@ TILE_ITEMS = 4096
 TILE_QUERIES = 8192
 TILES_PER_SIDE = 64
 TILE_GROWTH = 16
-MAX_PIVOTS = 1024
-MAX_RINGS = 16
-HOME_ITEMS = 64
-SLACK = 1e-6
 
 
 def nearest_to_point(
@@ -61,9 +58,9 @@ def nearest(
     quantum: float | None = None,
     tile_items: int = TILE_ITEMS,
     tile_queries: int = TILE_QUERIES,
-    max_pivots: int = MAX_PIVOTS,
     prune: bool = False,
     clean: bool = False,
+    **index,
 ) -> DataFrame:
     """Exactly the ``k`` nearest items of each query's group: ``(group, query_id, item_id, distance, parts)``.
 
@@ -73,12 +70,9 @@ def nearest(
     give no row.
 
     No pair becomes a row. Queries and items meet in tiles of bounded size, in which one matrix product
-    scores all pairs and only the ``k`` best per query leave. With ``prune`` tiles that cannot
-    hold a neighbour are skipped: items are put into bins by their nearest pivot and their distance
-    to it, and the triangle inequality, in each span of the vector, and the plane between two pivots
-    bound the distance of a query to a whole bin. A first scan of the most promising bins gives each query a real distance to
-    beat; the second scan visits every bin whose bound does not rule it out. Skipping therefore changes
-    the work and never the result.
+    scores all pairs and only the ``k`` best per query leave. With ``prune`` items are stored in an index of cells, and
+    only cells whose box a neighbour can lie in are scored; see ``refrain.operators.cells``, whose ``search`` takes the
+    options in ``index``. That changes the work and never the result.
 
     ``clean`` states that no two items of a group have the same vector and that no vector has NaN. The layout of the
     tiles, and with ``prune`` the first scan, run and are written when this is called.
@@ -91,19 +85,12 @@ def nearest(
         undefined = _undefined_pairs(queries, items, k)
         queries, items = queries.where(~_has_nan()), items.where(~_has_nan())
 
-    scan = dict(k=k, spans=spans, quantum=quantum, tile_items=tile_items, tile_queries=tile_queries)
-    pivots: dict = {}
     if prune:
-        rows = items.count()
-        wanted = min(max_pivots, rows // (4 * tile_items))
-        pivots = _pivots(items, wanted, rows) if wanted else {}
-    if pivots:
-        # Rings cut the cell of a pivot into bins of about a quarter of a tile.
-        rings = (rows / (wanted * tile_items / 4)) ** (1 / len(spans or [0]))
-        found = _pruned_scan(queries, items, pivots, max(1, min(MAX_RINGS, round(rings))), scan)
+        if clean:
+            items = settle(items, "items")
+        found = cells.search(queries, items, k, spans, quantum, tile_queries, **index)
     else:
-        whole = F.lit(-1).alias("bin")
-        found = _scan(queries.select("*", whole), items.select("*", whole), **scan)
+        found = _scan(queries, items, k, spans, quantum, tile_items, tile_queries)
     best = _best(found if undefined is None else found.unionByName(undefined), k)
     return best.select(
         F.col("g").alias(group), F.col("query").alias(query_id), F.col("item").alias(item_id), "distance", "parts"
@@ -142,24 +129,24 @@ def _best(found: DataFrame, k: int) -> DataFrame:
 
 
 def _scan(
-    visits: DataFrame, items: DataFrame, k: int, spans, quantum: float | None, tile_items: int, tile_queries: int
+    queries: DataFrame, items: DataFrame, k: int, spans, quantum: float | None, tile_items: int, tile_queries: int
 ) -> DataFrame:
-    """Score ``visits (g, bin, query, v)`` against ``items (g, bin, item, v)``; the ``k`` best per query and tile.
+    """Score ``queries (g, query, v)`` against ``items (g, item, v)``; the ``k`` best per query and tile.
 
-    Both sides of a bin are cut by hash into as many parts as their counts call for, so a bin or a group
+    Both sides of a group are cut by hash into as many parts as their counts call for, so a group
     that holds much of the data becomes many tiles of bounded size. A row is sent once per part of the other
-    side, so large bins get larger tiles, up to ``TILE_GROWTH`` times the usual size.
+    side, so large groups get larger tiles, up to ``TILE_GROWTH`` times the usual size.
     """
 
     def parts(size: int):
         rows = F.count(F.lit(1))
         return F.ceil(rows / F.least(F.greatest(rows / TILES_PER_SIDE, F.lit(size)), F.lit(size * TILE_GROWTH)))
 
-    asked = visits.groupBy("g", "bin").agg(parts(tile_queries).alias("query_parts"))
-    held = items.groupBy("g", "bin").agg(parts(tile_items).alias("item_parts"))
+    asked = queries.groupBy("g").agg(parts(tile_queries).alias("query_parts"))
+    held = items.groupBy("g").agg(parts(tile_items).alias("item_parts"))
     # Written first, so that its size is known and a small layout is broadcast instead of shuffling vectors for it.
-    layout = settle(asked.join(held, ["g", "bin"]), "layout")
-    key = ["g", "bin", "query_part", "item_part"]
+    layout = settle(asked.join(held, "g"), "layout")
+    key = ["g", "query_part", "item_part"]
 
     def part(of: str, count: str):
         return F.pmod(F.xxhash64(of), F.col(count))
@@ -167,13 +154,13 @@ def _scan(
     def every(count: str):
         return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
 
-    left = visits.join(layout, ["g", "bin"]).select(
-        "g", "bin", part("query", "query_parts").alias("query_part"), every("item_parts").alias("item_part"), "query", "v"
+    left = queries.join(layout, "g").select(
+        "g", part("query", "query_parts").alias("query_part"), every("item_parts").alias("item_part"), "query", "v"
     )
-    right = items.join(layout, ["g", "bin"]).select(
-        "g", "bin", every("query_parts").alias("query_part"), part("item", "item_parts").alias("item_part"), "item", "v"
+    right = items.join(layout, "g").select(
+        "g", every("query_parts").alias("query_part"), part("item", "item_parts").alias("item_part"), "item", "v"
     )
-    typed = (("g", visits), ("query", visits), ("item", items))
+    typed = (("g", queries), ("query", queries), ("item", items))
     id_types = [f"{c} {df.schema[c].dataType.simpleString()}" for c, df in typed]
     schema = ", ".join([*id_types, "distance double", "parts array<double>", "rank double"])
     return (
@@ -242,191 +229,3 @@ def _tile_scorer(k: int, spans, quantum: float | None):
         )
 
     return score
-
-
-def _pivots(items: DataFrame, wanted: int, rows: int) -> dict:
-    """Vectors of ``wanted`` items by group: a uniform sample by hash, hence the same after a retry.
-
-    The threshold keeps what the tasks send to about four times ``wanted``, however many tasks there are.
-    """
-    place = F.pmod(F.xxhash64(F.lit("pivot"), "item"), F.lit(1 << 40))
-    near = items.where(place < int((1 << 40) * min(1.0, 4.0 * wanted / rows)))
-    pivots: dict = {}
-    for row in near.orderBy(place, "item").limit(wanted).select("g", "v").collect():
-        pivots.setdefault(row["g"], []).append(row["v"])
-    return pivots
-
-
-def _pruned_scan(queries: DataFrame, items: DataFrame, pivots: dict, rings: int, scan: dict) -> DataFrame:
-    spark = items.sparkSession
-    dim = len(next(iter(pivots.values()))[0])
-    spans = scan["spans"] or [(0, dim)]
-    shared = spark.sparkContext.broadcast((pivots, spans, rings))
-
-    g_type = items.schema["g"].dataType.simpleString()
-    item_type = items.schema["item"].dataType.simpleString()
-    query_type = queries.schema["query"].dataType.simpleString()
-    binned = settle(
-        items.mapInArrow(
-            _bin_assigner(shared), f"g {g_type}, item {item_type}, v array<double>, bin int, away array<double>"
-        ),
-        "binned",
-    )
-    # At most max_pivots * MAX_RINGS ** spans rows, however many items; groups without a pivot stay out.
-    ranges = [
-        f(F.col("away")[s]).alias(f"{name}_{s}") for s in range(len(spans)) for name, f in (("low", F.min), ("high", F.max))
-    ]
-    bins = binned.where(F.col("bin") >= 0).groupBy("g", "bin").agg(F.count(F.lit(1)).alias("n"), *ranges).collect()
-    by_group: dict = {}
-    for row in bins:
-        bounds = [(row[f"low_{s}"], row[f"high_{s}"]) for s in range(len(spans))]
-        by_group.setdefault(row["g"], []).append((row["bin"], row["n"], bounds))
-    summary = {g: tuple(np.array(column) for column in zip(*rows)) for g, rows in by_group.items()}
-    shared_bins = spark.sparkContext.broadcast((pivots, spans, rings, summary))
-
-    binned = binned.select("g", "bin", "item", "v")
-    reach = f"g {g_type}, query {query_type}, v array<double>, bins array<int>"
-    home = settle(queries.mapInArrow(_bin_chooser(shared_bins, scan["k"], scan["quantum"], first=True), reach), "home")
-    one_bin = F.explode("bins").alias("bin")
-    near = settle(_scan(home.select("g", "query", "v", one_bin), binned, **scan), "near")
-
-    # The k-th distance found at home is one to beat; with fewer than k found nothing is ruled out.
-    if scan["k"] == 1:
-        beat = near.groupBy("g", "query").agg(F.min("distance").alias("beat"))
-    else:
-        kept = _best(near, scan["k"]).groupBy("g", "query").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("far"))
-        beat = kept.select("g", "query", F.when(F.col("n") >= scan["k"], F.col("far")).alias("beat"))
-    rest = home.join(beat, ["g", "query"], "left").select("g", "query", "v", "bins", "beat")
-    visits = settle(rest.mapInArrow(_bin_chooser(shared_bins, scan["k"], scan["quantum"], first=False), reach), "visits")
-    far = _scan(visits.select("g", "query", "v", one_bin), binned, **scan)
-    return near.unionByName(far)
-
-
-def _bin_assigner(shared):
-    def assign(batches):
-        pivots, spans, rings = shared.value
-        matrices = {g: np.array(rows) for g, rows in pivots.items()}
-        widths = {}
-        for g, p in matrices.items():
-            # Items lie about as far from their pivot as pivots from the next one: spread the rings over that.
-            square = (p * p).sum(axis=1)
-            apart = square[:, None] + square[None, :] - 2.0 * (p @ p.T)
-            np.fill_diagonal(apart, np.inf)
-            gap = p - p[apart.argmin(axis=1)]
-            reach = [np.sqrt((gap[:, a:b] ** 2).sum(axis=1)).mean() for a, b in spans]
-            widths[g] = [2.0 * r / rings or 1.0 for r in reach]
-        for batch in batches:
-            groups = np.array(batch.column("g").to_pylist(), dtype=object)
-            vectors = batch.column("v")
-            v = vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
-            bins = np.full(len(v), -1, dtype=np.int32)
-            away = np.zeros((len(v), len(spans)))
-            for g in set(groups.tolist()):
-                if g not in matrices:
-                    continue
-                at = np.flatnonzero(groups == g)
-                x, p = v[at], matrices[g]
-                rough = (p * p).sum(axis=1)[None, :] - 2.0 * (x @ p.T)
-                cell = rough.argmin(axis=1)
-                label = cell.astype(np.int64)
-                for s, (a, b) in enumerate(spans):
-                    gap = x[:, a:b] - p[cell][:, a:b]
-                    away[at, s] = np.sqrt((gap * gap).sum(axis=1))
-                    ring = np.minimum(away[at, s] / widths[g][s], rings - 1).astype(np.int64)
-                    label = label * rings + ring
-                bins[at] = label
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("g"),
-                    batch.column("item"),
-                    vectors,
-                    pa.array(bins),
-                    pa.ListArray.from_arrays(
-                        pa.array(np.arange(0, away.size + 1, len(spans), dtype=np.int32)), pa.array(away.ravel())
-                    ),
-                ],
-                names=["g", "item", "v", "bin", "away"],
-            )
-
-    return assign
-
-
-def _bin_chooser(shared_bins, k: int, quantum: float | None, first: bool):
-    """Choose bins per query: the most promising ones first, afterwards all others in reach of ``beat``."""
-
-    def choose(batches):
-        pivots, spans, rings, summary = shared_bins.value
-        known = {
-            g: (np.array(pivots[g]), ids, ids // rings ** len(spans), sizes, bounds)
-            for g, (ids, sizes, bounds) in summary.items()
-        }
-
-        def squares(x, p):
-            square = (x * x).sum(axis=1)[:, None] + (p * p).sum(axis=1)[None, :] - 2.0 * (x @ p.T)
-            return np.maximum(square, 0.0)
-
-        def lower_bounds(x, p, cell, bounds):
-            """Squared distance that no item of a bin falls below, for every row of ``x`` and every bin."""
-            room = SLACK * np.sqrt((x * x).sum(axis=1).max() + (p * p).sum(axis=1).max())
-            ringed = np.zeros((len(x), len(cell)))
-            for s, (a, b) in enumerate(spans):
-                away = np.sqrt(squares(x[:, a:b], p[:, a:b]))[:, cell]
-                gap = np.maximum(away - bounds[:, s, 1], bounds[:, s, 0] - away) - room
-                ringed += np.maximum(0.0, gap) ** 2
-            # An item is nearer to its own pivot than to the pivot nearest to the query, so it lies beyond the
-            # plane half-way between the two.
-            joint = squares(x, p)
-            own = joint.argmin(axis=1)
-            apart = np.sqrt(squares(p, p))[own]
-            beyond = (joint - joint.min(axis=1)[:, None]) / (2.0 * np.maximum(apart, max(room, np.finfo(float).tiny)))
-            return np.maximum(ringed, np.maximum(0.0, beyond - room)[:, cell] ** 2)
-
-        for batch in batches:
-            groups = np.array(batch.column("g").to_pylist(), dtype=object)
-            vectors = batch.column("v")
-            v = vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
-            owners, choices = [], []  # of each choice the row and the bin
-            if first:
-                outside = np.array([g not in known for g in groups.tolist()], bool)
-                owners.append(np.flatnonzero(outside))
-                choices.append(np.full(int(outside.sum()), -1))
-            else:
-                seen = batch.column("bins")
-                seen_bins = seen.flatten().to_numpy(zero_copy_only=False)
-                seen_rows = np.repeat(np.arange(len(v)), seen.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-                beat = batch.column("beat").to_numpy(zero_copy_only=False).astype(float)
-                beat = np.where(np.isnan(beat), np.inf, beat)
-            for g in set(groups.tolist()):
-                if g not in known:
-                    continue
-                p, ids, cell, sizes, bounds = known[g]
-                at = np.flatnonzero(groups == g)
-                sorted_ids = np.argsort(ids)
-                step = max(1, (1 << 21) // len(ids))
-                for start in range(0, len(at), step):
-                    rows = at[start : start + step]
-                    low = lower_bounds(v[rows], p, cell, bounds)
-                    if first:
-                        order = np.argsort(low, axis=1, kind="stable")
-                        before = np.cumsum(sizes[order], axis=1) - sizes[order]
-                        n, place = np.nonzero(before < max(k, HOME_ITEMS))
-                        owners.append(rows[n])
-                        choices.append(ids[order[n, place]])
-                    else:
-                        reach = low <= (beat[rows] * (1.0 + SLACK) + 2.0 * (quantum or 0.0))[:, None]
-                        mine = np.flatnonzero((seen_rows >= rows[0]) & (seen_rows <= rows[-1]) & np.isin(seen_rows, rows))
-                        column = sorted_ids[np.searchsorted(ids, seen_bins[mine], sorter=sorted_ids)]
-                        reach[np.searchsorted(rows, seen_rows[mine]), column] = False
-                        n, place = np.nonzero(reach)
-                        owners.append(rows[n])
-                        choices.append(ids[place])
-            owner = np.concatenate([*owners, np.zeros(0, np.int64)]).astype(np.int64)
-            order = np.argsort(owner, kind="stable")
-            chosen = np.concatenate([*choices, np.zeros(0, np.int64)]).astype(np.int32)[order]
-            offsets = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(v))))).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(chosen))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("g"), batch.column("query"), vectors, lists], names=["g", "query", "v", "bins"]
-            )
-
-    return choose

@@ -99,14 +99,15 @@ def link(
     title: str = TITLE,
     artist: str = ARTIST,
     only: DataFrame | None = None,
+    prune: bool = True,
     **search,
 ) -> DataFrame:
     """The best right record of every left one that has any in its block.
 
     The best total score counts, equal ones (to 9 places) go to the smallest right id. Records with the
     same vectors are searched once. The sum of two cosines is two minus half the squared distance of the
-    joined unit vectors, so the search is an exact nearest-neighbour search and forms no pairs. ``search`` goes to
-    ``nearest``.
+    joined unit vectors, so the search is an exact nearest-neighbour search and forms no pairs. ``prune`` and ``search``
+    go to ``nearest``.
 
     ``only``, a table with the column ``id_column``, restricts the left records that are searched; weights come from all
     records all the same. Counts, weights and the search run, and are written, when this is called.
@@ -138,6 +139,7 @@ def link(
         spans=[(0, width), (width, 2 * width)],
         quantum=2e-9,
         clean=True,
+        prune=prune,
         **search,
     )
 

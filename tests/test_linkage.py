@@ -52,7 +52,7 @@ def names(rng, rows, mark, letters="abcdeq"):
     return out
 
 
-@pytest.mark.parametrize("search", [{}, {"prune": True, "tile_items": 8, "tile_queries": 16}])
+@pytest.mark.parametrize("search", [{}, {"prune": False}, {"root": 1.0, "cell_items": 4, "tile_queries": 16}])
 def test_link_equals_brute_force(spark, search):
     rng = random.Random(11)
     left, right = names(rng, 90, "m"), names(rng, 120, "t")

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from refrain.operators import neighbours
+from refrain.operators import cells, neighbours
 
 SCHEMA = "g string, id long, v array<double>"
 
@@ -52,7 +52,8 @@ def cloud(rng, rows, groups, dim, start=0, scale=1.0, hot=0.4):
 
 
 TILED = dict(tile_items=16, tile_queries=32, spans=[(0, 2), (2, 6)])
-WAYS = {"one tile": {}, "tiles": TILED, "pruned": {**TILED, "prune": True}, "pruned, one span": dict(prune=True, tile_items=8)}
+CELLS = dict(prune=True, root=2.0, cell_items=5)
+WAYS = {"one tile": {}, "tiles": TILED, "cells": {**TILED, **CELLS}, "cells, one span": CELLS, "cells, one region": dict(prune=True)}
 
 
 @pytest.mark.parametrize("k", [1, 5])
@@ -71,7 +72,7 @@ def test_far_from_the_origin(spark):
     queries = [(g, i, [x + shift for x in v]) for g, i, v in cloud(rng, 40, ["a"], 4, start=5000)]
     expected = brute_force(queries, items, 3, 1e-6)
     assert searched(spark, queries, items, 3, quantum=1e-6) == expected
-    assert searched(spark, queries, items, 3, quantum=1e-6, prune=True, tile_items=16) == expected
+    assert searched(spark, queries, items, 3, quantum=1e-6, **CELLS) == expected
 
 
 def test_wide_distances_keep_their_order(spark):
@@ -79,7 +80,7 @@ def test_wide_distances_keep_their_order(spark):
     queries = [("a", 1, [0.0, 0.0])]
     expected = brute_force(queries, items, 4)
     assert searched(spark, queries, items, 4) == expected
-    assert searched(spark, queries, items, 4, prune=True, tile_items=8) == expected
+    assert searched(spark, queries, items, 4, **CELLS) == expected
 
 
 def test_copies_go_to_the_smallest_ids(spark):
@@ -87,14 +88,14 @@ def test_copies_go_to_the_smallest_ids(spark):
     assert searched(spark, [("a", 1, [1.0, 1.0])], items, 4) == {("a", 1): [1, 2, 3, 4]}
 
 
-@pytest.mark.parametrize("prune", [False, True])
-def test_small_vectors_and_ids_in_two_groups(spark, prune):
+@pytest.mark.parametrize("way", [{}, CELLS])
+def test_small_vectors_and_ids_in_two_groups(spark, way):
     rng = np.random.default_rng(9)
     items = [("a", 1, [1e-5]), ("a", 2, [0.0]), *[(g, i, [float(x)]) for i, (g, x) in enumerate(zip("ab" * 100, rng.normal(size=200) * 1e-7), 3)]]
     queries = [("a", 1, [0.0]), ("b", 1, [2e-8]), ("a", 5, [1e-5])]
     expected = brute_force(queries, items, 2)
     assert expected["a", 1][0] == 2 and len(expected) == 3
-    assert searched(spark, queries, items, 2, prune=prune, tile_items=8) == expected
+    assert searched(spark, queries, items, 2, **way) == expected
 
 
 def test_a_second_query_of_a_group_is_refused(spark):
@@ -127,3 +128,52 @@ def test_a_stored_vector_finds_itself(spark):
 def test_point_search_puts_nan_and_null_last(spark):
     df = spark.createDataFrame([(1, [math.nan]), (2, None), (3, [1.0])], "id int, v array<double>")
     assert [r.id for r in neighbours.nearest_to_point(df, [0.0], "id", "v", 3).collect()] == [3, 1, 2]
+
+
+def indexed(spark, rows):
+    return spark.createDataFrame(rows, "g string, item long, v array<double>")
+
+
+def test_cells_hold_all_items_within_their_boxes(spark):
+    rows = cloud(np.random.default_rng(4), 700, ["a", "b", "c"], 6)
+    stored, regions, sizes, axes = cells.build(indexed(spark, rows), [(0, 2), (2, 6)], root=2.0, cell_items=6)
+    assert np.allclose(axes @ axes.T, np.eye(6)) and not axes[:2, 2:].any()
+    boxes = {(r.g, r.region): (np.array(r.low), np.array(r.high)) for r in regions.collect()}
+    of_group = {r.g: r.regions for r in sizes.collect()}
+    found = []
+    for r in stored.collect():
+        v = np.frombuffer(r.v).reshape(-1, 6)
+        assert len(v) == len(r["items"]) <= 6
+        turned = v @ axes
+        for low, high in ((np.array(r.low), np.array(r.high)), boxes[r.g, r.region]):
+            assert (turned >= low - 1e-12).all() and (turned <= high + 1e-12).all()
+        assert r.region < of_group[r.g]
+        found += [(r.g, i, x.tolist()) for i, x in zip(r["items"], v)]
+    assert sorted(found) == sorted(rows)
+    assert len({k for k in boxes if k[0] == "a"}) > 4
+
+
+def test_a_group_without_drawn_pivots_is_drawn_from_again(spark, monkeypatch):
+    monkeypatch.setattr(cells, "DRAWN", 0)
+    monkeypatch.setattr(cells, "DRAWN_MORE", 0)
+    rows = cloud(np.random.default_rng(5), 300, ["a", "b"], 3)
+    _, regions, _, _ = cells.build(indexed(spark, rows), root=2.0)
+    assert {r.g for r in regions.where("region > 2").collect()} == {"a", "b"}
+
+
+def test_large_and_small_groups_skip_cells(spark):
+    """Pairs that are scored, in a group of 100,000 items and in one of 50."""
+    rng = np.random.default_rng(6)
+    sizes = {"large": 100_000, "small": 50}
+    for group, n in sizes.items():
+        v = rng.normal(size=(n, 3))
+        items = indexed(spark, [(group, i, x.tolist()) for i, x in enumerate(v)]).withColumnsRenamed({"item": "c"})
+        asked = rng.normal(size=(40, 3))
+        queries = spark.createDataFrame([(group, i, x.tolist()) for i, x in enumerate(asked)], "g string, q long, v array<double>")
+        tally = spark.sparkContext.accumulator(0)
+        rows = neighbours.nearest(queries, items, "g", "q", "c", "v", k=2, prune=True, clean=True, tally=tally).collect()
+        distances = ((asked[:, None] - v[None]) ** 2).sum(axis=2)
+        wanted = {(i, int(j)) for i, line in enumerate(distances) for j in np.argsort(line)[:2]}
+        assert {(r.q, r.c) for r in rows} == wanted
+        assert tally.value < 0.7 * 40 * n
+        assert group == "small" or tally.value < 0.01 * 40 * n
