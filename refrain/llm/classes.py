@@ -34,7 +34,7 @@ ROUNDS = 3
 #: Contexts on each side of a word: hashes of the neighbour, and the border of the text as the last one.
 CONTEXTS = 128
 #: Tokens of a chunk, and words of all chunks in a bucket of the lexicon, about.
-CHUNK, IN_BUCKET = 1 << 19, 1 << 18
+CHUNK, IN_BUCKET = 1 << 19, 1 << 17
 #: What a class is thought to have been seen in all contexts, together, before counting.
 PRIOR = 20.0
 

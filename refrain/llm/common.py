@@ -12,7 +12,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 #: Words whose hash a Python worker remembers.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 100_000
 #: Long texts are cut into pieces of about so many bytes, always between two words.
 PIECE_BYTES = 4 << 20
 #: Table that lowers A-Z and leaves all other bytes.

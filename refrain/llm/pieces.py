@@ -1,11 +1,11 @@
 """SentencePiece encoding and decoding as shortest paths through weighted transducers.
 
-Three machines are composed with each text: the normaliser (a space becomes the escape sign, one more goes before the
-text), the pieces with their weights, and byte fallback (any character becomes its bytes, at a weight above all
-pieces). The best segmentation is the shortest path in the tropical semiring. In unigram models a piece weighs its
-negative score. In BPE models all pieces weigh nothing, and a fourth machine gives infinite weight to two neighbours
-that merging in order of the scores would not leave side by side; one path of finite weight is left, which is the
-model's own result.
+A model is compiled into states and weighted arcs over characters: the normaliser (a space becomes the escape sign, one
+more goes before the text), the pieces, whose ends lead back to the start at the piece's weight, and byte fallback, an arc
+for any character at a weight above all pieces. Composed with a text, the machine has a state per place; the best
+segmentation is the shortest path in the tropical semiring. In unigram models a piece weighs its negative score. In BPE
+models all pieces weigh nothing, and one more machine gives infinite weight to two neighbours that merging in order of
+the scores would not leave side by side; one path of finite weight is left, which is the model's own result.
 
 No piece may contain the escape sign after another character (checked when a model is compiled), so a text falls
 into segments that are solved one by one, and the paths of common segments are remembered.
@@ -26,10 +26,15 @@ from refrain.llm.common import as_bytes, map_rows, with_columns
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 UNIGRAM, BPE = 1, 2
-#: Segments and neighbours that a worker remembers, and the length from which a segment isn't remembered.
-CACHED_SEGMENTS, CACHED_PAIRS, LONG = 200_000, 300_000, 48
+#: Segments (twice, for two generations) and neighbours that a worker remembers, and the length from which a segment isn't
+#: remembered; some 100 MB in all.
+CACHED_SEGMENTS, CACHED_PAIRS, LONG = 250_000, 400_000, 48
 #: What byte fallback weighs more than the heaviest piece.
 PENALTY = 10.0
+#: The arc of byte fallback, which has no piece; what ids beyond the vocabulary decode to.
+FALLBACK, NO_PIECE = -1, "\ufffd".encode()
+#: Fixed value: what the unknown piece decodes to.
+UNKNOWN_SIGN = " ⁇ ".encode()
 
 _SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
@@ -46,32 +51,53 @@ class Transducer:
             raise ValueError("the model has no byte fallback")
         if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.ids):
             raise ValueError("a piece goes beyond the end of a word")
-        self.prefixes = {p[:i]: p[:i] in self.ids for p in self.ids for i in range(1, len(p) + 1)}
-        self.suffixes = {p[i:] for p in self.ids for i in range(len(p))}
+        self.names = [p for p, _, _ in pieces]
         self.inside = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         self.fallback = max(self.weights.values()) + PENALTY
+        self.costs = [self.weights.get(p, self.fallback) for p in self.names]
+        self.arcs, self.ends = self._compiled()
         self.output = [self._bytes(p, t) for p, _, t in pieces]
         self.segments: dict[str, bytes] = {}
         self.earlier: dict[str, bytes] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[int, bool] = {}
+
+    def _compiled(self) -> tuple[list[dict[str, int]], list[int]]:
+        """The states of the pieces: arcs by character, and the piece that ends in a state, if one does."""
+        arcs: list[dict[str, int]] = [{}]
+        ends = [FALLBACK]
+        for piece, number in self.ids.items():
+            state = 0
+            for letter in piece:
+                following = arcs[state].get(letter)
+                if following is None:
+                    following = arcs[state][letter] = len(arcs)
+                    arcs.append({})
+                    ends.append(FALLBACK)
+                state = following
+            ends[state] = number
+        none: dict[str, int] = {}
+        return [a or none for a in arcs], ends
 
     @staticmethod
     def _bytes(piece: str, kind: int) -> bytes:
         if kind == BYTE:
             return bytes([int(piece[3:5], 16)])
+        if kind == UNKNOWN:
+            return UNKNOWN_SIGN
         return piece.replace(SPACE, " ").encode() if kind == NORMAL else b""
 
     def __getstate__(self):
         return self.__dict__ | {"segments": {}, "earlier": {}, "pairs": {}}
 
-    def neighbours(self, a: str, b: str) -> bool:
-        """May ``b`` follow ``a``? Merging the text of both, the pair of the best score first and the leftmost of
+    def neighbours(self, a: int, b: int) -> bool:
+        """May piece ``b`` follow piece ``a``? Merging the text of both, the pair of the best score first and the leftmost of
         equals, must never join a part of one with a part of the other."""
-        known = self.pairs.get((a, b))
+        key = a * len(self.names) + b
+        known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) >= CACHED_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[a, b] = self._stay_apart(a, b)
+            known = self.pairs[key] = self._stay_apart(self.names[a], self.names[b])
         return known
 
     def _stay_apart(self, a: str, b: str) -> bool:
@@ -96,70 +122,85 @@ class Transducer:
 
     def path(self, segment: str) -> list[str]:
         """Pieces and unknown characters on the shortest path."""
+        out, at = [], 0
+        for number in self._path(segment):
+            out.append(segment[at] if number == FALLBACK else self.names[number])
+            at += len(out[-1])
+        return out
+
+    def _path(self, segment: str) -> list[int]:
         return self._finite_path(segment) if self.kind == BPE else self._lightest_path(segment)
 
-    def _lightest_path(self, segment: str) -> list[str]:
-        """By end, from the best ways to all earlier ends; of equal ones that with fewer, then longer last pieces."""
-        size, weights = len(segment), self.weights
-        best: list[tuple[float, int, int]] = [(0.0, 0, 0)]
-        for end in range(1, size + 1):
-            ways, start = [], end - 1
-            if segment[start] not in weights:
-                ways.append((best[start][0] + self.fallback, best[start][1] + 1, start))
-            while start >= 0 and segment[start:end] in self.suffixes:
-                weight = weights.get(segment[start:end])
-                if weight is not None:
-                    ways.append((best[start][0] + weight, best[start][1] + 1, start))
-                start -= 1
-            best.append(min(ways))
-        out, at = [], size
+    def leaving(self, segment: str, at: int) -> list[tuple[int, int]]:
+        """The arcs of the composed machine from a place on: pieces, shorter ones first, and where they end."""
+        arcs, ends, state, found = self.arcs, self.ends, 0, []
+        for end in range(at, len(segment)):
+            state = arcs[state].get(segment[end])
+            if state is None:
+                break
+            number = ends[state]
+            if number >= 0:
+                found.append((number, end + 1))
+        return found if found and found[0][1] == at + 1 else [(FALLBACK, at + 1), *found]
+
+    def _lightest_path(self, segment: str) -> list[int]:
+        """Place by place; of paths of equal weight that with fewer, then longer last pieces."""
+        best: list[tuple[float, int, int, int]] = [(0.0, 0, 0, FALLBACK), *[(float("inf"), 0, 0, FALLBACK)] * len(segment)]
+        for at in range(len(segment)):
+            weight, n = best[at][:2]
+            for number, end in self.leaving(segment, at):
+                cost = self.fallback if number == FALLBACK else self.costs[number]
+                best[end] = min(best[end], (weight + cost, n + 1, at, number))
+        out, at = [], len(segment)
         while at:
-            out.append(segment[best[at][2] : at])
+            out.append(best[at][3])
             at = best[at][2]
         return out[::-1]
 
-    def _finite_path(self, segment: str) -> list[str]:
+    def _finite_path(self, segment: str) -> list[int]:
         """All weights are zero or infinite, so the first path that comes through is the shortest.
 
         Longer pieces are tried first. What has been read up to a place ends in one way only, so a place that leads
         nowhere is never entered again.
         """
-        size, prefixes, pairs = len(segment), self.prefixes, self.pairs
-        out: list[str] = []
-        choices: list[list[str]] = []
-        at, before, dead = 0, "", set()
+        size, pairs, width = len(segment), self.pairs, len(self.names)
+        arcs, ends = self.arcs, self.ends
+        out: list[int] = []
+        places: list[int] = []
+        choices: list[list[tuple[int, int]]] = []
+        at, before, dead = 0, FALLBACK, set()
         while at < size:
-            if len(choices) == len(out):  # a new place: the pieces that begin here
-                found, end = [], at + 1
-                known = prefixes.get(segment[at:end])
-                while known is not None:
-                    if known:
-                        found.append(segment[at:end])
-                    if end == size:
+            if len(choices) == len(out):  # a new place
+                state, end, found = 0, at, []
+                for letter in segment[at:]:
+                    state = arcs[state].get(letter)
+                    if state is None:
                         break
                     end += 1
-                    known = prefixes.get(segment[at:end])
-                choices.append(found or [segment[at]])
+                    if ends[state] >= 0:
+                        found.append((ends[state], end))
+                choices.append(found or [(FALLBACK, at + 1)])
             tried = choices[-1]
             while tried:
-                piece = tried.pop()
-                if dead and at + len(piece) in dead:
+                number, end = tried.pop()
+                if dead and end in dead:
                     continue
-                if before in prefixes and piece in prefixes:
-                    apart = pairs.get((before, piece))
-                    if not (self.neighbours(before, piece) if apart is None else apart):
+                if before >= 0 and number >= 0:
+                    apart = pairs.get(before * width + number)
+                    if not (self.neighbours(before, number) if apart is None else apart):
                         continue
-                out.append(piece)
-                at += len(piece)
-                before = piece
+                out.append(number)
+                places.append(at)
+                at, before = end, number
                 break
             else:
                 if not out:
                     raise ValueError(f"no path for {segment!r}")
                 dead.add(at)
                 choices.pop()
-                at -= len(out.pop())
-                before = out[-1] if out else ""
+                out.pop()
+                at = places.pop()
+                before = out[-1] if out else FALLBACK
         return out
 
     def __getitem__(self, segment: str) -> bytes:
@@ -181,14 +222,15 @@ class Transducer:
             cuts = [i for i in range(1, len(segment)) if segment[i - 1 : i + 1] not in self.inside]
             if cuts:
                 return b"".join(self[segment[a:b]] for a, b in zip([0, *cuts], [*cuts, len(segment)]))
-        ids: list[int] = []
-        for piece in self.path(segment):
-            own = self.ids.get(piece)
-            if own is None:
-                ids.extend(self.byte_ids[b] for b in piece.encode())
-            else:
-                ids.append(own)
-        return array("i", ids).tobytes()
+        found = self._path(segment)
+        if FALLBACK in found:
+            ids: list[int] = []
+            at = 0
+            for number in found:
+                ids += [number] if number >= 0 else [self.byte_ids[b] for b in segment[at].encode()]
+                at += len(self.names[number]) if number >= 0 else 1
+            found = ids
+        return array("i", found).tobytes()
 
     def encode(self, text: str) -> bytes:
         if not text:
@@ -199,8 +241,17 @@ class Transducer:
 
     def decode(self, ids: list[int]) -> bytes:
         """The text of ``ids``; bytes that are no UTF-8 become replacement characters."""
-        out = b"".join(map(self.output.__getitem__, ids))
-        return out[1:] if out[:1] == b" " else out
+        return decoded(ids, self.output)
+
+
+def decoded(ids: list[int], output: list[bytes]) -> bytes:
+    """The bytes of pieces without the space before the text; ids outside of the vocabulary give a replacement character."""
+    if ids and (min(ids) < 0 or max(ids) >= len(output)):
+        parts = [output[i] if 0 <= i < len(output) else NO_PIECE for i in ids]
+    else:
+        parts = list(map(output.__getitem__, ids))
+    out = b"".join(parts)
+    return out[1:] if out[:1] == b" " and next(filter(None, parts)) != UNKNOWN_SIGN else out
 
 
 def load(path: str) -> Transducer:
@@ -244,17 +295,18 @@ def encode(docs: DataFrame, model: str, text: str = "text", tokens: str = "token
 def decode(docs: DataFrame, model: str, tokens: str = "tokens", text: str = "text") -> DataFrame:
     """``docs`` plus ``text``, the text of ``tokens``; the inverse of ``encode`` but for escape signs in the text.
 
-    Null tokens give null, none an empty text, control pieces and null ids nothing. A column named like the new one
-    is replaced.
+    Null tokens give null, none an empty text, control pieces and null ids nothing, the unknown piece its sign, and ids
+    that the vocabulary doesn't have a replacement character each. A column named like the new one is replaced. Tasks get
+    the bytes of each piece and none of the machines.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(load(model))
+    sent = docs.sparkSession.sparkContext.broadcast(load(model).output)
     chosen = docs.drop(text)
 
     def rows(batch: dict[str, pa.Array]) -> dict[str, object]:
         out = []
         for value in batch[tokens]:
             ids = value.values.drop_null().to_numpy().tolist() if value.is_valid else None
-            out.append(None if ids is None else sent.value.decode(ids).decode("utf-8", "replace"))
+            out.append(None if ids is None else decoded(ids, sent.value).decode("utf-8", "replace"))
         return batch | {text: out}
 
     return map_rows(chosen, with_columns(chosen, f"`{text}` string"), rows)

@@ -501,6 +501,16 @@ def test_pieces_against_the_library():
         assert own.decode(ids).decode() == text.replace("▁", " ").removeprefix("" if text[:1] != "▁" else "")
 
 
+def test_pieces_decode_any_ids(spark):
+    model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    for ids in ([0], [1, 2], [0, 300, 0], [300, 0], [450, 2, 451]):
+        assert pieces.load(MODEL).decode(ids).decode() == model.decode(ids)
+    rows = [(1, [-1, 450, 10**6]), (2, [None, 450]), (3, None), (4, [])]
+    back = pieces.decode(spark.createDataFrame(rows, "doc_id long, tokens array<int>"), MODEL)
+    known = model.id_to_piece(450).replace("▁", " ")
+    assert {r.doc_id: r.text for r in back.collect()} == {1: f"\ufffd{known}\ufffd", 2: known.removeprefix(" "), 3: None, 4: ""}
+
+
 @pytest.mark.parametrize("kind", [4, 5])
 def test_other_kinds_of_pieces_are_refused(tmp_path, kind):
     from sentencepiece import sentencepiece_model_pb2
