@@ -115,26 +115,30 @@ def grouped_csv_scan(t):
 
 @query(
     """
-    SELECT CAST(doc_id AS VARCHAR) AS track_id, NULLIF(NULLIF(text, 'nan'), '') AS track__text, source AS artist__source
-    FROM documents UNION ALL SELECT NULL, 'no id', 'nobody'
+    SELECT CAST(doc_id AS VARCHAR) AS track_id, NULLIF(NULLIF(text, 'nan'), '') AS track__text, source AS artist__source,
+           NULL AS corrupt_record
+    FROM documents UNION ALL SELECT NULL, 'no id', 'nobody', NULL
+    UNION ALL SELECT 'x', 'short', NULL, 'x,short'
     """
 )
 def grouped_csv_with_line_feeds(t):
-    """Texts with line feeds and quotes, written in two files whose columns are in another order."""
+    """Texts with line feeds and quotes in eight files, half of them with their columns in another order."""
     path = scratch_path(t.spark, "texts")
-    quoted = F.concat(F.lit('"'), F.replace(F.ltrim("text"), F.lit('"'), F.lit('""')), F.lit('"'))
-    docs = t.documents.select("doc_id", quoted.alias("text"), "source")
+    texts = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    docs = t.documents.select("doc_id", texts.alias("text"), "source", F.pmod(F.xxhash64("doc_id"), F.lit(4)).alias("file"))
+    extra = {"a": ["x,short"], "b": [",nobody,no id"]}
     for name, header, cells in (
-        ("a", ",track,artist\n,text,source\ntrack_id,,\n", ("text", "source")),
-        ("b", ",artist,track\n,source,text\ntrack_id,,\n", ("source", "text")),
+        ("a", [",track,artist", ",text,source", "track_id,,"], ("text", "source")),
+        ("b", [",artist,track", ",source,text", "track_id,,"], ("source", "text")),
     ):
         own = docs.where((F.col("doc_id") % 2 == 0) == (name == "a"))
-        lines = own.select(F.concat_ws(",", F.col("doc_id").cast("string"), *cells).alias("value"))
-        extra = ["nobody,no id"] if name == "b" else []
-        first = t.spark.createDataFrame([(header + "".join(f",{x}\n" for x in extra)).rstrip("\n")], "string")
-        first.select("value").coalesce(1).unionByName(lines).coalesce(1).write.text(f"{path}/{name}")
-    read = grouped_csv.read_grouped_csv(t.spark, f"{path}/*")
-    return read.where(F.col(grouped_csv.CORRUPT).isNull()).drop(grouped_csv.CORRUPT)
+        line = F.concat_ws(",", F.col("doc_id").cast("string"), *cells)
+        files = t.spark.range(4).select(F.col("id").alias("file"), "id")
+        first = F.when(F.col("id") == 0, F.array(*map(F.lit, header + extra[name]))).otherwise(F.array(*map(F.lit, header)))
+        heads = files.select("file", F.posexplode(first).alias("place", "value"))
+        placed = heads.unionByName(own.select("file", F.lit(9).alias("place"), line.alias("value")))
+        placed.repartition(4, "file").sortWithinPartitions("file", "place").select("value").write.text(f"{path}/{name}")
+    return grouped_csv.read_grouped_csv(t.spark, f"{path}/*", range_bytes=1 << 18)
 
 
 @query(

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Iterator
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from refrain.sources.files import HEAD, RANGE, can_open, first_lines
+from refrain.sources.records import records
+
 SEPARATOR = "__"
 CORRUPT = "corrupt_record"
 
@@ -21,41 +22,42 @@ def grouped_columns(group_line: str, name_line: str, id_name: str) -> list[str]:
     return [id_name] + [f"{g}{SEPARATOR}{n}" for g, n in pairs[1:]]
 
 
-def header_lines(spark: SparkSession, path: str) -> dict[tuple[str, str], list[str]]:
-    """The files of each pair of header lines; two lines of a file go to the driver."""
-
-    def first_two(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        file, n = None, 0
-        for batch in batches:
-            kept = []
-            files = batch.column("file").dictionary_encode()
-            names = files.dictionary.to_pylist()
-            codes = files.indices.to_numpy(zero_copy_only=False)
-            starts = [0, *((codes[1:] != codes[:-1]).nonzero()[0] + 1).tolist()] if len(codes) else []
-            for start, end in zip(starts, [*starts[1:], len(codes)]):
-                name = names[codes[start]]
-                file, n = (file, n) if name == file else (name, 0)
-                kept += range(start, min(end, start + max(0, 2 - n)))
-                n += end - start
-            yield batch.take(pa.array(kept, pa.int64()))
-
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value"
-    )
-    first = lines.where("start = 0").select("file", "value").mapInArrow(first_two, "file string, value string").collect()
-    of_file: dict[str, list[str]] = {}
-    for row in first:
-        of_file.setdefault(row.file, []).append(row.value)
-    found: dict[tuple[str, str], list[str]] = {}
-    for file, lines_of in sorted(of_file.items()):
-        if len(lines_of) < 2:
-            raise ValueError(f"{file} has no two header lines")
-        found.setdefault(tuple(lines_of), []).append(file)
+def header_lines(spark: SparkSession, path: str) -> dict[tuple[str, str], list[tuple[str, int]]]:
+    """The files, with their sizes, of each pair of header lines; of a file two lines go to the driver.
+
+    A task opens a file and stops after its first bytes. Only where Arrow can't open a path the driver does so itself.
+    """
+    listed = spark.read.format("binaryFile").load(path).select("path", "length")
+    if can_open(path):
+        heads = first_lines(listed, 2).drop("bytes_read").collect()
+        of_file = {(r["path"], r["length"]): r["lines"] for r in heads}
+    else:
+        of_file = {(r["path"], r["length"]): _opened_by_spark(spark, r["path"]) for r in listed.collect()}
+    found: dict[tuple[str, str], list[tuple[str, int]]] = {}
+    for file, lines in sorted(of_file.items()):
+        if len(lines) < 2:
+            raise ValueError(f"{file[0]} has no two header lines")
+        found.setdefault((lines[0], lines[1]), []).append(file)
     return found
 
 
+def _opened_by_spark(spark: SparkSession, path: str) -> list[str]:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(target)
+    try:
+        text = bytes(stream.readNBytes(HEAD)).decode("utf-8", "replace")
+    finally:
+        stream.close()
+    return [x.removesuffix("\r") for x in text.split("\n")[:2]]
+
+
 def read_grouped_csv(
-    spark: SparkSession, path: str, id_name: str = "track_id", keep_nan_strings: bool = False, multi_line: bool = True
+    spark: SparkSession,
+    path: str,
+    id_name: str = "track_id",
+    keep_nan_strings: bool = False,
+    multi_line: bool = True,
+    range_bytes: int = RANGE,
 ) -> DataFrame:
     """Two-level-header CSV as flat string columns, and ``corrupt_record``.
 
@@ -64,24 +66,25 @@ def read_grouped_csv(
     content. A cell that is empty or ``nan`` becomes NULL, or the string ``nan`` with ``keep_nan_strings``. A row with
     too few or too many cells keeps what could be read and its text in ``corrupt_record``.
 
-    Quoted cells may hold line feeds, for which a task reads a file as a whole; ``multi_line=False`` lets Spark split
-    large files whose cells are known to have none. Headers are read when this is called.
+    Blanks before an unquoted cell are dropped, those inside quotes stay.
+
+    Quoted cells may hold line feeds: files are cut between records by many tasks (``refrain.sources.records``, which reads
+    all bytes once more for that and once when this is called), and each record is parsed by Spark. Where Arrow can't open
+    the path, a task reads a file as a whole. ``multi_line=False`` says that no cell has a line feed, so that Spark can
+    split the files itself. Headers are read when this is called.
     """
     result = None
     for (group_line, name_line), files in header_lines(spark, path).items():
         columns = grouped_columns(group_line, name_line, id_name)
         schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, CORRUPT]])
-        raw = spark.read.csv(
-            files,
-            schema=schema,
-            header=False,
-            quote='"',
-            escape='"',
-            ignoreLeadingWhiteSpace=True,
-            multiLine=multi_line,
-            mode="PERMISSIVE",
-            columnNameOfCorruptRecord=CORRUPT,
-        )
+        options = dict(quote='"', escape='"', ignoreLeadingWhiteSpace=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+        if multi_line and can_open(path):
+            of_header = spark.createDataFrame(files, "path string, length long")
+            ddl = ", ".join(f"`{c}` string" for c in schema.names)
+            parsed = F.from_csv("record", ddl, {k: str(v) for k, v in options.items()})
+            raw = records(of_header, range_bytes).select(parsed.alias("row")).select("row.*")
+        else:
+            raw = spark.read.csv([f for f, _ in files], schema=schema, header=False, multiLine=multi_line, **options)
         key = F.col(f"`{id_name}`")
         rows = raw.where(~F.coalesce(key == id_name, F.lit(False)))
         for line in (group_line, name_line):

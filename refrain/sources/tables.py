@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from refrain.functions.text import id_from_segment
+from refrain.sources.files import can_open, list_files
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -65,7 +66,12 @@ def local_rows(spark: SparkSession, rows: Iterable[tuple], schema: T.StructType
 
 
 def list_objects(spark: SparkSession, path: str, pattern: str) -> DataFrame:
-    """Path and size of all objects below ``path`` whose name matches; their content is not read."""
+    """Path and size of all objects below ``path`` whose name matches; their content is not read.
+
+    Tasks list them by folders. Only where Arrow can't open the path Spark's own file index does, on the driver.
+    """
+    if can_open(path):
+        return list_files(spark, path, pattern)
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)

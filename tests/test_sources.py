@@ -1,9 +1,10 @@
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from refrain.sources import grouped_csv, scratch, tables, videos
+from refrain.sources import files, grouped_csv, records, scratch, tables, videos
 
 
 def plan(df):
@@ -35,6 +36,68 @@ def test_grouped_csv_of_files_with_other_headers(spark, tmp_path):
     assert [k for k, r in rows.items() if r.corrupt_record] == ["2", "3"]
 
 
+def awkward_csv(seed, rows, end):
+    """A two-level-header CSV of cells with quotes, separators, blanks and line ends; some rows lack or have too many cells."""
+    chooser = random.Random(seed)
+    cells = ["a", "b c", " x", '"q\nr"', '""', "", "nan", '"say ""hi"""', '"  lead"', "é😀", '"x,y"', '"\r\nwin"', '"one\n\ntwo\n"', f'"{"long " * 60}"']
+    lines = [",track,artist", ",title,name", "track_id,,"]
+    for i in range(rows):
+        more = [chooser.choice(cells) for _ in range(1 if i % 61 == 7 else 3 if i % 57 == 5 else 2)]
+        lines.append(",".join([str(i), *more]))
+    return end.join(lines) + (end if seed % 2 else "")
+
+
+@pytest.mark.parametrize("seed, end", [(1, "\n"), (2, "\n"), (3, "\r\n")])
+def test_one_file_with_line_feeds_is_read_by_many_tasks(spark, tmp_path, monkeypatch, seed, end):
+    (tmp_path / "1.csv").write_bytes(awkward_csv(seed, 500, end).encode())
+    split = grouped_csv.read_grouped_csv(spark, str(tmp_path), range_bytes=700)
+    listing = spark.createDataFrame([(str(tmp_path / "1.csv"), os.path.getsize(tmp_path / "1.csv"))], "path string, length long")
+    stretches = records.segments(listing, 700).collect()
+    assert len(stretches) > 20 and split.rdd.getNumPartitions() > 20
+    assert sum(r.end - r.begin for r in stretches) == os.path.getsize(tmp_path / "1.csv")
+    monkeypatch.setattr(grouped_csv, "can_open", lambda path: False)
+    whole = grouped_csv.read_grouped_csv(spark, str(tmp_path))
+    assert whole.rdd.getNumPartitions() == 1
+    feeds = (lambda df: sorted(str(r).replace("\\r\\n", "\\n") for r in df.collect()))  # Spark's reader changes those in cells
+    assert feeds(split) == feeds(whole) and whole.count() == 500
+
+
+def test_a_record_longer_than_many_ranges(spark, tmp_path):
+    text = "x\n" * 5000
+    (tmp_path / "1.csv").write_text(f',track\n,title\ntrack_id,\n1,"{text}"\n2,"{text}"\n3,b\n')
+    read = grouped_csv.read_grouped_csv(spark, str(tmp_path), range_bytes=100)
+    assert {r.track_id: r.track__title for r in read.collect()} == {"1": text, "2": text, "3": "b"}
+
+
+def test_headers_are_read_without_the_rest(spark, tmp_path):
+    for name, rows in (("small", 10), ("large", 400_000)):
+        (tmp_path / f"{name}.csv").write_text(",track\n,title\ntrack_id,\n" + "1,abc\n" * rows)
+    listing = spark.read.format("binaryFile").load(str(tmp_path)).select("path", "length")
+    read = {r.path.rsplit("/")[-1]: r for r in files.first_lines(listing, 2, head=256).collect()}
+    assert read["large.csv"].bytes_read == 256 and read["large.csv"].length > 2_000_000
+    assert {tuple(r.lines) for r in read.values()} == {(",track", ",title")}
+    assert len(grouped_csv.header_lines(spark, str(tmp_path))) == 1
+    (tmp_path / "wide.csv").write_text("," + "g" * 5000 + "\n,title\n1,x\n")
+    wide = spark.createDataFrame([(str(tmp_path / "wide.csv"), 1)], "path string, length long")
+    assert files.first_lines(wide, 2, head=256).first().lines == ["," + "g" * 5000, ",title"]
+
+
+def test_files_are_listed_by_tasks(spark, tmp_path, monkeypatch):
+    wanted = set()
+    for i in range(40):
+        folder = tmp_path / f"a{i % 4}" / f"b {i % 7}" / f"c{i}"
+        folder.mkdir(parents=True)
+        for name in (f"{i}.mp3", f"_{i}.mp3", f".{i}.mp3", f"{i}.txt"):
+            (folder / name).write_bytes(b"abc" * (i + 1))
+        wanted.add((f"file:{folder}/{i}.mp3", 3 * (i + 1)))
+    indexed = spark.read.format("binaryFile").option("pathGlobFilter", "*.mp3").option("recursiveFileLookup", "true").load(str(tmp_path))
+    assert {(r.path, r.length) for r in indexed.select("path", "length").collect()} == wanted
+    for most in (1, 5, 1000):
+        monkeypatch.setattr(files, "FOLDERS", most)
+        assert {(r.path, r.length) for r in files.list_files(spark, str(tmp_path), "*.mp3").collect()} == wanted
+    assert files.list_files(spark, str(tmp_path / "nothing"), "*").count() == 0
+
+
 def test_grouped_csv_refuses_spaces_in_names(spark, tmp_path):
     (tmp_path / "1.csv").write_text(",track\n,two words\ntrack_id,\n1,x\n")
     df = grouped_csv.read_grouped_csv(spark, str(tmp_path))
