@@ -169,27 +169,17 @@ def tfidf_weights(t):
 
 @query(
     f"""
-    WITH {_LINK_SQL},
-    ends AS (SELECT b, min(id) AS first_id, max(id) AS last_id FROM normed WHERE side = 'right' GROUP BY b),
-    pairs AS (
-        SELECT l.id AS lid, e.first_id AS rid FROM normed l JOIN ends e ON l.b = e.b WHERE l.side = 'left'
-        UNION SELECT l.id, e.last_id FROM normed l JOIN ends e ON l.b = e.b WHERE l.side = 'left'),
-    scored AS (
-        SELECT l.id AS music_track_id, r.id AS video_track_id, l.b AS name_key_1, {_SCORES_SQL}
-        FROM pairs JOIN normed l ON l.id = lid JOIN normed r ON r.id = rid)
-    SELECT music_track_id, video_track_id, name_key_1, round(title_simi, 6) AS title_simi,
-           round(artist_simi, 6) AS artist_simi, round(title_simi + artist_simi, 6) AS total_simi FROM scored
+    WITH {_BEST_SQL}
+    SELECT music_track_id, video_track_id, name_key_1, round(title_simi, 6) AS title_simi, round(artist_simi, 6) AS artist_simi,
+           round(title_simi + artist_simi, 6) AS total_simi
+    FROM ranked WHERE rn <= 2
     """
 )
 def pair_scores(t):
+    """The best match and the runner-up of every record, scored as given pairs."""
     left, right = stored_names(t)
-    ends = right.groupBy("name_key_1").agg(F.min("track_id").alias("first_id"), F.max("track_id").alias("last_id"))
-    pairs = (
-        left.select(F.col("track_id").alias("music_track_id"), "name_key_1")
-        .join(ends, "name_key_1")
-        .select("music_track_id", F.explode(F.array_distinct(F.array("first_id", "last_id"))).alias("video_track_id"))
-    )
-    return _rounded_scores(linkage.score_pairs(pairs, left, right))
+    pairs = linkage.link(left, right, k=2, prune=False).select("music_track_id", "video_track_id")
+    return _rounded_scores(linkage.score_pairs(settle(pairs, "pairs"), left, right))
 
 
 @query(f"WITH {_BEST_SQL} SELECT * FROM best")
@@ -291,24 +281,32 @@ def nearest_small_vectors_pruned(t):
     """
 )
 def videos_for_vector(t):
-    vectors = t.embeddings.select(
-        F.col("vec_id").alias("track_id"), F.col("label").alias("genre"), F.col("embedding").alias("features")
-    )
-    point = t.embeddings.where(F.col("label") == 3).agg(F.min_by("embedding", "vec_id")).first()[0]
+    return found_videos(t, stored_lookup(t))
+
+
+def stored_lookup(t):
+    """What lookups read, written once: names by id, best pairs and videos by block and id."""
     left, right = stored_names(t)
-    songs = settle(lookup.similar_songs(vectors, left, 3, point), "songs")
-    pairs = _rounded_scores(linkage.link(left, right, only=songs))
     spoken = F.split(F.substring_index("track_id", "t", -1), "_")
     url = F.concat(F.lit("v"), spoken[0], F.lit("/"), spoken[1])
     covers = F.transform(F.array(F.lit(0), F.lit(1)), lambda n: F.concat(F.lit("cover "), n + spoken[1].cast("int")))
     clips = right.select("track_id", "name_key_1", "artist_name", url.alias("video_url"), F.explode(covers).alias("covers"))
-    stored = {}
-    for name, table in (("pairs", pairs), ("videos", clips)):
-        stored[name] = scratch_path(t.spark, name)
-        tables.append_partitioned(table, stored[name], "name_key_1")
-    found = lookup.videos_of_songs(
-        songs, tables.read_table(t.spark, stored["pairs"]), tables.read_table(t.spark, stored["videos"])
+    paths = {name: scratch_path(t.spark, name) for name in ("names", "pairs", "videos")}
+    lookup.store(left, paths["names"], "track_id", block=None)
+    lookup.store(_rounded_scores(linkage.link(left, right)), paths["pairs"], "music_track_id")
+    lookup.store(clips, paths["videos"], "track_id")
+    return paths
+
+
+def found_videos(t, paths):
+    """Videos with music like one vector, from stored tables alone."""
+    stored = {name: tables.read_table(t.spark, path) for name, path in paths.items()}
+    vectors = t.embeddings.select(
+        F.col("vec_id").alias("track_id"), F.col("label").alias("genre"), F.col("embedding").alias("features")
     )
+    point = t.embeddings.where(F.col("label") == 3).agg(F.min_by("embedding", "vec_id")).first()[0]
+    songs = lookup.similar_songs(vectors, stored["names"], 3, point)
+    found = lookup.videos_of_songs(songs, stored["pairs"], stored["videos"])
     keys = ["music_track_id", "video_track_id", "name_key_1", "title_simi", "artist_simi", "total_simi"]
     last = lookup.covers_by_url(found.select(*keys, "video_url", "artist_name", "covers"), keys, ["covers"])
     return last.select(*keys, "video_url", "covers", "artist_name")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from refrain.functions.vectors import NO_WEIGHT, dot
 from refrain.operators.neighbours import nearest
-from refrain.operators.relational import union_sides
+from refrain.operators.relational import first_k_per_key, union_sides
 from refrain.operators.weights import SLOTS, char_idf, unit_weights, with_char_counts
 from refrain.sources.scratch import settle
 
@@ -99,10 +99,11 @@ def link(
     title: str = TITLE,
     artist: str = ARTIST,
     only: DataFrame | None = None,
+    k: int = 1,
     prune: bool = True,
     **search,
 ) -> DataFrame:
-    """The best right record of every left one that has any in its block.
+    """The best right record, or the ``k`` best, of every left one that has any in its block.
 
     The best total score counts, equal ones (to 9 places) go to the smallest right id. Records with the
     same vectors are searched once. The sum of two cosines is two minus half the squared distance of the
@@ -119,9 +120,12 @@ def link(
     if only is not None:
         wanted = counts.where(F.col("side") == "left").join(only.select(id_column).distinct(), id_column, "left_semi")
         counts = settle(counts.where(F.col("side") == "right").unionByName(wanted), "wanted")
-    alike = settle(
-        counts.groupBy("digest", "side", block, *fields).agg(F.min(id_column).alias("first_id")), "alike"
-    )
+    same = ["digest", "side", block, *fields]
+    alike = counts.groupBy(*same).agg(F.min(id_column).alias("first_id"))
+    if k > 1:  # copies of a right record may all be among the best
+        copies = first_k_per_key(counts.where(F.col("side") == "right"), same, [F.col(id_column)], k)
+        alike = alike.where(F.col("side") == "left").unionByName(copies.select(*same, F.col(id_column).alias("first_id")))
+    alike = settle(alike, "alike")
 
     def points(side: str, empty: tuple[float, float], id_name: str) -> DataFrame:
         units = unit_weights(alike.where(F.col("side") == side), idf, block, fields)
@@ -136,6 +140,7 @@ def link(
         query_id="l_first",
         item_id="r_first",
         vector="v",
+        k=k,
         spans=[(0, width), (width, 2 * width)],
         quantum=2e-9,
         clean=True,
@@ -143,10 +148,11 @@ def link(
         **search,
     )
 
-    # Which distinct left record each left one is; many may be the same, so only ids go on from here.
-    first = alike.where(F.col("side") == "left").select("digest", block, *fields, F.col("first_id").alias("l_first"))
-    members = counts.where(F.col("side") == "left").select("digest", block, *fields, F.col(id_column).alias(left_id))
-    known = members.join(first, ["digest", block, *fields]).select(left_id, block, "l_first")
+    # Which distinct left record each left one is, by 128 bits of its counts; only ids go on from here.
+    digest = ["digest", F.xxhash64(F.lit(1), *fields).alias("digest_2"), block]
+    first = alike.where(F.col("side") == "left").select(*digest, F.col("first_id").alias("l_first"))
+    members = counts.where(F.col("side") == "left").select(*digest, F.col(id_column).alias(left_id))
+    known = members.join(first, ["digest", "digest_2", block]).select(left_id, block, "l_first")
 
     scored = found.select(
         "l_first",

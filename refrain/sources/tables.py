@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -24,21 +24,35 @@ def append_table(df: DataFrame, path: str, rows_per_file: int = 5_000_000) -> No
     df.write.mode("append").option("maxRecordsPerFile", rows_per_file).parquet(path)
 
 
-def append_partitioned(df: DataFrame, path: str, column: str, rows_per_file: int = 5_000_000) -> None:
-    """Append partitioned by ``column``.
+def append_partitioned(df: DataFrame, path: str, column: str | Sequence[str], rows_per_file: int = 5_000_000) -> None:
+    """Append partitioned by ``column``, or by several.
 
     The rebalance brings a rare value into one file and splits a value that holds much of the table over
     as many tasks as its measured size calls for.
     """
+    columns = [column] if isinstance(column, str) else list(column)
     (
-        df.hint("rebalance", column)
+        df.hint("rebalance", *columns)
         .write.mode("append")
         .option("maxRecordsPerFile", rows_per_file)
-        .partitionBy(column)
+        .partitionBy(*columns)
         .parquet(path)
     )
 
 
+def write_batch(df: DataFrame, path: str, batch: str | int, column: str | Sequence[str] = (), rows_per_file: int = 5_000_000) -> None:
+    """Append the rows of one batch, once: writing a batch again replaces what it wrote before.
+
+    The batch id is a partition of the table (``batch_id``), above those by ``column``, and each write replaces the
+    partitions of its own batch as a whole, also those that it has no rows for now. Readers of other batches aren't touched.
+    """
+    columns = [column] if isinstance(column, str) else list(column)
+    writer = (df.hint("rebalance", *columns) if columns else df).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
+    if columns:
+        writer = writer.partitionBy(*columns)
+    writer.parquet(f"{path.rstrip('/')}/batch_id={batch}")
+
+
 def jdbc_options(url: str, user: str | None = None, password: str | None = None, driver: str | None = None) -> dict:
     given = {"url": url, "user": user, "password": password, "driver": driver}
     return {k: v for k, v in given.items() if v is not None}

@@ -93,18 +93,32 @@ def test_result_does_not_depend_on_partitions(spark):
     assert {(x[0], x[1]) for x in one} == {(x[0], x[1]) for x in many}
 
 
-def test_lookup_reads_the_partitions_of_its_songs(spark, tmp_path):
-    rows = [(f"m{i}", f"t{i}", "abcd"[i % 4]) for i in range(40)]
+def test_lookup_prunes_stored_tables_at_run_time(spark, tmp_path):
+    rows = [(f"m{i}", f"t{i}", "abcd"[i % 4]) for i in range(400)]
     pairs = spark.createDataFrame(rows, "music_track_id string, video_track_id string, name_key_1 string")
     clips = pairs.select(F.col("video_track_id").alias("track_id"), "name_key_1", F.lit("u").alias("video_url"))
-    for name, df in (("pairs", pairs), ("clips", clips)):
-        df.write.partitionBy("name_key_1").parquet(str(tmp_path / name))
-    songs = spark.createDataFrame([("m1", "b"), ("m5", "b"), ("m2", "c")], "track_id string, name_key_1 string")
-    found = lookup.videos_of_songs(songs, spark.read.parquet(str(tmp_path / "pairs")), spark.read.parquet(str(tmp_path / "clips")))
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    filters = [line for line in plan.splitlines() if "PartitionFilters: [name_key_1" in line and " IN (b,c)" in line]
-    assert len(filters) >= 2
+    lookup.store(pairs, str(tmp_path / "pairs"), "music_track_id")
+    lookup.store(clips, str(tmp_path / "clips"), "track_id")
+    songs = spark.createDataFrame([("m1", "b"), ("m5", "b"), ("m2", "c"), ("m3", None), ("m4", "b")], "track_id string, name_key_1 string")
+    stored = [spark.read.parquet(str(tmp_path / x)) for x in ("pairs", "clips")]
+    found = lookup.videos_of_songs(songs, *stored)
     assert sorted(r.video_track_id for r in found.collect()) == ["t1", "t2", "t5"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "dynamicpruning" in plan
+    metrics = [line for line in plan.splitlines() if "dynamicpruning" in line]
+    assert any("name_key_1" in line and "part" in line for line in metrics)
+
+
+@pytest.mark.parametrize("search", [{}, {"root": 1.0, "cell_items": 2}])
+def test_link_finds_several(spark, search):
+    """Copies on both sides count each for itself."""
+    left = [("m1", "abc", "x", "a"), ("m2", "abc", "x", "a"), ("m3", "bbd", "y", "a"), ("m4", "c", "z", "b")]
+    right = [("t3", "abc", "x", "a"), ("t1", "abc", "x", "a"), ("t2", "abc", "x", "a"), ("t5", "bd", "y", "a"), ("t9", "c", "q", "b")]
+    l, r = spark.createDataFrame(left, SCHEMA), spark.createDataFrame(right, SCHEMA)
+    found = {}
+    for row in linkage.link(l, r, k=2, **search).collect():
+        found.setdefault(row.music_track_id, set()).add(row.video_track_id)
+    assert found == {"m1": {"t1", "t2"}, "m2": {"t1", "t2"}, "m3": {"t5", "t1"}, "m4": {"t9"}}
 
 
 def test_link_of_some_records_equals_the_rest(spark):
