@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from refrain.functions.text import ALPHABET, char_counts, tokens
 from refrain.sources.scratch import settle
 
-# Words whose IDF may be sent to all tasks, and levels of the logarithm of their df by which the commonest are chosen.
-MOST_FREQUENT = 200_000
+# Bytes of words whose IDF may be sent to all tasks, of one such word, and what a row of them takes besides its strings;
+# levels of the logarithm of their df by which the commonest are chosen.
+MOST_BYTES, LONGEST, ROW_BYTES = 8 << 20, 1024, 48
 LEVELS = 64
 SLOTS = len(ALPHABET)
 
@@ -114,8 +115,9 @@ def term_weights(
 
     Counts are written once, as they are needed twice: for the IDF and for the weights; that runs when this is called.
     The IDF of words that a block has in ``frequent_from`` rows or more is sent to all tasks, so that the rows of a
-    stop word are never shuffled by it; only rows of rarer words are. If there are more than ``MOST_FREQUENT`` such
-    words, only the commonest are sent, and the others are shuffled with the rarer ones.
+    stop word are never shuffled by it; only rows of rarer words are. What is sent is measured: if such words take more than
+    ``MOST_BYTES``, only the commonest are sent, and the others, like any word of over ``LONGEST`` bytes, are shuffled
+    with the rarer ones.
     """
     if mode == "char":
         counts = settle(with_char_counts(df.select(block, id_column, *fields), fields), "counts")
@@ -135,7 +137,7 @@ def term_weights(
     counts = settle(term_counts(df, [block, id_column], fields, mode), "counts")
     found = _word_idf(counts, _block_sizes(df, block), block).select(block, "field", "term", "df", "idf")
     idf = settle(found, "word-idf")
-    sent = _is_sent(idf, frequent_from)
+    sent = _is_sent(idf, block, frequent_from)
     keys = [block, "field", "term"]
     met = counts.join(F.broadcast(idf.where(sent).drop("df")), keys, "left")
     rare = met.where(F.col("idf").isNull()).drop("idf").join(idf.where(~sent).drop("df"), keys)
@@ -143,16 +145,15 @@ def term_weights(
     return met.where(F.col("idf").isNotNull()).select(*columns).unionByName(rare.select(*columns))
 
 
-def _is_sent(idf: DataFrame, frequent_from: int) -> Column:
-    """Whether a row of ``idf`` is sent to all tasks: at most ``MOST_FREQUENT`` rows are, whole levels from the highest df on."""
-    if MOST_FREQUENT < 1:
-        raise ValueError(f"MOST_FREQUENT is {MOST_FREQUENT}, so that frequent_from has no use")
-    often = F.col("df") >= frequent_from
+def _is_sent(idf: DataFrame, block: str, frequent_from: int) -> Column:
+    """Whether a row of ``idf`` is sent to all tasks: those of ``MOST_BYTES`` at most are, whole levels from the highest df on."""
+    size = F.octet_length("term") + F.octet_length("field") + F.coalesce(F.octet_length(F.col(block).cast("string")), F.lit(0)) + ROW_BYTES
+    often = (F.col("df") >= frequent_from) & (F.octet_length("term") <= LONGEST)
     level = F.floor(F.log(F.col("df").cast("double")) * LEVELS)
-    sizes = idf.where(often).groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("words")).collect()
-    room, lowest = MOST_FREQUENT, None
+    sizes = idf.where(often).groupBy(level.alias("level")).agg(F.sum(size.cast("long")).alias("bytes")).collect()
+    room, lowest = MOST_BYTES, None
     for row in sorted(sizes, key=lambda r: -r["level"]):
-        room -= row["words"]
+        room -= row["bytes"]
         if room < 0:
             break
         lowest = row["level"]

@@ -3,6 +3,7 @@ import math
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import IDF, CountVectorizer, RegexTokenizer
+from pyspark.sql import functions as F
 
 from refrain.functions.text import ALPHABET
 from refrain.operators import weights
@@ -79,12 +80,10 @@ def test_a_word_in_every_row_is_not_shuffled(spark):
     assert split.where("term = 'the'").count() == 200
     optimised = split._jdf.queryExecution().optimizedPlan().toString()
     assert "rightHint=(strategy=broadcast)" in optimised
-    with pytest.raises(ValueError, match="frequent_from"):
-        weights.MOST_FREQUENT, kept = 0, weights.MOST_FREQUENT
-        try:
-            found(frequent_from=1)
-        finally:
-            weights.MOST_FREQUENT = kept
+
+
+#: Bytes of the longest word here, its field and its block.
+ROW_OF_WORD = len("word39" + "title" + "x")
 
 
 @pytest.mark.parametrize("most, sent", [(1, {"the"}), (30, {"the", "of"}), (42, {"the", "of"} | {f"word{i}" for i in range(40)})])
@@ -96,13 +95,24 @@ def test_more_frequent_words_than_may_be_sent(spark, monkeypatch, most, sent):
         return {tuple(r) for r in weights.term_weights(df, "block", "id", ["title"], mode="word", **options).collect()}
 
     shuffled = found()
-    monkeypatch.setattr(weights, "MOST_FREQUENT", most)
+    monkeypatch.setattr(weights, "MOST_BYTES", most * (ROW_OF_WORD + weights.ROW_BYTES))
     assert found(frequent_from=5) == found(frequent_from=1) == shuffled and len(shuffled) == 600
     idf = weights.term_idf(df, "block", "id", ["title"], "word")
-    assert {r.term for r in idf.where(weights._is_sent(idf, 5)).collect()} == sent
+    assert {r.term for r in idf.where(weights._is_sent(idf, "block", 5)).collect()} == sent
 
 
 def test_no_word_fits(spark, monkeypatch):
     df = spark.createDataFrame([(i, "x", "one two") for i in range(9)], "id int, block string, title string")
-    monkeypatch.setattr(weights, "MOST_FREQUENT", 1)
+    monkeypatch.setattr(weights, "MOST_BYTES", 60)
     assert weights.term_weights(df, "block", "id", ["title"], mode="word", frequent_from=2).count() == 18
+
+
+def test_words_of_a_megabyte_are_not_sent(spark):
+    """They are as frequent as any, but what is broadcast stays within its bytes."""
+    rows = [(i, "x", f"{'a' * (1 << 20)} {'b' * (1 << 20)} the word{i}") for i in range(12)]
+    df = spark.createDataFrame(rows, "id int, block string, title string").repartition(4)
+    found = weights.term_weights(df, "block", "id", ["title"], mode="word", frequent_from=2)
+    assert found.groupBy(F.length("term").alias("n")).count().where(f"n = {1 << 20}").first()["count"] == 24
+    assert found.count() == 48
+    idf = weights.term_idf(df, "block", "id", ["title"], "word")
+    assert [r.term for r in idf.where(weights._is_sent(idf, "block", 2)).select("term").collect()] == ["the"]
