@@ -41,6 +41,29 @@ def plain_append(t):
     )
 
 
+@query(
+    """
+    SELECT 'batch-' || (o_orderkey % 3) AS batch_id, o_orderstatus, count(*) AS row_count FROM orders
+    GROUP BY ALL
+    """
+)
+def repeated_batches(t):
+    """Batches of orders by status, two of them written twice."""
+    path = scratch_path(t.spark, "orders_by_batch")
+    for batch in (0, 1, 2, 1, 0):
+        tables.write_batch(t.orders.where(F.col("o_orderkey") % 3 == batch), path, f"batch-{batch}", "o_orderstatus")
+    written = tables.read_table(t.spark, path)
+    return written.groupBy("batch_id", "o_orderstatus").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query("SELECT count(*) AS written, count(*) AS read_back FROM lineitem WHERE l_returnflag = 'R'")
+def counted_append(t):
+    """The number of rows from the job that writes them, beside what is read back."""
+    path = scratch_path(t.spark, "returned")
+    rows = tables.append_counted(t.lineitem.where(F.col("l_returnflag") == "R"), path)
+    return tables.read_table(t.spark, path).agg(F.lit(rows).cast("long").alias("written"), F.count(F.lit(1)).alias("read_back"))
+
+
 @query(
     """
     SELECT vec_id, label, round(CAST(embedding[1] AS DOUBLE), 6) AS first_value FROM embeddings WHERE label = 3

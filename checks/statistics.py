@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import query
 from refrain.operators import statistics
+from refrain.plans import features
 
 
 def _digits(statistic: str, digits: int) -> int:
@@ -88,3 +89,26 @@ def feature_vectors(t):
     return vectors.select("user_id", F.posexplode("features").alias("position", "number")).select(
         "user_id", "position", F.nanvl("number", F.lit(0.0)).alias("value"), F.isnan("number").alias("missing")
     )
+
+
+@query(
+    """
+    SELECT user_id AS entity, CASE WHEN user_id % 10 = 3 THEN 'not decoded' WHEN user_id % 10 = 5 THEN 'no values'
+           WHEN user_id % 10 = 7 THEN 'a value is not a number' END AS error,
+           CASE WHEN user_id % 10 NOT IN (3, 5, 7) THEN round(avg(value), 4) END AS mean
+    FROM events GROUP BY user_id
+    """
+)
+def vectors_of_failed_items(t):
+    """Users of which some can't be decoded, some have no values and some a broken one; each keeps its row."""
+    kind = F.col("user_id") % 10
+    items = t.events.select(F.col("user_id").alias("entity"), F.when(kind == 3, "not decoded").alias("error")).distinct()
+    value = F.when(kind == 7, float("nan")).otherwise(F.col("value"))
+    long = t.events.where((kind != 3) & (kind != 5)).select(
+        F.col("user_id").alias("entity"), F.lit("zcr").alias("feature"), F.lit(1).alias("channel"), value.alias("value")
+    )
+    stats = statistics.seven_statistics(long, ["entity", "feature", "channel"], "value")
+    vectors = statistics.feature_vector(stats, "entity", features={"zcr": 1})
+    found = features.with_errors(items, vectors, size=7)
+    mean = F.element_at("features", statistics.STATISTICS.index("mean") + 1)
+    return found.select("entity", "error", F.round(F.when(~F.isnan(mean), mean), 4).alias("mean"))

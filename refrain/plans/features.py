@@ -122,6 +122,21 @@ def audio_vectors(stats: DataFrame) -> DataFrame:
     return feature_vector(stats, "entity")
 
 
+def with_errors(items: DataFrame, vectors: DataFrame, entity: str = "entity", vector: str = "features", size: int = 245) -> DataFrame:
+    """One row per item, failed ones too: ``entity``, ``vector`` and ``error``, which is NULL where all went well.
+
+    ``items`` (``entity``, ``error``) are all that were to be processed, with what a decoder has reported for those that it
+    failed on. An item without a vector had no values; one whose numbers are all NaN had a value that is none. Failed items
+    have a vector of ``size`` NaN. A vector without an item is left out; items are told apart by ``entity``.
+    """
+    broken = F.forall(vector, lambda x: F.isnan(x))
+    reason = F.when(F.col("error").isNotNull(), F.col("error")).when(F.col(vector).isNull(), "no values").when(broken, "a value is not a number")
+    nan = F.array_repeat(F.lit(float("nan")), size)
+    met = items.select(entity, "error").join(vectors.select(entity, vector), entity, "left")
+    met = met.select(entity, vector, reason.alias("error"))
+    return met.select(entity, F.when(F.col("error").isNull(), F.col(vector)).otherwise(nan).alias(vector), "error")
+
+
 def sign_rates(samples: DataFrame, **options) -> DataFrame:
     """``(entity, rate)`` for every frame of the series ``(entity, pos, value)``."""
     return sign_change_rate(samples, "entity", "pos", "value", **options).select("entity", "rate")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from refrain.functions.text import id_from_segment
 from refrain.sources.files import can_open, list_files
@@ -24,6 +24,13 @@ def append_table(df: DataFrame, path: str, rows_per_file: int = 5_000_000) -> No
     df.write.mode("append").option("maxRecordsPerFile", rows_per_file).parquet(path)
 
 
+def append_counted(df: DataFrame, path: str, rows_per_file: int = 5_000_000) -> int:
+    """Append and say how many rows that were; the job that writes them counts them."""
+    written = Observation()
+    append_table(df.observe(written, F.count(F.lit(1)).alias("rows")), path, rows_per_file)
+    return written.get["rows"]
+
+
 def append_partitioned(df: DataFrame, path: str, column: str | Sequence[str], rows_per_file: int = 5_000_000) -> None:
     """Append partitioned by ``column``, or by several.
 

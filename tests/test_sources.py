@@ -137,6 +137,26 @@ def test_appends_double_and_partitions_are_pruned(spark, tmp_path):
     assert len(list((tmp_path / "flat").glob("*.parquet"))) == 8
 
 
+def test_a_batch_can_be_written_again(spark, tmp_path):
+    df = spark.range(100).select("id", (F.col("id") % 4).cast("string").alias("k"))
+    path = str(tmp_path / "t")
+    for batch, rows in ((1, df), (2, df.where("id < 10")), (1, df.where("k <> '3'")), (2, df.where("id < 10"))):
+        tables.write_batch(rows, path, batch, "k")
+    found = tables.read_table(spark, path).groupBy("batch_id", "k").count().collect()
+    assert {(r.batch_id, r.k): r["count"] for r in found} == {
+        **{(1, k): 25 for k in range(3)}, **{(2, k): 3 if k < 2 else 2 for k in range(4)}
+    }
+    for _ in range(2):
+        tables.write_batch(df, str(tmp_path / "flat"), "a")
+    assert tables.read_table(spark, str(tmp_path / "flat")).count() == 100
+
+
+def test_rows_are_counted_by_the_job_that_writes_them(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert [tables.append_counted(spark.range(n).repartition(3), path) for n in (1000, 0, 7)] == [1000, 0, 7]
+    assert tables.read_table(spark, path).count() == 1007
+
+
 def test_a_value_holding_most_rows_is_written_by_several_tasks(spark, tmp_path):
     rows = spark.range(400_000, numPartitions=8).select(
         F.xxhash64("id").alias("x"), F.when(F.col("id") % 100 == 0, F.col("id") % 3).otherwise(9).cast("string").alias("k")
