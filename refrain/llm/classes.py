@@ -22,7 +22,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from refrain.llm.common import LOWER_CASE, as_bytes, pieces, to_arrow
+from refrain.llm.common import LOWER_CASE, as_bytes, give_back, pieces, to_arrow
 from refrain.sources.scratch import settle
 
 #: Classes that words are exchanged between, and classes by spelling for words too rare for that and for unseen ones.
@@ -111,8 +111,11 @@ def chunked(docs: DataFrame, text: str, id: str, trained: Column) -> DataFrame:
                 if size >= CHUNK:
                     yield finished(chunk, numbers, parts, docs)
                     chunk, size, numbers, parts, docs = chunk + 1, 0, Numbers(), [], []
+                    give_back()
         if docs:
             yield finished(chunk, numbers, parts, docs)
+        del numbers, parts, docs
+        give_back()
 
     return chosen.mapInArrow(batches, ddl)
 
@@ -159,6 +162,7 @@ def slices(chunks: DataFrame, bits: int) -> DataFrame:
                         schema, bucket=int(buckets[a]), chunk=chunk, words=words[a:b], counts=counts[a:b], spelled=spelled[a:b],
                         sizes=sizes[a:b], contexts=contexts[p:q], times=times[p:q],
                     )
+                give_back()
 
     return chunks.drop("ids").mapInArrow(batches, _SLICE)
 
@@ -347,6 +351,7 @@ def sent_back(lexicon: DataFrame, seeds: dict[int, int], rounds: list[np.ndarray
                 for j, chunk in enumerate(batch.column("chunks")[i].as_py()):
                     own = array_of(places, j, np.int32)
                     yield one_row(schema, chunk=chunk, bucket=bucket, counts=entry.counts[own], classes=classes[own])
+                give_back()
 
     return lexicon.mapInArrow(batches, ddl)
 
@@ -361,6 +366,7 @@ def classed(chunks: DataFrame, back: DataFrame, model: Emissions, train_tokens:
         return np.log10((counts + 0.5) / (train_tokens + 0.5 * (types + 1)))
 
     def scored(chunk: pa.Table, words: pa.Table) -> pa.Table:
+        give_back()
         if not chunk.num_rows:
             return schema.empty_table()
         words = words.sort_by("bucket")
@@ -451,7 +457,9 @@ def score(
     schema = to_arrow(_LEXICON)
 
     def entry(key: tuple[pa.Scalar, ...], found: pa.Table) -> pa.Table:
-        return gathered(key[0].as_py(), found, schema)
+        row = gathered(key[0].as_py(), found, schema)
+        give_back()
+        return row
 
     lexicon = settle(slices(chunks, bits).groupBy("bucket").applyInArrow(entry, _LEXICON), "lexicon")
     seeds, done = exchange(lexicon, CLASSES, rounds)

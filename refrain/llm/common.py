@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -25,6 +26,14 @@ def as_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(kind).to_pylist()
 
 
+def give_back() -> None:
+    """Return memory that isn't in use to the system. Workers outlive their tasks, and what each keeps adds up."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def map_rows(
     df: DataFrame, schema: str | StructType, rows: Callable[[dict[str, pa.Array]], dict[str, object]]
 ) -> DataFrame:
@@ -39,6 +48,8 @@ def map_rows(
                 for f, x in ((f, out[f.name]) for f in wanted)
             ]
             yield pa.RecordBatch.from_arrays(columns, schema=wanted)
+            del batch, out, columns
+            give_back()
 
     return df.mapInArrow(batches, schema)
 
