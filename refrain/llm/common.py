@@ -125,3 +125,11 @@ def content_key(*columns: Column) -> list[Column]:
 def drawn(key: Column) -> Column:
     """A number from 0 to 1 that depends on ``key`` alone, for samples that a repeated task draws again."""
     return F.pmod(F.xxhash64(F.lit("draw"), key), F.lit(1 << 40)) / float(1 << 40)
+
+
+def stretch(text: Column, key: Column, characters: Column | int) -> Column:
+    """``characters`` of a text from a place that depends on ``key`` and its length alone; all of a shorter one."""
+    most = F.lit(characters) if isinstance(characters, int) else characters
+    places = F.greatest(F.length(text) - most + 1, F.lit(1))
+    start = F.pmod(F.xxhash64(F.lit("stretch"), key), places.cast("long")).cast("int")
+    return F.substring(text, start + 1, most)

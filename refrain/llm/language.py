@@ -8,12 +8,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from refrain.llm.common import LOWER_CASE, as_bytes, drawn, map_rows, with_columns
+from refrain.llm.common import LOWER_CASE, as_bytes, drawn, map_rows, stretch, with_columns
 
 #: Bytes of the longest context.
 ORDER = 4
-#: Training texts of a language, and characters of the longest that is taken: together the bound of what is learned from.
-TEXTS, CHARACTERS = 400, 20_000
+#: Training texts of a language, characters that are taken of a text, and of all texts together: the bound of what is
+#: learned from, and so of what the driver holds.
+TEXTS, CHARACTERS, ALL_CHARACTERS = 400, 20_000, 100_000_000
 #: More languages than this are taken for a mistake.
 LANGUAGES = 500
 #: Bytes that are scored at a time.
@@ -192,19 +193,24 @@ class Models:
 
 
 def train(labelled: DataFrame, text: str, lang: str, key: Column, texts: int = TEXTS, characters: int = CHARACTERS) -> Models:
-    """Models of every language in ``labelled``, from ``texts`` texts each of at most ``characters`` characters.
+    """Models of every language in ``labelled``, from ``texts`` texts each.
 
-    Texts are drawn by ``key``; one that is null draws none. The driver gets no more than twice that bound.
+    Texts are drawn by ``key``, whatever their length; of one of more than ``characters`` a drawn stretch of so many is taken,
+    and of all texts of very many languages shorter stretches, so that the driver gets no more than twice
+    ``ALL_CHARACTERS``. A text or language that is null, and a key that is, count for nothing. More than ``LANGUAGES`` languages
+    end the job with an error.
     """
-    usable = labelled.filter(F.col(lang).isNotNull() & (F.length(text) <= characters) & key.isNotNull())
-    usable = usable.select(F.col(lang).alias("lang"), drawn(key).alias("draw"), F.col(text).alias("text"))
+    usable = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & key.isNotNull())
+    usable = usable.select(F.col(lang).alias("lang"), drawn(key).alias("draw"), key.alias("key"), F.col(text).alias("text"))
     sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(LANGUAGES + 1).collect()
     if len(sizes) > LANGUAGES:
         raise ValueError(f"{lang} has more than {LANGUAGES} values")
     samples: dict[str, list[bytes]] = {}
     if sizes:
         shares = labelled.sparkSession.createDataFrame([(r.lang, 2 * texts / r.n) for r in sizes], "lang string, share double")
-        some = usable.join(F.broadcast(shares), "lang").filter("draw <= share").select("lang", "draw", "text")
+        characters = min(characters, max(1, ALL_CHARACTERS // (texts * len(sizes))))
+        some = usable.join(F.broadcast(shares), "lang").filter("draw <= share")
+        some = some.select("lang", "draw", stretch(F.col("text"), F.col("key"), characters).alias("text"))
         for row in sorted(some.collect(), key=lambda r: (r.lang, r.draw, r.text)):
             own = samples.setdefault(row.lang, [])
             if len(own) < texts:

@@ -14,10 +14,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from refrain.llm.common import drawn, map_rows, with_columns
+from refrain.llm.common import drawn, map_rows, stretch, with_columns
 
 KINDS = ("email", "ip", "card", "phone")
-#: Texts that the weights are learned from, and characters of the longest that is taken.
+#: Texts that the weights are learned from, and characters that are taken of a text.
 TEXTS, CHARACTERS = 4000, 20_000
 #: Rows of the weights (features are hashed), steps of learning, rounds of messages, probability of an added label.
 FEATURES, STEPS, ROUNDS, SURE = 1 << 12, 150, 30, 0.9
@@ -235,9 +235,13 @@ class Field:
 
 
 def train(docs: DataFrame, key: Column, text: str = "text", texts: int = TEXTS, characters: int = CHARACTERS) -> Field:
-    """A field from ``texts`` texts, drawn by ``key`` from those with a digit or at sign and at most ``characters``."""
-    usable = docs.filter(F.col(text).rlike("[0-9@]") & (F.length(text) <= characters))
-    usable = usable.select(drawn(key).alias("draw"), F.col(text).alias("text"))
+    """A field from ``texts`` texts, drawn by ``key`` from those with a digit or at sign.
+
+    Of a text of more than ``characters`` a drawn stretch of so many is taken. Where no text has a digit or at sign, the
+    field learns nothing and adds nothing.
+    """
+    usable = docs.filter(F.col(text).rlike("[0-9@]"))
+    usable = usable.select(drawn(key).alias("draw"), stretch(F.col(text), key, characters).alias("text"))
     share = 2 * texts / max(1, usable.count())  # so few come to the driver, however many tasks there are
     found = usable.filter(F.col("draw") <= share).orderBy("draw", "text").limit(texts).collect()
     return Field([row.text for row in found])

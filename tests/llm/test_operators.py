@@ -418,6 +418,43 @@ def test_language_of_odd_rows(spark):
     assert {(r.lang_pred, r.score) for r in nothing.collect()} == {("und", 0.0)}
 
 
+def test_a_language_of_long_texts_only_is_learned(spark):
+    """Of each a drawn stretch of bounded length; the driver's bytes are bounded over all languages together."""
+    words = {"en": "the cat and the hat sat there with this thing", "de": "der hund und die katze sitzen nicht auf dem dach"}
+    chooser = random.Random(4)
+    rows = []
+    for i in range(16):
+        lang = "de" if i % 2 else "en"
+        n = 6000 if lang == "de" else 40
+        rows.append((i, " ".join(chooser.choice(words[lang].split()) for _ in range(n)), lang, "a"))
+    docs = frame(spark, rows)
+    assert all(len(r[1]) > 21_000 for r in rows if r[2] == "de")
+    for options in ({}, {"texts": 3, "characters": 500}):
+        models = language.train(docs, "text", "lang", F.col("doc_id"), **options)
+        assert models.languages == ["de", "en"]
+        assert {r.doc_id: r.lang_pred for r in language.predict(docs, models).collect()} == {r[0]: r[2] for r in rows}
+    assert language.predict(docs.limit(0), models).collect() == []
+
+
+def test_predictions_equal_plain_python(spark):
+    chooser = random.Random(5)
+    letters = {"en": "the an on ", "fr": "le ou en é "}
+    rows = [(i, "".join(chooser.choice(letters["fr" if i % 3 else "en"]) for _ in range(30)) + "x", "fr" if i % 3 else "en", "a") for i in range(12)]
+    docs = frame(spark, rows)
+    models = language.train(docs, "text", "lang", F.col("doc_id"))
+    samples = {x: [r[1].encode() for r in rows if r[2] == x] for x in ("en", "fr")}
+    for row in language.predict(docs, models).collect():
+        bits = {x: plain.code_length(row.text.encode(), samples[x], language.ORDER) for x in samples}
+        assert row.lang_pred == min(bits, key=bits.get)
+        assert row.score == pytest.approx(1 / sum(2 ** (min(bits.values()) - b) for b in bits.values()), rel=1e-3)
+
+
+def test_stretches_are_of_bounded_length(spark):
+    df = spark.createDataFrame([(1, "abcdefghij"), (2, "abc"), (3, ""), (4, None), (None, "abcdefghij")], "k long, t string")
+    found = {r.k: r.s for r in df.select("k", common.stretch(F.col("t"), F.col("k"), 4).alias("s")).collect()}
+    assert len(found[1]) == 4 and found[1] in "abcdefghij" and (found[2], found[3], found[4]) == ("abc", "", None)
+
+
 # personal data
 
 
