@@ -22,6 +22,9 @@ TEXTS, CHARACTERS = 4000, 20_000
 #: Rows of the weights (features are hashed), steps of learning, rounds of messages, probability of an added label.
 FEATURES, STEPS, ROUNDS, SURE = 1 << 12, 150, 30, 0.9
 
+#: How much the fit holds the weights of links back, so that a few coincidences make no certainty.
+LINK_PENALTY = 1e-4
+
 # The patterns. Where a match of the original can't begin inside a run, a look-behind says so.
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -151,40 +154,46 @@ def features(word: str, before: str, after: str) -> list[int]:
 
 
 class Field:
-    """Weights of a skip-chain field, learned piece by piece: tokens by softmax regression, links by how much more
-    often two labels meet across them than they would by chance."""
+    """A skip-chain field: weights of features, and of the labels of two linked tokens for each type of link.
+
+    All weights are fitted together, by pseudo-likelihood: each token's label given its features and the labels of all
+    tokens that it is linked to.
+    """
 
     def __init__(self, texts: list[str], steps: int = STEPS):
-        nodes, labels = [], []
-        met = np.ones((3, _OUT + 1, _OUT + 1))
+        nodes, labels, links = [], [], []
         for text in texts:
             tokens = Tokens(text)
-            kinds = tokens.kinds(base_spans(text))
+            links += [(len(nodes) + a, len(nodes) + b, kind) for a, b, kind in zip(*tokens.links())]
             nodes += tokens.features
-            labels += kinds.tolist()
-            for a, b, kind in zip(*tokens.links()):
-                met[kind, kinds[a], kinds[b]] += 1
-                if kind:
-                    met[kind, kinds[b], kinds[a]] += 1
-        share = met / met.sum(axis=(1, 2), keepdims=True)
-        chance = share.sum(axis=2, keepdims=True) * share.sum(axis=1, keepdims=True)
-        self.links = np.clip(np.log(share / chance), -4, 4)
+            labels += tokens.kinds(base_spans(text)).tolist()
+        self.links = np.zeros((3, _OUT + 1, _OUT + 1))
         self.weights = np.zeros((FEATURES, _OUT + 1))
         self.weights[:, _OUT] = 0.05
         if nodes:
-            self._fit(np.array(nodes), np.array(labels), steps)
+            self._fit(np.array(nodes), np.array(labels), np.array(links or np.zeros((0, 3)), np.int64).T, steps)
 
-    def _fit(self, nodes: np.ndarray, labels: np.ndarray, steps: int) -> None:
+    def _fit(self, nodes: np.ndarray, labels: np.ndarray, links: np.ndarray, steps: int) -> None:
         wanted = np.eye(_OUT + 1)[labels]
-        rates = np.full(FEATURES, 1e-9)
+        u, v, kind = links
+        rates, link_rates = np.full(FEATURES, 1e-9), np.full(self.links.shape, 1e-9)
         for _ in range(steps):
             scores = self.weights[nodes].sum(axis=1)
+            np.add.at(scores, v, self.links[kind, labels[u]])
+            np.add.at(scores, u, self.links[kind, :, labels[v]])
             chances = np.exp(scores - scores.max(axis=1, keepdims=True))
             chances /= chances.sum(axis=1, keepdims=True)
+            missed = chances - wanted
             slope = 1e-4 * len(nodes) * self.weights
-            np.add.at(slope, nodes, (chances - wanted)[:, None, :])
+            np.add.at(slope, nodes, missed[:, None, :])
             rates += (slope**2).sum(axis=1)
             self.weights -= 0.3 * slope / np.sqrt(rates)[:, None]
+            across = LINK_PENALTY * len(nodes) * self.links
+            np.add.at(across, (kind, labels[u]), missed[v])
+            np.add.at(across.transpose(0, 2, 1), (kind, labels[v]), missed[u])
+            across[1:] = (across[1:] + across[1:].transpose(0, 2, 1)) / 2  # skip links have no direction
+            link_rates += across**2
+            self.links -= 0.3 * across / np.sqrt(link_rates)
 
     def chances(self, tokens: Tokens, observed: np.ndarray) -> np.ndarray:
         """Probability of each label of each token, by loopy message passing."""

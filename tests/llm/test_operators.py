@@ -514,6 +514,52 @@ def test_messages_against_enumeration():
     assert np.allclose(field.chances(tokens, observed), total / total.sum(axis=1, keepdims=True), atol=2e-3)
 
 
+def test_field_finds_masked_spans():
+    """Half of the finds are hidden from the field; it adds most of them again, and little else."""
+    chooser = random.Random(12)
+
+    def text(i):
+        number = f"+1 ({chooser.randrange(200, 999)}) 555-{chooser.randrange(10**4):04d}"
+        mail = f"{prose(i, 1)}{i}@site{chooser.randrange(99)}.org"
+        parts = [f"call {number} today", f"write to {mail} please", f"server 10.0.{chooser.randrange(255)}.{chooser.randrange(255)} is up"]
+        parts += [f"chapter {chooser.randrange(99)} of {chooser.randrange(2000)}", f"costs {chooser.randrange(99)}.{chooser.randrange(99):02d}", f"reply to {mail}"]
+        return ". ".join(chooser.sample(parts, 5)) + " " + prose(i, 20)
+
+    field = pii.Field([text(i) for i in range(400)])
+    masked = hit = elsewhere = 0
+    for i in range(400, 600):
+        said = text(i)
+        base = pii.base_spans(said)
+        hidden = [s for s in base if chooser.random() < 0.5]
+        added = field.added(said, [s for s in base if s not in hidden])
+        masked += len(hidden)
+        hit += sum(any(k == kind and a < d and c < b for k, a, b in added) for kind, c, d in hidden)
+        elsewhere += sum(not any(a < d and c < b for _, c, d in hidden) for _, a, b in added)
+    assert masked > 200 and hit >= 0.95 * masked and elsewhere <= 0.05 * masked
+
+
+def test_field_is_fitted_as_a_whole():
+    """At the fitted weights the labels are more probable, each given its neighbours, than without the links."""
+    texts = [f"order {i:05d} for a{i % 7}@b.org. then order {i:05d} came back. 10.0.0.{i % 200} and 10.0.0.{i % 200} again" for i in range(150)]
+    field, bare = pii.Field(texts), pii.Field(texts)
+    bare.links = np.zeros_like(bare.links)
+
+    def surprise(field):
+        total = 0.0
+        for text in texts:
+            tokens = pii.Tokens(text)
+            kinds = tokens.kinds(pii.base_spans(text))
+            scores = field.weights[np.array(tokens.features)].sum(axis=1)
+            for a, b, kind in zip(*tokens.links()):
+                scores[b] += field.links[kind, kinds[a]]
+                scores[a] += field.links[kind, :, kinds[b]]
+            total += (np.log(np.exp(scores).sum(axis=1)) - scores[np.arange(len(kinds)), kinds]).sum()
+        return total
+
+    assert field.links[1:].any() and np.allclose(field.links[1:], field.links[1:].transpose(0, 2, 1))
+    assert surprise(field) < surprise(bare)
+
+
 def test_personal_data_of_odd_rows(spark):
     rows = [(1, None, "en", "a"), (2, "", "en", "a"), (3, "é a@b.co 10.0.0.1", "en", "a"), (3, "é a@b.co 10.0.0.1", "en", "a"), (None, "9" * 50_000 + "x@" * 20_000, "en", "a")]
     docs = frame(spark, rows, clashing=True)
