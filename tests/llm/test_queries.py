@@ -97,6 +97,23 @@ def test_last_stage_decodes(spark):
     assert {r.doc_id: (r.tokens, r.text) for r in found.collect()} == wanted
 
 
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    """Nulls, empty texts, repeated rows and an empty ``benchmark`` through all stages; then no documents at all."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    text = " ".join(f"word{i}" for i in range(80))
+    other = "\n".join(f"a{i} b{i} c{i} d{i}" for i in range(20))
+    rows = [(1, None, "en", "a", None), (2, "", "en", "a", 0), (3, text, None, None, 1), (3, text, None, None, 1), (None, other, "en", "a", 5), (None, None, None, None, None)]
+    wanted = {3: text, None: other}
+    benchmark = spark.createDataFrame([], "item_id long, text string")
+    for name, docs in (("some", rows), ("none", [])):
+        folder = tmp_path / name
+        spark.createDataFrame(docs, schema).repartition(2).write.parquet(f"{folder}/documents.parquet")
+        benchmark.write.parquet(f"{folder}/benchmark.parquet")
+        found = corpus_pipeline.run(spark, str(folder)).collect()
+        assert {r.doc_id: r.text for r in found} == (wanted if docs else {}) and len(found) == (2 if docs else 0)
+        assert all(r.tokens and r.n_chars == len(r.text) for r in found)
+
+
 def test_stages_return_documents(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
