@@ -40,14 +40,21 @@ def _carry(df: DataFrame, keys: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in df.columns if c not in keys])
 
 
+def _grouped(df: DataFrame, keys: Sequence[str]):
+    """``df`` grouped by ``keys`` behind a digest of them: rows are sorted and dealt by one number, and the keys themselves,
+    which may be long texts, are compared only where digests are equal. So a collision merges nothing."""
+    named = [F.col(f"`{k}`") for k in keys]
+    return df.withColumn("__digest", F.xxhash64(*named)).groupBy("__digest", *named)
+
+
 def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of each key under ``order``, whose last column must make it unique.
 
     An aggregate, so every task reduces its rows to one per key before the shuffle, however many rows a key has.
-    Spark sorts the rows of a task by key for it, as the rows it keeps are no fixed-width values.
+    Spark sorts the rows of a task by key for it, as the rows it keeps are no fixed-width values; see ``_grouped``.
     """
     first = F.min_by(_carry(df, keys), F.struct(*order)).alias("row")
-    return df.groupBy(*keys).agg(first).select(*keys, "row.*")
+    return _grouped(df, keys).agg(first).select(*keys, "row.*")
 
 
 def first_k_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str = "rank") -> DataFrame:
@@ -64,7 +71,7 @@ def distinct_names(df: DataFrame, keys: Sequence[str], id_column: str) -> DataFr
 def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last row of each key under ``order``."""
     last = F.max_by(_carry(df, keys), F.struct(*[F.col(c) for c in order])).alias("row")
-    return df.groupBy(*keys).agg(last).select(*keys, "row.*")
+    return _grouped(df, keys).agg(last).select(*keys, "row.*")
 
 
 def best_match(pairs: DataFrame, left_id: str, right_id: str, score: str, digits: int = 9) -> DataFrame:
