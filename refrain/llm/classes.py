@@ -6,7 +6,8 @@ All counts come from all training texts. They are kept packed, since a row per t
 - Texts are cut into chunks of about ``CHUNK`` tokens, always between two texts, and written as numbers of the chunk's own
   words, in the order of the words' hashes. So the words of a bucket (the first bits of a hash) are one slice of a chunk.
 - A bucket gathers its slices from all chunks: the lexicon, with each word's count and the contexts, before and behind,
-  that it was seen in.
+  that it was seen in. A common word has a slice in every chunk, so of very many chunks groups of at most ``GROUP`` are
+  gathered first, and then the groups.
 - Exchange rounds run over the lexicon where it lies; only sums per class and context meet.
 - The lexicon sends each chunk the counts and classes of its words, and no task ever holds the whole vocabulary.
 """
@@ -35,6 +36,8 @@ ROUNDS = 3
 CONTEXTS = 128
 #: Tokens of a chunk, and words of all chunks in a bucket of the lexicon, about.
 CHUNK, IN_BUCKET = 1 << 19, 1 << 17
+#: Chunks whose slices of a bucket meet in one task.
+GROUP = 4096
 #: What a class is thought to have been seen in all contexts, together, before counting.
 PRIOR = 20.0
 
@@ -167,8 +170,8 @@ def slices(chunks: DataFrame, bits: int) -> DataFrame:
     return chunks.drop("ids").mapInArrow(batches, _SLICE)
 
 
-def gathered(bucket: int, slices: pa.Table, schema: pa.Schema) -> pa.Table:
-    """One row of the lexicon from the slices of a bucket."""
+def gathered(bucket: int, slices: pa.Table, schema: pa.Schema, least: int, counts: type = np.uint32, times: type = np.uint8) -> pa.Table:
+    """One row of the lexicon from the slices of a bucket; contexts of words seen less often than ``least`` are left out."""
 
     def whole(name: str, kind: type) -> np.ndarray:
         column = slices.column(name).combine_chunks()
@@ -176,32 +179,57 @@ def gathered(bucket: int, slices: pa.Table, schema: pa.Schema) -> pa.Table:
 
     parts = whole("words", np.uint64)
     words, place = np.unique(parts, return_inverse=True)
-    counts = np.bincount(place, whole("counts", np.uint32), len(words)).astype(np.int64)
+    total = np.bincount(place, whole("counts", counts), len(words)).astype(np.int64)
     spelled = np.zeros(len(words), np.uint8)
     spelled[place] = whole("spelled", np.uint8)
-    frequent = np.flatnonzero(counts >= LEAST).astype(np.int32)
+    frequent = np.flatnonzero(total >= least).astype(np.int32)
     number = np.full(len(words), -1)
     number[frequent] = np.arange(len(frequent))
     of_entry = np.repeat(number[place], whole("sizes", np.uint32))
     used = of_entry >= 0
     pairs, inverse = np.unique(of_entry[used] * (2 * CONTEXTS) + whole("contexts", np.uint8)[used], return_inverse=True)
-    times = np.bincount(inverse, whole("times", np.uint8)[used], len(pairs)).astype(np.int64)
-    sizes = np.bincount(pairs // (2 * CONTEXTS), minlength=len(frequent)).astype(np.int32)
+    often = np.bincount(inverse, whole("times", times)[used], len(pairs)).astype(np.int64)
+    sizes = np.bincount(pairs // (2 * CONTEXTS), minlength=len(frequent)).astype(np.uint32)
     lengths = [len(x) // 8 for x in slices.column("words").to_pylist()]
     places = [x.astype(np.int32).tobytes() for x in np.split(place, np.cumsum(lengths)[:-1])]
     return pa.Table.from_batches([
         one_row(
-            schema, bucket=bucket, words=words, counts=counts, spelled=spelled, frequent=frequent, sizes=sizes,
-            contexts=(pairs % (2 * CONTEXTS)).astype(np.uint8), times=times, chunks=slices.column("chunk").to_pylist(), places=places,
+            schema, bucket=bucket, words=words, counts=total, spelled=spelled, frequent=frequent, sizes=sizes,
+            contexts=(pairs % (2 * CONTEXTS)).astype(np.uint8), times=often, chunks=slices.column("chunk").to_pylist(), places=places,
         )
     ])
 
 
+def gathered_lexicon(slices: DataFrame, n_chunks: int, least: int = LEAST) -> tuple[DataFrame, DataFrame | None]:
+    """The lexicon, a row for each bucket; and the rows for each bucket and group of chunks, if there are several groups."""
+    schema = to_arrow(_LEXICON)
+    groups = max(1, -(-n_chunks // GROUP))
+
+    def of_chunks(key: tuple[pa.Scalar, ...], found: pa.Table) -> pa.Table:
+        row = gathered(key[0].as_py(), found, schema, least if groups == 1 else 0)
+        give_back()
+        return row
+
+    def of_groups(key: tuple[pa.Scalar, ...], found: pa.Table) -> pa.Table:
+        row = gathered(key[0].as_py(), found, schema, least, np.int64, np.int64)
+        give_back()
+        return row
+
+    dealt = slices.withColumn("group", F.pmod(F.xxhash64("chunk"), F.lit(groups)))
+    first = settle(dealt.groupBy("bucket", "group").applyInArrow(of_chunks, _LEXICON), "lexicon")
+    if groups == 1:
+        return first, None
+    # A group is known by one of its chunks.
+    named = first.withColumn("chunk", F.array_min("chunks"))
+    kept = named.select("bucket", "chunk", "words", "counts", "spelled", "sizes", "contexts", "times")
+    return settle(kept.groupBy("bucket").applyInArrow(of_groups, _LEXICON), "lexicon"), named
+
+
 class Entry:
     """A row of the lexicon."""
 
     KINDS = {
-        "words": np.uint64, "counts": np.int64, "spelled": np.uint8, "frequent": np.int32, "sizes": np.int32,
+        "words": np.uint64, "counts": np.int64, "spelled": np.uint8, "frequent": np.int32, "sizes": np.uint32,
         "contexts": np.uint8, "times": np.int64,
     }
 
@@ -211,10 +239,10 @@ class Entry:
 
     def vectors(self, block: int = 4096) -> Iterator[tuple[slice, np.ndarray]]:
         """The context counts of the frequent words, some words at a time."""
-        ends = np.cumsum(self.sizes)
+        ends = np.cumsum(self.sizes, dtype=np.int64)
         for start in range(0, len(self.frequent), block):
             stop = min(len(self.frequent), start + block)
-            a, b = (ends[start] - self.sizes[start], ends[stop - 1])
+            a, b = (ends[start] - int(self.sizes[start]), ends[stop - 1])
             keys = np.repeat(np.arange(stop - start), self.sizes[start:stop]) * (2 * CONTEXTS) + self.contexts[a:b]
             found = np.zeros((stop - start) * 2 * CONTEXTS)
             found[keys] = self.times[a:b]
@@ -337,8 +365,8 @@ def emissions(lexicon: DataFrame, seeds: dict[int, int], rounds: list[np.ndarray
     return Emissions(*np.split(summed(lexicon, by_class, 4 * n), 4))
 
 
-def sent_back(lexicon: DataFrame, seeds: dict[int, int], rounds: list[np.ndarray]) -> DataFrame:
-    """Counts and classes of the words of each chunk, a row for each bucket."""
+def sent_back(lexicon: DataFrame, groups: DataFrame | None, seeds: dict[int, int], rounds: list[np.ndarray]) -> DataFrame:
+    """Counts and classes of the words of each chunk, a row for each bucket; by way of the groups, if there are any."""
     ddl = "chunk long, bucket int, counts binary, classes binary"
     schema = to_arrow(ddl)
 
@@ -353,7 +381,21 @@ def sent_back(lexicon: DataFrame, seeds: dict[int, int], rounds: list[np.ndarray
                     yield one_row(schema, chunk=chunk, bucket=bucket, counts=entry.counts[own], classes=classes[own])
                 give_back()
 
-    return lexicon.mapInArrow(batches, ddl)
+    def spread(group: pa.Table, found: pa.Table) -> pa.Table:
+        rows = []
+        if group.num_rows and found.num_rows:
+            counts, classes = (np.frombuffer(found.column(c)[0].as_py(), k) for c, k in (("counts", np.int64), ("classes", np.uint8)))
+            bucket, chunks, places = (group.column(c)[0].as_py() for c in ("bucket", "chunks", "places"))
+            for chunk, place in zip(chunks, places):
+                own = np.frombuffer(place, np.int32)
+                rows.append(one_row(schema, chunk=chunk, bucket=bucket, counts=counts[own], classes=classes[own]))
+        return pa.Table.from_batches(rows, schema)
+
+    back = lexicon.mapInArrow(batches, ddl)
+    if groups is None:
+        return back
+    held = groups.select("bucket", "chunk", "chunks", "places")
+    return held.groupBy("bucket", "chunk").cogroup(back.groupBy("bucket", "chunk")).applyInArrow(spread, ddl)
 
 
 def classed(chunks: DataFrame, back: DataFrame, model: Emissions, train_tokens: int, types: int, train_docs: int) -> DataFrame:
@@ -452,21 +494,14 @@ def score(
     count and classify run and are written when this is called.
     """
     chunks = settle(chunked(docs, text, id, trained), "chunks")
-    words = chunks.agg(F.sum("n_words")).first()[0] or 0
-    bits = max(4, int(np.ceil(np.log2(max(1, words / IN_BUCKET)))))
-    schema = to_arrow(_LEXICON)
-
-    def entry(key: tuple[pa.Scalar, ...], found: pa.Table) -> pa.Table:
-        row = gathered(key[0].as_py(), found, schema)
-        give_back()
-        return row
-
-    lexicon = settle(slices(chunks, bits).groupBy("bucket").applyInArrow(entry, _LEXICON), "lexicon")
+    size = chunks.agg(F.sum("n_words").alias("words"), F.count(F.lit(1)).alias("n")).first()
+    bits = max(4, int(np.ceil(np.log2(max(1, (size["words"] or 0) / IN_BUCKET)))))
+    lexicon, groups = gathered_lexicon(slices(chunks, bits), size["n"])
     seeds, done = exchange(lexicon, CLASSES, rounds)
     model = emissions(lexicon, seeds, done)
     learned = chunks.select(F.explode("trained").alias("trained")).filter("trained").count()
     train_tokens, types = int(model.tokens.sum()) + learned, int(model.types.sum()) + (learned > 0)
-    texts = settle(classed(chunks, sent_back(lexicon, seeds, done), model, train_tokens, types, learned), "classed")
+    texts = settle(classed(chunks, sent_back(lexicon, groups, seeds, done), model, train_tokens, types, learned), "classed")
     n = CLASSES + 1 + SPELLINGS
     logs = np.log10(smoothed(transitions(texts))).ravel()
     kept = ["id", "n_tokens", "n_known", "base_score"]

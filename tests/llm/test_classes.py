@@ -51,12 +51,7 @@ def frame(spark, data):
 def learned(spark, df):
     """The count and the class of every word, as the operator learns them."""
     chunks = classes.settle(classes.chunked(df, "text", "doc_id", F.expr(TRAINED)), "chunks")
-    schema = classes.to_arrow(classes._LEXICON)
-
-    def entry(key, found):
-        return classes.gathered(key[0].as_py(), found, schema)
-
-    lexicon = classes.settle(classes.slices(chunks, 4).groupBy("bucket").applyInArrow(entry, classes._LEXICON), "lexicon")
+    lexicon, _ = classes.gathered_lexicon(classes.slices(chunks, 4), chunks.count())
     seeds, done = classes.exchange(lexicon, classes.CLASSES, classes.ROUNDS)
     found = {}
     for batch in lexicon.toArrow().to_batches():
@@ -125,6 +120,8 @@ def test_chunks_and_buckets_do_not_matter(spark, monkeypatch):
     monkeypatch.setattr(classes, "CHUNK", 64)
     monkeypatch.setattr(classes, "IN_BUCKET", 8)
     assert scored() == whole
+    monkeypatch.setattr(classes, "GROUP", 5)  # groups of chunks are gathered first
+    assert scored() == whole
 
 
 def test_probabilities_sum_to_one(spark):
