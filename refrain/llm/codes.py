@@ -56,6 +56,11 @@ def parcels(position: int, codes: np.ndarray, parts: np.ndarray) -> Iterator[tup
         yield int(codes[mine[0]]), len(mine), packed(parts[mine])
 
 
+def batch_of(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [[] for _ in schema]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
 def salt_of(salts: int, *key: int) -> int:
     return xxhash.xxh3_64_intdigest(repr(key)) % salts
 
@@ -68,14 +73,15 @@ def deal(vectors: DataFrame, books: np.ndarray, salts: int) -> DataFrame:
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         books, task = sent.value, TaskContext.get().partitionId()
         for number, batch in enumerate(source):
+            if not batch.num_rows:
+                continue
             rows = []
             whole = matrix(batch.column("v")).reshape(batch.num_rows, len(books), -1)
             for position, book in enumerate(books):
                 own = np.ascontiguousarray(whole[:, position])
                 for entry, n, data in parcels(position, nearest(own, book)[0], own):
                     rows.append((position, entry, salt_of(salts, task, number, position, entry), n, data))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)] if rows else [
-                pa.array([], f.type) for f in schema], schema=schema)
+            yield batch_of(rows, schema)
 
     return vectors.select("v").mapInArrow(batches, _OWNED)
 
@@ -94,8 +100,7 @@ def reassigned(residents: DataFrame, books: np.ndarray) -> DataFrame:
                 own = unpacked(data, n, books.shape[2])
                 for new, count, part in parcels(position, nearest(own, books[position])[0], own):
                     rows.append((position, new, salt, count, part, new != entry))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)] if rows else [
-                pa.array([], f.type) for f in schema], schema=schema)
+            yield batch_of(rows, schema)
 
     return residents.mapInArrow(batches, ddl)
 
@@ -112,8 +117,7 @@ def updated(residents: DataFrame, books: np.ndarray) -> np.ndarray:
             for position, entry, n, data in zip(*(batch.column(c).to_pylist() for c in ("position", "entry", "members", "parts"))):
                 totals = unpacked(data, n, width).sum(axis=0)
                 rows += [(position, entry, i, n, int(x)) for i, x in enumerate(totals)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)] if rows else [
-                pa.array([], f.type) for f in schema], schema=schema)
+            yield batch_of(rows, schema)
 
     sums = residents.drop("salt").mapInArrow(batches, ddl).groupBy("position", "entry", "component")
     new = books.copy()
@@ -185,12 +189,16 @@ def encode(
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         books = sent.value
         for batch in source:
+            if not batch.num_rows:
+                continue
             whole = matrix(batch.column("v")).reshape(batch.num_rows, len(books), -1)
-            found = [nearest(np.ascontiguousarray(whole[:, p]), book) for p, book in enumerate(books)] if len(whole) else []
-            codes = np.stack([c for c, _ in found], axis=1).astype(np.uint8) if found else []
-            error = sum(d for _, d in found) if found else []
-            out = [*(batch.column(c) for c in columns), pa.array([c.tobytes().hex() for c in codes], pa.string()), pa.array(error, pa.int64())]
-            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(out, schema)], schema=schema)
+            codes, error = np.zeros((len(whole), len(books)), np.uint8), np.zeros(len(whole), np.int64)
+            for p, book in enumerate(books):
+                codes[:, p], far = nearest(np.ascontiguousarray(whole[:, p]), book)
+                error += far
+            named = pa.array([c.tobytes().hex() for c in codes], pa.string())
+            out = [*(batch.column(c).cast(f.type) for c, f in zip(columns, schema)), named, pa.array(error)]
+            yield pa.RecordBatch.from_arrays(out, schema=schema)
 
     return chosen.mapInArrow(batches, ddl).withColumnRenamed("id", id)
 
