@@ -38,6 +38,8 @@ CONTEXTS = 128
 CHUNK, IN_BUCKET = 1 << 19, 1 << 17
 #: Chunks whose slices of a bucket meet in one task.
 GROUP = 4096
+#: Of the stored tables, whose rows are large.
+CODEC = "zstd"
 #: What a class is thought to have been seen in all contexts, together, before counting.
 PRIOR = 20.0
 
@@ -216,13 +218,13 @@ def gathered_lexicon(slices: DataFrame, n_chunks: int, least: int = LEAST) -> tu
         return row
 
     dealt = slices.withColumn("group", F.pmod(F.xxhash64("chunk"), F.lit(groups)))
-    first = settle(dealt.groupBy("bucket", "group").applyInArrow(of_chunks, _LEXICON), "lexicon")
+    first = settle(dealt.groupBy("bucket", "group").applyInArrow(of_chunks, _LEXICON), "lexicon", CODEC)
     if groups == 1:
         return first, None
     # A group is known by one of its chunks.
     named = first.withColumn("chunk", F.array_min("chunks"))
     kept = named.select("bucket", "chunk", "words", "counts", "spelled", "sizes", "contexts", "times")
-    return settle(kept.groupBy("bucket").applyInArrow(of_groups, _LEXICON), "lexicon"), named
+    return settle(kept.groupBy("bucket").applyInArrow(of_groups, _LEXICON), "lexicon", CODEC), named
 
 
 class Entry:
@@ -493,7 +495,7 @@ def score(
     columns other than text and id are ignored, whatever their names. A word is known by 64 bits of its hash. The jobs that
     count and classify run and are written when this is called.
     """
-    chunks = settle(chunked(docs, text, id, trained), "chunks")
+    chunks = settle(chunked(docs, text, id, trained), "chunks", CODEC)
     size = chunks.agg(F.sum("n_words").alias("words"), F.count(F.lit(1)).alias("n")).first()
     bits = max(4, int(np.ceil(np.log2(max(1, (size["words"] or 0) / IN_BUCKET)))))
     lexicon, groups = gathered_lexicon(slices(chunks, bits), size["n"])
@@ -501,7 +503,7 @@ def score(
     model = emissions(lexicon, seeds, done)
     learned = chunks.select(F.explode("trained").alias("trained")).filter("trained").count()
     train_tokens, types = int(model.tokens.sum()) + learned, int(model.types.sum()) + (learned > 0)
-    texts = settle(classed(chunks, sent_back(lexicon, groups, seeds, done), model, train_tokens, types, learned), "classed")
+    texts = settle(classed(chunks, sent_back(lexicon, groups, seeds, done), model, train_tokens, types, learned), "classed", CODEC)
     n = CLASSES + 1 + SPELLINGS
     logs = np.log10(smoothed(transitions(texts))).ravel()
     kept = ["id", "n_tokens", "n_known", "base_score"]
