@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,7 +17,7 @@ CHUNK = 4096
 
 @dataclass(frozen=True)
 class Rule:
-    """``verdict`` for urls of ``site`` (a host and all its subdomains) whose path starts with ``path``."""
+    """``verdict`` for urls of ``site`` (a host and all its subdomains) whose path starts with ``path``; a star in them is a star."""
 
     verdict: str
     site: str
@@ -28,10 +29,12 @@ class Rule:
 
     @property
     def globs(self) -> tuple[str, str]:
-        return f"{self.site}{self.path}**", f"*.{self.site}{self.path}**"
+        plain = re.sub(r"([*\\])", r"\\\1", self.name)
+        return f"{plain}**", f"*.{plain}**"
 
 
-#: Globs of the method's own verdict, for urls that no rule fits: ``*`` stands for any characters but ``/``, ``**`` for any.
+#: Globs of the method's own verdict, for urls that no rule fits: ``*`` stands for any characters but ``/``, ``**`` for any,
+#: and a backslash takes the meaning from the character after it.
 BLOCKED = ("**.exe", "**.zip", "**/wp-login*", "**/admin/**")
 
 
@@ -57,6 +60,7 @@ class ShiftAnd:
                             stays[byte].append(bit)
                     i += 1 + deep
                 else:
+                    i += data[i] == 92 and i + 1 < len(data)
                     bit += 1
                     moves[data[i]].append(bit)
                     i += 1

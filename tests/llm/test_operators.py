@@ -340,6 +340,16 @@ def test_runs_cover_every_string_once():
 # urls
 
 
+def test_stars_in_rules_are_literal(spark):
+    rules = [urls.Rule("block", "a.com", "/x*y/"), urls.Rule("block", "b.com", "/\\d*/")]
+    seen = {1: "http://a.com/x*y/z", 2: "http://a.com/xQy/z", 3: "http://w.b.com/\\d*/", 4: "http://b.com/\\d7/", 5: "http://b.com/d*/"}
+    found = urls.judge(spark.createDataFrame(list(seen.items()), "page_id long, url string"), rules)
+    assert {r.page_id: (r.rule, r.verdict) for r in found.collect()} == {
+        1: ("a.com/x*y/", "block"), 2: (None, "allow"), 3: ("b.com/\\d*/", "block"), 4: (None, "allow"), 5: (None, "allow")
+    }
+    assert urls.ShiftAnd(["a\\*b*", "c\\"]).match([b"a*bc", b"axbc", b"c\\"]).tolist() == [[True, False], [False, False], [False, True]]
+
+
 def test_urls(spark):
     given = [
         "http://A.Example.COM/en/x?y#z", "https://www.example.com/en/", "http://org.net/es/1", "http://xnet/es/1", "http://m.net/fr",
