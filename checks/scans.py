@@ -145,10 +145,12 @@ def grouped_csv_scan(t):
     """
 )
 def grouped_csv_with_line_feeds(t):
-    """Texts with line feeds and quotes in eight files, half of them with their columns in another order."""
+    """Texts with line feeds and quotes in eight files, more of large tables, half of them with their columns in another order."""
     path = scratch_path(t.spark, "texts")
+    size = t.documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    count = max(4, -(-size // (128 << 20)))  # a task writes a file of each order: about 64 MB, however many texts there are
     texts = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
-    docs = t.documents.select("doc_id", texts.alias("text"), "source", F.pmod(F.xxhash64("doc_id"), F.lit(4)).alias("file"))
+    docs = t.documents.select("doc_id", texts.alias("text"), "source", F.pmod(F.xxhash64("doc_id"), F.lit(count)).alias("file"))
     extra = {"a": ["x,short"], "b": [",nobody,no id"]}
     for name, header, cells in (
         ("a", [",track,artist", ",text,source", "track_id,,"], ("text", "source")),
@@ -156,11 +158,11 @@ def grouped_csv_with_line_feeds(t):
     ):
         own = docs.where((F.col("doc_id") % 2 == 0) == (name == "a"))
         line = F.concat_ws(",", F.col("doc_id").cast("string"), *cells)
-        files = t.spark.range(4).select(F.col("id").alias("file"), "id")
+        files = t.spark.range(count).select(F.col("id").alias("file"), "id")
         first = F.when(F.col("id") == 0, F.array(*map(F.lit, header + extra[name]))).otherwise(F.array(*map(F.lit, header)))
         heads = files.select("file", F.posexplode(first).alias("place", "value"))
         placed = heads.unionByName(own.select("file", F.lit(9).alias("place"), line.alias("value")))
-        placed.repartition(4, "file").sortWithinPartitions("file", "place").select("value").write.text(f"{path}/{name}")
+        placed.repartition(count, "file").sortWithinPartitions("file", "place").select("value").write.text(f"{path}/{name}")
     return grouped_csv.read_grouped_csv(t.spark, f"{path}/*", range_bytes=1 << 18)
 
 

@@ -44,9 +44,12 @@ def _measured(of: DataFrame) -> DataFrame:
 
 
 def _tasks(files: DataFrame, size: int) -> int:
-    """As many tasks as there are ranges of ``size`` bytes in all files together, and a few where these are small."""
+    """As many tasks as there are ranges of ``size`` bytes, ``RANGE`` at least, in all files together, and a few where these are small.
+
+    Smaller ranges are read one by one all the same: a task for each would take longer to start than to run.
+    """
     total = files.agg(F.sum("length")).first()[0] or 0
-    return max(files.sparkSession.sparkContext.defaultParallelism, -(-total // size))
+    return max(files.sparkSession.sparkContext.defaultParallelism, -(-total // max(size, RANGE)))
 
 
 def segments(files: DataFrame, size: int = RANGE) -> DataFrame:
