@@ -8,7 +8,9 @@ of a distance. The distance of a query to a box bounds that to all items inside.
 Cells are rows of a stored table with their items packed; regions are rows of a small one. A query first visits the region
 of the least bound, which gives it a real distance to beat, then in further rounds those whose bound doesn't exceed it.
 Inside a region cells are visited by bound in the same way. What is joined are queries and boxes of one group,
-then queries and items of one cell; no list of pivots or boxes goes to the driver or to all tasks.
+then queries and items of one block of regions; no list of pivots or boxes goes to the driver or to all tasks. A query is sent
+once per block, however many of its regions it visits, and a block once per as many queries as it has items, so that what is
+shuffled grows as queries and items do, up to groups of ``BLOCKS * MOST_ITEMS`` items.
 """
 
 from __future__ import annotations
@@ -36,6 +38,10 @@ PART = 1 << 16
 SAMPLE = 4096
 #: Regions that a query visits in the first rounds; the last round visits all that are left in reach.
 FIRST_VISITS = (1, 3)
+#: Items of a block of regions, at least and at most, and the blocks that a group of a size between has.
+BLOCK_ITEMS, MOST_ITEMS, BLOCKS = 1 << 12, 1 << 16, 8
+#: Queries that look through a region at a time.
+VISITING = 1 << 13
 #: Room for rounding, as a share of the squared size of the vectors.
 SLACK = 1e-9
 
@@ -141,7 +147,8 @@ def build(items: DataFrame, spans=None, root: float = ROOT, cell_items: int = CE
     """
     count = F.count(F.lit(1))
     sizes = items.groupBy("g").agg(count.alias("n"), F.greatest(F.lit(1), F.ceil(F.sqrt(count) / root)).cast("int").alias("regions"))
-    sizes = settle(sizes, "sizes")
+    of_block = F.least(F.greatest(F.col("n") / BLOCKS, F.lit(BLOCK_ITEMS)), F.lit(MOST_ITEMS))
+    sizes = settle(sizes.withColumn("blocks", F.least(F.ceil(F.col("n") / of_block).cast("int"), "regions")), "sizes")
     axes = rotation(items, sizes.agg(F.sum("n")).first()[0] or 0, spans)
     boxes = "low array<double>, high array<double>"
     ddl = f"g {_type(items, 'g')}, region int, cell int, {boxes}, items array<{_type(items, 'item')}>, v binary, whole struct<{boxes}>"
@@ -220,14 +227,25 @@ def choose(
     return _dealt(queries, "query", regions, parts, ["g"]).applyInArrow(pick, ddl)
 
 
+def _block(region):
+    return F.floor(region * F.col("blocks") / F.col("regions")).cast("int")
+
+
 def visit(
-    visits: DataFrame, cells: DataFrame, k: int, spans, quantum: float | None, axes: np.ndarray, tile: int, tally: Accumulator | None
+    visits: DataFrame, cells: DataFrame, sizes: DataFrame, k: int, spans, quantum: float | None, axes: np.ndarray, tile: int, tally: Accumulator | None
 ) -> DataFrame:
-    """Queries against the cells of the regions they visit: ``g``, ``query``, ``item``, ``distance``, ``parts``, ``rank``."""
-    parts = settle(_parts(visits, ["g", "region"], tile), "visits")
+    """Queries (``g``, ``query``, ``v``, ``next`` regions, ``beat``) against the cells of the regions they visit: ``g``, ``query``,
+    ``item``, ``distance``, ``parts``, ``rank``."""
+    numbered = visits.join(sizes.select("g", "regions", "blocks"), "g")
+    numbered = numbered.withColumn("block", F.explode(F.array_distinct(F.transform("next", _block))))
+    sent = numbered.select("g", "query", "v", F.filter("next", lambda r: _block(r) == F.col("block")).alias("visited"), "beat", "block")
+    held = cells.join(sizes.select("g", "regions", "blocks"), "g").withColumn("block", _block(F.col("region"))).drop("regions", "blocks")
+    asked = numbered.groupBy("g", "block").agg(F.count(F.lit(1)).alias("rows"))
+    most = F.greatest(F.lit(tile), F.least(F.col("n") / F.col("blocks"), F.lit(MOST_ITEMS)))
+    parts = asked.join(sizes, "g").select("g", "block", F.ceil(F.col("rows") / most).cast("int").alias("parts"))
     id_type = _type(cells, "items").removeprefix("array<").removesuffix(">")
     ddl = f"g {_type(visits, 'g')}, query {_type(visits, 'query')}, item {id_type}, distance double, parts array<double>, rank double"
-    return _dealt(visits, "query", cells, parts, ["g", "region"]).applyInArrow(_scorer(k, spans, quantum, axes, tally), ddl)
+    return _dealt(sent, "query", held, settle(parts, "visits"), ["g", "block"]).applyInArrow(_scorer(k, spans, quantum, axes, tally), ddl)
 
 
 def _scorer(k: int, spans, quantum: float | None, axes: np.ndarray, tally: Accumulator | None):
@@ -239,20 +257,17 @@ def _scorer(k: int, spans, quantum: float | None, axes: np.ndarray, tally: Accum
         ])
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
-        right = right.sort_by("cell")
+        right = right.sort_by([("region", "ascending"), ("cell", "ascending")])
         q = vectors_of(left.column("v"))
         held = [np.frombuffer(x, np.float64).reshape(-1, q.shape[1]) for x in right.column("v").to_pylist()]
         starts = np.cumsum([0, *map(len, held)])
         turned = q @ axes
         low, high = vectors_of(right.column("low")), vectors_of(right.column("high"))
-        firsts = np.arange(0, len(held), FAMILY)
-        near = bounds(turned, np.minimum.reduceat(low, firsts), np.maximum.reduceat(high, firsts))
         q_square = np.einsum("ij,ij->i", q, q)
         beat = np.nan_to_num(left.column("beat").to_numpy().astype(float), nan=np.inf)
         room = 1e-12 * (q_square + max(float((c * c).sum(axis=1).max()) for c in held)) + 2.0 * (quantum or 0.0)
         best = np.repeat(beat[:, None], k, axis=1)  # the k least distances so far, in order or not, the last one the largest
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        done = np.zeros((len(q), len(held)), bool)
         scored = 0
 
         def against(cell: int, asking: np.ndarray) -> None:
@@ -260,7 +275,6 @@ def _scorer(k: int, spans, quantum: float | None, axes: np.ndarray, tally: Accum
             items = held[cell]
             rough = q_square[asking, None] - 2.0 * (q[asking] @ items.T) + np.einsum("ij,ij->i", items, items)
             scored += rough.size
-            done[asking, cell] = True
             i, j = np.nonzero(rough <= (best[asking, k - 1] + room[asking])[:, None])
             found.append((asking[i], starts[cell] + j, rough[i, j]))
             both = np.hstack([best[asking], rough])
@@ -269,30 +283,51 @@ def _scorer(k: int, spans, quantum: float | None, axes: np.ndarray, tally: Accum
         def limit(asking: np.ndarray) -> np.ndarray:
             return _reach(best[asking, k - 1], q[asking], quantum) + room[asking]
 
-        def children(family: int, asking: np.ndarray) -> tuple[slice, np.ndarray]:
-            own = slice(family * FAMILY, (family + 1) * FAMILY)
-            return own, bounds(turned[asking], low[own], high[own])
-
-        # First the cell of the least bound, for something to beat; then families by how near they are to all queries.
-        home = near.argmin(axis=1)
-        for family in np.unique(home):
-            asking = np.flatnonzero(home == family)
-            own, found_at = children(family, asking)
-            nearest = found_at.argmin(axis=1)
-            for n in np.unique(nearest):
-                mine = nearest == n
-                mine[mine] = found_at[mine, n] <= limit(asking[mine])
-                if mine.any():
-                    against(own.start + n, asking[mine])
-        for family in np.argsort(near.mean(axis=0), kind="stable"):
-            asking = np.flatnonzero(near[:, family] <= limit(np.arange(len(q))))
-            if not len(asking):
-                continue
-            own, found_at = children(family, asking)
-            for n in range(found_at.shape[1]):
-                mine = (found_at[:, n] <= limit(asking)) & ~done[asking, own.start + n]
-                if mine.any():
-                    against(own.start + n, asking[mine])
+        def through(visiting: np.ndarray, first: int, end: int) -> None:
+            """``visiting`` queries against the cells of one region, those from ``first`` to ``end``."""
+            firsts = np.arange(first, end, FAMILY)
+            whole = np.minimum.reduceat(low[:end], firsts), np.maximum.reduceat(high[:end], firsts)
+            near = bounds(turned[visiting], *whole)
+            done = np.zeros((len(visiting), end - first), bool)
+
+            def children(family: int, some: np.ndarray) -> tuple[int, np.ndarray]:
+                own = slice(firsts[family], min(firsts[family] + FAMILY, end))
+                return own.start, bounds(turned[visiting[some]], low[own], high[own])
+
+            # First the cell of the least bound, for something to beat; then families by how near they are to all queries.
+            home = near.argmin(axis=1)
+            for family in np.unique(home):
+                some = np.flatnonzero(home == family)
+                start, found_at = children(family, some)
+                nearest = found_at.argmin(axis=1)
+                for n in np.unique(nearest):
+                    mine = nearest == n
+                    mine[mine] = found_at[mine, n] <= limit(visiting[some[mine]])
+                    if mine.any():
+                        done[some[mine], start + n - first] = True
+                        against(start + n, visiting[some[mine]])
+            for family in np.argsort(near.mean(axis=0), kind="stable"):
+                some = np.flatnonzero(near[:, family] <= limit(visiting))
+                if not len(some):
+                    continue
+                start, found_at = children(family, some)
+                for n in range(found_at.shape[1]):
+                    mine = (found_at[:, n] <= limit(visiting[some])) & ~done[some, start + n - first]
+                    if mine.any():
+                        against(start + n, visiting[some[mine]])
+
+        visited = left.column("visited").combine_chunks()
+        asking = np.repeat(np.arange(len(q)), np.diff(visited.offsets.to_numpy()))
+        wanted = visited.flatten().to_numpy(zero_copy_only=False)
+        order = np.argsort(wanted, kind="stable")
+        asking, wanted = asking[order], wanted[order]
+        region = right.column("region").to_numpy()
+        for name in np.unique(wanted):
+            visiting = asking[slice(*np.searchsorted(wanted, [name, name + 1]))]
+            first, end = np.searchsorted(region, [name, name + 1])
+            if first < end:
+                for some in range(0, len(visiting), VISITING):
+                    through(visiting[some : some + VISITING], first, end)
         if tally is not None:
             tally.add(scored)
 
@@ -341,9 +376,9 @@ def search(
     """
     queries = settle(queries, "queries")
     cells, regions, sizes, axes = build(items, spans, root, cell_items)
-    scan = dict(k=k, spans=spans, quantum=quantum, axes=axes, tile=tile, tally=tally)
+    scan = dict(sizes=sizes, k=k, spans=spans, quantum=quantum, axes=axes, tile=tile, tally=tally)
     one = queries.join(sizes.where("regions = 1").select("g"), "g")
-    alone = one.select("g", "query", "v", F.lit(0).alias("region"), F.lit(None).cast("double").alias("beat"))
+    alone = one.select("g", "query", "v", F.array(F.lit(0)).alias("next"), F.lit(None).cast("double").alias("beat"))
     if sizes.where("regions > 1").isEmpty():
         return visit(alone, cells, **scan)
     several = queries.join(sizes.where("regions > 1").select("g"), "g")
@@ -353,7 +388,7 @@ def search(
     for most in (*FIRST_VISITS, None):
         chosen = choose(waiting, regions, parts, axes, most, quantum).where(F.size("next") > 0)
         chosen = settle(chosen, "chosen")
-        visits = chosen.select("g", "query", "v", F.explode("next").alias("region"), "beat")
+        visits = chosen.select("g", "query", "v", "next", "beat")
         found = visit(visits if results is not None else visits.unionByName(alone), cells, **scan)
         if most is None:
             return results.unionByName(found)
