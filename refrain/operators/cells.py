@@ -5,9 +5,13 @@ has cells of a few items, cut by the median of the coordinate that varies most.
 fills after a rotation, within each span of the vector, to the principal axes of the data, where few coordinates hold most
 of a distance. The distance of a query to a box bounds that to all items inside.
 
+Vectors are also compared in short: the coordinates along the axes on which the items of a block vary, and the length of what
+is left. Short vectors are never farther apart than the whole ones, and one matrix product of them bounds all pairs of some
+queries with some cells, at a fraction of the price of a box for every few items; only pairs within reach are scored in full.
+
 Cells are rows of a stored table with their items packed; regions are rows of a small one. A query first visits the region
 of the least bound, which gives it a real distance to beat, then in further rounds those whose bound doesn't exceed it.
-Inside a region cells are visited by bound in the same way. What is joined are queries and boxes of one group,
+Inside a region families of cells are visited by bound in the same way. What is joined are queries and boxes of one group,
 then queries and items of one block of regions; no list of pivots or boxes goes to the driver or to all tasks. A query is sent
 once per block, however many of its regions it visits, and a block once per as many queries as it has items, so that what is
 shuffled grows as queries and items do, up to groups of ``BLOCKS * MOST_ITEMS`` items.
@@ -15,7 +19,7 @@ shuffled grows as queries and items do, up to groups of ``BLOCKS * MOST_ITEMS``
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,16 +32,18 @@ from refrain.sources.scratch import settle
 
 #: Regions of a group of n items: sqrt(n) / ROOT. Items of a cell.
 ROOT, CELL = 10.0, 8
-#: Cells, next to each other by the cuts, whose joint box is looked at before their own.
-FAMILY = 8
+#: Cells, next to each other by the cuts, that a query visits together, by their joint box.
+FAMILY = 16
+#: Share of the variance of a block's items that may lie outside of the axes that short vectors keep.
+LEFT_OUT = 1e-3
 #: Items drawn for each region of a group, and for each group, of which the first by hash become pivots.
 DRAWN, DRAWN_MORE = 4, 16
 #: Items or queries of one group that a task compares with its regions at a time.
-PART = 1 << 16
+PART = 1 << 13
 #: Items from which the rotation is taken; it decides how much work is saved and nothing else.
 SAMPLE = 4096
-#: Regions that a query visits in the first rounds; the last round visits all that are left in reach.
-FIRST_VISITS = (1, 3)
+#: Regions that a query visits in each of the first rounds; the last round visits all that are left in reach.
+FIRST_VISITS = (1,)
 #: Items of a block of regions, at least and at most, and the blocks that a group of a size between has.
 BLOCK_ITEMS, MOST_ITEMS, BLOCKS = 1 << 12, 1 << 16, 8
 #: Queries that look through a region at a time.
@@ -186,7 +192,7 @@ def build(items: DataFrame, spans=None, root: float = ROOT, cell_items: int = CE
 def bounds(turned: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """Squared distance of every row of ``turned`` to every box, from below."""
     out = np.empty((len(turned), len(low)))
-    step = max(1, (1 << 20) // max(1, low.size))
+    step = max(1, (1 << 15) // max(1, low.size))  # what is in between stays in the cache
     for start in range(0, len(turned), step):
         q = turned[start : start + step, None, :]
         gap = np.maximum(np.maximum(low - q, q - high), 0.0)
@@ -194,6 +200,25 @@ def bounds(turned: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return out
 
 
+def shortener(items: np.ndarray, axes: np.ndarray, spans) -> Callable[[np.ndarray], np.ndarray]:
+    """A function to short vectors: the coordinates along the ``axes`` on which ``items`` vary most, and the length of the rest
+    within each span. By the triangle inequality they are no farther apart than the vectors themselves."""
+    middle = items.mean(axis=0)
+    spread = ((items - middle) @ axes).var(axis=0)
+    order = np.argsort(-spread)
+    left_out = spread.sum() - np.cumsum(spread[order])
+    most = 1 + int(np.argmax(left_out <= LEFT_OUT * spread.sum()))
+    kept, rest = np.sort(order[:most]), np.ones(len(order), bool)
+    rest[kept] = False
+    over = [np.arange(a, b)[rest[a:b]] for a, b in spans or [(0, len(order))]]
+
+    def shorten(v: np.ndarray) -> np.ndarray:
+        turned = (v - middle) @ axes
+        return np.hstack([turned[:, kept], *[np.sqrt(np.einsum("ij,ij->i", w, w))[:, None] for w in (turned[:, o] for o in over)]])
+
+    return shorten
+
+
 def _reach(beat: np.ndarray, q: np.ndarray, quantum: float | None) -> np.ndarray:
     """``beat`` with room for rounding."""
     return beat * (1.0 + SLACK) + SLACK * (q * q).sum(axis=1) + 2.0 * (quantum or 0.0)
@@ -214,15 +239,20 @@ def choose(
         low, high = vectors_of(boxes.column("low")), vectors_of(boxes.column("high"))
         found = bounds(v @ axes, low, high)
         beat = np.nan_to_num(rows.column("beat").to_numpy().astype(float), nan=np.inf)
-        place = {r: i for i, r in enumerate(names.tolist())}
-        for i, seen in enumerate(rows.column("seen").to_pylist()):
-            found[i, [place[r] for r in seen]] = np.inf
+        seen = rows.column("seen").combine_chunks()
+        in_order = np.argsort(names)
+        place = in_order[np.searchsorted(names[in_order], seen.flatten().to_numpy(zero_copy_only=False))]
+        found[np.repeat(np.arange(len(v)), np.diff(seen.offsets.to_numpy())), place] = np.inf
         found[found > _reach(beat, v, quantum)[:, None]] = np.inf
-        chosen = []
-        for line in found:
-            order = np.argsort(line, kind="stable")[:most]
-            chosen.append(names[order[np.isfinite(line[order])]].tolist())
-        return rows.append_column("next", pa.array(chosen, pa.list_(pa.int32())))
+        if most is not None and most < len(names):
+            least = np.argpartition(found, most - 1, axis=1)[:, :most]
+            left = np.zeros(found.shape, bool)
+            left[np.arange(len(v))[:, None], least] = True
+            found[~left] = np.inf
+        at, column = np.nonzero(np.isfinite(found))
+        offsets = np.searchsorted(at, np.arange(len(v) + 1)).astype(np.int32)
+        chosen = pa.ListArray.from_arrays(pa.array(offsets), pa.array(names[column].astype(np.int32)))
+        return rows.append_column("next", chosen)
 
     return _dealt(queries, "query", regions, parts, ["g"]).applyInArrow(pick, ddl)
 
@@ -239,13 +269,14 @@ def visit(
     numbered = visits.join(sizes.select("g", "regions", "blocks"), "g")
     numbered = numbered.withColumn("block", F.explode(F.array_distinct(F.transform("next", _block))))
     sent = numbered.select("g", "query", "v", F.filter("next", lambda r: _block(r) == F.col("block")).alias("visited"), "beat", "block")
-    held = cells.join(sizes.select("g", "regions", "blocks"), "g").withColumn("block", _block(F.col("region"))).drop("regions", "blocks")
+    whole = cells.select("g", "region", "cell", "items", "v").join(sizes.select("g", "regions", "blocks"), "g")
+    held = whole.withColumn("block", _block(F.col("region"))).drop("regions", "blocks")
     asked = numbered.groupBy("g", "block").agg(F.count(F.lit(1)).alias("rows"))
     most = F.greatest(F.lit(tile), F.least(F.col("n") / F.col("blocks"), F.lit(MOST_ITEMS)))
-    parts = asked.join(sizes, "g").select("g", "block", F.ceil(F.col("rows") / most).cast("int").alias("parts"))
+    parts = settle(asked.join(sizes, "g").select("g", "block", F.ceil(F.col("rows") / most).cast("int").alias("parts")), "visits")
     id_type = _type(cells, "items").removeprefix("array<").removesuffix(">")
     ddl = f"g {_type(visits, 'g')}, query {_type(visits, 'query')}, item {id_type}, distance double, parts array<double>, rank double"
-    return _dealt(sent, "query", held, settle(parts, "visits"), ["g", "block"]).applyInArrow(_scorer(k, spans, quantum, axes, tally), ddl)
+    return _dealt(sent, "query", held, parts, ["g", "block"]).applyInArrow(_scorer(k, spans, quantum, axes, tally), ddl)
 
 
 def _scorer(k: int, spans, quantum: float | None, axes: np.ndarray, tally: Accumulator | None):
@@ -261,60 +292,70 @@ def _scorer(k: int, spans, quantum: float | None, axes: np.ndarray, tally: Accum
         q = vectors_of(left.column("v"))
         held = [np.frombuffer(x, np.float64).reshape(-1, q.shape[1]) for x in right.column("v").to_pylist()]
         starts = np.cumsum([0, *map(len, held)])
-        turned = q @ axes
-        low, high = vectors_of(right.column("low")), vectors_of(right.column("high"))
+        flat = np.concatenate(held)
         q_square = np.einsum("ij,ij->i", q, q)
         beat = np.nan_to_num(left.column("beat").to_numpy().astype(float), nan=np.inf)
-        room = 1e-12 * (q_square + max(float((c * c).sum(axis=1).max()) for c in held)) + 2.0 * (quantum or 0.0)
+        room = 1e-12 * (q_square + float(np.einsum("ij,ij->i", flat, flat).max())) + 2.0 * (quantum or 0.0)
+        slack = room + _reach(np.zeros(len(q)), q, quantum)
+        shorten = shortener(flat, axes, spans)
+        short, asked = shorten(flat), shorten(q)
+        # One product gives the squared distance of short vectors.
+        against_all = np.hstack([short, np.einsum("ij,ij->i", short, short)[:, None], np.ones((len(short), 1))])
+        asking_all = np.hstack([-2.0 * asked, np.ones((len(q), 1)), np.einsum("ij,ij->i", asked, asked)[:, None]])
         best = np.repeat(beat[:, None], k, axis=1)  # the k least distances so far, in order or not, the last one the largest
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         scored = 0
 
-        def against(cell: int, asking: np.ndarray) -> None:
+        def distances(rows: np.ndarray, at: np.ndarray) -> np.ndarray:
             nonlocal scored
-            items = held[cell]
-            rough = q_square[asking, None] - 2.0 * (q[asking] @ items.T) + np.einsum("ij,ij->i", items, items)
-            scored += rough.size
-            i, j = np.nonzero(rough <= (best[asking, k - 1] + room[asking])[:, None])
-            found.append((asking[i], starts[cell] + j, rough[i, j]))
-            both = np.hstack([best[asking], rough])
-            best[asking] = np.partition(both, k - 1, axis=1)[:, :k]
+            scored += len(rows)
+            out = np.empty(len(rows))
+            for some in range(0, len(rows), 1 << 12):
+                s = slice(some, some + (1 << 12))
+                gap = q[rows[s]] - flat[at[s]]
+                out[s] = np.einsum("ij,ij->i", gap, gap)
+            return out
+
+        def against(start: int, stop: int, asking: np.ndarray) -> None:
+            """``asking`` queries against the items from ``start`` to ``stop``."""
+            rough = asking_all[asking] @ against_all[start:stop].T
+            within = best[asking, k - 1]
+            new = np.flatnonzero(np.isinf(within))
+            if len(new) and k <= stop - start:  # the k items of the least bounds give something to beat
+                least = rough[new].argmin(axis=1)[:, None] if k == 1 else np.argpartition(rough[new], k - 1, axis=1)[:, :k]
+                real = distances(np.repeat(asking[new], k), start + least.ravel())
+                within[new] = real.reshape(-1, k).max(axis=1)
+            i, j = np.divmod(np.flatnonzero(rough <= (within + room[asking])[:, None]), stop - start)
+            if not len(i):
+                return
+            at = start + j
+            real = distances(asking[i], at)
+            order = np.lexsort((real, i))
+            place = np.arange(len(i)) - np.searchsorted(i, i, side="left")  # i is in order
+            own = np.full((len(asking), k), np.inf)
+            own[i[place < k], place[place < k]] = real[order][place < k]
+            best[asking] = np.partition(np.hstack([best[asking], own]), k - 1, axis=1)[:, :k]
+            close = real <= best[asking[i], k - 1] + 2.0 * room[asking[i]]
+            found.append((asking[i[close]], at[close], real[close]))
 
         def limit(asking: np.ndarray) -> np.ndarray:
-            return _reach(best[asking, k - 1], q[asking], quantum) + room[asking]
+            return best[asking, k - 1] * (1.0 + SLACK) + slack[asking]
 
         def through(visiting: np.ndarray, first: int, end: int) -> None:
             """``visiting`` queries against the cells of one region, those from ``first`` to ``end``."""
-            firsts = np.arange(first, end, FAMILY)
-            whole = np.minimum.reduceat(low[:end], firsts), np.maximum.reduceat(high[:end], firsts)
-            near = bounds(turned[visiting], *whole)
-            done = np.zeros((len(visiting), end - first), bool)
-
-            def children(family: int, some: np.ndarray) -> tuple[int, np.ndarray]:
-                own = slice(firsts[family], min(firsts[family] + FAMILY, end))
-                return own.start, bounds(turned[visiting[some]], low[own], high[own])
-
-            # First the cell of the least bound, for something to beat; then families by how near they are to all queries.
+            edges = starts[[*range(first, end, FAMILY), end]]
+            own = short[edges[0] : edges[-1]]
+            low, high = (f.reduceat(own, edges[:-1] - edges[0]) for f in (np.minimum, np.maximum))
+            near = bounds(asked[visiting], low, high)
+            # First the family of the least bound, for something to beat; then the others by how near they are to all queries.
             home = near.argmin(axis=1)
-            for family in np.unique(home):
-                some = np.flatnonzero(home == family)
-                start, found_at = children(family, some)
-                nearest = found_at.argmin(axis=1)
-                for n in np.unique(nearest):
-                    mine = nearest == n
-                    mine[mine] = found_at[mine, n] <= limit(visiting[some[mine]])
-                    if mine.any():
-                        done[some[mine], start + n - first] = True
-                        against(start + n, visiting[some[mine]])
-            for family in np.argsort(near.mean(axis=0), kind="stable"):
-                some = np.flatnonzero(near[:, family] <= limit(visiting))
-                if not len(some):
-                    continue
-                start, found_at = children(family, some)
-                for n in range(found_at.shape[1]):
-                    mine = (found_at[:, n] <= limit(visiting[some])) & ~done[some, start + n - first]
-                    if mine.any():
-                        against(start + n, visiting[some[mine]])
+            reach = limit(visiting)
+            for at_home in (True, False):
+                for family in np.argsort(near.mean(axis=0), kind="stable"):
+                    some = np.flatnonzero(((home == family) == at_home) & (near[:, family] <= reach))
+                    if len(some):
+                        against(edges[family], edges[family + 1], visiting[some])
+                        reach[some] = limit(visiting[some])
 
         visited = left.column("visited").combine_chunks()
         asking = np.repeat(np.arange(len(q)), np.diff(visited.offsets.to_numpy()))
@@ -331,10 +372,9 @@ def _scorer(k: int, spans, quantum: float | None, axes: np.ndarray, tally: Accum
         if tally is not None:
             tally.add(scored)
 
-        rows, at, rough = (np.concatenate([f[n] for f in found]) if found else np.zeros(0, int) for n in range(3))
-        close = rough <= best[rows, k - 1] + 2.0 * room[rows]
+        rows, at, real = (np.concatenate([f[n] for f in found]) if found else np.zeros(0, int) for n in range(3))
+        close = real <= best[rows, k - 1] + 2.0 * room[rows]
         rows, at = rows[close], at[close]
-        flat = np.concatenate(held)
         cuts = spans or [(0, q.shape[1])]
         parts = np.empty((len(rows), len(cuts)))
         for some in range(0, len(rows), 1 << 16):
@@ -372,7 +412,7 @@ def search(
 ) -> DataFrame:
     """Candidates ``(g, query, item, distance, parts, rank)`` that hold the ``k`` nearest items of each query (``g``, ``query``, ``v``).
 
-    ``tally`` counts the pairs that were scored. The index and all rounds but the last are written when this is called.
+    ``tally`` counts the pairs that were scored in full. The index and all rounds but the last are written when this is called.
     """
     queries = settle(queries, "queries")
     cells, regions, sizes, axes = build(items, spans, root, cell_items)

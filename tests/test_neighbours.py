@@ -177,3 +177,31 @@ def test_large_and_small_groups_skip_cells(spark):
         assert {(r.q, r.c) for r in rows} == wanted
         assert tally.value < 0.7 * 40 * n
         assert group == "small" or tally.value < 0.01 * 40 * n
+
+
+def blurred(rng, rows, strong=6, weak=30):
+    """Vectors that vary much along few axes and a little along many others."""
+    return np.hstack([rng.normal(size=(rows, strong)), 0.01 * rng.normal(size=(rows, weak))])
+
+
+@pytest.mark.parametrize("spans", [None, [(0, 9), (9, 36)]])
+def test_short_vectors_are_never_farther_apart(spans):
+    rng = np.random.default_rng(8)
+    v, q = blurred(rng, 300), 3.0 + blurred(rng, 50)
+    shorten = cells.shortener(v, np.eye(36), spans)
+    a, b = shorten(q), shorten(v)
+    assert a.shape[1] < 12
+    near, real = (((x[:, None] - y[None]) ** 2).sum(axis=2) for x, y in ((a, b), (q, v)))
+    assert (near <= real * (1 + 1e-12)).all() and (near > 0.9 * real).all()
+
+
+def test_wide_vectors_are_seldom_scored_in_full(spark):
+    rng = np.random.default_rng(10)
+    v, asked = blurred(rng, 3000), blurred(rng, 200)
+    items = indexed(spark, [("a", i, x.tolist()) for i, x in enumerate(v)]).withColumnsRenamed({"item": "c"})
+    queries = spark.createDataFrame([("a", i, x.tolist()) for i, x in enumerate(asked)], "g string, q long, v array<double>")
+    tally = spark.sparkContext.accumulator(0)
+    rows = neighbours.nearest(queries, items, "g", "q", "c", "v", k=2, prune=True, clean=True, tally=tally).collect()
+    distances = ((asked[:, None] - v[None]) ** 2).sum(axis=2)
+    assert {(r.q, r.c) for r in rows} == {(i, int(j)) for i, line in enumerate(distances) for j in np.argsort(line)[:2]}
+    assert tally.value < 0.02 * 200 * 3000
