@@ -33,9 +33,10 @@ from refrain.sources.scratch import settle
 #: Regions of a group of n items: sqrt(n) / ROOT. Items of a cell.
 ROOT, CELL = 10.0, 8
 #: Cells, next to each other by the cuts, that a query visits together, by their joint box.
-FAMILY = 16
-#: Share of the variance of a block's items that may lie outside of the axes that short vectors keep.
-LEFT_OUT = 1e-3
+FAMILY = 32
+#: Share of the variance of some items that may lie outside of the axes that short vectors keep; that of a block that is
+#: searched, where an axis more costs less than the pairs which it rules out.
+LEFT_OUT, LEFT_OUT_OF_BLOCK = 1e-3, 1e-5
 #: Items drawn for each region of a group, and for each group, of which the first by hash become pivots.
 DRAWN, DRAWN_MORE = 4, 16
 #: Items or queries of one group that a task compares with its regions at a time.
@@ -48,6 +49,8 @@ FIRST_VISITS = (1,)
 BLOCK_ITEMS, MOST_ITEMS, BLOCKS = 1 << 12, 1 << 16, 8
 #: Queries that look through a region at a time.
 VISITING = 1 << 13
+#: Of those, queries that are compared with a family at a time, in the cache.
+TOGETHER = 1 << 9
 #: Room for rounding, as a share of the squared size of the vectors.
 SLACK = 1e-9
 
@@ -190,24 +193,30 @@ def build(items: DataFrame, spans=None, root: float = ROOT, cell_items: int = CE
 
 
 def bounds(turned: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """Squared distance of every row of ``turned`` to every box, from below."""
-    out = np.empty((len(turned), len(low)))
-    step = max(1, (1 << 15) // max(1, low.size))  # what is in between stays in the cache
+    """Squared distance of every box, as a row, to every row of ``turned``, as a column, from below."""
+    out = np.empty((len(low), len(turned)), turned.dtype)
+    columns = np.ascontiguousarray(turned.T)
+    step = max(1, (1 << 15) // max(1, len(low)))  # what is in between stays in the cache
     for start in range(0, len(turned), step):
-        q = turned[start : start + step, None, :]
-        gap = np.maximum(np.maximum(low - q, q - high), 0.0)
-        out[start : start + step] = np.einsum("ijk,ijk->ij", gap, gap)
+        total = np.zeros((len(low), len(turned[start : start + step])), turned.dtype)
+        gap = np.empty_like(total)
+        for q, a, b in zip(columns[:, start : start + step], low.T, high.T):
+            np.clip(q[None], a[:, None], b[:, None], out=gap)
+            np.subtract(gap, q, out=gap)
+            np.multiply(gap, gap, out=gap)
+            total += gap
+        out[:, start : start + step] = total
     return out
 
 
-def shortener(items: np.ndarray, axes: np.ndarray, spans) -> Callable[[np.ndarray], np.ndarray]:
+def shortener(items: np.ndarray, axes: np.ndarray, spans, left_out: float = LEFT_OUT) -> Callable[[np.ndarray], np.ndarray]:
     """A function to short vectors: the coordinates along the ``axes`` on which ``items`` vary most, and the length of the rest
     within each span. By the triangle inequality they are no farther apart than the vectors themselves."""
     middle = items.mean(axis=0)
     spread = ((items - middle) @ axes).var(axis=0)
     order = np.argsort(-spread)
-    left_out = spread.sum() - np.cumsum(spread[order])
-    most = 1 + int(np.argmax(left_out <= LEFT_OUT * spread.sum()))
+    beyond = spread.sum() - np.cumsum(spread[order])
+    most = 1 + int(np.argmax(beyond <= left_out * spread.sum()))
     kept, rest = np.sort(order[:most]), np.ones(len(order), bool)
     rest[kept] = False
     over = [np.arange(a, b)[rest[a:b]] for a, b in spans or [(0, len(order))]]
@@ -237,7 +246,7 @@ def choose(
             return rows.slice(0, 0).append_column("next", pa.array([], pa.list_(pa.int32())))
         v, names = vectors_of(rows.column("v")), boxes.column("region").to_numpy()
         low, high = vectors_of(boxes.column("low")), vectors_of(boxes.column("high"))
-        found = bounds(v @ axes, low, high)
+        found = np.ascontiguousarray(bounds(v @ axes, low, high).T)
         beat = np.nan_to_num(rows.column("beat").to_numpy().astype(float), nan=np.inf)
         seen = rows.column("seen").combine_chunks()
         in_order = np.argsort(names)
@@ -297,11 +306,17 @@ def _scorer(k: int, spans, quantum: float | None, axes: np.ndarray, tally: Accum
         beat = np.nan_to_num(left.column("beat").to_numpy().astype(float), nan=np.inf)
         room = 1e-12 * (q_square + float(np.einsum("ij,ij->i", flat, flat).max())) + 2.0 * (quantum or 0.0)
         slack = room + _reach(np.zeros(len(q)), q, quantum)
-        shorten = shortener(flat, axes, spans)
+        shorten = shortener(flat, axes, spans, LEFT_OUT_OF_BLOCK)
         short, asked = shorten(flat), shorten(q)
+        # Single precision after scaling by a power of two, with room for what that rounds.
+        length, most = np.sqrt(np.einsum("ij,ij->i", asked, asked)), float(np.sqrt(np.einsum("ij,ij->i", short, short).max()))
+        scale = 2.0 ** -np.ceil(np.log2(max(float(length.max()), most) or 1.0))
+        short, asked, widest = short * scale, asked * scale, 2.0 * ((length + most) * scale) ** 2
+        rounded = (short.shape[1] + 4) * 2.0**-24 * widest + 1e-40
         # One product gives the squared distance of short vectors.
         against_all = np.hstack([short, np.einsum("ij,ij->i", short, short)[:, None], np.ones((len(short), 1))])
         asking_all = np.hstack([-2.0 * asked, np.ones((len(q), 1)), np.einsum("ij,ij->i", asked, asked)[:, None]])
+        against_few, asking_few, asked_few, short_few = (np.ascontiguousarray(x, np.float32) for x in (against_all, asking_all, asked, short))
         best = np.repeat(beat[:, None], k, axis=1)  # the k least distances so far, in order or not, the last one the largest
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         scored = 0
@@ -316,46 +331,96 @@ def _scorer(k: int, spans, quantum: float | None, axes: np.ndarray, tally: Accum
                 out[s] = np.einsum("ij,ij->i", gap, gap)
             return out
 
+        def weigh(rows: np.ndarray, at: np.ndarray) -> None:
+            """Pairs that may be among the best, with the ``rows`` of queries in order, in full."""
+            if not len(rows):
+                return
+            real = distances(rows, at)
+            order = np.lexsort((real, rows))
+            place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
+            first = np.r_[True, rows[1:] != rows[:-1]]
+            who, line = rows[first], np.cumsum(first) - 1
+            own = np.full((len(who), k), np.inf)
+            own[line[place < k], place[place < k]] = real[order][place < k]
+            best[who] = np.partition(np.hstack([best[who], own]), k - 1, axis=1)[:, :k]
+            close = real <= best[rows, k - 1] + 2.0 * room[rows]
+            found.append((rows[close], at[close], real[close]))
+
+        def limit(asking: np.ndarray, within: np.ndarray) -> np.ndarray:
+            """The scaled squared distance of short vectors in single precision from which nothing is within reach of ``asking``."""
+            reach = (within * (1.0 + SLACK) + slack[asking]) * (scale * scale * (1.0 + 1e-6))
+            return np.minimum(reach, widest[asking]) + rounded[asking]
+
+        held_own = np.empty((TOGETHER, asking_few.shape[1]), np.float32)
+        held_rough = np.empty(TOGETHER * int(max(np.diff(starts)) * FAMILY), np.float32)
+        held_hits = np.empty(len(held_rough) + 8, bool)
+
+        def hits_of(start: int, stop: int, asking: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """The pairs of ``asking`` and the items from ``start`` to ``stop`` within ``reach``, by number, and what their bounds lack to it."""
+            items, wide, hits, lack = against_few[start:stop].T, stop - start, [], []
+            last = (asking_all[asking, -1] - reach).astype(np.float32)
+            for some in range(0, len(asking), TOGETHER):
+                now = asking[some : some + TOGETHER]
+                own, size = held_own[: len(now)], len(now) * wide
+                np.take(asking_few, now, axis=0, out=own, mode="clip")
+                own[:, -1] = last[some : some + TOGETHER]
+                rough, within = held_rough[:size], held_hits[:size]
+                np.matmul(own, items, out=rough.reshape(-1, wide))
+                np.less_equal(rough, 0.0, out=within)
+                held_hits[size : size + 8] = False
+                eights = held_hits[: (size + 7) // 8 * 8].reshape(-1, 8)  # few of them have a hit
+                some_hit = np.flatnonzero(eights.view(np.uint64))
+                row, column = np.nonzero(eights[some_hit])
+                found = some_hit[row] * 8 + column
+                hits.append(found + some * wide)
+                lack.append(rough[found])
+            return np.concatenate(hits), np.concatenate(lack)
+
         def against(start: int, stop: int, asking: np.ndarray) -> None:
-            """``asking`` queries against the items from ``start`` to ``stop``."""
-            rough = asking_all[asking] @ against_all[start:stop].T
-            within = best[asking, k - 1]
+            """``asking`` queries, in order, against the items from ``start`` to ``stop``."""
+            within, size = best[asking, k - 1], len(asking) * (stop - start)
             new = np.flatnonzero(np.isinf(within))
             if len(new) and k <= stop - start:  # the k items of the least bounds give something to beat
-                least = rough[new].argmin(axis=1)[:, None] if k == 1 else np.argpartition(rough[new], k - 1, axis=1)[:, :k]
+                rough = asking_few[asking[new]] @ against_few[start:stop].T
+                least = rough.argmin(axis=1)[:, None] if k == 1 else np.argpartition(rough, k - 1, axis=1)[:, :k]
                 real = distances(np.repeat(asking[new], k), start + least.ravel())
                 within[new] = real.reshape(-1, k).max(axis=1)
-            i, j = np.divmod(np.flatnonzero(rough <= (within + room[asking])[:, None]), stop - start)
-            if not len(i):
+            reach = limit(asking, within)
+            hits, lack = hits_of(start, stop, asking, reach)
+            if len(hits) > size >> 3:  # rounded too much for vectors of such different lengths, or near to all
+                own = asking_all[asking]
+                own[:, -1] -= (within + room[asking]) * (scale * scale)
+                rough = (own @ against_all[start:stop].T).ravel()
+                hits = np.flatnonzero(rough <= 0.0)
+                lack = rough[hits]
+            if not len(hits):
                 return
-            at = start + j
-            real = distances(asking[i], at)
-            order = np.lexsort((real, i))
-            place = np.arange(len(i)) - np.searchsorted(i, i, side="left")  # i is in order
-            own = np.full((len(asking), k), np.inf)
-            own[i[place < k], place[place < k]] = real[order][place < k]
-            best[asking] = np.partition(np.hstack([best[asking], own]), k - 1, axis=1)[:, :k]
-            close = real <= best[asking[i], k - 1] + 2.0 * room[asking[i]]
-            found.append((asking[i[close]], at[close], real[close]))
-
-        def limit(asking: np.ndarray) -> np.ndarray:
-            return best[asking, k - 1] * (1.0 + SLACK) + slack[asking]
+            i, j = np.divmod(hits, stop - start)
+            # First the k of the least bounds, which seldom leave others within reach.
+            first = np.zeros(len(i), bool)
+            first[np.lexsort((lack, i))[np.arange(len(i)) - np.searchsorted(i, i, side="left") < k]] = True
+            weigh(asking[i[first]], start + j[first])
+            others = np.flatnonzero(~first)
+            if len(others):
+                now = limit(asking, np.minimum(best[asking, k - 1], within))
+                others = others[lack[others] <= (now - reach + rounded[asking])[i[others]]]
+                weigh(asking[i[others]], start + j[others])
 
         def through(visiting: np.ndarray, first: int, end: int) -> None:
             """``visiting`` queries against the cells of one region, those from ``first`` to ``end``."""
             edges = starts[[*range(first, end, FAMILY), end]]
-            own = short[edges[0] : edges[-1]]
+            own = short_few[edges[0] : edges[-1]]
             low, high = (f.reduceat(own, edges[:-1] - edges[0]) for f in (np.minimum, np.maximum))
-            near = bounds(asked[visiting], low, high)
+            near = bounds(asked_few[visiting], low, high)
             # First the family of the least bound, for something to beat; then the others by how near they are to all queries.
-            home = near.argmin(axis=1)
-            reach = limit(visiting)
+            home = near.argmin(axis=0)
+            reach = limit(visiting, best[visiting, k - 1])
             for at_home in (True, False):
-                for family in np.argsort(near.mean(axis=0), kind="stable"):
-                    some = np.flatnonzero(((home == family) == at_home) & (near[:, family] <= reach))
+                for family in np.argsort(near.mean(axis=1), kind="stable"):
+                    some = np.flatnonzero(((home == family) == at_home) & (near[family] <= reach))
                     if len(some):
                         against(edges[family], edges[family + 1], visiting[some])
-                        reach[some] = limit(visiting[some])
+                        reach[some] = limit(visiting[some], best[visiting[some], k - 1])
 
         visited = left.column("visited").combine_chunks()
         asking = np.repeat(np.arange(len(q)), np.diff(visited.offsets.to_numpy()))

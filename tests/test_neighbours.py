@@ -205,3 +205,40 @@ def test_wide_vectors_are_seldom_scored_in_full(spark):
     distances = ((asked[:, None] - v[None]) ** 2).sum(axis=2)
     assert {(r.q, r.c) for r in rows} == {(i, int(j)) for i, line in enumerate(distances) for j in np.argsort(line)[:2]}
     assert tally.value < 0.02 * 200 * 3000
+
+
+def test_few_pairs_are_scored_where_much_lies_along_weak_axes(spark):
+    """Nearest vectors that differ mostly along axes that hold little of the variance, with all of them in single precision first."""
+    rng = np.random.default_rng(12)
+    strong = np.repeat(rng.normal(size=(150, 4)), 20, axis=0)
+    v = np.hstack([strong, 0.005 * rng.normal(size=(3000, 30))])
+    asked = np.hstack([strong[::15], 0.005 * rng.normal(size=(200, 30))])
+    items = indexed(spark, [("a", i, x.tolist()) for i, x in enumerate(v)]).withColumnsRenamed({"item": "c"})
+    queries = spark.createDataFrame([("a", i, x.tolist()) for i, x in enumerate(asked)], "g string, q long, v array<double>")
+    tally = spark.sparkContext.accumulator(0)
+    rows = neighbours.nearest(queries, items, "g", "q", "c", "v", k=2, prune=True, clean=True, tally=tally).collect()
+    distances = ((asked[:, None] - v[None]) ** 2).sum(axis=2)
+    assert {(r.q, r.c) for r in rows} == {(i, int(j)) for i, line in enumerate(distances) for j in np.argsort(line)[:2]}
+    assert tally.value < 20 * 200
+
+
+@pytest.mark.parametrize("way", [CELLS, dict(prune=True), dict(prune=True, root=1.0, tile_queries=16)])
+@pytest.mark.parametrize("k", [1, 4])
+def test_lengths_of_many_orders(spark, way, k):
+    """Vectors of lengths that single precision can't hold side by side, or not at all."""
+    rng = np.random.default_rng(13)
+
+    def spread(rows, start):
+        powers = rng.choice([-170, -60, -24, -6, 0, 5, 18, 40, 100], size=rows)
+        return [("ab"[i % 2], start + i, [float(x) * 10.0 ** int(p) for x in rng.integers(1, 90, 3)]) for i, p in enumerate(powers)]
+
+    items, queries = spread(500, 0), spread(80, 1000)
+    assert searched(spark, queries, items, k, **way) == brute_force(queries, items, k)
+
+
+def test_boxes_bound_from_below():
+    rng = np.random.default_rng(14)
+    q, v = rng.normal(size=(70, 5)), rng.normal(size=(40, 6, 5))
+    near = cells.bounds(q, v.min(axis=1), v.max(axis=1))
+    real = ((q[None, :, None] - v[:, None]) ** 2).sum(axis=3).min(axis=2)
+    assert near.shape == (40, 70) and (near <= real).all() and (near > 0).any() and (near == 0).any()
