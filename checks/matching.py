@@ -285,14 +285,17 @@ def videos_for_vector(t):
 
 
 def stored_lookup(t):
-    """What lookups read, written once: names by id, best pairs and videos by block and id."""
-    left, right = stored_names(t)
+    """What lookups read, written once: names by id, best pairs and videos by block and id.
+
+    The names of music hold the whole texts; they are cleaned straight into the table that lookups read, and linked from there.
+    """
+    paths = {name: scratch_path(t.spark, name) for name in ("names", "pairs", "videos")}
+    lookup.store(music(t), paths["names"], "track_id", block=None)
+    left, right = tables.read_table(t.spark, paths["names"]).drop("part"), settle(video(t), "video_names")
     spoken = F.split(F.substring_index("track_id", "t", -1), "_")
     url = F.concat(F.lit("v"), spoken[0], F.lit("/"), spoken[1])
     covers = F.transform(F.array(F.lit(0), F.lit(1)), lambda n: F.concat(F.lit("cover "), n + spoken[1].cast("int")))
     clips = right.select("track_id", "name_key_1", "artist_name", url.alias("video_url"), F.explode(covers).alias("covers"))
-    paths = {name: scratch_path(t.spark, name) for name in ("names", "pairs", "videos")}
-    lookup.store(left, paths["names"], "track_id", block=None)
     lookup.store(_rounded_scores(linkage.link(left, right)), paths["pairs"], "music_track_id")
     lookup.store(clips, paths["videos"], "track_id")
     return paths

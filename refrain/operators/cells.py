@@ -10,8 +10,9 @@ is left. Short vectors are never farther apart than the whole ones, and one matr
 queries with some cells, at a fraction of the price of a box for every few items; only pairs within reach are scored in full.
 
 Cells are rows of a stored table with their items packed; regions are rows of a small one. A query first visits the region
-of the least bound, which gives it a real distance to beat, then in further rounds those whose bound doesn't exceed it.
-Inside a region families of cells are visited by bound in the same way. What is joined are queries and boxes of one group,
+with the nearest mean, which gives it a real distance to beat, then in further rounds those whose bound doesn't exceed it. Boxes
+overlap, so that the least bound says little about where the nearest items are; the mean does.
+Inside a region families of cells are visited in the same way. What is joined are queries and boxes of one group,
 then queries and items of one block of regions; no list of pivots or boxes goes to the driver or to all tasks. A query is sent
 once per block, however many of its regions it visits, and a block once per as many queries as it has items, so that what is
 shuffled grows as queries and items do, up to groups of ``BLOCKS * MOST_ITEMS`` items.
@@ -152,7 +153,8 @@ def split(points: np.ndarray, size: int) -> Iterator[np.ndarray]:
 def build(items: DataFrame, spans=None, root: float = ROOT, cell_items: int = CELL) -> tuple[DataFrame, DataFrame, DataFrame, np.ndarray]:
     """The stored cells, the stored regions, the number of regions of each group and the rotation for ``items`` (``g``, ``item``, ``v``, no NaN).
 
-    Cells: ``g``, ``region``, ``cell``, box ``low`` and ``high``, ``items``, their vectors packed. Regions: ``g``, ``region``, box.
+    Cells: ``g``, ``region``, ``cell``, box ``low`` and ``high``, ``items``, their vectors packed. Regions: ``g``, ``region``, box and
+    ``middle``, the mean, all after the rotation.
     """
     count = F.count(F.lit(1))
     sizes = items.groupBy("g").agg(count.alias("n"), F.greatest(F.lit(1), F.ceil(F.sqrt(count) / root)).cast("int").alias("regions"))
@@ -160,7 +162,7 @@ def build(items: DataFrame, spans=None, root: float = ROOT, cell_items: int = CE
     sizes = settle(sizes.withColumn("blocks", F.least(F.ceil(F.col("n") / of_block).cast("int"), "regions")), "sizes")
     axes = rotation(items, sizes.agg(F.sum("n")).first()[0] or 0, spans)
     boxes = "low array<double>, high array<double>"
-    ddl = f"g {_type(items, 'g')}, region int, cell int, {boxes}, items array<{_type(items, 'item')}>, v binary, whole struct<{boxes}>"
+    ddl = f"g {_type(items, 'g')}, region int, cell int, {boxes}, items array<{_type(items, 'item')}>, v binary, whole struct<{boxes}, middle array<double>>"
 
     def cut(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("item").combine_chunks()
@@ -168,7 +170,7 @@ def build(items: DataFrame, spans=None, root: float = ROOT, cell_items: int = CE
         turned = v @ axes
         cells = list(split(turned, cell_items))
         low, high = (np.stack([f(turned[c], axis=0) for c in cells]) for f in (np.min, np.max))
-        whole = {"low": low.min(axis=0).tolist(), "high": high.max(axis=0).tolist()}
+        whole = {"low": low.min(axis=0).tolist(), "high": high.max(axis=0).tolist(), "middle": turned.mean(axis=0).tolist()}
         ids = rows.column("item").combine_chunks()
         flat = pa.ListArray.from_arrays(
             pa.array(np.cumsum([0, *map(len, cells)]).astype(np.int32)), ids.take(pa.array(np.concatenate(cells)))
@@ -183,12 +185,12 @@ def build(items: DataFrame, spans=None, root: float = ROOT, cell_items: int = CE
                 "high": list_array(high),
                 "items": flat,
                 "v": pa.array([v[c].tobytes() for c in cells], pa.binary()),
-                "whole": pa.array([whole, *[None] * (len(cells) - 1)], pa.struct([("low", pa.list_(pa.float64())), ("high", pa.list_(pa.float64()))])),
+                "whole": pa.array([whole, *[None] * (len(cells) - 1)], pa.struct([(name, pa.list_(pa.float64())) for name in whole])),
             }
         )
 
     cells = settle(with_regions(items, sizes).groupBy("g", "region").applyInArrow(cut, ddl), "cells")
-    regions = settle(cells.where("cell = 0").select("g", "region", "whole.low", "whole.high"), "regions")
+    regions = settle(cells.where("cell = 0").select("g", "region", "whole.low", "whole.high", "whole.middle"), "regions")
     return cells.drop("whole"), regions, sizes, axes
 
 
@@ -209,6 +211,11 @@ def bounds(turned: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return out
 
 
+def nearness(points: np.ndarray, middles: np.ndarray) -> np.ndarray:
+    """For every row of ``points`` a number that orders ``middles`` as their distances to it do."""
+    return (middles * middles).sum(axis=1) - 2.0 * (points @ middles.T)
+
+
 def shortener(items: np.ndarray, axes: np.ndarray, spans, left_out: float = LEFT_OUT) -> Callable[[np.ndarray], np.ndarray]:
     """A function to short vectors: the coordinates along the ``axes`` on which ``items`` vary most, and the length of the rest
     within each span. By the triangle inequality they are no farther apart than the vectors themselves."""
@@ -237,7 +244,7 @@ def choose(
     queries: DataFrame, regions: DataFrame, parts: DataFrame, axes: np.ndarray, most: int | None, quantum: float | None
 ) -> DataFrame:
     """The next visits of ``queries`` (``g``, ``query``, ``v``, ``seen`` regions, ``beat``): at most ``most`` regions each, those
-    of the least bounds, and none whose bound is beyond ``beat``."""
+    with the nearest means, and none whose bound is beyond ``beat``."""
     ddl = f"g {_type(queries, 'g')}, query {_type(queries, 'query')}, v array<double>, seen array<int>, beat double, next array<int>"
 
     def pick(rows: pa.Table, boxes: pa.Table) -> pa.Table:
@@ -245,20 +252,23 @@ def choose(
         if not rows.num_rows or not boxes.num_rows:
             return rows.slice(0, 0).append_column("next", pa.array([], pa.list_(pa.int32())))
         v, names = vectors_of(rows.column("v")), boxes.column("region").to_numpy()
-        low, high = vectors_of(boxes.column("low")), vectors_of(boxes.column("high"))
-        found = np.ascontiguousarray(bounds(v @ axes, low, high).T)
+        low, high, middle = (vectors_of(boxes.column(c)) for c in ("low", "high", "middle"))
+        turned = v @ axes
         beat = np.nan_to_num(rows.column("beat").to_numpy().astype(float), nan=np.inf)
+        left = np.ones((len(v), len(names)), bool)
+        if np.isfinite(beat).any():
+            left = np.ascontiguousarray(bounds(turned, low, high).T) <= _reach(beat, v, quantum)[:, None]
         seen = rows.column("seen").combine_chunks()
         in_order = np.argsort(names)
         place = in_order[np.searchsorted(names[in_order], seen.flatten().to_numpy(zero_copy_only=False))]
-        found[np.repeat(np.arange(len(v)), np.diff(seen.offsets.to_numpy())), place] = np.inf
-        found[found > _reach(beat, v, quantum)[:, None]] = np.inf
+        left[np.repeat(np.arange(len(v)), np.diff(seen.offsets.to_numpy())), place] = False
         if most is not None and most < len(names):
-            least = np.argpartition(found, most - 1, axis=1)[:, :most]
-            left = np.zeros(found.shape, bool)
-            left[np.arange(len(v))[:, None], least] = True
-            found[~left] = np.inf
-        at, column = np.nonzero(np.isfinite(found))
+            far = nearness(turned, middle)
+            far[~left] = np.inf
+            nearest = np.zeros(left.shape, bool)
+            nearest[np.arange(len(v))[:, None], np.argpartition(far, most - 1, axis=1)[:, :most]] = True
+            left &= nearest
+        at, column = np.nonzero(left)
         offsets = np.searchsorted(at, np.arange(len(v) + 1)).astype(np.int32)
         chosen = pa.ListArray.from_arrays(pa.array(offsets), pa.array(names[column].astype(np.int32)))
         return rows.append_column("next", chosen)
@@ -412,8 +422,9 @@ def _scorer(k: int, spans, quantum: float | None, axes: np.ndarray, tally: Accum
             own = short_few[edges[0] : edges[-1]]
             low, high = (f.reduceat(own, edges[:-1] - edges[0]) for f in (np.minimum, np.maximum))
             near = bounds(asked_few[visiting], low, high)
-            # First the family of the least bound, for something to beat; then the others by how near they are to all queries.
-            home = near.argmin(axis=0)
+            # First the family with the nearest mean, for something to beat; then the others by how near they are to all queries.
+            middles = np.add.reduceat(own, edges[:-1] - edges[0]) / np.diff(edges)[:, None].astype(np.float32)
+            home = nearness(asked_few[visiting], middles).argmin(axis=1)
             reach = limit(visiting, best[visiting, k - 1])
             for at_home in (True, False):
                 for family in np.argsort(near.mean(axis=1), kind="stable"):

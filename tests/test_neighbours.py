@@ -242,3 +242,34 @@ def test_boxes_bound_from_below():
     near = cells.bounds(q, v.min(axis=1), v.max(axis=1))
     real = ((q[None, :, None] - v[:, None]) ** 2).sum(axis=3).min(axis=2)
     assert near.shape == (40, 70) and (near <= real).all() and (near > 0).any() and (near == 0).any()
+
+
+def test_queries_first_visit_the_region_with_the_nearest_mean(spark):
+    """Where all boxes hold all queries, so that their bounds tell nothing; then, with a distance to beat, what is left by bound."""
+    box = ([-9.0, -9.0], [9.0, 9.0])
+    middles = [[-5.0, 0.0], [0.0, 4.0], [6.0, 1.0], [0.0, -7.0]]
+    rows = [("a", i, *box, m) for i, m in enumerate(middles)] + [("a", 4, [30.0, 30.0], [40.0, 40.0], [35.0, 35.0])]
+    regions = spark.createDataFrame(rows, "g string, region int, low array<double>, high array<double>, middle array<double>")
+    asked = [("a", i, [x + 0.5, y - 0.5]) for i, (x, y) in enumerate(middles)]
+    parts = spark.createDataFrame([("a", 1)], "g string, parts int")
+    queries = spark.createDataFrame(asked, "g string, query long, v array<double>")
+    new = queries.select("g", "query", "v", F.array().cast("array<int>").alias("seen"), F.lit(None).cast("double").alias("beat"))
+    for turn in (np.eye(2), np.array([[0.0, 1.0], [1.0, 0.0]])):
+        turned = regions.withColumn("middle", F.reverse("middle")) if turn[0, 0] == 0 else regions
+        first = cells.choose(new, turned, parts, turn, 1, None)
+        assert {r.query: r.next for r in first.collect()} == {i: [i] for i in range(4)}
+    later = first.select("g", "query", "v", F.col("next").alias("seen"), F.lit(0.5).alias("beat"))
+    others = cells.choose(later, regions, parts, np.eye(2), None, None)
+    assert {r.query: sorted(r.next) for r in others.collect()} == {i: [j for j in range(4) if j != i] for i in range(4)}
+
+
+def test_regions_know_their_mean(spark):
+    rows = cloud(np.random.default_rng(15), 300, "ab", 6)
+    stored, regions, _, axes = cells.build(indexed(spark, rows), [(0, 2), (2, 6)], root=2.0, cell_items=6)
+    vectors = {(g, i): np.array(v) for g, i, v in rows}
+    held = {}
+    for r in stored.collect():
+        held.setdefault((r.g, r.region), []).extend(vectors[r.g, i] for i in r["items"])
+    found = {(r.g, r.region): r.middle for r in regions.collect()}
+    assert found.keys() == held.keys()
+    assert all(np.allclose(found[key], np.mean(v, axis=0) @ axes) for key, v in held.items())
